@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trajspark.operators.steps import BURST, TYPE_II, build_steps
 from trajspark.plans.segments import Laid, RowNumber, RunningSum, lay_out, with_prefix
+from trajspark.settings import write_through
 from trajspark.sources.tables import pgtraj_rows
 
 
@@ -49,13 +50,12 @@ class Model:
 
 
 def model_tables(relocations: DataFrame, kind: int = TYPE_II) -> Model:
-    """All model tables of bound relocations, as projections of the numbered steps."""
+    """All model tables of bound relocations, as projections of the numbered steps, which are written once."""
     groups = lay_out(pgtraj_rows(relocations), (), ("pgtraj_name",))
     pgtraj = with_prefix(groups, id=RowNumber()).rows()
-    steps = with_step_ids(build_steps(relocations, kind, numbered=True))
-    bursts = steps.df.groupBy(*BURST).agg(F.min("burst_id").alias("id"), F.min("animal_name").alias("animal_name"))
+    rows = write_through(with_step_ids(build_steps(relocations, kind, numbered=True)).rows(), "steps")
+    bursts = rows.groupBy(*BURST).agg(F.min("burst_id").alias("id"), F.min("animal_name").alias("animal_name"))
     bursts = bursts.join(pgtraj.select("pgtraj_name", F.col("id").alias("pgtraj_id")), "pgtraj_name")
-    rows = steps.rows()
     return Model(
         pgtraj=pgtraj.select("id", "pgtraj_name", "proj4string", "time_zone", "note"),
         animal_burst=bursts.select("id", "burst_name", "animal_name", "pgtraj_id"),

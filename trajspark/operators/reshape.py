@@ -5,6 +5,8 @@ All operators take and return bound relocations; parameters are computed again f
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -208,6 +210,49 @@ def _walk(x, y, t, length: float, state: tuple | None) -> tuple[list, tuple]:
     return out, (cx, cy, px, py, pt)
 
 
+# position of a walk: points made, current point, last vertex with its time
+STATE = T.StructType(
+    [T.StructField("_made", T.LongType())] + [T.StructField(c, T.DoubleType()) for c in ("_cx", "_cy", "_px", "_py", "_pt")]
+)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
+def _placed(pdf: pd.DataFrame, take: list[int], points: list, numbers) -> pd.DataFrame:
+    """New points with the other columns of the rows they are taken from."""
+    out = pdf.iloc[take].reset_index(drop=True)
+    at = np.array(points, dtype="float64").reshape(-1, 3)
+    out["x"], out["y"] = at[:, 0], at[:, 1]
+    out["us"] = np.rint(at[:, 2]).astype("int64")
+    out["rid"] = np.fromiter(numbers, dtype="int64", count=len(points))
+    return out
+
+
+def _walk_batches(batches: Iterator[pd.DataFrame], length: float) -> Iterator[pd.DataFrame]:
+    """Walk bursts that arrive one after another in time order; a burst may go on in the next batch."""
+    burst, state, made = None, None, 0
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        names = [pdf[k].to_numpy() for k in BURST]
+        changes = np.flatnonzero(np.logical_or(*[n[1:] != n[:-1] for n in names])) + 1
+        x, y, t = (pdf[c].to_numpy(dtype="float64") for c in ("x", "y", "us"))
+        take, points, numbers = [], [], []
+        for a, b in zip([0, *changes], [*changes, len(pdf)], strict=True):
+            here = tuple(n[a] for n in names)
+            if here != burst:
+                burst, state, made = here, None, 0
+            found, state = _walk(x[a:b], y[a:b], t[a:b], length, state)
+            take += [a] * len(found)
+            points += found
+            numbers += range(made + 1, made + 1 + len(found))
+            made += len(found)
+        if points:
+            yield _placed(pdf, take, points, numbers)
+
+
 def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
     """Rebuild each burst with a constant step length; times are interpolated, the rest shorter than a step is left.
 
@@ -217,72 +262,48 @@ def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
     """
     if length <= 0:
         raise ValueError("length must be positive")
-    keys = ["pgtraj_name", "burst_name"]
+    keys = list(BURST)
     laid = ordered(omit_missing(relocations).filter(F.col("us").isNotNull()))
-    schema = relocations.schema
-    state_columns = ["_cx", "_cy", "_px", "_py", "_pt"]
-    state_schema = "pgtraj_name string, burst_name string, _made long, " + ", ".join(f"{c} double" for c in state_columns)
-
-    def rebuilt(pdf: pd.DataFrame, points: list, made: int) -> pd.DataFrame:
-        out = pd.DataFrame({c: [pdf[c].iloc[0]] * len(points) for c in schema.names})
-        for k, name in enumerate(("x", "y")):
-            out[name] = np.array([p[k] for p in points], dtype="float64")
-        out["us"] = np.array([round(p[2]) for p in points], dtype="int64")
-        out["rid"] = np.arange(made + 1, made + 1 + len(points), dtype="int64")
-        return out[schema.names]
-
-    def path(pdf: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
-        pdf = pdf.sort_values(["us", "rid"], kind="stable")
-        return pdf, tuple(pdf[c].to_numpy(dtype="float64") for c in ("x", "y", "us"))
-
-    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, (x, y, t) = path(pdf)
-        return rebuilt(pdf, _walk(x, y, t, length, None)[0], 0)
-
+    columns, schema = relocations.columns, _nullable(relocations.schema)
+    small = laid.df.filter(F.col(SEGMENT) == 0) if laid.split else laid.df
+    small = small.select(*columns).repartition(*keys).sortWithinPartitions(*keys, "us", "rid")
+    walk_small = small.mapInPandas(lambda batches: _walk_batches(batches, length), schema)
     if not laid.split:
-        return laid.rows().select(*relocations.columns).groupBy(*keys).applyInPandas(whole, schema)
+        return walk_small
 
-    small = laid.df.filter(F.col(SEGMENT) == 0).select(*relocations.columns)
-    done = [small.groupBy(*keys).applyInPandas(whole, schema)]
     large = laid.df.filter(F.col(SEGMENT) > 0)
     spark = relocations.sparkSession
     in_order = Window.partitionBy(*keys).orderBy(SEGMENT)
     ranks = large.select(*laid.groups).distinct().withColumn("_turn", F.row_number().over(in_order))
     ranks = settings.write_through(ranks, "turns")
     turns = ranks.agg(F.max("_turn")).first()[0]
+    state_schema = T.StructType([T.StructField(k, T.StringType()) for k in keys] + STATE.fields)
     states = spark.createDataFrame([], state_schema)
+    step_schema = T.StructType([*schema.fields, T.StructField("_is_state", T.BooleanType()), *STATE.fields])
 
     def one_segment(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, (x, y, t) = path(pdf)
-        known = not np.isnan(pdf["_cx"].iloc[0])
-        state = tuple(float(pdf[c].iloc[0]) for c in state_columns) if known else None
-        made = int(pdf["_made"].iloc[0]) if known else 0
+        pdf = pdf.sort_values(["us", "rid"], kind="stable", ignore_index=True)
+        first = pdf.iloc[0]
+        begun = pd.notna(first["_made"])
+        made = int(first["_made"]) if begun else 0
+        state = tuple(float(first[c]) for c in STATE.names[1:]) if begun else None
+        x, y, t = (pdf[c].to_numpy(dtype="float64") for c in ("x", "y", "us"))
         points, state = _walk(x, y, t, length, state)
-        out = rebuilt(pdf, points, made) if points else rebuilt(pdf.iloc[:1], [], made)
-        last = pd.DataFrame([[None] * len(schema.names)], columns=schema.names)
-        last["pgtraj_name"], last["burst_name"] = pdf["pgtraj_name"].iloc[0], pdf["burst_name"].iloc[0]
-        out = pd.concat([out.assign(_state=False), last.assign(_state=True)], ignore_index=True)
-        out["_made"] = made + len(points)
-        for name, value in zip(state_columns, state, strict=True):
+        out = _placed(pdf[columns], [0] * len(points), points, range(made + 1, made + 1 + len(points)))
+        out = pd.concat([out, pdf[columns].iloc[:1]], ignore_index=True)
+        out["_is_state"] = [False] * len(points) + [True]
+        for name, value in zip(STATE.names, (made + len(points), *state), strict=True):
             out[name] = value
-        for f in schema.fields:
-            if f.dataType.simpleString() in ("bigint", "int"):
-                out[f.name] = out[f.name].astype("Int64")
         return out
 
-    step_schema = T.StructType(list(schema.fields)).add("_state", "boolean").add("_made", "long")
-    for name in state_columns:
-        step_schema = step_schema.add(name, "double")
+    folder = settings.new_folder(spark, "walk")
     for turn in range(1, turns + 1):
         now = large.join(ranks.filter(F.col("_turn") == turn).select(*laid.groups), laid.groups, "left_semi")
-        now = now.select(*relocations.columns).join(settings.broadcast_if(states, laid.segments), keys, "left")
-        made = settings.write_through(now.groupBy(*keys).applyInPandas(one_segment, step_schema), "walk")
-        done.append(made.filter(~F.col("_state")).select(*relocations.columns))
-        states = made.filter("_state").select(*keys, "_made", *state_columns)
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        now = now.select(*columns).join(settings.broadcast_if(states, laid.segments), keys, "left")
+        now.groupBy(*keys).applyInPandas(one_segment, step_schema).write.parquet(f"{folder}/turn={turn}")
+        states = spark.read.schema(step_schema).parquet(f"{folder}/turn={turn}").filter("_is_state").select(*state_schema.names)
+    walked = spark.read.schema(step_schema).parquet(folder).filter(~F.col("_is_state")).select(*columns)
+    return walk_small.unionByName(walked)
 
 
 __all__ = [

@@ -59,9 +59,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder."""
+    return f"{shared_folder(spark)}/trajspark/{label}-{uuid.uuid4().hex}"
+
+
 def write_through(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/trajspark/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
