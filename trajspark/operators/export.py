@@ -9,12 +9,9 @@ from trajspark import settings
 from trajspark.functions import times
 from trajspark.operators.ids import burst_sizes
 from trajspark.operators.infolocs import info_columns
-from trajspark.operators.steps import BURST, TYPE_I, TYPE_II
+from trajspark.operators.steps import TYPE_I, TYPE_II
 from trajspark.plans.segments import Laid
 
-LONG_COLUMNS = ("x", "y", "date", "dx", "dy", "dist", "dt", "R2n", "abs.angle", "rel.angle", "id", "burst")
-
-
 def trajectory_kind(df: DataFrame) -> tuple[int, bool]:
     """Type (I when no row has a time) and whether every row has a row name; one counting pass."""
     named = F.count("r_rowname") if "r_rowname" in df.columns else F.lit(0)
@@ -55,7 +52,7 @@ def export_long(
     if infolocs is not None and info_columns(infolocs):
         df = df.join(infolocs, "step_id", "left")
         columns += info_columns(infolocs)
-    order = ["burst_id"] if "burst_id" in df.columns else []
+    order = [F.col("burst_id").alias("burst_order")] if "burst_id" in df.columns else []
     return df.select("pgtraj_name", *order, "seq", *columns)
 
 
@@ -70,7 +67,7 @@ def nest(long: DataFrame, columns, max_rows: int | None = None) -> DataFrame:
     typed = F.col("date").isNotNull() if "date" in long.columns else F.lit(False)
     numbered = dict(long.dtypes).get("date") in ("int", "bigint")
     rows = F.array_sort(F.collect_list(F.struct("seq", *[F.col(f"`{c}`") for c in columns])))
-    order = [F.min("burst_id").alias("burst_order")] if "burst_id" in long.columns else []
+    order = [F.min("burst_order").alias("burst_order")] if "burst_order" in long.columns else []
     return long.groupBy("pgtraj_name", "id", "burst", part).agg(
         *order,
         rows.alias("rows"),
@@ -84,6 +81,3 @@ def unnest(nested: DataFrame) -> DataFrame:
     names = nested.schema["rows"].dataType.elementType.names
     rows = nested.select("pgtraj_name", "id", "burst", F.explode("rows").alias("_row"))
     return rows.select("pgtraj_name", "id", "burst", *[F.col("_row")[n].alias(n) for n in names])
-
-
-__all__ = ["BURST", "LONG_COLUMNS", "export_long", "nest", "trajectory_kind", "unnest"]

@@ -20,9 +20,9 @@ from trajspark.plans.segments import Laid, Previous, RowNumber, RunningSum, lay_
 
 
 def _collect(df: DataFrame, keys: Sequence[str], max_points: int) -> DataFrame:
-    """Gather numbered vertices (seq, x, y, _way) into parts."""
-    part = F.floor((F.col("seq") - 1) / max_points).cast("long").alias("part")
-    vertices = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
+    """Gather numbered vertices (_n, x, y, _way) into parts."""
+    part = F.floor((F.col("_n") - 1) / max_points).cast("long").alias("part")
+    vertices = F.array_sort(F.collect_list(F.struct("_n", "x", "y")))
     return df.groupBy(*keys, part).agg(
         F.transform(vertices, lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y"))).alias("line"),
         F.count(F.lit(1)).alias("n_points"),
@@ -33,52 +33,53 @@ def _collect(df: DataFrame, keys: Sequence[str], max_points: int) -> DataFrame:
 def point_lines(laid: Laid, names: Sequence[str], max_points: int | None = None) -> DataFrame:
     """Line through the known points of each group; missing fixes are skipped."""
     max_points = max_points or settings.line_points(laid.df.sparkSession)
-    laid = with_prefix(laid, seq=RowNumber(), _last=Previous(F.struct("x", "y")))
+    laid = with_prefix(laid, _n=RowNumber(), _last=Previous(F.struct("x", "y")))
     way = planar.length(F.col("x") - F.col("_last.x"), F.col("y") - F.col("_last.y"))
     return _collect(laid.df.withColumn("_way", way), names, max_points)
 
 
-def burst_lines(relocations: DataFrame, kind: int = 2) -> DataFrame:
-    """Burst summary with the line of each burst, null when no fix is known.
+def burst_lines(relocations: DataFrame, kind: int = 2, order: Sequence[str] | None = None) -> DataFrame:
+    """Burst summary with the line of each burst, null when no fix is known. ``order`` names an order already stored.
 
     The summary row is repeated per part before the join, so the join key is as even as the parts are.
     """
     max_points = settings.line_points(relocations.sparkSession)
     known = relocations.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    parts = point_lines(ordered(known, kind), ["pgtraj_name", "burst_name"], max_points)
+    laid = lay_out(known, BURST, order) if order else ordered(known, kind)
+    parts = point_lines(laid, BURST, max_points)
     summary = burst_summary(relocations)
     last = F.greatest(F.lit(0), F.ceil((F.col("num_relocations") - F.col("num_na")) / max_points) - 1).cast("long")
     summary = summary.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     return summary.join(parts, [*BURST, "part"], "left")
 
 
-def step_lines(view: DataFrame, keys: Sequence[str], max_points: int | None = None, within: Laid | None = None) -> DataFrame:
+def step_lines(view: DataFrame, keys: Sequence[str], max_points: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
     """One line per key from step lines, in step order.
 
     ``view`` has step_id and step_geom (two vertices). A step adds its end, and its start too unless the step
-    before ended there.
+    before ended there. ``at_most`` is a cheap table with as many rows per key, for a view that is not written yet.
     """
     max_points = max_points or settings.line_points(view.sparkSession)
     known = view.filter(F.col("step_geom").isNotNull())
     known = known.select(*keys, "step_id", F.col("step_geom")[0].alias("_a"), F.col("step_geom")[1].alias("_b"))
-    laid = with_prefix(lay_out(known, keys, ("step_id",), within), _last=Previous(F.col("_b")))
+    laid = with_prefix(lay_out(known, keys, ("step_id",), at_most=at_most), _last=Previous(F.col("_b")))
     joined = F.coalesce(F.col("_last") == F.col("_a"), F.lit(False))
     laid = laid.on(laid.df.withColumn("_adds", F.when(joined, 1).otherwise(2)))
     laid = with_prefix(laid, _upto=RunningSum(F.col("_adds")))
 
     inside = planar.length(F.col("_b.x") - F.col("_a.x"), F.col("_b.y") - F.col("_a.y"))
     jump = planar.length(F.col("_a.x") - F.col("_last.x"), F.col("_a.y") - F.col("_last.y"))
-    start = F.struct((F.col("_upto") - 1).alias("seq"), F.col("_a.x").alias("x"), F.col("_a.y").alias("y"), jump.alias("way"))
-    end = F.struct(F.col("_upto").alias("seq"), F.col("_b.x").alias("x"), F.col("_b.y").alias("y"), inside.alias("way"))
+    start = F.struct((F.col("_upto") - 1).alias("n"), F.col("_a.x").alias("x"), F.col("_a.y").alias("y"), jump.alias("way"))
+    end = F.struct(F.col("_upto").alias("n"), F.col("_b.x").alias("x"), F.col("_b.y").alias("y"), inside.alias("way"))
     vertices = F.when(F.col("_adds") == 1, F.array(end)).otherwise(F.array(start, end))
     df = laid.df.select(*keys, F.explode(vertices).alias("_v"))
-    df = df.select(*keys, "_v.seq", "_v.x", "_v.y", F.col("_v.way").alias("_way"))
+    df = df.select(*keys, F.col("_v.n").alias("_n"), "_v.x", "_v.y", F.col("_v.way").alias("_way"))
     return _collect(df, keys, max_points)
 
 
-def animal_lines(view: DataFrame) -> DataFrame:
+def animal_lines(view: DataFrame, at_most: DataFrame | None = None) -> DataFrame:
     """The whole path of each animal."""
-    return step_lines(view, ["pgtraj_name", "animal_name"])
+    return step_lines(view, ["pgtraj_name", "animal_name"], at_most=at_most)
 
 
 def line_facts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,18 +5,15 @@ All operators take and return bound relocations; parameters are computed again f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark import settings
+from trajspark.functions.walk import STATE, walkers
 from trajspark.operators.parameters import FILL_BURST, step_parameters
 from trajspark.operators.steps import BURST, TYPE_II, build_steps, ordered
-from trajspark.plans.segments import SEGMENT, FirstRow, Laid, Previous, RowNumber, RunningSum, with_prefix, with_strict_next
+from trajspark.plans.segments import SEGMENT, FirstRow, Laid, Previous, RowNumber, RunningSum, with_prefix
 from trajspark.sources.tables import check_names
 
 STRETCH = 10_000
@@ -170,87 +167,8 @@ def to_type1(relocations: DataFrame) -> DataFrame:
 # -- constant step length ---------------------------------------------------------------------------------
 
 
-def _walk(x, y, t, length: float, state: tuple | None) -> tuple[list, tuple]:
-    """Points at a constant distance along a path.
-
-    From the current point, the path is followed to the first place ``length`` away; that place is the next
-    point. ``state`` is (current x, current y, last vertex x, y, t) and lets a path go on in a later call.
-    """
-    out: list[tuple[float, float, float]] = []
-    start = 0
-    if state is None:
-        out.append((x[0], y[0], t[0]))
-        state = (x[0], y[0], x[0], y[0], t[0])
-        start = 1
-    cx, cy, px, py, pt = state
-    i, n, r2 = start, len(x), length * length
-    while i < n:
-        # skip vertices inside the circle, in growing blocks
-        block = 16
-        while i < n:
-            away = (x[i : i + block] - cx) ** 2 + (y[i : i + block] - cy) ** 2 > r2
-            k = int(np.argmax(away)) if away.any() else len(away)
-            if k > 0:
-                px, py, pt = x[i + k - 1], y[i + k - 1], t[i + k - 1]
-                i += k
-            if k < len(away):
-                break
-            block = min(block * 2, 4096)
-        if i >= n:
-            break
-        ux, uy = x[i] - px, y[i] - py
-        wx, wy = px - cx, py - cy
-        a, b, c = ux * ux + uy * uy, ux * wx + uy * wy, wx * wx + wy * wy - r2
-        s = (-b + np.sqrt(max(b * b - a * c, 0.0))) / a
-        s = min(max(s, 0.0), 1.0)
-        cx, cy = px + s * ux, py + s * uy
-        pt = pt + s * (t[i] - pt)
-        px, py = cx, cy
-        out.append((cx, cy, pt))
-    return out, (cx, cy, px, py, pt)
-
-
-# position of a walk: points made, current point, last vertex with its time
-STATE = T.StructType(
-    [T.StructField("_made", T.LongType())] + [T.StructField(c, T.DoubleType()) for c in ("_cx", "_cy", "_px", "_py", "_pt")]
-)
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-
-
-def _placed(pdf: pd.DataFrame, take: list[int], points: list, numbers) -> pd.DataFrame:
-    """New points with the other columns of the rows they are taken from."""
-    out = pdf.iloc[take].reset_index(drop=True)
-    at = np.array(points, dtype="float64").reshape(-1, 3)
-    out["x"], out["y"] = at[:, 0], at[:, 1]
-    out["us"] = np.rint(at[:, 2]).astype("int64")
-    out["rid"] = np.fromiter(numbers, dtype="int64", count=len(points))
-    return out
-
-
-def _walk_batches(batches: Iterator[pd.DataFrame], length: float) -> Iterator[pd.DataFrame]:
-    """Walk bursts that arrive one after another in time order; a burst may go on in the next batch."""
-    burst, state, made = None, None, 0
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        names = [pdf[k].to_numpy() for k in BURST]
-        changes = np.flatnonzero(np.logical_or(*[n[1:] != n[:-1] for n in names])) + 1
-        x, y, t = (pdf[c].to_numpy(dtype="float64") for c in ("x", "y", "us"))
-        take, points, numbers = [], [], []
-        for a, b in zip([0, *changes], [*changes, len(pdf)], strict=True):
-            here = tuple(n[a] for n in names)
-            if here != burst:
-                burst, state, made = here, None, 0
-            found, state = _walk(x[a:b], y[a:b], t[a:b], length, state)
-            take += [a] * len(found)
-            points += found
-            numbers += range(made + 1, made + 1 + len(found))
-            made += len(found)
-        if points:
-            yield _placed(pdf, take, points, numbers)
+def _nullable(schema: T.StructType) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType) for f in schema.fields]
 
 
 def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
@@ -264,10 +182,12 @@ def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
         raise ValueError("length must be positive")
     keys = list(BURST)
     laid = ordered(omit_missing(relocations).filter(F.col("us").isNotNull()))
-    columns, schema = relocations.columns, _nullable(relocations.schema)
+    columns, fields = relocations.columns, _nullable(relocations.schema)
+    whole_bursts, one_segment = walkers(length, BURST, columns)
     small = laid.df.filter(F.col(SEGMENT) == 0) if laid.split else laid.df
-    small = small.select(*columns).repartition(*keys).sortWithinPartitions(*keys, "us", "rid")
-    walk_small = small.mapInPandas(lambda batches: _walk_batches(batches, length), schema)
+    tasks = int(relocations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = small.select(*columns).repartition(tasks, *keys).sortWithinPartitions(*keys, "us", "rid")
+    walk_small = small.mapInPandas(whole_bursts, T.StructType(fields))
     if not laid.split:
         return walk_small
 
@@ -277,24 +197,10 @@ def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
     ranks = large.select(*laid.groups).distinct().withColumn("_turn", F.row_number().over(in_order))
     ranks = settings.write_through(ranks, "turns")
     turns = ranks.agg(F.max("_turn")).first()[0]
-    state_schema = T.StructType([T.StructField(k, T.StringType()) for k in keys] + STATE.fields)
+    state_fields = [T.StructField(c, T.LongType() if c == "_made" else T.DoubleType()) for c in STATE]
+    state_schema = T.StructType([*[T.StructField(k, T.StringType()) for k in keys], *state_fields])
     states = spark.createDataFrame([], state_schema)
-    step_schema = T.StructType([*schema.fields, T.StructField("_is_state", T.BooleanType()), *STATE.fields])
-
-    def one_segment(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["us", "rid"], kind="stable", ignore_index=True)
-        first = pdf.iloc[0]
-        begun = pd.notna(first["_made"])
-        made = int(first["_made"]) if begun else 0
-        state = tuple(float(first[c]) for c in STATE.names[1:]) if begun else None
-        x, y, t = (pdf[c].to_numpy(dtype="float64") for c in ("x", "y", "us"))
-        points, state = _walk(x, y, t, length, state)
-        out = _placed(pdf[columns], [0] * len(points), points, range(made + 1, made + 1 + len(points)))
-        out = pd.concat([out, pdf[columns].iloc[:1]], ignore_index=True)
-        out["_is_state"] = [False] * len(points) + [True]
-        for name, value in zip(STATE.names, (made + len(points), *state), strict=True):
-            out[name] = value
-        return out
+    step_schema = T.StructType([*fields, T.StructField("_is_state", T.BooleanType()), *state_fields])
 
     folder = settings.new_folder(spark, "walk")
     for turn in range(1, turns + 1):
@@ -304,9 +210,3 @@ def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
         states = spark.read.schema(step_schema).parquet(f"{folder}/turn={turn}").filter("_is_state").select(*state_schema.names)
     walked = spark.read.schema(step_schema).parquet(folder).filter(~F.col("_is_state")).select(*columns)
     return walk_small.unionByName(walked)
-
-
-__all__ = [
-    "BURST", "bind", "combine", "cut", "off_grid", "omit_missing", "recompute", "redistribute_space", "redistribute_time",
-    "rename_bursts", "set_na", "set_t0", "subsample", "subset", "to_type1", "with_strict_next",
-]

@@ -67,15 +67,16 @@ def bursts_by_name(bursts: DataFrame, names, pgtraj: str | None = None) -> DataF
     return found if pgtraj is None else found.filter(F.col("pgtraj_name") == pgtraj)
 
 
-def median_duration(steps: DataFrame, keys=("pgtraj_name",)) -> DataFrame:
+def median_duration(steps: DataFrame, keys=("pgtraj_name",), at_most: DataFrame | None = None) -> DataFrame:
     """Exact continuous median of dt in seconds per key.
 
     Durations are first reduced to (value, count); the two middle ranks are then read off running counts, so
-    memory does not grow with the number of steps or of different durations.
+    memory does not grow with the number of steps or of different durations. ``at_most`` is a cheap table with as
+    many rows per key (see ``lay_out``), by default the key columns of ``steps``.
     """
     counts = steps.filter(F.col("dt_us").isNotNull()).groupBy(*keys, "dt_us").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    laid = with_prefix(lay_out(counts, keys, ("dt_us",)), _upto=RunningSum(F.col("_n")))
+    laid = with_prefix(lay_out(counts, keys, ("dt_us",), at_most=steps.select(*keys) if at_most is None else at_most), _upto=RunningSum(F.col("_n")))
     laid = laid.join_groups(total)
     low, high = F.floor((F.col("_total") - 1) / 2), F.ceil((F.col("_total") - 1) / 2)
 

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajspark.functions.times import SECOND, wall_time
+from trajspark.functions.times import wall_time
 from trajspark.operators.lines import step_lines
 
 STEP_COLUMNS = ("step_id", "step_geom", "date", "dx", "dy", "dist", "dt", "abs_angle", "rel_angle")
@@ -25,9 +25,9 @@ def window_steps(view: DataFrame, time: datetime, interval: timedelta, info_cols
     return found.select(*STEP_COLUMNS, *info_cols, *NAME_COLUMNS)
 
 
-def window_lines(view: DataFrame, time: datetime, interval: timedelta) -> DataFrame:
+def window_lines(view: DataFrame, time: datetime, interval: timedelta, at_most: DataFrame | None = None) -> DataFrame:
     """One line per burst and animal inside the window."""
-    return step_lines(in_window(view, time, interval), ["pgtraj_name", "burst_name", "animal_name"])
+    return step_lines(in_window(view, time, interval), ["pgtraj_name", "burst_name", "animal_name"], at_most=at_most)
 
 
 def page(view: DataFrame, start: datetime, interval: timedelta, increment: timedelta, number: int, info_cols=()) -> DataFrame:
@@ -67,8 +67,3 @@ def pages_summary(view: DataFrame, start: datetime, width: timedelta, slide: tim
     return bursts.groupBy("pgtraj_name", "page", "page_start", "page_end").agg(
         F.sum("_n").alias("num_steps"), F.count(F.lit(1)).alias("num_bursts"), F.sum("_dist").alias("dist")
     )
-
-
-__all__ = [
-    "NAME_COLUMNS", "SECOND", "STEP_COLUMNS", "in_window", "page", "pages_summary", "sliding_windows", "window_lines", "window_steps",
-]

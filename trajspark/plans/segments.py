@@ -70,12 +70,14 @@ def lay_out(
     order: Sequence[str],
     within: Laid | None = None,
     count_on: DataFrame | None = None,
+    at_most: DataFrame | None = None,
 ) -> Laid:
     """Choose a layout for ordered work on ``df``.
 
     ``order`` names non-null columns that give a total order inside a group. ``within`` is an earlier layout
     whose groups contain the groups of ``df``: when it needed no split, no second count is made. ``count_on`` is
-    a cheaper table with the same number of rows per group, counted instead of ``df``.
+    a cheaper table with the same number of rows per group, counted instead of ``df``. ``at_most`` is a cheaper
+    table with at least as many rows per group: while it has no large group, ``df`` is not counted at all.
     """
     keys, order = tuple(keys), tuple(order)
     spark = df.sparkSession
@@ -83,6 +85,10 @@ def lay_out(
     plain = Laid(df.drop(SEGMENT), keys, order)
     if within is not None and not within.split:
         return plain
+    if at_most is not None and keys:
+        if not _large_groups(at_most, keys, limit).limit(1).collect():
+            return plain
+        plain = plain.on(settings.write_through(plain.df, "rows"))
     df = plain.df
     counted = df if count_on is None else count_on
 
@@ -93,8 +99,7 @@ def lay_out(
         frozen, n = _freeze(df, keys, order, total, limit)
         return Laid(frozen, keys, order, True, n, total)
 
-    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    hot = sizes.limit(MAX_HOT_GROUPS + 1).collect()
+    hot = _large_groups(counted, keys, limit).limit(MAX_HOT_GROUPS + 1).collect()
     if not hot:
         return plain
     if len(hot) > MAX_HOT_GROUPS:
@@ -110,6 +115,10 @@ def lay_out(
     return Laid(small.unionByName(frozen), keys, order, True, n + len(hot))
 
 
+def _large_groups(df: DataFrame, keys: tuple, limit: int) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+
+
 def _freeze(df: DataFrame, keys: tuple, order: tuple, rows: int, limit: int) -> tuple[DataFrame, int]:
     """Write ``df`` in ordered ranges of about half the limit, numbered from 1."""
     n = max(2, math.ceil(2 * rows / limit))
@@ -271,16 +280,12 @@ def with_strict_next(laid: Laid, at: str, payload: Sequence[str], name: str = "_
         return laid.on(df)
 
     # Beyond a segment, the successor of its latest time is either the first row of a later segment or, when
-    # that segment begins inside the same tie, the successor of that segment's first row.
-    ends = (
-        df.filter((F.col(SEGMENT) > 0) & F.col(at).isNotNull())
-        .groupBy(*laid.groups)
-        .agg(
-            F.min(row).alias("_first"),
-            F.min_by(F.col(name), laid.position()).alias("_second"),
-            F.max(at).alias("_latest"),
-        )
-    )
+    # that segment begins inside the same tie, the first later row in it. Both are plain aggregates of the rows.
+    timed = laid.df.filter((F.col(SEGMENT) > 0) & F.col(at).isNotNull())
+    ends = timed.groupBy(*laid.groups).agg(F.min(row).alias("_first"), F.min(at).alias("_earliest"), F.max(at).alias("_latest"))
+    later = timed.join(settings.broadcast_if(ends.select(*laid.groups, "_earliest"), laid.segments), laid.groups)
+    later = later.filter(F.col(at) > F.col("_earliest")).groupBy(*laid.groups).agg(F.min(row).alias("_second"))
+    ends = ends.join(later, laid.groups, "left")
     rows_in = ends.select(*laid.keys, F.lit(None).cast("int").alias(SEGMENT), F.explode(F.array("_first", "_second")).alias("_row"))
     rows_in = rows_in.filter(F.col("_row").isNotNull()).withColumn("_at", F.col(f"_row.{at}"))
     asks = ends.select(*laid.groups, F.lit(None).cast(rows_in.schema["_row"].dataType).alias("_row"), F.col("_latest").alias("_at"))

@@ -8,8 +8,10 @@ never see a half-written trajectory, and an overwrite replaces whole partitions.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +19,13 @@ from pyspark.sql import types as T
 
 from trajspark import settings
 from trajspark.functions import times
-from trajspark.functions.reproject import projection_text, srid_of
+from trajspark.functions.reproject import reproject_line, srid_of
 from trajspark.operators import export as exporting
 from trajspark.operators import infolocs as info
 from trajspark.operators import lines, summary, windows
 from trajspark.operators.ids import Model, with_step_ids
 from trajspark.operators.parameters import FILL_PGTRAJ, step_parameters, stored_parameters
-from trajspark.operators.steps import BURST, TYPE_I, TYPE_II, build_steps, computed_steps, step_geometry
+from trajspark.operators.steps import BURST, LAST, TYPE_I, TYPE_II, build_steps, computed_steps, step_geometry
 from trajspark.operators.views import step_view
 from trajspark.plans.segments import Laid, RowNumber, lay_out, with_prefix
 from trajspark.sources import tables
@@ -58,7 +60,7 @@ class TrajectoryStore:
         return f"`{self.schema}`.`{table}`"
 
     def _has(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.schema}.{table}")
+        return self.spark.catalog.tableExists(self._name(table))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._name(name))
@@ -80,13 +82,24 @@ class TrajectoryStore:
                 raise ValueError(f"table {name} of schema {self.schema} has other columns than expected")
         return self
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        """Replace the partitions of the pgtrajs in ``df``; the job either replaces them or leaves them alone."""
+    def _write(self, df: DataFrame, name: str, names: Sequence[str], replace: bool) -> None:
+        """Write the partitions of the named pgtrajs.
+
+        With ``replace`` the write job swaps whole partitions when it commits, or leaves the old ones. Otherwise only
+        orphans of a dropped pgtraj can be in the way; they are removed first and the rows are appended.
+        """
+        if not replace:
+            for pgtraj in names:
+                self._drop_partition(name, pgtraj)
         columns = self.table(name).columns
-        for c in columns:
-            if c not in df.columns:
-                df = df.withColumn(c, F.lit(None))
-        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self._name(name))
+        df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns})
+        mode = "spark.sql.sources.partitionOverwriteMode"  # a table insert takes it from the session only
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            df.select(*columns).write.insertInto(self._name(name), overwrite=replace)
+        finally:
+            self.spark.conf.set(mode, before)
 
     def pgtrajs(self) -> list[str]:
         return sorted(r[0] for r in self.table("pgtraj").select("pgtraj_name").collect())
@@ -103,21 +116,24 @@ class TrajectoryStore:
 
     # -- writing --------------------------------------------------------------------------------------
 
-    def _save(self, steps: DataFrame, described: DataFrame, source: str, kind: int, info_cols=None) -> None:
+    def _save(
+        self, steps: DataFrame, described: DataFrame, source: str, kind: int, info_cols=None, replace: bool = False
+    ) -> None:
+        """Steps first, then bursts, and last the pgtraj row that makes them visible."""
         last_step, last_burst = self._next_ids()
         shifted = {c: F.col(c) + last_step for c in ("step_id", "relocation_id_1", "relocation_id_2")}
         steps = steps.withColumns(shifted).withColumn("burst_id", F.col("burst_id") + last_burst)
-        self._write(steps, "step")
         names = [r[0] for r in described.select("pgtraj_name").collect()]
+        self._write(steps, "step", names, replace)
         stored = self.table("step").filter(F.col("pgtraj_name").isin(names))
         bursts = stored.groupBy("pgtraj_name", "burst_id", "burst_name", "animal_name").agg(F.lit(None).alias("info_cols"))
         if info_cols is not None:
             bursts = bursts.withColumn("info_cols", info_cols)
-        self._write(bursts, "animal_burst")
+        self._write(bursts, "animal_burst", names, replace)
         described = described.withColumns(
             {"insert_timestamp": F.current_timestamp(), "source": F.lit(source), "type_i": F.lit(kind == TYPE_I)}
         )
-        self._write(described, "pgtraj")
+        self._write(described, "pgtraj", names, replace)
 
     def build(
         self,
@@ -185,28 +201,25 @@ class TrajectoryStore:
         exists = pgtraj in self.pgtrajs()
         if exists and not overwrite:
             raise ValueError(f"the pgtraj {pgtraj!r} already exists in schema {self.schema}")
-        df = self._plain(trajectory, type_i).withColumn("pgtraj_name", F.lit(pgtraj))
-        tables.check_names(
-            df.select("pgtraj_name", "animal_name", "burst_name").withColumns(
-                {c: F.lit(None).cast("string") for c in ("proj4string", "time_zone", "note")}
-            )
+        df = self._plain(trajectory, time_zone, type_i).withColumn("pgtraj_name", F.lit(pgtraj))
+        described = {c: F.lit(None).cast("string") for c in ("proj4string", "time_zone", "note")}
+        tables.check_names(df.select("pgtraj_name", "animal_name", "burst_name").withColumns(described))
+        steps = computed_steps(df).withColumns(
+            {
+                "srid": F.lit(srid_of(proj4string)),
+                "_when": F.coalesce("us", F.lit(LAST)),
+                "_place": F.coalesce("seq", F.col("r_rowname").try_cast("long"), F.lit(0).cast("long")),
+            }
         )
-        steps = computed_steps(df).withColumn("srid", F.lit(srid_of(proj4string)))
-        if type_i:
-            steps = steps.withColumns({c: F.lit(None).cast("long") for c in ("us", "us2", "dt_us")})
-        order = ("_pos", "r_rowname") if type_i else ("_pos", "us", "r_rowname")
-        steps = steps.withColumns({"us": F.col("us"), "_pos": F.coalesce("seq", F.lit(0).cast("long"))})
-        laid = with_prefix(lay_out(steps.drop("seq"), BURST, order), seq=RowNumber())
-        if "burst_order" in df.columns:
-            laid = self._ordered_ids(laid)
-        else:
-            laid = with_step_ids(laid)
+        laid = with_prefix(lay_out(steps.drop("seq"), BURST, ("_when", "_place", "r_rowname")), seq=RowNumber())
+        laid = self._ids_in_given_order(laid) if "burst_order" in df.columns else with_step_ids(laid)
         rows = stored_parameters(laid.rows()).withColumns(
             {"relocation_id_1": F.col("step_id") * 2 - 1, "relocation_id_2": F.col("step_id") * 2, "rid": F.lit(None).cast("long")}
         ).withColumn("rid2", F.col("relocation_id_2"))
         if exists:
             rows = settings.write_through(rows, "import")
-            self.drop(pgtraj, full_clean=False)
+            infolocs = None if infolocs is None else settings.write_through(infolocs, "import")
+            self._drop_tables(pgtraj)
         described = self.spark.createDataFrame(
             [(pgtraj, proj4string, time_zone, note, srid_of(proj4string))],
             "pgtraj_name string, proj4string string, time_zone string, note string, srid int",
@@ -215,37 +228,39 @@ class TrajectoryStore:
         if infolocs is not None:
             columns = infolocs.drop("r_rowname", "burst_name")
             types = {**info.default_types(columns, time_zone or "UTC"), **(info_types or {})}
-        self._save(rows, described, TRAJECTORY_SOURCE, TYPE_I if type_i else TYPE_II, info.registry(types) if types else None)
+        self._save(rows, described, TRAJECTORY_SOURCE, TYPE_I if type_i else TYPE_II, info.registry(types) if types else None, exists)
         if infolocs is not None:
             self._write_info(pgtraj, info.attach_from_trajectory(self._steps(pgtraj), infolocs))
 
-    def _ordered_ids(self, laid: Laid) -> Laid:
-        """Step ids in the given burst order instead of name order."""
-        named = laid.df.withColumns({"_name": F.col("burst_name"), "burst_name": F.format_string("%020d", "burst_order")})
-        back = with_step_ids(Laid(named, laid.keys, laid.order, laid.split, laid.segments))
-        return back.on(back.df.withColumn("burst_name", F.col("_name")).drop("_name"))
+    def _ids_in_given_order(self, laid: Laid) -> Laid:
+        """Step ids with bursts in their given order: the zero-padded order stands in for the name while numbering."""
+        named = laid.df.withColumns({"_name": F.col("burst_name"), "burst_name": F.format_string("%020d", F.col("burst_order"))})
+        numbered = with_step_ids(laid.on(named))
+        return numbered.on(numbered.df.withColumn("burst_name", F.col("_name")).drop("_name"))
 
     @staticmethod
-    def _plain(df: DataFrame, type_i: bool) -> DataFrame:
-        """Exported column names to stored ones."""
+    def _plain(df: DataFrame, zone: str | None, type_i: bool) -> DataFrame:
+        """Exported column names to stored ones. Dates without a zone of their own are read in ``zone``."""
         renames = {
             "R2n": "r2n", "abs.angle": "abs_angle", "rel.angle": "rel_angle", "id": "animal_name", "burst": "burst_name",
             "r.row.names": "r_rowname",
         }
-        have = {c: renames.get(c, c) for c in df.columns}
-        df = df.select(*[F.col(f"`{c}`").alias(n) for c, n in have.items()])
-        if "us" not in df.columns:
-            df = df.withColumn("us", F.lit(None).cast("long") if type_i else times.micros(df, "date"))
-        if "r_rowname" not in df.columns:
-            df = df.withColumn("r_rowname", F.lit(None).cast("string"))
-        if "seq" not in df.columns:
-            df = df.withColumn("seq", F.lit(None).cast("long"))
-        return df.withColumn("r_rowname", F.col("r_rowname").cast("string"))
+        df = df.select(*[F.col(f"`{c}`").alias(renames.get(c, c)) for c in df.columns])
+        if type_i:
+            df = df.withColumns({"us": F.lit(None).cast("long"), "dt": F.lit(None).cast("double")})
+        elif "us" not in df.columns:
+            if zone and isinstance(df.schema["date"].dataType, T.TimestampNTZType):
+                df = df.withColumn("date", F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("date")))
+            df = df.withColumn("us", times.micros(df, "date"))
+        for name, kind in (("r_rowname", "string"), ("seq", "long")):
+            df = df.withColumn(name, F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind))
+        return df
 
     def _write_info(self, pgtraj: str, rows: DataFrame) -> None:
-        repeated = rows.groupBy("step_id").count().filter("count > 1").limit(1).collect()
-        if repeated:
-            raise ValueError(f"infolocs of {pgtraj!r} have several rows for one step")
+        """A failure here only warns; the trajectory itself is already stored."""
+        if rows.groupBy("step_id").count().filter("count > 1").limit(1).collect():
+            warnings.warn(f"infolocs of {pgtraj!r} not written: several rows for one step", stacklevel=3)
+            return
         rows.write.mode("overwrite").format("parquet").saveAsTable(self._name(f"infolocs_{pgtraj}"))
 
     # -- reading --------------------------------------------------------------------------------------
@@ -284,9 +299,7 @@ class TrajectoryStore:
     def export(self, pgtraj: str) -> DataFrame:
         """The trajectory in long form under its exported names, in the zone of the pgtraj, with infolocs."""
         row = self._row(pgtraj)
-        steps = Laid(self._steps(pgtraj), BURST, ("seq",))
-        if row["type_i"]:
-            steps = lay_out(self._steps(pgtraj), BURST, ("seq",))
+        steps = lay_out(self._steps(pgtraj), BURST, ("seq",)) if row["type_i"] else Laid(self._steps(pgtraj), BURST, ("seq",))
         named = exporting.trajectory_kind(self._steps(pgtraj))[1]
         kind = TYPE_I if row["type_i"] else TYPE_II
         return exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, named)
@@ -341,17 +354,17 @@ class TrajectoryStore:
             self._replace(self._burst_view(), "burst_view")
 
     def _burst_view(self) -> DataFrame:
-        first = self.table("pgtraj").first()
-        if first is None or first["proj4string"] is None:
+        """Burst lines in longitude/latitude; every pgtraj of the schema must be projected."""
+        if not self.table("pgtraj").filter("srid = 0 OR proj4string IS NULL").isEmpty():
             raise ValueError("cannot show unprojected relocations (SRID 0)")
-        rows = self.table("pgtraj").select("pgtraj_name", "srid", "type_i").collect()
-        out = None
-        for row in rows:
-            found = lines.burst_lines(self._steps(row["pgtraj_name"]).withColumn("rid", F.col("step_id")), TYPE_I if row["type_i"] else TYPE_II)
-            if row["srid"]:
-                found = found.withColumn("line", lines.planar_to_longlat(F.col("line"), row["srid"]))
-            out = found if out is None else out.unionByName(found)
-        return out
+        steps = self._living("step")
+        found = None
+        for (srid,) in self.table("pgtraj").select("srid").distinct().collect():
+            names = [r[0] for r in self.table("pgtraj").filter(F.col("srid") == srid).select("pgtraj_name").collect()]
+            part = lines.burst_lines(steps.filter(F.col("pgtraj_name").isin(names)), order=("seq",))
+            part = part.withColumn("line", reproject_line(F.col("line"), srid))
+            found = part if found is None else found.unionByName(part)
+        return found
 
     def _replace(self, df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").format("parquet").saveAsTable(self._name(name))
@@ -386,16 +399,19 @@ class TrajectoryStore:
             self._row(pgtraj)
             for name in ("pgtraj", "animal_burst"):
                 self._drop_partition(name, pgtraj)
-            for name in (f"infolocs_{pgtraj}", f"step_view_{pgtraj}", "burst_view"):
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
+            self._drop_tables(pgtraj)
         if full_clean:
             living = set(self.pgtrajs())
             for name in ("step", "animal_burst"):
-                held = [r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self._name(name)}").collect()]
+                held = [unquote(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self._name(name)}").collect()]
                 for orphan in held:
                     if orphan not in living:
                         self._drop_partition(name, orphan)
 
+    def _drop_tables(self, pgtraj: str) -> None:
+        for name in (f"infolocs_{pgtraj}", f"step_view_{pgtraj}", "burst_view"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
+
     def _drop_partition(self, table: str, pgtraj: str) -> None:
         literal = pgtraj.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(f"ALTER TABLE {self._name(table)} DROP IF EXISTS PARTITION (pgtraj_name = '{literal}')")
@@ -415,10 +431,7 @@ def transfer(source: TrajectoryStore, target: TrajectoryStore, pgtraj: str, over
     if infolocs is not None:
         infolocs = steps.select("step_id", "r_rowname", "burst_name").join(infolocs, "step_id").drop("step_id")
     target.import_trajectory(
-        steps.withColumn("burst_order", F.col("burst_id")).drop("step_id", "burst_id", "pgtraj_name", "relocation_id_1", "relocation_id_2"),
+        steps.withColumnRenamed("burst_id", "burst_order").drop("step_id", "pgtraj_name", "relocation_id_1", "relocation_id_2"),
         pgtraj, proj4string=row["proj4string"], time_zone=row["time_zone"], note=row["note"], overwrite=overwrite,
         type_i=row["type_i"], infolocs=infolocs,
     )
-
-
-__all__ = ["SCHEMAS", "TrajectoryStore", "projection_text", "transfer"]

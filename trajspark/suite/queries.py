@@ -200,7 +200,7 @@ def burst_lines(spark, sf):
 
 @query
 def animal_lines(spark, sf):
-    return _line_facts(lines.animal_lines(fx.view(spark, sf)), "pgtraj_name", "animal_name")
+    return _line_facts(lines.animal_lines(fx.view(spark, sf), fx.relocations(spark, sf)), "pgtraj_name", "animal_name")
 
 
 @query
@@ -249,7 +249,7 @@ def window_steps(spark, sf):
 
 @query
 def window_lines(spark, sf):
-    parts = windows.window_lines(fx.view(spark, sf), WINDOW_START, WINDOW)
+    parts = windows.window_lines(fx.view(spark, sf), WINDOW_START, WINDOW, fx.relocations(spark, sf))
     return _line_facts(parts, "pgtraj_name", "burst_name", "animal_name")
 
 
