@@ -183,7 +183,7 @@ class RunningSum(Prefix):
         return F.sum(part).over(_before(w))
 
     def merge(self, local, carried, edge):
-        return local + F.coalesce(carried, F.lit(0))
+        return F.coalesce(local + carried, local, carried)
 
 
 class Previous(Prefix):
