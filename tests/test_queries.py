@@ -28,6 +28,7 @@ def test_query(spark, name):
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_query_with_split_groups(spark, small_groups, name):
+    spark.conf.set("spark.trajspark.hotRows", "20")
     assert compare(QUERIES[name](spark, TINY), ORACLES[name], TINY) == ""
 
 

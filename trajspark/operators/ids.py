@@ -20,7 +20,8 @@ def burst_sizes(laid: Laid, inside: tuple[str, ...] = ()) -> DataFrame:
     """
     sizes = laid.df.groupBy(*BURST).agg(F.count(F.lit(1)).alias("burst_steps"))
     order = tuple(k for k in BURST if k not in inside)
-    chain = lay_out(sizes, inside, order, count_on=laid.df.select(*BURST).distinct())
+    known = laid.n_groups if laid.keys == BURST else None
+    chain = lay_out(sizes, inside, order, count_on=laid.df.select(*BURST).distinct(), known_rows=known)
     chain = with_prefix(chain, burst_id=RowNumber(), _upto=RunningSum(F.col("burst_steps")))
     return chain.rows().withColumn("_earlier", F.col("_upto") - F.col("burst_steps")).drop("_upto")
 

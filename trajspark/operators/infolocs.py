@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trajspark import settings
+
 # The reserved column and the class names of the type registry.
 RESERVED = "step_id"
 FACTORS = ("factor", "ordered")
@@ -142,7 +144,7 @@ def typed_by_burst(infolocs: DataFrame, steps: DataFrame, bursts: DataFrame) ->
     step_id to burst_id. Bursts without a registry, and columns without an entry, pass through.
     """
     df = infolocs.join(steps.select("step_id", "burst_id"), "step_id")
-    df = df.join(bursts.select("burst_id", "info_cols"), "burst_id", "left")
+    df = settings.join_small(df, bursts.select("burst_id", "info_cols"), "burst_id", "step_id")
     out = {}
     for name in info_columns(infolocs):
         entry = _entry(name)

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trajspark import settings
 from trajspark.operators.ids import Model
 
 
@@ -14,7 +15,8 @@ def drop_pgtraj(model: Model, name: str) -> Model:
     """Remove a pgtraj with its bursts and step relations; its steps and relocations stay as orphans."""
     pgtraj = model.pgtraj.filter(F.col("pgtraj_name") != name)
     bursts = model.animal_burst.join(pgtraj.select(F.col("id").alias("pgtraj_id")), "pgtraj_id", "left_semi")
-    relations = model.s_b_rel.join(bursts.select(F.col("id").alias("animal_burst_id")), "animal_burst_id", "left_semi")
+    kept = bursts.select(F.col("id").alias("animal_burst_id"))
+    relations = settings.join_small(model.s_b_rel, kept, "animal_burst_id", "step_id", "left_semi")
     return replace(model, pgtraj=pgtraj, animal_burst=bursts, s_b_rel=relations)
 
 

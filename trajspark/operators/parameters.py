@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajspark import settings
 from trajspark.functions import planar, times
-from trajspark.operators.steps import BURST
+
 from trajspark.plans.segments import SEGMENT, FirstRow, Laid, LastKnown, Previous, RowNumber, lay_out, with_prefix
 
 FILL_BURST, FILL_PGTRAJ = "burst", "pgtraj"
@@ -64,8 +63,9 @@ def _fill_through_bursts(laid: Laid, running: dict) -> Laid:
     names = laid.df.select(*laid.groups).distinct()
     if laid.split:
         ends, names = (t.withColumnRenamed(SEGMENT, "_piece") for t in (ends, names))
+    known = None if laid.n_groups is None else laid.n_groups + laid.segments
     within_pgtraj = ("burst_name", "_piece") if laid.split else ("burst_name",)
-    chain = lay_out(ends, ("pgtraj_name",), within_pgtraj, count_on=names)
+    chain = lay_out(ends, ("pgtraj_name",), within_pgtraj, count_on=names, known_rows=known)
     carried = with_prefix(chain, _earlier=LastKnown(F.col("_end"))).rows().drop("_end")
     if laid.split:
         carried = carried.withColumnRenamed("_piece", SEGMENT)

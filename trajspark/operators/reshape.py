@@ -5,6 +5,8 @@ All operators take and return bound relocations; parameters are computed again f
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,7 +129,7 @@ def cut(parameters: Laid, condition: str) -> Laid:
     laid = with_prefix(laid, _upto=RunningSum(F.col("_meets")))
     piece = F.col("_upto") - F.col("_meets") + 1
     named = F.concat_ws(".", F.col("burst_name"), piece.cast("string"))
-    return laid.on(laid.df.withColumn("burst_name", named).drop("_meets", "_upto"))
+    return replace(laid, df=laid.df.withColumn("burst_name", named).drop("_meets", "_upto"), n_groups=None)
 
 
 def bind(relocations: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajspark.functions import planar, times
-from trajspark.functions.reproject import LONGLAT, reproject_line
+from trajspark.functions import times
+from trajspark.functions.reproject import LONGLAT, transformed
 from trajspark.operators.infolocs import info_columns
 
 VIEW_COLUMNS = (
@@ -21,10 +21,10 @@ def step_view(parameters: DataFrame, srid: int, infolocs: DataFrame | None = Non
     """
     if not srid:
         raise ValueError("cannot show unprojected relocations (SRID 0)")
-    line = planar.segment(F.col("x"), F.col("y"), F.col("x2"), F.col("y2"))
-    df = parameters.withColumns({"step_geom": line, "date": times.wall_time(F.col("us"))})
-    df = df.filter(F.col("step_geom").isNotNull())
-    df = df.withColumn("step_geom", reproject_line(F.col("step_geom"), srid, LONGLAT))
+    ends = [transformed(F.col(x), F.col(y), srid, LONGLAT) for x, y in (("x", "y"), ("x2", "y2"))]
+    line = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ends])
+    df = parameters.filter("x IS NOT NULL AND y IS NOT NULL AND x2 IS NOT NULL AND y2 IS NOT NULL")
+    df = df.withColumns({"step_geom": line, "date": times.wall_time(F.col("us"))})
     columns = list(VIEW_COLUMNS)
     if infolocs is not None and info_columns(infolocs):
         df = df.join(infolocs, "step_id")

@@ -25,6 +25,8 @@ from trajspark import settings
 
 SEGMENT = "_segment"
 MAX_HOT_GROUPS = 10_000
+# more ranges than this would burden the driver; beyond it segments grow instead (a window spills to disk)
+MAX_SEGMENTS = 20_000
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,7 @@ class Laid:
     order: tuple[str, ...]
     split: bool = False
     segments: int = 0
-    total: int | None = None
+    n_groups: int | None = None
 
     @property
     def groups(self) -> list[str]:
@@ -71,57 +73,64 @@ def lay_out(
     within: Laid | None = None,
     count_on: DataFrame | None = None,
     at_most: DataFrame | None = None,
+    known_rows: int | None = None,
 ) -> Laid:
     """Choose a layout for ordered work on ``df``.
 
-    ``order`` names non-null columns that give a total order inside a group. ``within`` is an earlier layout
-    whose groups contain the groups of ``df``: when it needed no split, no second count is made. ``count_on`` is
-    a cheaper table with the same number of rows per group, counted instead of ``df``. ``at_most`` is a cheaper
-    table with at least as many rows per group: while it has no large group, ``df`` is not counted at all.
+    ``order`` names non-null columns that give a total order inside a group. The groups are counted with one
+    pre-aggregated job, unless something known makes that unnecessary:
+
+    * ``within``: an earlier layout whose groups contain these groups; when it needed no split, nor do they;
+    * ``known_rows``: the number of rows of ``df`` (or more); nothing is large when that is within the limit;
+    * ``count_on``: a cheaper table with the same number of rows per group, counted instead of ``df``;
+    * ``at_most``: a cheaper table with at least as many rows per group; while it has no large group, ``df`` is not
+      counted, and otherwise ``df`` is written before, so that it is computed once.
     """
     keys, order = tuple(keys), tuple(order)
     spark = df.sparkSession
     limit = settings.hot_rows(spark)
     plain = Laid(df.drop(SEGMENT), keys, order)
-    if within is not None and not within.split:
+    if (within is not None and not within.split) or (known_rows is not None and known_rows <= limit):
         return plain
-    if at_most is not None and keys:
-        if not _large_groups(at_most, keys, limit).limit(1).collect():
+    if at_most is not None:
+        if _group_sizes(at_most, keys)[0] <= limit:
             return plain
         plain = plain.on(settings.write_through(plain.df, "rows"))
     df = plain.df
     counted = df if count_on is None else count_on
 
-    if not keys:
-        total = counted.count()
-        if total <= limit:
-            return replace(plain, total=total)
-        frozen, n = _freeze(df, keys, order, total, limit)
-        return Laid(frozen, keys, order, True, n, total)
-
-    hot = _large_groups(counted, keys, limit).limit(MAX_HOT_GROUPS + 1).collect()
-    if not hot:
-        return plain
-    if len(hot) > MAX_HOT_GROUPS:
-        total = counted.count()
+    largest, n_groups, total = _group_sizes(counted, keys)
+    if largest <= limit:
+        return replace(plain, n_groups=n_groups)
+    hot = []
+    if keys:
+        sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+        hot = sizes.limit(MAX_HOT_GROUPS + 1).collect()
+    if not keys or len(hot) > MAX_HOT_GROUPS:
         frozen, n = _freeze(df, keys, order, total, limit)
-        return Laid(frozen, keys, order, True, n)
+        return Laid(frozen, keys, order, True, n + n_groups, n_groups)
 
     names = spark.createDataFrame([tuple(row[k] for k in keys) for row in hot], df.select(*keys).schema)
     same = [df[k].eqNullSafe(names[k]) for k in keys]
     large = df.join(F.broadcast(names), same, "left_semi")
     small = df.join(F.broadcast(names), same, "left_anti").withColumn(SEGMENT, F.lit(0))
     frozen, n = _freeze(large, keys, order, sum(row["_n"] for row in hot), limit)
-    return Laid(small.unionByName(frozen), keys, order, True, n + len(hot))
+    return Laid(small.unionByName(frozen), keys, order, True, n + len(hot), n_groups)
 
 
-def _large_groups(df: DataFrame, keys: tuple, limit: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+def _group_sizes(df: DataFrame, keys: tuple) -> tuple[int, int, int]:
+    """Rows of the largest group, number of groups and of rows."""
+    if not keys:
+        n = df.count()
+        return n, 1, n
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = sizes.agg(F.max("_n").alias("largest"), F.count("_n").alias("groups"), F.sum("_n").alias("rows")).first()
+    return row["largest"] or 0, row["groups"], row["rows"] or 0
 
 
 def _freeze(df: DataFrame, keys: tuple, order: tuple, rows: int, limit: int) -> tuple[DataFrame, int]:
     """Write ``df`` in ordered ranges of about half the limit, numbered from 1."""
-    n = max(2, math.ceil(2 * rows / limit))
+    n = min(max(2, math.ceil(2 * rows / limit)), MAX_SEGMENTS)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn(SEGMENT, F.spark_partition_id() + 1)
     return settings.write_through(ranged, "segments"), n
 

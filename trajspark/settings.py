@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 LINE_POINTS = 50_000
+SALTS = 64
 
 
 def _limit(spark: SparkSession, key: str, default: int) -> int:
@@ -43,6 +44,19 @@ def broadcast_if(df: DataFrame, rows: int | None) -> DataFrame:
     return df
 
 
+def join_small(facts: DataFrame, table: DataFrame, on: str, spread: str, how: str = "left") -> DataFrame:
+    """Join facts to a table with one row per ``on``, when one value of ``on`` may hold most facts.
+
+    The table is broadcast when its counted rows allow it. Otherwise it is repeated ``SALTS`` times and the facts
+    are spread over the copies by the column ``spread``, so no value gathers in one task.
+    """
+    if table.limit(broadcast_rows(facts.sparkSession) + 1).count() <= broadcast_rows(facts.sparkSession):
+        return facts.join(F.broadcast(table), on, how)
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

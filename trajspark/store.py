@@ -324,8 +324,8 @@ class TrajectoryStore:
         numbered = numbered.select("id", "pgtraj_name", "proj4string", "time_zone", "note", "insert_timestamp")
         ids = numbered.select("pgtraj_name", F.col("id").alias("pgtraj_id"))
         first = steps.select(F.col("relocation_id_1").alias("id"), "x", "y", "srid", "us", F.col("rid").alias("orig_id"))
-        imported = self.table("pgtraj").filter(F.col("source") == TRAJECTORY_SOURCE).select("pgtraj_name")
-        second = steps.join(imported, "pgtraj_name", "left_semi").select(
+        imported = self.table("pgtraj").filter(F.col("source") == TRAJECTORY_SOURCE).select("pgtraj_name").collect()
+        second = steps.filter(F.col("pgtraj_name").isin([r[0] for r in imported])).select(
             F.col("relocation_id_2").alias("id"), F.col("x2").alias("x"), F.col("y2").alias("y"), "srid",
             F.col("us2").alias("us"), F.lit(None).cast("long").alias("orig_id"),
         )
