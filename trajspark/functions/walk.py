@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 
+# a vertex this close (relative) to the length counts as that far away, so rounding does not decide
+NEAR = 1e-9
 # position of a walk: points made, current point, last vertex with its time
 STATE = ("_made", "_cx", "_cy", "_px", "_py", "_pt")
 
@@ -30,21 +32,22 @@ def walkers(length: float, keys: tuple[str, ...], columns: list[str]) -> tuple[C
             out.append((x[0], y[0], t[0]))
             state, i = (x[0], y[0], x[0], y[0], t[0]), 1
         cx, cy, px, py, pt = state
-        reach = length * length
+        square = length * length
+        reach = square * (1.0 - NEAR)
         for vx, vy, vt in zip(x[i:], y[i:], t[i:], strict=True):
             wx, wy, ux, uy = px - cx, py - cy, vx - px, vy - py
             moves = ux != 0.0 or uy != 0.0
-            if moves and (vx - cx) * (vx - cx) + (vy - cy) * (vy - cy) > reach:
+            if moves and (vx - cx) * (vx - cx) + (vy - cy) * (vy - cy) >= reach:
                 # the circle around the current point is left on the way to this vertex
-                a, b, c = ux * ux + uy * uy, ux * wx + uy * wy, wx * wx + wy * wy - reach
+                a, b, c = ux * ux + uy * uy, ux * wx + uy * wy, wx * wx + wy * wy - square
                 share = min(max((math.sqrt(max(b * b - a * c, 0.0)) - b) / a, 0.0), 1.0)
                 cx, cy, ct = px + share * ux, py + share * uy, pt + share * (vt - pt)
                 out.append((cx, cy, ct))
                 # further points before the vertex lie on one straight line
                 rest = math.hypot(vx - cx, vy - cy)
                 ex, ey, et = cx, cy, ct
-                for k in range(1, math.ceil(rest / length)):
-                    share = k * length / rest
+                for k in range(1, math.floor(rest / length + NEAR) + 1):
+                    share = min(k * length / rest, 1.0)
                     cx, cy, ct = ex + share * (vx - ex), ey + share * (vy - ey), et + share * (vt - et)
                     out.append((cx, cy, ct))
             px, py, pt = vx, vy, vt

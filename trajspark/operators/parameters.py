@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.functions import planar, times
-
 from trajspark.plans.segments import SEGMENT, FirstRow, Laid, LastKnown, Previous, RowNumber, lay_out, with_prefix
 
 FILL_BURST, FILL_PGTRAJ = "burst", "pgtraj"

@@ -455,3 +455,32 @@ ORACLES["is_regular"] = with_(
 bursts AS (SELECT {BURST}, coalesce(min(dt_us) = max(dt_us), true) AS same FROM step GROUP BY ALL)""",
     "SELECT pgtraj_name, bool_and(same) AS regular FROM bursts GROUP BY 1",
 )
+
+# constant steps: from the current point, the first vertex at least the length away gives the segment to cut
+ORACLES["redistribute_space"] = (
+    "WITH RECURSIVE "
+    + reloc()
+    + f""",
+vertex AS (SELECT *, row_number() OVER (PARTITION BY {BURST} ORDER BY us, rid) AS k FROM reloc WHERE x IS NOT NULL),
+walk AS (
+  SELECT {BURST}, CAST(1 AS BIGINT) AS n, x AS cx, y AS cy, CAST(us AS DOUBLE) AS ct, k FROM vertex WHERE k = 1
+  UNION ALL
+  SELECT {BURST}, n + 1, px + s * (x - px), py + s * (y - py), pt + s * (us - pt), k
+  FROM (
+    SELECT *, least((sqrt(greatest(b * b - a * c, 0e0)) - b) / a, 1e0) AS s
+    FROM (
+      SELECT *, (x - px) * (x - px) + (y - py) * (y - py) AS a, (x - px) * (px - cx) + (y - py) * (py - cy) AS b,
+             (px - cx) * (px - cx) + (py - cy) * (py - cy) - 16e0 AS c
+      FROM (
+        SELECT w.pgtraj_name, w.burst_name, w.n, w.cx, w.cy, w.far - 1 AS k, v.x, v.y, v.us,
+               CASE WHEN w.far - 1 = w.k THEN w.cx ELSE p.x END AS px, CASE WHEN w.far - 1 = w.k THEN w.cy ELSE p.y END AS py,
+               CASE WHEN w.far - 1 = w.k THEN w.ct ELSE p.us END AS pt
+        FROM (
+          SELECT w.pgtraj_name, w.burst_name, w.n, w.cx, w.cy, w.ct, w.k, min(v.k) AS far
+          FROM walk w JOIN vertex v ON w.pgtraj_name = v.pgtraj_name AND w.burst_name = v.burst_name AND v.k > w.k
+          WHERE (v.x - w.cx) * (v.x - w.cx) + (v.y - w.cy) * (v.y - w.cy) >= 16e0 * (1e0 - 1e-9)
+          GROUP BY ALL) w
+        JOIN vertex v ON w.pgtraj_name = v.pgtraj_name AND w.burst_name = v.burst_name AND v.k = w.far
+        JOIN vertex p ON w.pgtraj_name = p.pgtraj_name AND w.burst_name = p.burst_name AND p.k = w.far - 1))))
+SELECT {BURST}, n AS rid, CAST(round(ct / 1e6) AS BIGINT) AS second, {r("cx", "x")}, {r("cy", "y")} FROM walk"""
+)

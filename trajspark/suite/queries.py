@@ -476,7 +476,8 @@ def redistribute_time(spark, sf):
 @query
 def redistribute_space(spark, sf):
     df = reshape.redistribute_space(fx.relocations(spark, sf), 4.0)
-    return df.select("pgtraj_name", "burst_name", "rid", "us", rounded("x"), rounded("y"))
+    second = F.round(F.col("us") / 1e6).cast("long").alias("second")
+    return df.select("pgtraj_name", "burst_name", "rid", second, rounded("x"), rounded("y"))
 
 
 @query
