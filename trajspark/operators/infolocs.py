@@ -46,14 +46,17 @@ def info_columns(infolocs: DataFrame) -> list[str]:
     return [c for c in infolocs.columns if c != RESERVED]
 
 
-def attach_from_table(steps: DataFrame, info: DataFrame, info_rid: str, columns: Sequence[str]) -> DataFrame:
+def attach_from_table(
+    steps: DataFrame, info: DataFrame, info_rid: str, columns: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
     """Infolocs of steps from a table, met by the id of the step's first relocation.
 
-    Columns the table does not have are ignored. Steps without a row in the table get none.
+    Columns the table does not have are ignored. Steps without a row in the table get none. ``keep`` names step
+    columns to carry along.
     """
     present = [c for c in columns if c in info.columns]
     rows = info.select(F.col(info_rid).cast("long").alias("rid"), *[F.col(c).alias(safe_name(c)) for c in present])
-    return steps.select("step_id", "rid").join(rows, "rid").drop("rid")
+    return steps.select("step_id", "rid", *keep).join(rows, "rid").drop("rid")
 
 
 def union_bursts(frames: Sequence[DataFrame]) -> DataFrame:

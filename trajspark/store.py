@@ -170,9 +170,8 @@ class TrajectoryStore:
         self._save(steps.rows(), described.withColumn("srid", F.lit(srid[0] if srid else 0)), DATABASE_SOURCE, kind)
         if extra is not None:
             rid = info_rid or binding.get("rid", "rid")
-            for name in names:
-                stored = self._steps(name)
-                self._write_info(name, info.attach_from_table(stored, extra, rid, info_cols))
+            steps = self.table("step").filter(F.col("pgtraj_name").isin(names))
+            self._write_infos(info.attach_from_table(steps, extra, rid, info_cols, ["pgtraj_name"]), names)
         return names
 
     def _source(self, source: str | DataFrame) -> DataFrame:
@@ -230,7 +229,8 @@ class TrajectoryStore:
             types = {**info.default_types(columns, time_zone or "UTC"), **(info_types or {})}
         self._save(rows, described, TRAJECTORY_SOURCE, TYPE_I if type_i else TYPE_II, info.registry(types) if types else None, exists)
         if infolocs is not None:
-            self._write_info(pgtraj, info.attach_from_trajectory(self._steps(pgtraj), infolocs))
+            rows = info.attach_from_trajectory(self._steps(pgtraj), infolocs).withColumn("pgtraj_name", F.lit(pgtraj))
+            self._write_infos(rows, [pgtraj])
 
     def _ids_in_given_order(self, laid: Laid) -> Laid:
         """Step ids with bursts in their given order: the zero-padded order stands in for the name while numbering."""
@@ -256,12 +256,18 @@ class TrajectoryStore:
             df = df.withColumn(name, F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind))
         return df
 
-    def _write_info(self, pgtraj: str, rows: DataFrame) -> None:
-        """A failure here only warns; the trajectory itself is already stored."""
-        if rows.groupBy("step_id").count().filter("count > 1").limit(1).collect():
-            warnings.warn(f"infolocs of {pgtraj!r} not written: several rows for one step", stacklevel=3)
-            return
-        rows.write.mode("overwrite").format("parquet").saveAsTable(self._name(f"infolocs_{pgtraj}"))
+    def _write_infos(self, rows: DataFrame, names: Sequence[str]) -> None:
+        """One table per pgtraj, from one join. A failure here only warns; the trajectories are already stored."""
+        folder = settings.new_folder(self.spark, "infolocs")
+        rows.write.partitionBy("pgtraj_name").parquet(folder)
+        rows = self.spark.read.schema(rows.schema).parquet(folder)
+        repeated = rows.groupBy("pgtraj_name", "step_id").count().filter("count > 1").select("pgtraj_name").distinct()
+        wrong = {r[0] for r in repeated.collect()}
+        for pgtraj in names:
+            if pgtraj in wrong:
+                warnings.warn(f"infolocs of {pgtraj!r} not written: several rows for one step", stacklevel=3)
+                continue
+            self._replace(rows.filter(F.col("pgtraj_name") == pgtraj).drop("pgtraj_name"), f"infolocs_{pgtraj}")
 
     # -- reading --------------------------------------------------------------------------------------
 

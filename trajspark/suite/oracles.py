@@ -24,7 +24,7 @@ def reloc(ts: str = "ts", burst: str = "concat('a', user_id, '-', event_type)",
     """Bound relocations from events."""
     missing = "event_type = 'error' AND event_id % 7 = 0"
     return f"""reloc AS (
-  SELECT event_id AS rid, {ts} AS fix_at, epoch_us({ts}) AS us,
+  SELECT event_id, event_id AS rid, {ts} AS fix_at, epoch_us({ts}) AS us,
          CASE WHEN {missing} THEN NULL ELSE floor(value / 40e0) * 10.5e0 END AS x,
          CASE WHEN {missing} THEN NULL ELSE (event_id % 3) * 7.25e0 END AS y,
          concat('p', user_id % 4) AS pgtraj_name, concat('a', user_id) AS animal_name, {burst} AS burst_name,
@@ -353,6 +353,34 @@ ORACLES["nested_to_long"] = with_(
 FROM par""",
 )
 
+# -- store
+ORACLES["store_parameters"] = with_(
+    params(fill="pgtraj"),
+    f"SELECT gid AS step_id, fix_at AS date, animal_name, burst_name AS burst, pgtraj_name AS pgtraj, {FULL} FROM par",
+)
+STORED_INFO = """,
+info AS (
+  SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS k, event_type AS status
+  FROM events WHERE event_id % 11 <> 0)"""
+ORACLES["store_import"] = with_(
+    params(fill="pgtraj") + STORED_INFO,
+    f"""SELECT seq, x, y, date_trunc('second', fix_at) + INTERVAL 1 HOUR AS date, {EXPORTED.format(dt=r("round(dt)", "dt"))},
+       animal_name AS id, burst_name AS burst, i.k, CASE WHEN {RANK} > 0 THEN status END AS status
+FROM par LEFT JOIN info i ON rid = i.event_id WHERE pgtraj_name = 'p0'""",
+)
+ORACLES["store_views"] = "WITH " + joined_lines(
+    "pgtraj_name, burst_name, animal_name", f"pgtraj_name = 'p1' AND event_id % 11 <> 0 AND {INSIDE}"
+)
+ORACLES["store_summaries"] = with_(
+    reloc()
+    + f""",
+bursts AS (
+  SELECT {BURST}, count(*) AS num_relocations, count(*) - count(x) AS num_na, min(fix_at) AS date_begin
+  FROM reloc WHERE pgtraj_name <> 'p2' GROUP BY ALL),
+groups AS (SELECT pgtraj_name, count(DISTINCT burst_name) AS num_bursts, max(fix_at) AS latest_date FROM reloc GROUP BY 1)""",
+    "SELECT *, concat('infolocs_', pgtraj_name) AS infolocs_table FROM bursts JOIN groups USING (pgtraj_name)",
+)
+
 # -- reference systems, layers, sensors
 LON, LAT = "((event_id % 3601) / 10e0 - 180e0)", "((event_id % 1601) / 10e0 - 80e0)"
 ORACLES["reproject_3395"] = f"""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajspark import settings
 from trajspark.functions import times
 from trajspark.functions.reproject import reproject
 from trajspark.operators import export, infolocs, lifecycle, lines, reshape, summary, windows
@@ -16,6 +19,7 @@ from trajspark.operators.infolocs import InfoType
 from trajspark.operators.parameters import FILL_PGTRAJ, step_parameters, stored_parameters
 from trajspark.operators.steps import TYPE_I, build_steps, computed_steps, step_geometry
 from trajspark.sources import gps, layers, tables
+from trajspark.store import TrajectoryStore
 from trajspark.suite import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -388,6 +392,60 @@ def nested_to_long(spark, sf):
     return export.unnest(export.nest(long, ["x", "y", "date", "dist"])).withColumn("dist", F.round("dist", 6))
 
 
+# -- store ------------------------------------------------------------------------------------------------
+
+
+def _store(spark, sf):
+    """All events as four stored pgtrajs, in a fresh database under the shared folder."""
+    store = TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
+    store.build(
+        fx.fixes(spark, sf), relocations=["x", "y"], pgtraj="grp", animal="animal", burst="burst", rid="event_id", timestamps="ts",
+        srid=fx.SRID, time_zone=fx.ZONE, info_cols=["k", "status"], info_table=fx.infolocs_source(spark, sf), info_rid="event_id",
+    )
+    return store
+
+
+@query
+def store_parameters(spark, sf):
+    """Built from a table, read back."""
+    store = _store(spark, sf)
+    parts = [store.parameters(name) for name in store.pgtrajs()]
+    return shown(functools.reduce(DataFrame.unionByName, parts), "step_id", "date", "animal_name", "burst", "pgtraj")
+
+
+@query
+def store_import(spark, sf):
+    """Exported with infolocs, imported under another name over an older one, exported again."""
+    store = _store(spark, sf)
+    long = store.export("p0").withColumn("r.row.names", F.col("seq").cast("string"))
+    info = long.select(F.col("`r.row.names`").alias("r_rowname"), F.col("burst").alias("burst_name"), "k", "status")
+    store.import_trajectory(store.export("p1"), "copy", time_zone=fx.ZONE)
+    types = {"status": InfoType("factor", levels=STATUS_LEVELS)}
+    store.import_trajectory(long.drop("k", "status"), "copy", time_zone=fx.ZONE, overwrite=True, infolocs=info, info_types=types)
+    again = store.export("copy")
+    numbers = [rounded(c) for c in ("dx", "dy", "dist", "dt", "R2n", "abs.angle", "rel.angle")]
+    return again.select("seq", "x", "y", "date", *numbers, "id", "burst", "k", "status")
+
+
+@query
+def store_views(spark, sf):
+    """The written step view after another pgtraj was dropped, cut to a window and joined into lines."""
+    store = _store(spark, sf)
+    store.drop("p2")
+    store.create_views("p1")
+    return _line_facts(store.step_window("p1", WINDOW_START, WINDOW, step_mode=False), "pgtraj_name", "burst_name", "animal_name")
+
+
+@query
+def store_summaries(spark, sf):
+    """Burst lines and summaries of what is left after a drop."""
+    store = _store(spark, sf)
+    store.drop("p2")
+    store.create_views("p1")
+    found = store.table("burst_view").filter("part = 0").select("pgtraj_name", "burst_name", "num_relocations", "num_na", "date_begin")
+    return found.join(store.pgtraj_summary().select("pgtraj_name", "num_bursts", "latest_date", "infolocs_table"), "pgtraj_name")
+
+
 # -- reference systems, layers, sensors -------------------------------------------------------------------
 
 
