@@ -24,7 +24,7 @@ def reloc(ts: str = "ts", burst: str = "concat('a', user_id, '-', event_type)",
     """Bound relocations from events."""
     missing = "event_type = 'error' AND event_id % 7 = 0"
     return f"""reloc AS (
-  SELECT event_id, event_id AS rid, {ts} AS fix_at, epoch_us({ts}) AS us,
+  SELECT event_id AS rid, {ts} AS fix_at, epoch_us({ts}) AS us,
          CASE WHEN {missing} THEN NULL ELSE floor(value / 40e0) * 10.5e0 END AS x,
          CASE WHEN {missing} THEN NULL ELSE (event_id % 3) * 7.25e0 END AS y,
          concat('p', user_id % 4) AS pgtraj_name, concat('a', user_id) AS animal_name, {burst} AS burst_name,
@@ -369,7 +369,7 @@ ORACLES["store_import"] = with_(
 FROM par LEFT JOIN info i ON rid = i.event_id WHERE pgtraj_name = 'p0'""",
 )
 ORACLES["store_views"] = "WITH " + joined_lines(
-    "pgtraj_name, burst_name, animal_name", f"pgtraj_name = 'p1' AND event_id % 11 <> 0 AND {INSIDE}"
+    "pgtraj_name, burst_name, animal_name", f"pgtraj_name = 'p1' AND rid % 11 <> 0 AND {INSIDE}"
 )
 ORACLES["store_summaries"] = with_(
     reloc()
