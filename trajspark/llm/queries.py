@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trajspark.llm.common import read_table
 from trajspark.llm.exact_dedup import exact_duplicates
 from trajspark.llm.sharding import shard_documents
+from trajspark.llm.simhash import near_duplicates
 from trajspark.llm.url_filter import judge_urls
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -27,7 +28,13 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_lpt_shards": lpt_shards, "op4_url_cascade": url_cascade, "op8_exact_dedup": exact_dedup}
+def golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_lpt_shards": lpt_shards, "op4_url_cascade": url_cascade, "op8_exact_dedup": exact_dedup, "op9_golay_simhash": golay_simhash,
+}
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 _FITS = " ".join(
