@@ -25,5 +25,14 @@ def constant_array(values: list[int], kind: str) -> Column:
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read back, so that a lost executor never repeats the work before it."""
-    return write_through(df, f"llm-{label}")
+    """Written to the shared folder and read back, so that a lost executor never repeats the work before it.
+
+    The shuffle files behind it are of no more use then and are freed at once; the session's own choice is put back.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return write_through(df, f"llm-{label}")
+    finally:
+        conf.set(key, before) if before is not None else conf.unset(key)

@@ -7,6 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 
 from trajspark.llm.common import read_table
+from trajspark.llm.decontamination import contamination
 from trajspark.llm.exact_dedup import exact_duplicates
 from trajspark.llm.sharding import shard_documents
 from trajspark.llm.simhash import near_duplicates
@@ -28,15 +29,21 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    "op1_lpt_shards": lpt_shards, "op4_url_cascade": url_cascade, "op8_exact_dedup": exact_dedup, "op9_golay_simhash": golay_simhash,
+    "op1_lpt_shards": lpt_shards, "op4_url_cascade": url_cascade,
+    "op5_positional_index": positional_index, "op8_exact_dedup": exact_dedup, "op9_golay_simhash": golay_simhash,
 }
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FITS = " ".join(
     f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'"
     for h, p, _ in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
@@ -50,6 +57,21 @@ parts AS (SELECT page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), '
                  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
 ruled AS (SELECT *, CASE {_FITS} END AS rule FROM parts)
 SELECT page_id, host, path, rule, CASE rule {_VERDICTS} ELSE 'allow' END AS verdict FROM ruled""",
+    "op5_positional_index": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+phrases AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 10 + 1, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+runs AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
+         FROM (SELECT doc_id, w, size, unnest(range(1, greatest(len(w) - size + 1, 0) + 1)) AS i FROM d, sizes)),
+hits AS (SELECT DISTINCT doc_id, item_id, size, i FROM runs JOIN phrases USING (size, phrase)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY 1),
+names AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)""",
     "op8_exact_dedup": f"""
 WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
