@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import string
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from trajspark.llm.byte_bpe import token_digests
 from trajspark.llm.common import read_table
 from trajspark.llm.decontamination import contamination
 from trajspark.llm.exact_dedup import exact_duplicates
 from trajspark.llm.sharding import shard_documents
 from trajspark.llm.simhash import near_duplicates
+from trajspark.llm.token_files import token_file_digests
 from trajspark.llm.url_filter import judge_urls
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -37,9 +40,18 @@ def golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_lpt_shards": lpt_shards, "op4_url_cascade": url_cascade,
-    "op5_positional_index": positional_index, "op8_exact_dedup": exact_dedup, "op9_golay_simhash": golay_simhash,
+    "op5_positional_index": positional_index, "op6_byte_bpe": byte_bpe, "op8_exact_dedup": exact_dedup,
+    "op9_golay_simhash": golay_simhash, "op10_huffman_files": huffman_files,
 }
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"

@@ -74,31 +74,31 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        lengths = self.ends - self.starts
-        out = np.full(len(lengths), seed, dtype=np.uint64) ^ (lengths.astype(np.uint64) * _K3)
-        if not len(lengths):
-            return out
-        eight = np.ndarray((len(self.data) - 7,), dtype="<u8", buffer=self.data, strides=(1,))
-        at, left, who = self.starts, lengths, np.arange(len(lengths))
-        many = lengths > LONG_WORD
-        if many.any():
-            raw = self.data.tobytes()
-            for i in np.flatnonzero(many):
-                out[i] = xxhash.xxh64_intdigest(raw[self.starts[i] : self.ends[i]], seed & 0xFFFFFFFF)
-            who = np.flatnonzero(~many)
-            at, left = at[who], left[who]
-        first = True
-        while len(who):
-            part = eight[at] & _MASKS[np.minimum(left, 8)]
-            if first:
-                out[who] = mixed(out[who] ^ part)
-            else:
-                out[who] = mixed(out[who] * _K1 ^ part)
-            first = False
-            more = left > 8
-            who, at, left = who[more], at[more] + 8, left[more] - 8
+        return span_hashes(self.data, self.starts, self.ends, seed)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; ``data`` has 8 bytes more than its text."""
+    lengths = ends - starts
+    out = np.full(len(lengths), seed, dtype=np.uint64) ^ (lengths.astype(np.uint64) * _K3)
+    if not len(lengths):
         return out
+    eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    at, left, who = starts, lengths, np.arange(len(lengths))
+    many = lengths > LONG_WORD
+    if many.any():
+        for i in np.flatnonzero(many):
+            out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed & 0xFFFFFFFF)
+        who = np.flatnonzero(~many)
+        at, left = at[who], left[who]
+    first = True
+    while len(who):
+        part = eight[at] & _MASKS[np.minimum(left, 8)]
+        out[who] = mixed((out[who] if first else out[who] * _K1) ^ part)
+        first = False
+        more = left > 8
+        who, at, left = who[more], at[more] + 8, left[more] - 8
+    return out
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
