@@ -13,6 +13,7 @@ from trajspark.llm.decontamination import contamination
 from trajspark.llm.exact_dedup import exact_duplicates
 from trajspark.llm.sharding import shard_documents
 from trajspark.llm.simhash import near_duplicates
+from trajspark.llm.substring_dedup import remove_repeats
 from trajspark.llm.token_files import token_file_digests
 from trajspark.llm.url_filter import judge_urls
 
@@ -23,6 +24,10 @@ def lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), shards=40)
 
 
+def de_bruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, RULES)) + " AS r(host, path, verdict)")
     return judge_urls(read_table(spark, sf_dir, "pages"), rules, default="allow")
@@ -49,7 +54,7 @@ def huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_lpt_shards": lpt_shards, "op4_url_cascade": url_cascade,
+    "op1_lpt_shards": lpt_shards, "op3_de_bruijn_repeats": de_bruijn_repeats, "op4_url_cascade": url_cascade,
     "op5_positional_index": positional_index, "op6_byte_bpe": byte_bpe, "op8_exact_dedup": exact_dedup,
     "op9_golay_simhash": golay_simhash, "op10_huffman_files": huffman_files,
 }
@@ -63,6 +68,17 @@ _FITS = " ".join(
 _VERDICTS = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
 
 ORACLES = {
+    "op3_de_bruijn_repeats": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+         FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY run) AS first_id FROM runs) WHERE first_id < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+marked AS (SELECT doc_id, word, i, gone.i IS NOT NULL AS removed FROM words LEFT JOIN gone USING (doc_id, i)),
+kept AS (SELECT doc_id, count(*) FILTER (removed) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS kept
+         FROM marked GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
     "op4_url_cascade": f"""
 WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parts AS (SELECT page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,

@@ -108,17 +108,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def windows(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every run of ``size`` words inside one text, and the word each run starts at."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words, also of those that cross texts."""
+    n = max(0, len(hashes) - size + 1)
     total = np.zeros(n, dtype=np.uint64)
     for i in range(size):
         total = total * _K1 + hashes[i : i + n]
+    return mixed(total)
+
+
+def inner_windows(n_words: int, bounds: np.ndarray, size: int) -> np.ndarray:
+    """The words at which a run of ``size`` words of one text starts."""
+    n = max(0, n_words - size + 1)
     ok = np.ones(n, dtype=bool)
     for e in range(1, size):
         cut = bounds[1:-1] - e
         ok[cut[(cut >= 0) & (cut < n)]] = False
-    at = np.flatnonzero(ok)
-    return mixed(total[at]), at
+    return np.flatnonzero(ok)
