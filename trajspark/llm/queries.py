@@ -11,6 +11,7 @@ from trajspark.llm.byte_bpe import token_digests
 from trajspark.llm.common import read_table
 from trajspark.llm.decontamination import contamination
 from trajspark.llm.exact_dedup import exact_duplicates
+from trajspark.llm.html_text import extract_text
 from trajspark.llm.sharding import shard_documents
 from trajspark.llm.simhash import near_duplicates
 from trajspark.llm.substring_dedup import remove_repeats
@@ -24,6 +25,10 @@ def lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), shards=40)
 
 
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def de_bruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,8 @@ def huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_lpt_shards": lpt_shards, "op3_de_bruijn_repeats": de_bruijn_repeats, "op4_url_cascade": url_cascade,
+    "op1_lpt_shards": lpt_shards, "op2_html_blocks": html_blocks,
+    "op3_de_bruijn_repeats": de_bruijn_repeats, "op4_url_cascade": url_cascade,
     "op5_positional_index": positional_index, "op6_byte_bpe": byte_bpe, "op8_exact_dedup": exact_dedup,
     "op9_golay_simhash": golay_simhash, "op10_huffman_files": huffman_files,
 }
@@ -68,6 +74,7 @@ _FITS = " ".join(
 _VERDICTS = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
 
 ORACLES = {
+    "op2_html_blocks": html_blocks,
     "op3_de_bruijn_repeats": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 runs AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
