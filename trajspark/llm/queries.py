@@ -12,6 +12,7 @@ from trajspark.llm.common import read_table
 from trajspark.llm.decontamination import contamination
 from trajspark.llm.exact_dedup import exact_duplicates
 from trajspark.llm.html_text import extract_text
+from trajspark.llm.quality import score_documents, train
 from trajspark.llm.sharding import shard_documents
 from trajspark.llm.simhash import near_duplicates
 from trajspark.llm.substring_dedup import remove_repeats
@@ -38,6 +39,11 @@ def url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"), rules, default="allow")
 
 
+def co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -61,8 +67,9 @@ def huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lpt_shards": lpt_shards, "op2_html_blocks": html_blocks,
     "op3_de_bruijn_repeats": de_bruijn_repeats, "op4_url_cascade": url_cascade,
-    "op5_positional_index": positional_index, "op6_byte_bpe": byte_bpe, "op8_exact_dedup": exact_dedup,
-    "op9_golay_simhash": golay_simhash, "op10_huffman_files": huffman_files,
+    "op5_positional_index": positional_index, "op6_byte_bpe": byte_bpe, "op7_co_training": co_training,
+    "op8_exact_dedup": exact_dedup, "op9_golay_simhash": golay_simhash,
+    "op10_huffman_files": huffman_files,
 }
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -74,7 +81,6 @@ _FITS = " ".join(
 _VERDICTS = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
 
 ORACLES = {
-    "op2_html_blocks": html_blocks,
     "op3_de_bruijn_repeats": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 runs AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
