@@ -1,7 +1,7 @@
 """Quality classifier by co-training of two views (Blum and Mitchell 1998).
 
 A document is bad when a label says that its quality is 0 or that it is toxic. Two logistic models judge it from separate views: its text (hashed words
-and the shape of the text) and its metadata (language, source, length). Each round both are fitted, all documents without a label are
+and beginnings of words, and the shape of the text) and its metadata (language, source, length). Each round both are fitted, all documents without a label are
 scored, and what one view is sure of becomes a pseudo-label for the other. At the end each view is calibrated on labelled documents that no
 model saw, and the calibrated views are added up as log-odds. All documents are scored by the result.
 
@@ -28,6 +28,7 @@ from trajspark.llm.common import saved
 from trajspark.llm.words import ALPHANUMERIC, NOT_SPACE, Texts, Words, chunks, mixed, span_hashes
 
 WORDS = 1 << 18  # hashed words; the shape features follow
+BEGINNINGS = (4, 5)
 SHAPES = 6
 TEXT_SIZE = WORDS + SHAPES * 16
 META_SIZE = 1 << 12
@@ -45,12 +46,15 @@ def _share(marked: np.ndarray, texts: Texts) -> np.ndarray:
 
 
 def _distinct(text: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, value) pairs by text."""
-    order = np.lexsort((values, text))
-    text, values = text[order], values[order]
-    new = np.ones(len(text), dtype=bool)
-    new[1:] = (text[1:] != text[:-1]) | (values[1:] != values[:-1])
-    return text[new], values[new]
+    """Distinct (text, value) pairs by text; values are below 2**32."""
+    keys = np.unique(text.astype(np.int64) << 32 | values.astype(np.int64))
+    return keys >> 32, keys & 0xFFFFFFFF
+
+
+def _beginnings(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash of the first ``size`` bytes) of the words that are longer."""
+    long = np.flatnonzero(words.ends - words.starts > size)
+    return words.text_of[long], mixed(span_hashes(words.data, words.starts[long], words.starts[long] + size) + np.uint64(size))
 
 
 def text_features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +63,7 @@ def text_features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     plain, lower = Words(texts, NOT_SPACE), Words(texts, ALPHANUMERIC, lower=True)
     hashes, counts = plain.hashes(), np.diff(plain.bounds)
     at = plain.text_of
-    own, _ = _distinct(at, hashes)
+    own, _ = _distinct(at, hashes & np.uint64(0xFFFFFFFF))
     again = np.bincount(at[1:][(hashes[1:] == hashes[:-1]) & (at[1:] == at[:-1])], minlength=n)
     data = texts.bytes
     marks = (data > 32) & (data < 127) & ~(((data >= 48) & (data < 58)) | ((data >= 65) & (data < 91)) | ((data >= 97) & (data < 123)))
@@ -69,7 +73,8 @@ def text_features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         np.bincount(own, minlength=n) / some * 15, again / some * 20, np.log2(counts + 1),
     )
     cells = [WORDS + 16 * i + np.clip(s, 0, 15).astype(np.int64) for i, s in enumerate(shapes)]
-    text, words = _distinct(lower.text_of, (lower.hashes() & np.uint64(WORDS - 1)).astype(np.int64))
+    parts = [(lower.text_of, lower.hashes()), *(_beginnings(lower, size) for size in BEGINNINGS)]
+    text, words = _distinct(*(np.concatenate(c) for c in zip(*((t, h & np.uint64(WORDS - 1)) for t, h in parts), strict=True)))
     text = np.concatenate([text, *[np.arange(n)] * SHAPES])
     found = np.concatenate([words, *cells])
     order = np.argsort(text, kind="stable")
