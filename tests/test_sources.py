@@ -146,7 +146,7 @@ def test_unknown_systems_raise(spark):
     with pytest.raises(ValueError):
         at(spark, 1.0, 1.0, 27700, 4326)
     with pytest.raises(ValueError):
-        srid_of("+proj=unknown")
+        reproject(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), srid_of("+proj=unknown"))
     assert srid_of(projection_text(26917)) == 26917 and srid_of(None) == 0 and projection_text(0) is None
 
 

@@ -9,6 +9,8 @@ Every value enters an expression once per round, so plans stay small.
 from __future__ import annotations
 
 import math
+import re
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,33 +21,43 @@ GRS80 = (6378137.0, 298.257222101)
 LONGLAT, MERCATOR = 4326, 3395
 UTM_NAD83 = range(26901, 26924)
 UTM_SCALE, UTM_EASTING = 0.9996, 500000.0
+SUPPORTED = (LONGLAT, MERCATOR, *UTM_NAD83)
+# SRIDs that stand for a projection text without a number of its own
+OWN_SRIDS = range(910_000, 999_000)
 
 ROUNDS = 6
 
 
 def supported(srid: int) -> bool:
-    return srid in (LONGLAT, MERCATOR) or srid in UTM_NAD83
+    return srid in SUPPORTED
 
 
 def projection_text(srid: int) -> str | None:
-    """Projection text of a known SRID, ``None`` for any other (0 means unprojected)."""
+    """Projection text of a SRID: the full one when its formulas are known, else its name; ``None`` for 0 (unprojected)."""
     if srid == LONGLAT:
         return "+proj=longlat +datum=WGS84 +no_defs"
     if srid == MERCATOR:
         return "+proj=merc +lon_0=0 +k=1 +x_0=0 +y_0=0 +datum=WGS84 +units=m +no_defs"
     if srid in UTM_NAD83:
         return f"+proj=utm +zone={srid - 26900} +datum=NAD83 +units=m +no_defs"
-    return None
+    return f"+init=epsg:{srid}" if srid else None
 
 
 def srid_of(text: str | None) -> int:
-    """SRID of a known projection text, 0 when it is missing."""
-    if text is None:
+    """SRID of a projection text: of a known text or the number it names, else one of its own, 0 when it is missing.
+
+    Only reprojection needs a system whose formulas are known; any other is stored and given back as it is.
+    """
+    if text is None or not text.strip():
         return 0
-    for srid in (LONGLAT, MERCATOR, *UTM_NAD83):
-        if projection_text(srid) == text:
+    named = re.search(r"\+init=epsg:(\d+)", text, re.IGNORECASE)
+    if named:
+        return int(named[1])
+    plain = " ".join(text.split())
+    for srid in SUPPORTED:
+        if projection_text(srid) == plain:
             return srid
-    raise ValueError(f"unknown projection: {text}")
+    return OWN_SRIDS[zlib.crc32(plain.encode()) % len(OWN_SRIDS)]
 
 
 def _first_eccentricity(ellipsoid: tuple[float, float]) -> float:

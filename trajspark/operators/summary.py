@@ -26,14 +26,19 @@ def burst_summary(steps: DataFrame) -> DataFrame:
 
 
 def pgtraj_summary(steps: DataFrame, pgtrajs: DataFrame | None = None, info_tables: DataFrame | None = None) -> DataFrame:
-    """Bursts, relocations and time span of each pgtraj.
+    """Burst names, relocations and time span of each pgtraj; a name that several animals share is one burst.
 
     Built on the burst summary, so a pgtraj that holds most rows is already reduced to one row per burst before
-    its own shuffle. ``pgtrajs`` adds descriptions (last_update); ``info_tables`` (column table_name) adds the
+    its own shuffle. ``pgtrajs`` adds descriptions (pgtraj_id, last_update); ``info_tables`` (column table_name) adds the
     name of the infolocs table.
     """
+    facts = (
+        F.sum("num_relocations").alias("num_relocations"), F.min("date_begin").alias("date_begin"), F.max("date_end").alias("date_end"),
+    )
     out = (
         burst_summary(steps)
+        .groupBy("pgtraj_name", "burst_name")
+        .agg(*facts)
         .groupBy("pgtraj_name")
         .agg(
             F.count(F.lit(1)).alias("num_bursts"),

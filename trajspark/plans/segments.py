@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 from trajspark import settings
 
 SEGMENT = "_segment"
-MAX_HOT_GROUPS = 10_000
-# more ranges than this would burden the driver; beyond it segments grow instead (a window spills to disk)
-MAX_SEGMENTS = 20_000
 
 
 @dataclass(frozen=True)
@@ -102,20 +99,21 @@ def lay_out(
     largest, n_groups, total = _group_sizes(counted, keys)
     if largest <= limit:
         return replace(plain, n_groups=n_groups)
-    hot = []
-    if keys:
-        sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-        hot = sizes.limit(MAX_HOT_GROUPS + 1).collect()
-    if not keys or len(hot) > MAX_HOT_GROUPS:
+    if not keys:
         frozen, n = _freeze(df, keys, order, total, limit)
-        return Laid(frozen, keys, order, True, n + n_groups, n_groups)
+        return Laid(frozen, keys, order, True, n, n_groups)
 
-    names = spark.createDataFrame([tuple(row[k] for k in keys) for row in hot], df.select(*keys).schema)
-    same = [df[k].eqNullSafe(names[k]) for k in keys]
-    large = df.join(F.broadcast(names), same, "left_semi")
-    small = df.join(F.broadcast(names), same, "left_anti").withColumn(SEGMENT, F.lit(0))
-    frozen, n = _freeze(large, keys, order, sum(row["_n"] for row in hot), limit)
-    return Laid(small.unionByName(frozen), keys, order, True, n + len(hot), n_groups)
+    # at most one group in ``limit`` rows is large, however many rows there are
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    hot = settings.write_through(sizes, "large-groups")
+    found = hot.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()
+    names = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    names = settings.broadcast_if(names, found["groups"])
+    large = df.join(names, same, "left_semi")
+    small = df.join(names, same, "left_anti").withColumn(SEGMENT, F.lit(0))
+    frozen, n = _freeze(large, keys, order, found["rows"], limit)
+    return Laid(small.unionByName(frozen), keys, order, True, n + found["groups"], n_groups)
 
 
 def _group_sizes(df: DataFrame, keys: tuple) -> tuple[int, int, int]:
@@ -130,7 +128,7 @@ def _group_sizes(df: DataFrame, keys: tuple) -> tuple[int, int, int]:
 
 def _freeze(df: DataFrame, keys: tuple, order: tuple, rows: int, limit: int) -> tuple[DataFrame, int]:
     """Write ``df`` in ordered ranges of about half the limit, numbered from 1."""
-    n = min(max(2, math.ceil(2 * rows / limit)), MAX_SEGMENTS)
+    n = max(2, math.ceil(2 * rows / limit))
     ranged = df.repartitionByRange(n, *keys, *order).withColumn(SEGMENT, F.spark_partition_id() + 1)
     return settings.write_through(ranged, "segments"), n
 

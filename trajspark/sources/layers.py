@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajspark.functions.reproject import LONGLAT, reproject, reproject_line
+from trajspark.functions.reproject import LONGLAT, SUPPORTED, reproject_line, transformed
 
 VECTOR, RASTER, MISSING = "vector", "raster", "missing"
 
@@ -64,16 +64,19 @@ def checked(df: DataFrame, name: str = "layer") -> DataFrame:
 
 
 def to_longlat(df: DataFrame) -> DataFrame:
-    """Coordinates of a layer in longitude/latitude; its reference system is that of its first row."""
+    """Coordinates of a layer in longitude/latitude, each row from its own reference system; none means longitude/latitude."""
     if "srid" not in df.columns:
         return df
-    row = df.filter(F.col("srid").isNotNull()).select("srid").limit(1).collect()
-    srid = row[0][0] if row else LONGLAT
-    if "coords" in df.columns:
-        out = df.withColumn("coords", reproject_line(F.col("coords"), srid, LONGLAT))
-    else:
-        out = reproject(df, srid, LONGLAT)
-    return out.withColumn("srid", F.lit(LONGLAT))
+    found = [r[0] for r in df.filter(F.col("srid").isNotNull()).select("srid").distinct().limit(len(SUPPORTED) + 1).collect()]
+    columns = ["coords"] if "coords" in df.columns else ["x", "y"]
+    out = {c: F.col(c) for c in columns}
+    for srid in found:
+        if columns == ["coords"]:
+            new = [reproject_line(F.col("coords"), srid, LONGLAT)]
+        else:
+            new = list(transformed(F.col("x"), F.col("y"), srid, LONGLAT))
+        out = {c: F.when(F.col("srid") == srid, n).otherwise(out[c]) for c, n in zip(columns, new, strict=True)}
+    return df.withColumns(out).withColumn("srid", F.lit(LONGLAT))
 
 
 def read_layers(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame]:

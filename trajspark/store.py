@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from trajspark import settings
 from trajspark.functions import times
-from trajspark.functions.reproject import reproject_line, srid_of
+from trajspark.functions.reproject import SUPPORTED, reproject_line, srid_of
 from trajspark.operators import export as exporting
 from trajspark.operators import infolocs as info
 from trajspark.operators import lines, summary, windows
@@ -193,7 +193,8 @@ class TrajectoryStore:
         """Store a computed trajectory: one row per relocation with x, y, date, dx, dy, dt, R2n, rel.angle, id, burst and
         r.row.names (or the plain names of those columns), in burst_order if given.
 
-        R2n and rel.angle are kept as they are. An existing pgtraj is replaced with ``overwrite`` and an error without.
+        R2n and rel.angle are kept as they are. An existing pgtraj is replaced with ``overwrite`` and an error without. Without times
+        (``type_i``) the order is ``seq``, an integer ``date`` or the row names; none of them is an error.
         """
         tables.check_name(pgtraj)
         self.ensure()
@@ -201,15 +202,21 @@ class TrajectoryStore:
         if exists and not overwrite:
             raise ValueError(f"the pgtraj {pgtraj!r} already exists in schema {self.schema}")
         df = self._plain(trajectory, time_zone, type_i).withColumn("pgtraj_name", F.lit(pgtraj))
+        if type_i and not df.filter("seq IS NULL AND order_date IS NULL AND try_cast(r_rowname AS BIGINT) IS NULL").isEmpty():
+            raise ValueError("a trajectory without times needs seq, an integer date or numbered row names for its order")
+        if "burst_order" in df.columns:
+            shared = df.groupBy("burst_order").agg(F.min("burst_name").alias("a"), F.max("burst_name").alias("b"))
+            if not shared.filter("burst_order IS NULL OR a <> b").isEmpty():
+                raise ValueError("burst_order must give every burst a number of its own")
         described = {c: F.lit(None).cast("string") for c in ("proj4string", "time_zone", "note")}
         tables.check_names(df.select("pgtraj_name", "animal_name", "burst_name").withColumns(described))
         steps = computed_steps(df).withColumns(
             {
                 "srid": F.lit(srid_of(proj4string)),
                 "_when": F.coalesce("us", F.lit(LAST)),
-                "_place": F.coalesce("seq", F.col("r_rowname").try_cast("long"), F.lit(0).cast("long")),
+                "_place": F.coalesce("seq", "order_date", F.col("r_rowname").try_cast("long"), F.lit(0).cast("long")),
             }
-        )
+        ).drop("order_date")
         laid = with_prefix(lay_out(steps.drop("seq"), BURST, ("_when", "_place", "r_rowname")), seq=RowNumber())
         laid = self._ids_in_given_order(laid) if "burst_order" in df.columns else with_step_ids(laid)
         rows = stored_parameters(laid.rows()).withColumns(
@@ -246,6 +253,8 @@ class TrajectoryStore:
             "r.row.names": "r_rowname",
         }
         df = df.select(*[F.col(f"`{c}`").alias(renames.get(c, c)) for c in df.columns])
+        numbered = type_i and dict(df.dtypes).get("date") in ("tinyint", "smallint", "int", "bigint")
+        df = df.withColumn("order_date", F.col("date").cast("long") if numbered else F.lit(None).cast("long"))
         if type_i:
             df = df.withColumns({"us": F.lit(None).cast("long"), "dt": F.lit(None).cast("double")})
         elif "us" not in df.columns:
@@ -313,25 +322,32 @@ class TrajectoryStore:
     def pgtraj_summary(self) -> DataFrame:
         found = self.spark.catalog.listTables(self.schema)
         names = self.spark.createDataFrame([(t.name,) for t in found], "table_name string")
-        described = self.table("pgtraj").select("pgtraj_name", F.col("insert_timestamp").alias("last_update"))
-        return summary.pgtraj_summary(self._living("step"), described, names)
+        described = self._numbered().select("pgtraj_id", "pgtraj_name", F.col("insert_timestamp").alias("last_update"))
+        return summary.pgtraj_summary(self._living("step"), described, names).orderBy("pgtraj_id")
 
     def burst_summary(self) -> DataFrame:
-        return summary.burst_summary(self._living("step"))
+        found = summary.burst_summary(self._living("step"))
+        bursts = self.table("animal_burst").select("pgtraj_name", "animal_name", "burst_name", "burst_id")
+        found = found.join(bursts, ["pgtraj_name", "animal_name", "burst_name"]).join(self._numbered().select("pgtraj_id", "pgtraj_name"), "pgtraj_name")
+        return found.orderBy("pgtraj_id", "burst_id").drop("burst_id")
+
+    def _numbered(self) -> DataFrame:
+        """The pgtraj rows with their ids."""
+        return with_prefix(lay_out(self.table("pgtraj"), (), ("pgtraj_name",)), pgtraj_id=RowNumber()).rows()
 
     def _living(self, table: str) -> DataFrame:
         """Rows of existing pgtrajs only; orphans of dropped ones are left out by partition."""
-        return self.table(table).filter(F.col("pgtraj_name").isin(self.pgtrajs()))
+        return self.table(table).join(self.table("pgtraj").select("pgtraj_name"), "pgtraj_name", "left_semi")
 
     def model(self) -> Model:
         """The normalised tables."""
         steps, bursts = self.table("step"), self.table("animal_burst")
-        numbered = with_prefix(lay_out(self.table("pgtraj"), (), ("pgtraj_name",)), id=RowNumber()).rows()
-        numbered = numbered.select("id", "pgtraj_name", "proj4string", "time_zone", "note", "insert_timestamp")
+        numbered = self._numbered().select(
+            F.col("pgtraj_id").alias("id"), "pgtraj_name", "proj4string", "time_zone", "note", "insert_timestamp")
         ids = numbered.select("pgtraj_name", F.col("id").alias("pgtraj_id"))
         first = steps.select(F.col("relocation_id_1").alias("id"), "x", "y", "srid", "us", F.col("rid").alias("orig_id"))
-        imported = self.table("pgtraj").filter(F.col("source") == TRAJECTORY_SOURCE).select("pgtraj_name").collect()
-        second = steps.filter(F.col("pgtraj_name").isin([r[0] for r in imported])).select(
+        imported = self.table("pgtraj").filter(F.col("source") == TRAJECTORY_SOURCE).select("pgtraj_name")
+        second = steps.join(imported, "pgtraj_name", "left_semi").select(
             F.col("relocation_id_2").alias("id"), F.col("x2").alias("x"), F.col("y2").alias("y"), "srid",
             F.col("us2").alias("us"), F.lit(None).cast("long").alias("orig_id"),
         )
@@ -349,28 +365,26 @@ class TrajectoryStore:
     def create_views(self, pgtraj: str, force: bool = False) -> None:
         """Write the step view of a pgtraj and the burst view of the schema; existing ones are kept unless ``force``."""
         row = self._row(pgtraj)
-        if row["proj4string"] is None:
+        if not row["srid"]:
             raise ValueError("cannot show unprojected relocations (SRID 0)")
         name = f"step_view_{pgtraj}"
         if force or not self._has(name):
             steps = self._steps(pgtraj).filter(F.col("relocation_id_2").isNotNull())
             view = step_view(steps, row["srid"], self.infolocs(pgtraj))
-            self._replace(view.sortWithinPartitions("date"), name)
+            self._replace(view.repartitionByRange("date").sortWithinPartitions("date"), name)
         if force or not self._has("burst_view"):
             self._replace(self._burst_view(), "burst_view")
 
     def _burst_view(self) -> DataFrame:
         """Burst lines in longitude/latitude; every pgtraj of the schema must be projected."""
-        if not self.table("pgtraj").filter("srid = 0 OR proj4string IS NULL").isEmpty():
+        if not self.table("pgtraj").filter("srid IS NULL OR srid = 0").isEmpty():
             raise ValueError("cannot show unprojected relocations (SRID 0)")
-        steps = self._living("step")
-        found = None
-        for (srid,) in self.table("pgtraj").select("srid").distinct().collect():
-            names = [r[0] for r in self.table("pgtraj").filter(F.col("srid") == srid).select("pgtraj_name").collect()]
-            part = lines.burst_lines(steps.filter(F.col("pgtraj_name").isin(names)), order=("seq",))
-            part = part.withColumn("line", reproject_line(F.col("line"), srid))
-            found = part if found is None else found.unionByName(part)
-        return found
+        used = [r[0] for r in self.table("pgtraj").select("srid").distinct().limit(len(SUPPORTED) + 1).collect()]
+        line = F.lit(None)
+        for srid in used:
+            line = F.when(F.col("srid") == srid, reproject_line(F.col("line"), srid)).otherwise(line)
+        found = lines.burst_lines(self._living("step"), order=("seq",)).join(self.table("pgtraj").select("pgtraj_name", "srid"), "pgtraj_name")
+        return found.withColumn("line", line).drop("srid")
 
     def _replace(self, df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").format("parquet").saveAsTable(self._name(name))

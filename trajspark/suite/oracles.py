@@ -6,6 +6,8 @@ elsewhere.
 
 from __future__ import annotations
 
+import re
+
 from trajspark.suite.fixtures import HOUR_US, START_US
 
 ORACLES: dict[str, str] = {}
@@ -84,6 +86,11 @@ def with_(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+def written(sql: str) -> str:
+    """Every common table computed once, so that no join order can repeat the work of another."""
+    return re.sub(r"(?m)^((?:WITH )?\w+) AS \(", r"\1 AS MATERIALIZED (", sql)
+
+
 # inverse Mercator: isometric latitude by direct iteration on the latitude
 ECC = "0.081819190842621494e0"
 
@@ -190,7 +197,7 @@ FULL = f"x, y, {NUMBERS}"
 ORACLES["step_parameters_computed"] = with_(params(), f"SELECT pgtraj_name, animal_name, burst_name, seq, rid, {FULL} FROM par")
 ORACLES["step_parameters_pgtraj_fill"] = with_(params(fill="pgtraj"), f"SELECT pgtraj_name, burst_name, seq, rid, {FULL} FROM par")
 ORACLES["step_parameters_ties"] = with_(params(reloc(DAY), "pgtraj"), f"SELECT pgtraj_name, burst_name, seq, rid, {FULL} FROM par")
-ORACLES["step_parameters_heavy_ties"] = with_(params(SUPPLIERS), f"SELECT burst_name, seq, rid, {FULL} FROM par")
+ORACLES["step_parameters_heavy_ties"] = written(with_(params(SUPPLIERS), f"SELECT burst_name, seq, rid, {FULL} FROM par"))
 ORACLES["stored_parameters_imported"] = with_(
     COMPUTED
     + """,
@@ -213,6 +220,11 @@ ORACLES["pgtraj_summary"] = with_(
     """SELECT pgtraj_name, count(DISTINCT burst_name) AS num_bursts, count(*) AS num_relocations, min(fix_at) AS earliest_date,
        max(fix_at) AS latest_date FROM reloc GROUP BY 1""",
 )
+ORACLES["pgtraj_summary_shared_names"] = with_(
+    reloc(burst="event_type"),
+    """SELECT pgtraj_name, count(DISTINCT burst_name) AS num_bursts, count(*) AS num_relocations, min(fix_at) AS earliest_date,
+       max(fix_at) AS latest_date FROM reloc GROUP BY 1""",
+)
 ORACLES["burst_summary"] = with_(
     reloc(),
     """SELECT pgtraj_name, animal_name, burst_name, count(*) AS num_relocations, count(*) - count(x) AS num_na, min(fix_at) AS date_begin,
@@ -240,7 +252,7 @@ ORACLES["distinct_animals"] = "SELECT DISTINCT concat('a', user_id) AS animal_na
 DEFAULTS = with_(
     steps(),
     """SELECT pgtraj_name, min(fix_at) AS tstamp_start, max(fix_at) AS tstamp_last, quantile_cont(dt_us, 0.5) / 1e6 AS increment
-FROM step GROUP BY 1""",
+FROM step WHERE x IS NOT NULL AND x2 IS NOT NULL GROUP BY 1""",
 )
 ORACLES["time_defaults"] = DEFAULTS
 ORACLES["default_window"] = f"""
@@ -397,6 +409,12 @@ ORACLES["layer_to_longlat"] = with_(
     f"""SELECT rid AS event_id, CAST(4326 AS INTEGER) AS srid, {r(longlat("x", "y")[0], "x", 9)}, {r(longlat("x", "y")[1], "y", 9)}
 FROM reloc WHERE x IS NOT NULL""",
 )
+MIXED = f"""SELECT rid AS event_id, CAST(4326 AS INTEGER) AS srid,
+       {r(f"(CASE WHEN rid % 2 = 0 THEN {longlat('x', 'y')[0]} ELSE x END)", "x", 9)},
+       {r(f"(CASE WHEN rid % 2 = 0 THEN {longlat('x', 'y')[1]} ELSE y END)", "y", 9)}
+FROM reloc WHERE x IS NOT NULL"""
+ORACLES["layer_mixed_systems"] = with_(reloc(), MIXED)
+ORACLES["layers_by_name"] = f"SELECT 'fixes' AS layer, * FROM ({ORACLES['layer_to_longlat']})"
 ORACLES["gps_fixes"] = """
 SELECT concat('s', user_id % 5) AS sensor, CAST(event_id AS INTEGER) AS line_no, strftime(ts, '%d/%m/%Y') AS utc_date,
        strftime(ts, '%d/%m/%Y') AS lmt_date, value AS latitude, CAST(user_id * 10 AS INTEGER) AS easting, event_type AS remarks,

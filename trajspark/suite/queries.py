@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+import warnings
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -186,6 +187,12 @@ def pgtraj_summary(spark, sf):
     return summary.pgtraj_summary(fx.relocations(spark, sf))
 
 
+@query
+def pgtraj_summary_shared_names(spark, sf):
+    """Burst names that all animals share count once."""
+    return summary.pgtraj_summary(fx.relocations(spark, sf, burst="event_type"))
+
+
 @query
 def burst_summary(spark, sf):
     return summary.burst_summary(fx.relocations(spark, sf))
@@ -225,12 +232,12 @@ def distinct_animals(spark, sf):
 
 @query
 def time_defaults(spark, sf):
-    return summary.time_defaults(build_steps(fx.relocations(spark, sf)).rows())
+    return summary.time_defaults(fx.view(spark, sf))
 
 
 @query
 def default_window(spark, sf):
-    return summary.default_window(summary.time_defaults(build_steps(fx.relocations(spark, sf)).rows()))
+    return summary.default_window(summary.time_defaults(fx.view(spark, sf)))
 
 
 @query
@@ -481,12 +488,35 @@ def _layers(spark, sf):
 @query
 def layer_types(spark, sf):
     df = _layers(spark, sf)
-    found = df.groupBy("layer", "geom_type").agg(F.count(F.lit(1)).alias("n"))
-    return found.groupBy("layer").agg(
+    found = [layers.geometry_types(df.filter(F.col("layer") == name)).withColumn("layer", F.lit(name)) for name in ("points", "lines")]
+    return functools.reduce(DataFrame.unionByName, found).groupBy("layer").agg(
         F.count(F.lit(1)).alias("types"), F.sum("n").alias("n"), F.max(F.col("geom_type").contains("MULTIPOINT")).alias("multi")
     )
 
 
+@query
+def layer_mixed_systems(spark, sf):
+    """A layer whose rows are in two reference systems."""
+    f = fx.fixes(spark, sf).filter("x IS NOT NULL")
+    mixed = f.select("event_id", "x", "y", F.when(F.col("event_id") % 2 == 0, 3395).otherwise(4326).alias("srid"))
+    return layers.checked(mixed, "mixed").select("event_id", "srid", rounded("x", 9), rounded("y", 9))
+
+
+@query
+def layers_by_name(spark, sf):
+    """Layers read and sorted out by their table names."""
+    name = f"trajspark_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{settings.new_folder(spark, 'layers')}'")
+    f = fx.fixes(spark, sf).filter("x IS NOT NULL").select("event_id", "x", "y", F.lit(3395).alias("srid"))
+    f.write.saveAsTable(f"`{name}`.`fixes`")
+    fx.table(spark, sf, "events").select("event_id", F.lit(None).cast("binary").alias("rast")).write.saveAsTable(f"`{name}`.`pictures`")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        found = layers.read_layers(spark, [f"{name}.fixes", f"{name}.pictures"])
+    parts = [df.withColumn("layer", F.lit(n.split(".")[1])) for n, df in found.items()]
+    return functools.reduce(DataFrame.unionByName, parts).select("layer", "event_id", "srid", rounded("x", 9), rounded("y", 9))
+
+
 @query
 def layer_to_longlat(spark, sf):
     f = fx.fixes(spark, sf).filter("x IS NOT NULL").select("event_id", "x", "y", F.lit(3395).alias("srid"))
