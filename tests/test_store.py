@@ -93,12 +93,60 @@ def test_overwrite_replaces_one_trajectory_only(spark, store):
     store.import_trajectory(long, "copy", time_zone=fx.ZONE)
     before = store.parameters("p1").count()
     few = store.export("copy").filter("seq <= 2")
+    n = few.count()
     store.import_trajectory(few, "copy", time_zone=fx.ZONE, overwrite=True)
-    assert store.parameters("copy").count() == few.count()
+    assert store.parameters("copy").count() == n
     assert store.parameters("copy").groupBy("burst").count().agg(F.max("count")).first()[0] <= 2
     assert store.parameters("p1").count() == before
 
 
+def test_a_failed_overwrite_leaves_the_old_trajectory(spark, store, monkeypatch):
+    built(spark, store, info_cols=["k"], info_table=fx.infolocs_source(spark, TINY), info_rid="event_id")
+    long = store.export("p0").withColumn("r.row.names", F.col("seq").cast("string"))
+    info = long.select(F.col("`r.row.names`").alias("r_rowname"), F.col("burst").alias("burst_name"), "k")
+    store.import_trajectory(long.drop("k"), "copy", time_zone=fx.ZONE, infolocs=info)
+    before, infos = rows(store.export("copy"), "burst", "seq", "x", "y", "k"), store.infolocs("copy").count()
+    few = store.export("copy").filter("seq <= 2").drop("k")
+    n = few.count()
+    for step in ("_append", "_replace", "_publish"):
+        for call in (1, 2) if step == "_append" else (1,):
+            real, calls = getattr(TrajectoryStore, step), []
+
+            def failing(self, *args, _real=real, _calls=calls, _call=call, **more):
+                _calls.append(1)
+                if len(_calls) == _call:
+                    raise RuntimeError("no space")
+                return _real(self, *args, **more)
+
+            with monkeypatch.context() as patch:
+                patch.setattr(TrajectoryStore, step, failing)
+                with pytest.raises(RuntimeError, match="no space"):
+                    store.import_trajectory(few, "copy", time_zone=fx.ZONE, overwrite=True, infolocs=info.limit(5))
+            assert rows(store.export("copy"), "burst", "seq", "x", "y", "k") == before
+            assert store.infolocs("copy").count() == infos
+            assert store.burst_summary().filter("pgtraj_name = 'copy'").agg(F.sum("num_relocations")).first()[0] == len(before)
+    store.import_trajectory(few, "copy", time_zone=fx.ZONE, overwrite=True, infolocs=info.limit(5))
+    assert store.export("copy").count() == n < len(before)
+    store.drop(full_clean=True)
+    assert store.table("step").filter("pgtraj_name = 'copy'").select("version").distinct().count() == 1
+
+
+def test_any_projection_and_order_without_times(spark, store):
+    schema = "x double, y double, date int, dx double, dy double, dist double, dt double, R2n double, `rel.angle` double, id string, burst string"
+    data = [(float(i), 0.0, i, 1.0, 0.0, 1.0, None, 0.0, 0.0, "a", "b") for i in (3, 1, 10, 2)]
+    text = "+proj=tmerc +lat_0=49 +lon_0=-2 +ellps=airy"
+    store.import_trajectory(spark.createDataFrame(data, schema), "grid", proj4string=text, type_i=True)
+    assert [r.x for r in store.parameters("grid").orderBy("step_id").collect()] == [1.0, 2.0, 3.0, 10.0]
+    assert store.table("pgtraj").first()["proj4string"] == text and store.table("pgtraj").first()["srid"] > 0
+    with pytest.raises(ValueError, match="reproject"):
+        store.create_views("grid")
+    with pytest.raises(ValueError, match="order"):
+        store.import_trajectory(spark.createDataFrame(data, schema).drop("date"), "lost", type_i=True)
+    two = spark.createDataFrame([(*d[:-1], n) for n, d in zip("bcbc", data, strict=True)], schema).withColumn("burst_order", F.lit(1))
+    with pytest.raises(ValueError, match="number of its own"):
+        store.import_trajectory(two, "same", type_i=True)
+
+
 def test_geometry_keeps_or_drops_the_last_step_by_source(spark, store):
     built(spark, store)
     bursts = store.table("animal_burst").filter("pgtraj_name = 'p0'").count()

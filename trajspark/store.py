@@ -2,12 +2,14 @@
 
 Facts are stored once, in step order and with both ends of each step (``step``), so parameters, geometry,
 summaries and exports are scans of one pruned partition. The normalised tables of the model are projections
-(``model()``). A pgtraj exists when its row is in ``pgtraj``; that row is written last and removed first, so readers
-never see a half-written trajectory, and an overwrite replaces whole partitions.
+(``model()``). A pgtraj exists when its row is in ``pgtraj``; that row names the version of its steps, bursts and infolocs.
+Writing always makes a new version beside what is there; the row is written last and removed first. So readers see the
+old trajectory or the new one, whole, wherever a write fails, and only then are older versions removed.
 """
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
@@ -35,19 +37,20 @@ DATABASE_SOURCE, TRAJECTORY_SOURCE = "table", "trajectory"
 SCHEMAS = {
     "pgtraj": (
         "proj4string STRING, time_zone STRING, note STRING, insert_timestamp TIMESTAMP, source STRING, type_i BOOLEAN, "
-        "srid INT, pgtraj_name STRING"
+        "srid INT, version STRING, infolocs STRING, pgtraj_name STRING"
     ),
     "animal_burst": (
         "burst_id BIGINT, burst_name STRING, animal_name STRING, "
-        "info_cols ARRAY<STRUCT<name: STRING, type: STRING, zone: STRING, levels: ARRAY<STRING>>>, pgtraj_name STRING"
+        "info_cols ARRAY<STRUCT<name: STRING, type: STRING, zone: STRING, levels: ARRAY<STRING>>>, pgtraj_name STRING, version STRING"
     ),
     "step": (
         "step_id BIGINT, burst_id BIGINT, burst_name STRING, animal_name STRING, seq BIGINT, rid BIGINT, us BIGINT, x DOUBLE, "
         "y DOUBLE, srid INT, rid2 BIGINT, us2 BIGINT, x2 DOUBLE, y2 DOUBLE, relocation_id_1 BIGINT, relocation_id_2 BIGINT, "
         "dt_us BIGINT, r_rowname STRING, r2n DOUBLE, rel_angle DOUBLE, abs_angle DOUBLE, dx DOUBLE, dy DOUBLE, dist DOUBLE, "
-        "dt DOUBLE, pgtraj_name STRING"
+        "dt DOUBLE, pgtraj_name STRING, version STRING"
     ),
 }
+PARTITIONS = {"pgtraj": "pgtraj_name", "animal_burst": "pgtraj_name, version", "step": "pgtraj_name, version"}
 
 
 class TrajectoryStore:
@@ -72,7 +75,7 @@ class TrajectoryStore:
         present = {t.name for t in self.spark.catalog.listTables(self.schema) if not t.isTemporary}
         if not present:
             for name, columns in SCHEMAS.items():
-                self.spark.sql(f"CREATE TABLE {self._name(name)} ({columns}) USING parquet PARTITIONED BY (pgtraj_name)")
+                self.spark.sql(f"CREATE TABLE {self._name(name)} ({columns}) USING parquet PARTITIONED BY ({PARTITIONS[name]})")
             return self
         if not set(SCHEMAS) <= present:
             raise ValueError(f"schema {self.schema} exists and is not a trajectory schema")
@@ -82,24 +85,28 @@ class TrajectoryStore:
                 raise ValueError(f"table {name} of schema {self.schema} has other columns than expected")
         return self
 
-    def _write(self, df: DataFrame, name: str, names: Sequence[str], replace: bool) -> None:
-        """Write the partitions of the named pgtrajs.
-
-        With ``replace`` the write job swaps whole partitions when it commits, or leaves the old ones. Otherwise only
-        orphans of a dropped pgtraj can be in the way; they are removed first and the rows are appended.
-        """
-        if not replace:
-            for pgtraj in names:
-                self._drop_partition(name, pgtraj)
+    def _append(self, df: DataFrame, name: str) -> None:
+        """Add rows of a new version, clustered by pgtraj and in step order."""
         columns = self.table(name).columns
         df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns})
-        mode = "spark.sql.sources.partitionOverwriteMode"  # a table insert takes it from the session only
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
+        order = [c for c in ("pgtraj_name", "step_id", "burst_id") if c in columns]
+        df.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order).write.insertInto(self._name(name))
+
+    def _publish(self, described: DataFrame, replace: bool) -> None:
+        """Write the pgtraj rows, which makes their versions the ones that are read. ``replace`` swaps the partition of one row."""
+        columns = self.table("pgtraj").columns
+        described = described.select(*columns)
+        if not replace:
+            described.write.insertInto(self._name("pgtraj"))
+            return
+        (row,) = described.collect()
+        values = described.drop("pgtraj_name")
+        values.createOrReplaceTempView(view := f"publish_{uuid.uuid4().hex}")
         try:
-            df.select(*columns).write.insertInto(self._name(name), overwrite=replace)
+            name = f"pgtraj_name = {_literal(row['pgtraj_name'])}"
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self._name('pgtraj')} PARTITION ({name}) SELECT * FROM {view}")
         finally:
-            self.spark.conf.set(mode, before)
+            self.spark.catalog.dropTempView(view)
 
     def pgtrajs(self) -> list[str]:
         return sorted(r[0] for r in self.table("pgtraj").select("pgtraj_name").collect())
@@ -116,24 +123,29 @@ class TrajectoryStore:
 
     # -- writing --------------------------------------------------------------------------------------
 
-    def _save(
-        self, steps: DataFrame, described: DataFrame, source: str, kind: int, info_cols=None, replace: bool = False
-    ) -> None:
-        """Steps first, then bursts, and last the pgtraj row that makes them visible."""
+    def _save(self, steps: DataFrame, version: str, info_cols=None) -> DataFrame:
+        """Write steps and bursts as a new version; returns the steps as written. Nothing shows them yet."""
         last_step, last_burst = self._next_ids()
         shifted = {c: F.col(c) + last_step for c in ("step_id", "relocation_id_1", "relocation_id_2")}
-        steps = steps.withColumns(shifted).withColumn("burst_id", F.col("burst_id") + last_burst)
-        names = [r[0] for r in described.select("pgtraj_name").collect()]
-        self._write(steps, "step", names, replace)
-        stored = self.table("step").filter(F.col("pgtraj_name").isin(names))
-        bursts = stored.groupBy("pgtraj_name", "burst_id", "burst_name", "animal_name").agg(F.lit(None).alias("info_cols"))
+        steps = steps.withColumns({**shifted, "burst_id": F.col("burst_id") + last_burst, "version": F.lit(version)})
+        self._append(steps, "step")
+        stored = self.table("step").filter(F.col("version") == version)
+        bursts = stored.groupBy("pgtraj_name", "version", "burst_id", "burst_name", "animal_name").agg(F.lit(None).alias("info_cols"))
         if info_cols is not None:
             bursts = bursts.withColumn("info_cols", info_cols)
-        self._write(bursts, "animal_burst", names, replace)
-        described = described.withColumns(
-            {"insert_timestamp": F.current_timestamp(), "source": F.lit(source), "type_i": F.lit(kind == TYPE_I)}
+        self._append(bursts, "animal_burst")
+        return stored
+
+    def _described(self, described: DataFrame, version: str, source: str, kind: int, infolocs: Mapping[str, str]) -> DataFrame:
+        tables_of = F.lit(None).cast("string")
+        if infolocs:
+            tables_of = F.create_map(*[F.lit(v) for pair in infolocs.items() for v in pair])[F.col("pgtraj_name")]
+        return described.withColumns(
+            {
+                "insert_timestamp": F.current_timestamp(), "source": F.lit(source), "type_i": F.lit(kind == TYPE_I),
+                "version": F.lit(version), "infolocs": tables_of,
+            }
         )
-        self._write(described, "pgtraj", names, replace)
 
     def build(
         self,
@@ -167,11 +179,14 @@ class TrajectoryStore:
             raise ValueError(f"pgtrajs already exist: {', '.join(taken)}")
         steps = with_step_ids(step_parameters(build_steps(bound, kind, numbered=True), FILL_PGTRAJ))
         srid = bound.select("srid").first()
-        self._save(steps.rows(), described.withColumn("srid", F.lit(srid[0] if srid else 0)), DATABASE_SOURCE, kind)
+        version = uuid.uuid4().hex
+        stored = self._save(steps.rows(), version)
+        infolocs: dict[str, str] = {}
         if extra is not None:
             rid = info_rid or binding.get("rid", "rid")
-            steps = self.table("step").filter(F.col("pgtraj_name").isin(names))
-            self._write_infos(info.attach_from_table(steps, extra, rid, info_cols, ["pgtraj_name"]), names)
+            infolocs = self._write_infos(info.attach_from_table(stored, extra, rid, info_cols, ["pgtraj_name"]), names, version)
+        described = described.withColumn("srid", F.lit(srid[0] if srid else 0))
+        self._publish(self._described(described, version, DATABASE_SOURCE, kind, infolocs), replace=False)
         return names
 
     def _source(self, source: str | DataFrame) -> DataFrame:
@@ -222,10 +237,6 @@ class TrajectoryStore:
         rows = stored_parameters(laid.rows()).withColumns(
             {"relocation_id_1": F.col("step_id") * 2 - 1, "relocation_id_2": F.col("step_id") * 2, "rid": F.lit(None).cast("long")}
         ).withColumn("rid2", F.col("relocation_id_2"))
-        if exists:
-            rows = settings.write_through(rows, "import")
-            infolocs = None if infolocs is None else settings.write_through(infolocs, "import")
-            self._drop_tables(pgtraj)
         described = self.spark.createDataFrame(
             [(pgtraj, proj4string, time_zone, note, srid_of(proj4string))],
             "pgtraj_name string, proj4string string, time_zone string, note string, srid int",
@@ -234,10 +245,18 @@ class TrajectoryStore:
         if infolocs is not None:
             columns = infolocs.drop("r_rowname", "burst_name")
             types = {**info.default_types(columns, time_zone or "UTC"), **(info_types or {})}
-        self._save(rows, described, TRAJECTORY_SOURCE, TYPE_I if type_i else TYPE_II, info.registry(types) if types else None, exists)
+        old = self._row(pgtraj) if exists else None
+        version = uuid.uuid4().hex
+        stored = self._save(rows, version, info.registry(types) if types else None)
+        written: dict[str, str] = {}
         if infolocs is not None:
-            rows = info.attach_from_trajectory(self._steps(pgtraj), infolocs).withColumn("pgtraj_name", F.lit(pgtraj))
-            self._write_infos(rows, [pgtraj])
+            found = info.attach_from_trajectory(stored, infolocs).withColumn("pgtraj_name", F.lit(pgtraj))
+            written = self._write_infos(found, [pgtraj], version)
+        kind = TYPE_I if type_i else TYPE_II
+        self._publish(self._described(described, version, TRAJECTORY_SOURCE, kind, written), replace=exists)
+        if old is not None:
+            self._drop_views(pgtraj)
+            self._drop_version(pgtraj, old["version"], old["infolocs"])
 
     def _ids_in_given_order(self, laid: Laid) -> Laid:
         """Step ids with bursts in their given order: the zero-padded order stands in for the name while numbering."""
@@ -265,32 +284,38 @@ class TrajectoryStore:
             df = df.withColumn(name, F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind))
         return df
 
-    def _write_infos(self, rows: DataFrame, names: Sequence[str]) -> None:
-        """One table per pgtraj, from one join. A failure here only warns; the trajectories are already stored."""
+    def _write_infos(self, rows: DataFrame, names: Sequence[str], version: str) -> dict[str, str]:
+        """One table per pgtraj, from one join; returns their names. Infolocs that can't be stored only warn."""
         folder = settings.new_folder(self.spark, "infolocs")
         rows.write.partitionBy("pgtraj_name").parquet(folder)
         rows = self.spark.read.schema(rows.schema).parquet(folder)
         repeated = rows.groupBy("pgtraj_name", "step_id").count().filter("count > 1").select("pgtraj_name").distinct()
         wrong = {r[0] for r in repeated.collect()}
+        written = {}
         for pgtraj in names:
             if pgtraj in wrong:
                 warnings.warn(f"infolocs of {pgtraj!r} not written: several rows for one step", stacklevel=3)
                 continue
-            self._replace(rows.filter(F.col("pgtraj_name") == pgtraj).drop("pgtraj_name"), f"infolocs_{pgtraj}")
+            written[pgtraj] = f"infolocs_{pgtraj}" if not self._has(f"infolocs_{pgtraj}") else f"infolocs_{pgtraj}__{version}"
+            self._replace(rows.filter(F.col("pgtraj_name") == pgtraj).drop("pgtraj_name"), written[pgtraj])
+        return written
 
     # -- reading --------------------------------------------------------------------------------------
 
     def _steps(self, pgtraj: str) -> DataFrame:
-        return self.table("step").filter(F.col("pgtraj_name") == pgtraj)
+        version = self._row(pgtraj)["version"]
+        return self.table("step").filter((F.col("pgtraj_name") == pgtraj) & (F.col("version") == version))
 
     def infolocs(self, pgtraj: str) -> DataFrame | None:
         """Infolocs of a pgtraj, typed by its registry; None when there are none."""
-        if not self._has(f"infolocs_{pgtraj}"):
+        found = self.table("pgtraj").filter(F.col("pgtraj_name") == pgtraj).first()
+        if found is None or found["infolocs"] is None or not self._has(found["infolocs"]):
             return None
-        rows = self.table(f"infolocs_{pgtraj}")
+        rows = self.table(found["infolocs"])
         if "step_id" not in rows.columns or not info.info_columns(rows):
             return None
-        registered = self.table("animal_burst").filter((F.col("pgtraj_name") == pgtraj) & F.col("info_cols").isNotNull())
+        same = (F.col("pgtraj_name") == pgtraj) & (F.col("version") == found["version"])
+        registered = self.table("animal_burst").filter(same & F.col("info_cols").isNotNull())
         row = registered.select("info_cols").first()
         return info.typed(rows, info.types_from_registry(row[0])) if row else rows
 
@@ -320,14 +345,14 @@ class TrajectoryStore:
         return exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, named)
 
     def pgtraj_summary(self) -> DataFrame:
-        found = self.spark.catalog.listTables(self.schema)
-        names = self.spark.createDataFrame([(t.name,) for t in found], "table_name string")
+        stored = self.table("pgtraj").filter("infolocs IS NOT NULL")
+        names = stored.select(F.concat(F.lit("infolocs_"), F.col("pgtraj_name")).alias("table_name"))
         described = self._numbered().select("pgtraj_id", "pgtraj_name", F.col("insert_timestamp").alias("last_update"))
         return summary.pgtraj_summary(self._living("step"), described, names).orderBy("pgtraj_id")
 
     def burst_summary(self) -> DataFrame:
         found = summary.burst_summary(self._living("step"))
-        bursts = self.table("animal_burst").select("pgtraj_name", "animal_name", "burst_name", "burst_id")
+        bursts = self._living("animal_burst").select("pgtraj_name", "animal_name", "burst_name", "burst_id")
         found = found.join(bursts, ["pgtraj_name", "animal_name", "burst_name"]).join(self._numbered().select("pgtraj_id", "pgtraj_name"), "pgtraj_name")
         return found.orderBy("pgtraj_id", "burst_id").drop("burst_id")
 
@@ -336,12 +361,18 @@ class TrajectoryStore:
         return with_prefix(lay_out(self.table("pgtraj"), (), ("pgtraj_name",)), pgtraj_id=RowNumber()).rows()
 
     def _living(self, table: str) -> DataFrame:
-        """Rows of existing pgtrajs only; orphans of dropped ones are left out by partition."""
-        return self.table(table).join(self.table("pgtraj").select("pgtraj_name"), "pgtraj_name", "left_semi")
+        """Rows of the versions that are read; orphans of dropped pgtrajs and failed writes are left out by partition."""
+        return self.table(table).join(self.table("pgtraj").select("pgtraj_name", "version"), ["pgtraj_name", "version"], "left_semi")
+
+    def _whole_steps(self) -> DataFrame:
+        """Steps of existing pgtrajs and orphans of dropped ones, but none of versions that a later one replaced."""
+        current = self.table("pgtraj").select("pgtraj_name", F.col("version").alias("_current"))
+        held = self.table("step").join(current, "pgtraj_name", "left")
+        return held.filter("_current IS NULL OR version = _current").drop("_current")
 
     def model(self) -> Model:
         """The normalised tables."""
-        steps, bursts = self.table("step"), self.table("animal_burst")
+        steps, bursts = self._whole_steps(), self._living("animal_burst")
         numbered = self._numbered().select(
             F.col("pgtraj_id").alias("id"), "pgtraj_name", "proj4string", "time_zone", "note", "insert_timestamp")
         ids = numbered.select("pgtraj_name", F.col("id").alias("pgtraj_id"))
@@ -417,24 +448,33 @@ class TrajectoryStore:
             raise ValueError("nothing to do: name a pgtraj or ask for a full clean")
         if pgtraj is not None:
             self._row(pgtraj)
+            infolocs = self._row(pgtraj)["infolocs"]
             for name in ("pgtraj", "animal_burst"):
                 self._drop_partition(name, pgtraj)
-            self._drop_tables(pgtraj)
+            self._drop_views(pgtraj)
+            if infolocs is not None:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(infolocs)}")
         if full_clean:
-            living = set(self.pgtrajs())
+            living = {(r["pgtraj_name"], r["version"]) for r in self.table("pgtraj").select("pgtraj_name", "version").collect()}
             for name in ("step", "animal_burst"):
-                held = [unquote(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self._name(name)}").collect()]
-                for orphan in held:
-                    if orphan not in living:
-                        self._drop_partition(name, orphan)
+                for row in self.spark.sql(f"SHOW PARTITIONS {self._name(name)}").collect():
+                    held = tuple(unquote(part.split("=", 1)[1]) for part in row[0].split("/"))
+                    if held not in living:
+                        self._drop_partition(name, *held)
 
-    def _drop_tables(self, pgtraj: str) -> None:
-        for name in (f"infolocs_{pgtraj}", f"step_view_{pgtraj}", "burst_view"):
+    def _drop_views(self, pgtraj: str) -> None:
+        for name in (f"step_view_{pgtraj}", "burst_view"):
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
 
-    def _drop_partition(self, table: str, pgtraj: str) -> None:
-        literal = pgtraj.replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(f"ALTER TABLE {self._name(table)} DROP IF EXISTS PARTITION (pgtraj_name = '{literal}')")
+    def _drop_version(self, pgtraj: str, version: str, infolocs: str | None) -> None:
+        for name in ("animal_burst", "step"):
+            self._drop_partition(name, pgtraj, version)
+        if infolocs is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(infolocs)}")
+
+    def _drop_partition(self, table: str, pgtraj: str, version: str | None = None) -> None:
+        which = f"pgtraj_name = {_literal(pgtraj)}" + (f", version = {_literal(version)}" if version else "")
+        self.spark.sql(f"ALTER TABLE {self._name(table)} DROP IF EXISTS PARTITION ({which})")
 
     def analyze(self) -> None:
         """Refresh table statistics."""
@@ -442,6 +482,10 @@ class TrajectoryStore:
             self.spark.sql(f"ANALYZE TABLE {self._name(name)} COMPUTE STATISTICS")
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def transfer(source: TrajectoryStore, target: TrajectoryStore, pgtraj: str, overwrite: bool = True) -> None:
     """Copy a pgtraj from one store to another through its exported form."""
     row = source._row(pgtraj)
@@ -451,7 +495,7 @@ def transfer(source: TrajectoryStore, target: TrajectoryStore, pgtraj: str, over
     if infolocs is not None:
         infolocs = steps.select("step_id", "r_rowname", "burst_name").join(infolocs, "step_id").drop("step_id")
     target.import_trajectory(
-        steps.withColumnRenamed("burst_id", "burst_order").drop("step_id", "pgtraj_name", "relocation_id_1", "relocation_id_2"),
+        steps.withColumnRenamed("burst_id", "burst_order").drop("step_id", "pgtraj_name", "version", "relocation_id_1", "relocation_id_2"),
         pgtraj, proj4string=row["proj4string"], time_zone=row["time_zone"], note=row["note"], overwrite=overwrite,
         type_i=row["type_i"], infolocs=infolocs,
     )
