@@ -36,6 +36,7 @@ from trajspark.llm.words import NOT_SPACE, Words, chunks
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
+BLOCK = 50_000
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the Golay code
 
@@ -50,19 +51,19 @@ def shingle_fingerprints(words: Words, shingle: int) -> np.ndarray:
     joined[to - 1] = 32
     raw = joined.tobytes()
     counts = np.diff(words.bounds)
-    has = counts > 0
-    each = np.where(has, np.maximum(counts - shingle + 1, 1), 0)
+    each = np.where(counts > 0, np.maximum(counts - shingle + 1, 1), 0)
     first = np.repeat(words.bounds[:-1], each) + _within(each)
     last = np.minimum(first + shingle, np.repeat(words.bounds[1:], each)) - 1
-    pieces = [raw[a:b] for a, b in zip(begin[first].tolist(), (to[last] - 1).tolist(), strict=True)]
-    values = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), dtype=np.uint64, count=len(pieces))
-    out = np.zeros(len(counts), dtype=np.uint64)
-    if len(values):
+    text = np.repeat(np.arange(len(counts)), each)
+    ones = np.zeros((len(counts), 64), dtype=np.int64)
+    for at in range(0, len(first), BLOCK):
+        block = slice(at, at + BLOCK)
+        pieces = [raw[a:b] for a, b in zip(begin[first[block]].tolist(), (to[last[block]] - 1).tolist(), strict=True)]
+        values = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), dtype=np.uint64, count=len(pieces))
         bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = np.cumsum(each) - each
-        ones = np.add.reduceat(bits, starts[has], axis=0, dtype=np.int64)
-        out[has] = np.packbits(2 * ones > each[has][:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-    return out
+        owner, start = np.unique(text[block], return_index=True)
+        ones[owner] += np.add.reduceat(bits, start, axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > each[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def _within(each: np.ndarray) -> np.ndarray:
