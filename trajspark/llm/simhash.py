@@ -7,7 +7,8 @@ key of every word one bit away. Fingerprints at most 4 bits apart then meet unde
 on the errors of the segments:
 
 * some segment is equal, and another has at most 2 errors: (equal segment, fuzzy key of the other);
-* no segment is equal, so the errors are 1, 1 and 1 or 2: two segments with one error each: (fuzzy key of one, codeword of the other).
+* no segment is equal, so the errors are 1, 1 and 1 or 2: two segments with one error each, and one of three pieces of the
+  third segment without: (fuzzy key of one, codeword of the other, piece of the third).
 
 Only distinct fingerprints are keyed, so copies meet nobody. Pairs inside a bucket are never listed. The smallest fingerprint of a bucket is
 its leader; every member is compared with it, and components are formed. After that only members whose component differs from their
@@ -37,6 +38,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BLOCK = 50_000
+PIECES = 3
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the Golay code
 
@@ -137,12 +139,19 @@ def bucket_keys(prints: np.ndarray, golay: Golay) -> tuple[np.ndarray, np.ndarra
             rows.append(who)
             keys.append((np.int64(table) << 34) | (parts[i][who] << 12) | key)
             once = (key != own[j][who]) | (i < j)
-            rows.append(who[once])
-            keys.append((np.int64(6 + i + j) << 34) | _pair(i, j, own[i][who], key)[once])
+            who, pair = who[once], _pair(i, j, own[i][who], key)[once]
+            for piece in range(PIECES):
+                rows.append(who)
+                keys.append((np.int64(6 + PIECES * (i + j - 1) + piece) << 34) | (pair << 8) | _piece(parts[3 - i - j][who], piece))
             table += 1
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def _piece(segment: np.ndarray, piece: int) -> np.ndarray:
+    """Seven bits of a segment; the last piece takes what is left."""
+    return segment >> 14 if piece == 2 else segment >> 7 * piece & 127
+
+
 def _pair(i: int, j: int, own: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Both kinds of row of a pair of segments meet in one bucket, written with the lower segment first."""
     return (own << 12) | key if i < j else (key << 12) | own
