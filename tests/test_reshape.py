@@ -100,7 +100,10 @@ def test_lines_come_in_bounded_parts(make, spark, small_groups):
     out = lines.burst_lines(make(data)).orderBy("burst_name", "part").collect()
     assert [(r["burst_name"], r["part"], r["n_points"]) for r in out] == [("a", 0, 3), ("a", 1, 3), ("a", 2, 2), ("b", 0, None)]
     assert [p["x"] for r in out[:3] for p in r["line"]] == [float(k) for k in range(8)]
-    assert out[3]["num_na"] == 1 and out[3]["line"] is None
+    assert out[3]["line"] is None
+    view = {r["burst_name"]: r for r in lines.burst_view(make(data), lines.burst_lines(make(data))).collect()}
+    assert len(view) == 2 and (view["a"]["n_parts"], view["a"]["n_points"], len(view["a"]["line"])) == (3, 8, 3)
+    assert (view["b"]["num_na"], view["b"]["n_parts"], view["b"]["n_points"], view["b"]["line"]) == (1, 0, 0, None)
     facts = {r["burst_name"]: (r["n_points"], r["length"]) for r in lines.line_facts(lines.burst_lines(make(data)), ["burst_name"]).collect()}
     assert facts == {"a": (8, 7.0), "b": (0, None)}
 

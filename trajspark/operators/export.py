@@ -57,7 +57,8 @@ def export_long(
 
 
 def nest(long: DataFrame, columns, max_rows: int | None = None) -> DataFrame:
-    """Long to nested form: per burst, arrays of at most ``max_rows`` rows in order (part 0, 1, ...).
+    """Long to nested form: per burst, arrays of at most ``max_rows`` rows in order (part 0, 1, ...), with the marks
+    ``type_ii`` and, where there is ``dt``, ``regular`` (all steps of every burst of the pgtraj last equally long).
 
     ``long`` has pgtraj_name, id, burst and seq. Keys of the arrays are evenly sized, so a burst of any length
     stays in bounded rows; a burst under the bound is one row.
@@ -68,12 +69,17 @@ def nest(long: DataFrame, columns, max_rows: int | None = None) -> DataFrame:
     numbered = dict(long.dtypes).get("date") in ("int", "bigint")
     rows = F.array_sort(F.collect_list(F.struct("seq", *[F.col(f"`{c}`") for c in columns])))
     order = [F.min("burst_order").alias("burst_order")] if "burst_order" in long.columns else []
-    return long.groupBy("pgtraj_name", "id", "burst", part).agg(
+    nested = long.groupBy("pgtraj_name", "id", "burst", part).agg(
         *order,
         rows.alias("rows"),
         F.count(F.lit(1)).alias("n_rows"),
         (F.lit(False) if numbered else F.bool_or(typed)).alias("type_ii"),
     )
+    if "dt" not in long.columns:
+        return nested
+    bursts = long.groupBy("pgtraj_name", "burst").agg((F.max("dt") - F.min("dt")).alias("_spread"))
+    regular = bursts.groupBy("pgtraj_name").agg(F.bool_and(F.coalesce(F.col("_spread") < 1e-7, F.lit(True))).alias("regular"))
+    return nested.join(regular, "pgtraj_name")
 
 
 def unnest(nested: DataFrame) -> DataFrame:

@@ -39,9 +39,9 @@ def point_lines(laid: Laid, names: Sequence[str], max_points: int | None = None)
 
 
 def burst_lines(relocations: DataFrame, kind: int = 2, order: Sequence[str] | None = None) -> DataFrame:
-    """Burst summary with the line of each burst, null when no fix is known. ``order`` names an order already stored.
+    """The line of each burst in parts; one part without a line when no fix is known. ``order`` names an order already stored.
 
-    The summary row is repeated per part before the join, so the join key is as even as the parts are.
+    Bursts are repeated per part before the join, so the join key is as even as the parts are.
     """
     max_points = settings.line_points(relocations.sparkSession)
     known = relocations.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
@@ -49,8 +49,16 @@ def burst_lines(relocations: DataFrame, kind: int = 2, order: Sequence[str] | No
     parts = point_lines(laid, BURST, max_points)
     summary = burst_summary(relocations)
     last = F.greatest(F.lit(0), F.ceil((F.col("num_relocations") - F.col("num_na")) / max_points) - 1).cast("long")
-    summary = summary.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    return summary.join(parts, [*BURST, "part"], "left")
+    numbered = summary.select(*BURST, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
+    return numbered.join(parts, [*BURST, "part"], "left")
+
+
+def burst_view(relocations: DataFrame, parts: DataFrame) -> DataFrame:
+    """One row per burst: its summary, the first part of its line and what the whole line (``parts``) adds up to."""
+    whole = parts.groupBy(*BURST).agg(
+        F.count("n_points").alias("n_parts"), F.coalesce(F.sum("n_points"), F.lit(0)).alias("n_points"), F.sum("length").alias("length"))
+    first = parts.filter("part = 0").select(*BURST, "line")
+    return burst_summary(relocations).join(first, list(BURST), "left").join(whole, list(BURST), "left")
 
 
 def step_lines(view: DataFrame, keys: Sequence[str], max_points: int | None = None, at_most: DataFrame | None = None) -> DataFrame:

@@ -209,9 +209,16 @@ class TrajectoryStore:
         r.row.names (or the plain names of those columns), in burst_order if given.
 
         R2n and rel.angle are kept as they are. An existing pgtraj is replaced with ``overwrite`` and an error without. Without times
-        (``type_i``) the order is ``seq``, an integer ``date`` or the row names; none of them is an error.
+        (``type_i``) the order is ``seq``, an integer ``date`` or the row names; none of them is an error. Columns ``proj4string``
+        and ``time_zone`` (as in an export) stand in for the arguments.
         """
         tables.check_name(pgtraj)
+        told = [c for c in ("proj4string", "time_zone") if c in trajectory.columns]
+        if told:
+            row = trajectory.select(*told).first()
+            given = dict(zip(told, row, strict=True)) if row else {}
+            proj4string, time_zone = proj4string or given.get("proj4string"), time_zone or given.get("time_zone")
+            trajectory = trajectory.drop(*told)
         self.ensure()
         exists = pgtraj in self.pgtrajs()
         if exists and not overwrite:
@@ -337,12 +344,16 @@ class TrajectoryStore:
         )
 
     def export(self, pgtraj: str) -> DataFrame:
-        """The trajectory in long form under its exported names, in the zone of the pgtraj, with infolocs."""
+        """The trajectory in long form under its exported names, in the zone of the pgtraj, with infolocs.
+
+        ``proj4string`` and ``time_zone`` are columns, so the export alone is enough to import it again.
+        """
         row = self._row(pgtraj)
         steps = lay_out(self._steps(pgtraj), BURST, ("seq",)) if row["type_i"] else Laid(self._steps(pgtraj), BURST, ("seq",))
         named = exporting.trajectory_kind(self._steps(pgtraj))[1]
         kind = TYPE_I if row["type_i"] else TYPE_II
-        return exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, named)
+        long = exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, named)
+        return long.withColumns({c: F.lit(row[c]).cast("string") for c in ("proj4string", "time_zone")})
 
     def pgtraj_summary(self) -> DataFrame:
         stored = self.table("pgtraj").filter("infolocs IS NOT NULL")
@@ -404,9 +415,10 @@ class TrajectoryStore:
             view = step_view(steps, row["srid"], self.infolocs(pgtraj))
             self._replace(view.repartitionByRange("date").sortWithinPartitions("date"), name)
         if force or not self._has("burst_view"):
-            self._replace(self._burst_view(), "burst_view")
+            self._replace(self._burst_lines(), "burst_lines")
+            self._replace(lines.burst_view(self._living("step"), self.table("burst_lines")), "burst_view")
 
-    def _burst_view(self) -> DataFrame:
+    def _burst_lines(self) -> DataFrame:
         """Burst lines in longitude/latitude; every pgtraj of the schema must be projected."""
         if not self.table("pgtraj").filter("srid IS NULL OR srid = 0").isEmpty():
             raise ValueError("cannot show unprojected relocations (SRID 0)")
@@ -463,7 +475,7 @@ class TrajectoryStore:
                         self._drop_partition(name, *held)
 
     def _drop_views(self, pgtraj: str) -> None:
-        for name in (f"step_view_{pgtraj}", "burst_view"):
+        for name in (f"step_view_{pgtraj}", "burst_view", "burst_lines"):
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
 
     def _drop_version(self, pgtraj: str, version: str, infolocs: str | None) -> None:

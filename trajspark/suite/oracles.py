@@ -160,6 +160,11 @@ ORACLES["steps_type1"] = with_(
     f"""SELECT rid, lead(rid) OVER w AS rid2, CAST(NULL AS BIGINT) AS dt_us, lead(x) OVER w AS x2, lead(y) OVER w AS y2
 FROM reloc WINDOW w AS (PARTITION BY {BURST} ORDER BY rid)""",
 )
+ORACLES["relocations_type1_points"] = with_(
+    reloc(),
+    f"""SELECT rid, lead(rid) OVER w AS rid2, CAST(NULL AS BIGINT) AS us, CAST(3395 AS INTEGER) AS srid, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+FROM reloc WINDOW w AS (PARTITION BY {BURST} ORDER BY rid)""",
+)
 ORACLES["steps_heavy_ties"] = with_(steps(SUPPLIERS), "SELECT animal_name, rid, rid2, dt_us FROM step")
 COMPUTED = (
     params()
@@ -245,7 +250,10 @@ names AS (SELECT DISTINCT {BURST} FROM reloc)""",
        {r("ly", "last_y", 9)}, {r("len", "length", 9)} FROM names LEFT JOIN lines USING ({BURST})""",
 )
 ORACLES["burst_lines"] = BURST_LINES
-ORACLES["bursts_by_name"] = f"SELECT * FROM ({BURST_LINES}) WHERE burst_name IN ('a1-click', 'a2-error', 'nobody')"
+ORACLES["bursts_by_name"] = f"""
+SELECT pgtraj_name, animal_name, burst_name, num_relocations, num_na, n_points, CASE WHEN n_points > 0 THEN length END AS length
+FROM ({ORACLES["burst_summary"]}) JOIN ({BURST_LINES}) USING (pgtraj_name, burst_name)
+WHERE burst_name IN ('a1-click', 'a2-error', 'nobody')"""
 ORACLES["animal_lines"] = "WITH " + joined_lines("pgtraj_name, animal_name")
 ORACLES["distinct_bursts"] = "SELECT DISTINCT concat('a', user_id, '-', event_type) AS burst_name FROM events"
 ORACLES["distinct_animals"] = "SELECT DISTINCT concat('a', user_id) AS animal_name FROM events"
@@ -354,6 +362,11 @@ ORACLES["export_type1"] = with_(
     f"""SELECT pgtraj_name, seq, x, y, row_number() OVER (PARTITION BY pgtraj_name ORDER BY burst_name, seq) AS date,
        {EXPORTED.format(dt="CASE WHEN rid2 IS NOT NULL THEN 1e0 END AS dt")}, animal_name AS id, burst_name AS burst FROM par""",
 )
+ORACLES["export_type1_named"] = with_(
+    params(reloc(), at="rid"),
+    f"""SELECT pgtraj_name, seq, x, y, rid * 2 AS date, {EXPORTED.format(dt="CASE WHEN rid2 IS NOT NULL THEN 1e0 END AS dt")},
+       animal_name AS id, burst_name AS burst FROM par""",
+)
 ORACLES["export_nested"] = with_(
     params(),
     """SELECT pgtraj_name, animal_name AS id, burst_name AS burst, count(*) AS n_rows, round(coalesce(sum(dist), 0e0), 6) AS way,
@@ -389,8 +402,47 @@ ORACLES["store_summaries"] = with_(
 bursts AS (
   SELECT {BURST}, count(*) AS num_relocations, count(*) - count(x) AS num_na, min(fix_at) AS date_begin
   FROM reloc WHERE pgtraj_name <> 'p2' GROUP BY ALL),
-groups AS (SELECT pgtraj_name, count(DISTINCT burst_name) AS num_bursts, max(fix_at) AS latest_date FROM reloc GROUP BY 1)""",
-    "SELECT *, concat('infolocs_', pgtraj_name) AS infolocs_table FROM bursts JOIN groups USING (pgtraj_name)",
+groups AS (SELECT pgtraj_name, count(DISTINCT burst_name) AS num_bursts, max(fix_at) AS latest_date FROM reloc
+           WHERE pgtraj_name <> 'p2' GROUP BY 1)""",
+    """SELECT *, num_relocations - num_na AS n_points, concat('infolocs_', pgtraj_name) AS infolocs_table
+FROM bursts JOIN (SELECT *, row_number() OVER (ORDER BY pgtraj_name) AS pgtraj_id FROM groups) USING (pgtraj_name)""",
+)
+ORACLES["store_burst_lines"] = with_(
+    reloc()
+    + f""",
+placed AS (SELECT * REPLACE ({longlat("x", "y")[0]} AS x, {longlat("x", "y")[1]} AS y), x AS mx, y AS my FROM reloc WHERE x IS NOT NULL),
+way AS (
+  SELECT *, sqrt((mx - lag(mx) OVER w) ** 2 + (my - lag(my) OVER w) ** 2) AS d FROM placed
+  WINDOW w AS (PARTITION BY {BURST} ORDER BY us, rid)),
+lines AS (
+  SELECT {BURST}, count(*) AS n, first(x ORDER BY us, rid) AS fx, first(y ORDER BY us, rid) AS fy, last(x ORDER BY us, rid) AS lx,
+         last(y ORDER BY us, rid) AS ly, coalesce(sum(d), 0e0) AS len
+  FROM way GROUP BY ALL),
+names AS (SELECT DISTINCT {BURST} FROM reloc)""",
+    f"""SELECT {BURST}, coalesce(n, 0) AS n_points, {r("fx", "first_x", 9)}, {r("fy", "first_y", 9)}, {r("lx", "last_x", 9)},
+       {r("ly", "last_y", 9)}, {r("len", "length", 9)} FROM names LEFT JOIN lines USING ({BURST})""",
+)
+ORACLES["store_export_import"] = with_(
+    params(fill="pgtraj"),
+    f"""SELECT seq, x, y, date_trunc('second', fix_at) + INTERVAL 1 HOUR AS date, {r("dist", "dist")}, {r("r2n", "R2n")},
+       animal_name AS id, burst_name AS burst, '{PROJ}' AS proj4string, 'Europe/Paris' AS time_zone FROM par WHERE pgtraj_name = 'p3'""",
+)
+ORACLES["store_transfer"] = with_(
+    params(fill="pgtraj"),
+    f"""SELECT x, y, {r("dx", "dx")}, {r("dy", "dy")}, {r("r2n", "r2n")}, {r("rel_angle", "rel_angle")}, animal_name, burst_name AS burst
+FROM par WHERE pgtraj_name = 'p2'""",
+)
+ORACLES["store_import_type1"] = with_(
+    params(reloc(), at="rid"),
+    f"""SELECT seq, x, y, row_number() OVER (ORDER BY burst_name, seq) AS date, CASE WHEN rid2 IS NOT NULL THEN 1e0 END AS dt,
+       {r("dist", "dist")}, animal_name AS id, burst_name AS burst, '+proj=tmerc +lat_0=49 +lon_0=-2 +ellps=airy' AS proj4string
+FROM par WHERE pgtraj_name = 'p1'""",
+)
+ORACLES["store_page"] = with_(
+    params(fill="pgtraj") + STORED_INFO,
+    f"""SELECT gid AS step_id, fix_at AS date, {r("dist", "dist")}, {r("dt", "dt")}, animal_name, burst_name, i.k
+FROM par JOIN info i ON rid = i.event_id
+WHERE pgtraj_name = 'p2' AND x IS NOT NULL AND x2 IS NOT NULL AND fix_at >= TIMESTAMP '2024-01-04' AND fix_at < TIMESTAMP '2024-01-06'""",
 )
 
 # -- reference systems, layers, sensors
@@ -420,6 +472,7 @@ SELECT concat('s', user_id % 5) AS sensor, CAST(event_id AS INTEGER) AS line_no,
        strftime(ts, '%d/%m/%Y') AS lmt_date, value AS latitude, CAST(user_id * 10 AS INTEGER) AS easting, event_type AS remarks,
        date_trunc('second', ts) AS acquired
 FROM events"""
+ORACLES["gps_files"] = ORACLES["gps_fixes"]
 
 # -- reshaping
 STEP4, STEP6 = 4 * HOUR_US, 6 * HOUR_US

@@ -20,7 +20,7 @@ from trajspark.operators.infolocs import InfoType
 from trajspark.operators.parameters import FILL_PGTRAJ, step_parameters, stored_parameters
 from trajspark.operators.steps import TYPE_I, build_steps, computed_steps, step_geometry
 from trajspark.sources import gps, layers, tables
-from trajspark.store import TrajectoryStore
+from trajspark.store import TrajectoryStore, transfer
 from trajspark.suite import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,8 +216,9 @@ def animal_lines(spark, sf):
 
 @query
 def bursts_by_name(spark, sf):
-    found = summary.bursts_by_name(lines.burst_lines(fx.relocations(spark, sf)), ["a1-click", "a2-error", "nobody"])
-    return _line_facts(found, "pgtraj_name", "burst_name")
+    bound = fx.relocations(spark, sf)
+    found = summary.bursts_by_name(lines.burst_view(bound, lines.burst_lines(bound)), ["a1-click", "a2-error", "nobody"])
+    return found.select("pgtraj_name", "animal_name", "burst_name", "num_relocations", "num_na", "n_points", rounded("length", 9))
 
 
 @query
@@ -449,8 +450,57 @@ def store_summaries(spark, sf):
     store = _store(spark, sf)
     store.drop("p2")
     store.create_views("p1")
-    found = store.table("burst_view").filter("part = 0").select("pgtraj_name", "burst_name", "num_relocations", "num_na", "date_begin")
-    return found.join(store.pgtraj_summary().select("pgtraj_name", "num_bursts", "latest_date", "infolocs_table"), "pgtraj_name")
+    found = store.table("burst_view").select("pgtraj_name", "burst_name", "num_relocations", "num_na", "date_begin", "n_points")
+    groups = store.pgtraj_summary().select("pgtraj_id", "pgtraj_name", "num_bursts", "latest_date", "infolocs_table")
+    return found.join(groups, "pgtraj_name")
+
+
+@query
+def store_burst_lines(spark, sf):
+    """The written lines of all bursts, in longitude/latitude."""
+    store = _store(spark, sf)
+    store.create_views("p0")
+    return _line_facts(store.table("burst_lines"), "pgtraj_name", "burst_name")
+
+
+@query
+def store_export_import(spark, sf):
+    """An export alone is enough: projection and zone travel with it."""
+    store = _store(spark, sf)
+    store.import_trajectory(store.export("p3").withColumn("r.row.names", F.col("seq").cast("string")), "copy")
+    again = store.export("copy")
+    return again.select("seq", "x", "y", "date", rounded("dist"), rounded("R2n"), "id", "burst", "proj4string", "time_zone")
+
+
+@query
+def store_transfer(spark, sf):
+    """One pgtraj copied to a second store, twice, the second time over the first."""
+    source = _store(spark, sf)
+    target = TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
+    transfer(source, target, "p2")
+    transfer(source, target, "p2")
+    return target.parameters("p2").select("x", "y", rounded("dx"), rounded("dy"), rounded("r2n"), rounded("rel_angle"), "animal_name", "burst")
+
+
+@query
+def store_import_type1(spark, sf):
+    """Rows without times in no order, in a system of unknown formulas: the integer date orders them."""
+    store = TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
+    named = export.export_long(fx.parameters(spark, sf, kind=TYPE_I), None, kind=TYPE_I, named=False).filter("pgtraj_name = 'p1'")
+    rows = named.drop("pgtraj_name", "seq", "burst_order").withColumn("date", F.col("date").cast("int"))
+    store.import_trajectory(rows.orderBy(F.xxhash64("date")), "grid", proj4string="+proj=tmerc +lat_0=49 +lon_0=-2 +ellps=airy", type_i=True)
+    again = store.export("grid")
+    return again.select("seq", "x", "y", "date", "dt", rounded("dist"), "id", "burst", "proj4string")
+
+
+@query
+def store_page(spark, sf):
+    """The third page of a day after the start, from the written view."""
+    store = _store(spark, sf)
+    store.create_views("p2")
+    store.create_views("p2", force=True)
+    found = windows.page(store.view("p2"), fx.START, timedelta(days=2), timedelta(days=1), 3, ["k"])
+    return found.select("step_id", "date", rounded("dist"), rounded("dt"), "animal_name", "burst_name", "k")
 
 
 # -- reference systems, layers, sensors -------------------------------------------------------------------
@@ -524,8 +574,21 @@ def layer_to_longlat(spark, sf):
 
 
 @query
-def gps_fixes(spark, sf):
-    """Events written as sensor file lines and read back."""
+def relocations_type1_points(spark, sf):
+    source = fx.fixes(spark, sf).withColumn("geom", F.struct("x", "y", F.lit(fx.SRID).alias("srid")))
+    bound = tables.bind_relocations(source, relocations="geom", pgtraj="grp", animal="animal", burst="burst", rid="event_id", time_zone=fx.ZONE)
+    return build_steps(bound, TYPE_I).rows().select("rid", "rid2", "us", "srid", "x2", "y2")
+
+
+@query
+def export_type1_named(spark, sf):
+    """Row names that are all given become the date of a Type I export."""
+    laid = fx.parameters(spark, sf, kind=TYPE_I)
+    laid = laid.on(laid.df.withColumn("r_rowname", (F.col("rid") * 2).cast("string")))
+    return _exported(export.export_long(laid, fx.ZONE))
+
+
+def _sensor_lines(spark, sf):
     events = fx.table(spark, sf, "events")
     short = F.date_format("ts", "dd/MM/yy")
     values = {
@@ -534,12 +597,29 @@ def gps_fixes(spark, sf):
         "latitude": F.col("value").cast("string"), "easting": (F.col("user_id") * 10).cast("string"), "remarks": F.col("event_type"),
     }
     line = F.concat_ws(";", *[values.get(c, F.lit("")) for c in gps.FIX_COLUMNS])
-    sensors = events.select(line.alias("line"), F.concat(F.lit("s"), (F.col("user_id") % 5).cast("string")).alias("sensor"))
-    parsed = gps.parse_fixes(sensors)
+    return events.select(line.alias("line"), F.concat(F.lit("s"), (F.col("user_id") % 5).cast("string")).alias("sensor"))
+
+
+def _shown_fixes(parsed):
     at = gps.fix_time(F.col("utc_date"), F.col("utc_time"))
     return parsed.select("sensor", "line_no", "utc_date", "lmt_date", "latitude", "easting", "remarks", at.alias("acquired"))
 
 
+@query
+def gps_fixes(spark, sf):
+    """Events as sensor file lines, parsed."""
+    return _shown_fixes(gps.parse_fixes(_sensor_lines(spark, sf)))
+
+
+@query
+def gps_files(spark, sf):
+    """Events written as the files of five sensors, each with a header, and read back from them."""
+    folder = settings.new_folder(spark, "sensors")
+    _sensor_lines(spark, sf).write.partitionBy("sensor").option("lineSep", "\n").format("csv").options(
+        header=True, quote="", escapeQuotes=False, sep="\u0001").save(folder)
+    return _shown_fixes(gps.read_sensors(spark, {f"s{i}": f"{folder}/sensor=s{i}" for i in range(5)}))
+
+
 # -- reshaping --------------------------------------------------------------------------------------------
 
 
