@@ -51,12 +51,12 @@ class Model:
 
 
 def model_tables(relocations: DataFrame, kind: int = TYPE_II) -> Model:
-    """All model tables of bound relocations, as projections of the numbered steps, which are written once."""
+    """All model tables of bound relocations: projections of the numbered steps, the bursts and pgtrajs, each written once."""
     groups = lay_out(pgtraj_rows(relocations), (), ("pgtraj_name",))
-    pgtraj = with_prefix(groups, id=RowNumber()).rows()
+    pgtraj = write_through(with_prefix(groups, id=RowNumber()).rows(), "pgtraj")
     rows = write_through(with_step_ids(build_steps(relocations, kind, numbered=True)).rows(), "steps")
     bursts = rows.groupBy(*BURST).agg(F.min("burst_id").alias("id"), F.min("animal_name").alias("animal_name"))
-    bursts = bursts.join(pgtraj.select("pgtraj_name", F.col("id").alias("pgtraj_id")), "pgtraj_name")
+    bursts = write_through(bursts.join(pgtraj.select("pgtraj_name", F.col("id").alias("pgtraj_id")), "pgtraj_name"), "bursts")
     return Model(
         pgtraj=pgtraj.select("id", "pgtraj_name", "proj4string", "time_zone", "note"),
         animal_burst=bursts.select("id", "burst_name", "animal_name", "pgtraj_id"),

@@ -177,15 +177,16 @@ def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
     """Rebuild each burst with a constant step length; times are interpolated, the rest shorter than a step is left.
 
     Each point depends on the one before, so a burst is walked in order. Bursts that fit a task are walked
-    in parallel. A larger burst is walked segment by segment: one job takes the next segment of every such burst,
-    and only the walking position (one row per large burst) passes from job to job.
+    in parallel. A larger burst is walked segment by segment: its segments are written once under their turn, one job reads
+    the next segment of every such burst, and only the walking position (one row per large burst) passes from job to job.
+    Tasks hand on points in chunks, so a length far shorter than the steps needs no more memory.
     """
     if length <= 0:
         raise ValueError("length must be positive")
     keys = list(BURST)
     laid = ordered(omit_missing(relocations).filter(F.col("us").isNotNull()))
     columns, fields = relocations.columns, _nullable(relocations.schema)
-    whole_bursts, one_segment = walkers(length, BURST, columns)
+    whole_bursts, continued = walkers(length, BURST, columns)
     small = laid.df.filter(F.col(SEGMENT) == 0) if laid.split else laid.df
     tasks = int(relocations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     small = small.select(*columns).repartition(tasks, *keys).sortWithinPartitions(*keys, "us", "rid")
@@ -205,10 +206,15 @@ def redistribute_space(relocations: DataFrame, length: float) -> DataFrame:
     step_schema = T.StructType([*fields, T.StructField("_is_state", T.BooleanType()), *state_fields])
 
     folder = settings.new_folder(spark, "walk")
+    queued = settings.new_folder(spark, "walk-turns")
+    turned = large.join(settings.broadcast_if(ranks, laid.segments), laid.groups)
+    turned.select(*columns, "_turn").write.partitionBy("_turn").parquet(queued)
+    queue_schema = T.StructType(fields)
     for turn in range(1, turns + 1):
-        now = large.join(ranks.filter(F.col("_turn") == turn).select(*laid.groups), laid.groups, "left_semi")
-        now = now.select(*columns).join(settings.broadcast_if(states, laid.segments), keys, "left")
-        now.groupBy(*keys).applyInPandas(one_segment, step_schema).write.parquet(f"{folder}/turn={turn}")
+        now = spark.read.schema(queue_schema).parquet(f"{queued}/_turn={turn}")
+        now = now.join(settings.broadcast_if(states, laid.segments), keys, "left")
+        now = now.repartition(tasks, *keys).sortWithinPartitions(*keys, "us", "rid")
+        now.mapInPandas(continued, step_schema).write.parquet(f"{folder}/turn={turn}")
         states = spark.read.schema(step_schema).parquet(f"{folder}/turn={turn}").filter("_is_state").select(*state_schema.names)
     walked = spark.read.schema(step_schema).parquet(folder).filter(~F.col("_is_state")).select(*columns)
     return walk_small.unionByName(walked)
