@@ -1,6 +1,6 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index is partitioned by document. Each segment holds some whole documents (about 2 MB of text): its terms as sorted 64-bit hashes, how often
+The index is partitioned by document. Each segment holds some whole documents (about 4 MB of text): its terms as sorted 64-bit hashes, how often
 each occurs, and the positions of all occurrences, term by term. Positions run on from document to document with a gap
 that no phrase spans. The index is written to the shared folder and serves any number of benchmarks.
 
@@ -30,7 +30,7 @@ from trajspark.llm.common import saved
 from trajspark.llm.words import ALPHANUMERIC, Texts, Words, chunks
 
 PHRASE = 10
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 4 << 20
 GAP = 1024
 BLOCK_WORDS = 500_000
 _SEGMENT = (
@@ -81,7 +81,7 @@ class Phrases:
     names: list
 
 
-def phrases_of(items: list[tuple[object, str | None]], size: int) -> Phrases:
+def phrases_of(items: list[tuple[str, str | None]], size: int) -> Phrases:
     words = Words(Texts(pa.array([t for _, t in items], pa.large_string())), ALPHANUMERIC, lower=True)
     terms, codes = np.unique(words.hashes(), return_inverse=True)
     counts = np.diff(words.bounds)
@@ -106,25 +106,27 @@ def find_phrases(terms, counts, positions, phrases: Phrases, slop: int) -> Itera
     here = terms[at] == phrases.terms
     often = np.where(here, counts[at], 0)
     possible = ((phrases.grid < 0) | here[phrases.grid]).all(axis=1)
+    begin = ends - counts
     for p in np.flatnonzero(possible):
         row = phrases.grid[p]
         row = row[row >= 0]
-        rising = np.argsort(often[row], kind="stable")
-        found, matched = None, np.zeros(0)
-        for offset in rising:
-            t = at[row[offset]]
-            postings = positions[ends[t] - counts[t] : ends[t]].astype(np.int64)
-            if found is None:
-                found = postings - offset
-                matched = np.empty((len(found), len(row)), dtype=np.int64)
-                matched[:, offset] = postings
-                continue
-            near = _nearest(postings, found + offset)
-            good = np.abs(near - found - offset) <= slop
-            found, matched = found[good], matched[good]
-            matched[:, offset] = near[good]
-            if not len(found):
-                break
+        rising = np.argsort(often[row], kind="stable").tolist()
+        first, place = rising[0], at[row].tolist()
+        found = positions[begin[place[first]] : ends[place[first]]].astype(np.int64) - first
+        matched = found[:, None] + np.arange(len(row))
+        for offset in rising[1:]:
+            postings = positions[begin[place[offset]] : ends[place[offset]]]
+            if slop:
+                near = _nearest(postings.astype(np.int64), found + offset)
+                matched[:, offset] = near
+                good = np.abs(near - found - offset) <= slop
+            else:
+                wanted = found + offset
+                good = postings[np.minimum(np.searchsorted(postings, wanted), len(postings) - 1)] == wanted
+            if not good.all():
+                found, matched = found[good], matched[good]
+                if not len(found):
+                    break
         if len(found):
             yield int(p), matched
 
@@ -136,7 +138,7 @@ def _nearest(postings: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(np.abs(above - wanted) <= np.abs(below - wanted), above, below)
 
 
-def search_index(index: DataFrame, items: list[tuple[object, str | None]], item_kind: str, size: int = PHRASE, slop: int = 0) -> DataFrame:
+def search_index(index: DataFrame, items: list[tuple[str, str | None]], size: int = PHRASE, slop: int = 0) -> DataFrame:
     """Per document of the index: segment, place in it, doc_id, n_words, ``hit`` (offsets of its hit words) and ``items``."""
     if size + 2 * slop > GAP:
         raise ValueError(f"phrases may span at most {GAP} words")
@@ -148,7 +150,7 @@ def search_index(index: DataFrame, items: list[tuple[object, str | None]], item_
             for i in range(batch.num_rows):
                 yield _searched(batch.slice(i, 1), phrases.value, slop)
 
-    schema = f"segment string, place int, doc_id {kind}, n_words int, hit array<int>, items array<{item_kind}>"
+    schema = f"segment string, place int, doc_id {kind}, n_words int, hit array<int>, items array<string>"
     return index.mapInArrow(run, schema)
 
 
@@ -170,7 +172,7 @@ def _searched(row: pa.RecordBatch, phrases: Phrases, slop: int) -> pa.RecordBatc
     names = [phrases.names[i] for i in pairs[:, 1].tolist()]
     lists = [
         pa.ListArray.from_arrays(pa.array(np.searchsorted(who, np.arange(n + 1)), pa.int32()), values)
-        for who, values in ((of, pa.array((hit - starts[of] if len(hit) else hit), pa.int32())), (pairs[:, 0], pa.array(names)))
+        for who, values in ((of, pa.array((hit - starts[of] if len(hit) else hit), pa.int32())), (pairs[:, 0], pa.array(names, pa.string())))
     ]
     return pa.record_batch(
         [pa.array([cell["segment"].as_py()] * n, pa.string()), pa.array(np.arange(n), pa.int32()), cell["doc_ids"].values,
@@ -179,7 +181,7 @@ def _searched(row: pa.RecordBatch, phrases: Phrases, slop: int) -> pa.RecordBatc
     )
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[object, str | None]]]:
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, str | None]]]:
     block, size = [], 0
     for name, text in benchmark.toLocalIterator():
         block.append((name, text))
@@ -197,7 +199,7 @@ def contamination(
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     index = build_index(docs, id_col, text_col)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
-    found = [search_index(index, block, "string", size, slop) for block in _blocks(items, block_words)]
+    found = [search_index(index, block, size, slop) for block in _blocks(items, block_words)]
     rows = found[0]
     if len(found) > 1:
         for more in found[1:]:
