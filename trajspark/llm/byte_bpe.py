@@ -205,6 +205,11 @@ class ByteBpe:
                 here = here[turn % 2 == 0]
                 right = after[here]
             beyond = after[right]
+            side = np.flatnonzero(beyond[:-1] == here[1:])  # one by one, such a merge stands beside its neighbour's first symbol
+            if len(side):
+                early = self.merged(np.full(len(side), rank), symbols[beyond[side]])
+                if (early < rank).any():
+                    again.append(here[side[early < rank]])
             symbols[here], symbols[right] = rank, -1
             rank_at[right] = none
             after[here], before[beyond] = beyond, here
