@@ -68,11 +68,11 @@ def size_class(size: Column) -> Column:
 def numbered(rows: DataFrame, group: str, order: list[str], label: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``number``, gapless from 0 in each group, without a task that holds a whole group.
 
-    Rows are dealt into slices by a hash of the order columns, slices are counted first, and a row's number is its slice's
+    There are only as many groups as shards or size classes, so their sizes are broadcast. Rows are dealt into slices by a hash of the order columns, slices are counted first, and a row's number is its slice's
     offset plus its position there.
     """
     sizes = rows.groupBy(group).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / slice_rows)).cast("long").alias("_slices"))
-    sliced = rows.join(sizes, group).withColumn("_slice", F.pmod(F.xxhash64(*order), F.col("_slices"))).drop("_slices")
+    sliced = rows.join(F.broadcast(sizes), group).withColumn("_slice", F.pmod(F.xxhash64(*order), F.col("_slices"))).drop("_slices")
     sliced = saved(sliced, f"{label}-slices")
     counts = sliced.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow))
