@@ -3,7 +3,8 @@
 A document is bad when a label says that its quality is 0 or that it is toxic. Two logistic models judge it from separate views: its text (hashed words
 and beginnings of words, and the shape of the text) and its metadata (language, source, length). Each round both are fitted, all documents without a label are
 scored, and what one view is sure of becomes a pseudo-label for the other. At the end each view is calibrated on labelled documents that no
-model saw, and the calibrated views are added up as log-odds. All documents are scored by the result.
+model saw, and the calibrated views are added up as log-odds. All documents are scored by the result; those whose probability of
+being good is below 0.6 are rejected.
 
 Feature counts cover all labelled documents; the features that tell most (by the log-likelihood ratio of their counts) enter a view.
 The weights are fitted on the driver on a sample of at most about ``train_rows`` labelled and as many pseudo-labelled rows; that is
@@ -36,6 +37,7 @@ TOP_FEATURES = 1024
 TRAIN_ROWS = 10_000
 ROUNDS = 2
 SURE = 0.98
+LEAST_GOOD = 0.6  # documents whose probability of being good is below are rejected
 FOLDS = 5  # one of so many parts of the labels calibrates
 LEAST_G = 10.83  # chi-square with one degree of freedom at 0.001
 
@@ -113,16 +115,17 @@ class Model:
     text: View
     meta: View
     prior: float  # log-odds of being bad
+    limit: float = float(np.log(1 / LEAST_GOOD - 1))  # documents with larger log-odds are rejected
 
     def bad_odds(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
         return text * self.text.scale + self.text.shift + meta * self.meta.scale + self.meta.shift - self.prior
 
 
-def fit_logistic(rows: np.ndarray, bad: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
+def fit_logistic(rows: np.ndarray, bad: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Weights and, last, the bias; Newton steps over blocks of rows with a ridge on the weights."""
     n, d = rows.shape
     weights = np.zeros(d + 1)
-    keep = np.append(np.full(d, ridge * n), 1e-9 * n)
+    keep = np.append(np.full(d, ridge), 1e-9 * n)
     for _ in range(12):
         slope, bend = keep * weights, np.diag(keep).astype(np.float32)
         for at in range(0, n, 2000):
@@ -302,7 +305,7 @@ def train(
     if not 0 < mine[1] < mine[0]:
         odds = float(np.log(bad / (n - bad))) if 0 < bad < n else (30.0 if n and bad == n else -30.0)
         flat = [View(np.zeros(s, np.float32), odds) for s in (TEXT_SIZE, META_SIZE)]
-        return Model(*flat, odds)
+        return Model(*flat, odds, float("-inf") if n and bad == n else float("inf"))
     prior = float(np.log(bad / (n - bad)))
     unlabelled = features.join(judged, "doc_id", "left_anti")
     pseudo: dict[str, DataFrame | None] = {"text": None, "meta": None}
@@ -344,7 +347,7 @@ def score_documents(
             for part, texts in _parts(batch):
                 odds = [np.clip(o, -500, 500) for o in _judge(shared.value, part, texts)]
                 good = [pa.array(1 / (1 + np.exp(o))) for o in odds]
-                yield pa.record_batch([part.column(0), *good, pa.array(odds[2] <= 0)], ["doc_id", "text_score", "meta_score", "score", "kept"])
+                yield pa.record_batch([part.column(0), *good, pa.array(odds[2] <= shared.value.limit)], ["doc_id", "text_score", "meta_score", "score", "kept"])
 
     kind = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, kept boolean")
@@ -362,7 +365,7 @@ def keep_good(
         for batch in batches:
             for part, texts in _parts(batch):
                 _, _, odds = _judge(shared.value, part.select(list(range(part.num_columns - 1))), texts)
-                yield pa.record_batch([part.column(part.num_columns - 1).filter(pa.array(odds <= 0))], ["row"])
+                yield pa.record_batch([part.column(part.num_columns - 1).filter(pa.array(odds <= shared.value.limit))], ["row"])
 
     kept = own.mapInArrow(run, f"row {own.schema['row'].dataType.simpleString()}")
     return kept.select("row.*")
