@@ -39,6 +39,8 @@ MAX_BITS = 4
 SEED = 42
 BLOCK = 50_000
 PIECES = 3
+PRINTS_AT_ONCE = 4_000
+PRINTS_A_TASK = 20_000  # a fingerprint makes some 120 rows
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the Golay code
 
@@ -164,8 +166,8 @@ def fuzzy_buckets(prints: DataFrame) -> DataFrame:
         golay = Golay()
         for batch in batches:
             column = np.asarray(batch.column(0))
-            for start in range(0, len(column), 20_000):
-                part = column[start : start + 20_000]
+            for start in range(0, len(column), PRINTS_AT_ONCE):
+                part = column[start : start + PRINTS_AT_ONCE]
                 rows, keys = bucket_keys(part.view(np.uint64), golay)
                 yield pa.record_batch([pa.array(keys), pa.array(part[rows])], ["key", "fp"])
 
@@ -178,7 +180,8 @@ def near(a, b, bits: int = MAX_BITS):
 
 def fingerprint_components(prints: DataFrame) -> DataFrame:
     """(node, component) for the distinct fingerprints that link to another one."""
-    rows = saved(fuzzy_buckets(prints), "simhash-buckets")
+    tasks = prints.count() // PRINTS_A_TASK + 1
+    rows = saved(fuzzy_buckets(prints.repartition(tasks, "fp")), "simhash-buckets")
     leaders = rows.groupBy("key").agg(F.min("fp").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(rows.join(leaders, "key"), "simhash-members")
     led = members.filter("fp <> leader").filter(near("fp", "leader")).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
@@ -202,7 +205,7 @@ def fingerprint_components(prints: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id that links lead to)."""
     own = saved(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
-    first = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    first = saved(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     linked = fingerprint_components(first)
     grouped = first.join(linked, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
     least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
