@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.llm.common import saved
-from trajspark.llm.words import ALPHANUMERIC, NOT_SPACE, Texts, Words, chunks, mixed, span_hashes
+from trajspark.llm.words import ALPHANUMERIC, Texts, Words, chunks, mixed, span_hashes
 
 WORDS = 1 << 18  # hashed words; the shape features follow
 BEGINNINGS = (4, 5)
@@ -37,50 +37,58 @@ TOP_FEATURES = 1024
 TRAIN_ROWS = 10_000
 ROUNDS = 2
 SURE = 0.98
+CHUNK = 1 << 19  # bytes of text whose features are made at once
 LEAST_GOOD = 0.6  # documents whose probability of being good is below are rejected
 FOLDS = 5  # one of so many parts of the labels calibrates
 LEAST_G = 10.83  # chi-square with one degree of freedom at 0.001
 
 
+# kinds of bytes whose share counts: capitals, marks, digits
+_MARKS = np.zeros(256, dtype=np.uint8)
+_MARKS[33:127] = 2
+_MARKS[48:58] = 3
+_MARKS[65:91] = 1
+_MARKS[97:123] = 0
+
+
 def _share(marked: np.ndarray, texts: Texts) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(marked, dtype=np.int64)])
     return (total[texts.offsets[1:]] - total[texts.offsets[:-1]]) / np.maximum(np.diff(texts.offsets), 1)
 
 
-def _distinct(text: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, value) pairs by text; values are below 2**32."""
-    keys = np.unique(text.astype(np.int64) << 32 | values.astype(np.int64))
-    return keys >> 32, keys & 0xFFFFFFFF
-
-
 def _beginnings(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash of the first ``size`` bytes) of the words that are longer."""
+    """(word, hash of its first ``size`` bytes) of the words that are longer."""
     long = np.flatnonzero(words.ends - words.starts > size)
-    return words.text_of[long], mixed(span_hashes(words.data, words.starts[long], words.starts[long] + size) + np.uint64(size))
+    return long, mixed(span_hashes(words.data, words.starts[long], words.starts[long] + size) + np.uint64(size))
 
 
-def text_features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) pairs, distinct and by text."""
+def text_features(texts: Texts, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) pairs, distinct; only of the features that are marked in ``wanted``, when it is given."""
     n = len(texts.offsets) - 1
-    plain, lower = Words(texts, NOT_SPACE), Words(texts, ALPHANUMERIC, lower=True)
-    hashes, counts = plain.hashes(), np.diff(plain.bounds)
-    at = plain.text_of
-    own, _ = _distinct(at, hashes & np.uint64(0xFFFFFFFF))
+    words = Words(texts, ALPHANUMERIC, lower=True)
+    hashes, counts, at = words.hashes(), np.diff(words.bounds), words.text_of
+    narrow = np.uint32 if n * WORDS < 1 << 32 else np.uint64
+    keys = at.astype(narrow) * narrow(WORDS)
+    mask = np.uint64(WORDS - 1)
+    own = np.unique(keys + (hashes & mask).astype(narrow))
+    parts = [own]
+    for size in BEGINNINGS:
+        who, begun = _beginnings(words, size)
+        parts.append(keys[who] + (begun & mask).astype(narrow))
+    if wanted is not None:
+        parts = [p[wanted[p & narrow(WORDS - 1)]] for p in parts]
+    found = np.unique(np.concatenate(parts)).astype(np.int64)
+
+    distinct = np.bincount((own // narrow(WORDS)).astype(np.int64), minlength=n)
     again = np.bincount(at[1:][(hashes[1:] == hashes[:-1]) & (at[1:] == at[:-1])], minlength=n)
-    data = texts.bytes
-    marks = (data > 32) & (data < 127) & ~(((data >= 48) & (data < 58)) | ((data >= 65) & (data < 91)) | ((data >= 97) & (data < 123)))
-    some = np.maximum(counts, 1)
+    data, some = texts.bytes, np.maximum(counts, 1)
     shapes = (
-        _share((data >= 65) & (data < 91), texts) * 20, _share(marks, texts) * 40, _share((data >= 48) & (data < 58), texts) * 20,
-        np.bincount(own, minlength=n) / some * 15, again / some * 20, np.log2(counts + 1),
+        _share(_MARKS[data] == 1, texts) * 20, _share(_MARKS[data] == 2, texts) * 40, _share(_MARKS[data] == 3, texts) * 20,
+        distinct / some * 15, again / some * 20, np.log2(counts + 1),
     )
     cells = [WORDS + 16 * i + np.clip(s, 0, 15).astype(np.int64) for i, s in enumerate(shapes)]
-    parts = [(lower.text_of, lower.hashes()), *(_beginnings(lower, size) for size in BEGINNINGS)]
-    text, words = _distinct(*(np.concatenate(c) for c in zip(*((t, h & np.uint64(WORDS - 1)) for t, h in parts), strict=True)))
-    text = np.concatenate([text, *[np.arange(n)] * SHAPES])
-    found = np.concatenate([words, *cells])
-    order = np.argsort(text, kind="stable")
-    return text[order], found[order]
+    text = np.concatenate([found // WORDS, *[np.arange(n)] * SHAPES])
+    return text, np.concatenate([found % WORDS, *cells])
 
 
 def meta_features(columns: list[pa.Array], n_chars: pa.Array) -> np.ndarray:
@@ -156,14 +164,18 @@ def calibrate(scores: np.ndarray, bad: np.ndarray, count: np.ndarray) -> tuple[f
     return max(scale, 0.0), float(shift)
 
 
-def _features(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str], length_col: str) -> DataFrame:
-    """(doc_id, text features, metadata features) of every document, written to the shared folder."""
+def _features(
+    docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str], length_col: str, wanted: np.ndarray | None = None
+) -> DataFrame:
+    """(doc_id, text features, metadata features) of every document; of the hashed words only those ``wanted``."""
     own = _columns(docs, id_col, text_col, meta_cols, length_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _parts(batch):
-                row, feature = text_features(texts)
+                row, feature = text_features(texts, wanted)
+                order = np.argsort(row, kind="stable")
+                row, feature = row[order], feature[order]
                 bounds = pa.array(np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32))
                 meta = meta_features(part.columns[3:], part.column(2))
                 lists = pa.array(np.arange(len(part) + 1, dtype=np.int32) * meta.shape[1])
@@ -172,17 +184,17 @@ def _features(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str],
                      pa.ListArray.from_arrays(lists, pa.array(meta.ravel().astype(np.int32)))], ["doc_id", "text", "meta"])
 
     kind = own.schema["doc_id"].dataType.simpleString()
-    return saved(own.mapInArrow(run, f"doc_id {kind}, text array<int>, meta array<int>"), "quality-features")
+    return own.mapInArrow(run, f"doc_id {kind}, text array<int>, meta array<int>")
 
 
-def _columns(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str], length_col: str, *more: Column) -> DataFrame:
+def _columns(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str], length_col: str) -> DataFrame:
     extra = [F.col(c).cast("string").alias(f"meta_{i}") for i, c in enumerate(meta_cols)]
     length = F.col(length_col).cast("long").alias("n_chars")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), length, *extra, *more)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), length, *extra)
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    for start, stop, texts in chunks(batch, "text"):
+    for start, stop, texts in chunks(batch, "text", CHUNK):
         yield batch.slice(start, stop - start), texts
 
 
@@ -216,17 +228,20 @@ def _told(n: Column, n_bad: Column, all_: int, bad: int) -> Column:
         + part(good - (n - n_bad), (all_ - n) * good / all_))
 
 
-def _fit(labelled: DataFrame, pseudo: DataFrame | None, view: str, size: int, top: int, train_rows: int) -> View:
-    """A view fitted on a bounded sample, with features chosen by counts over all labelled rows."""
-    total = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("int")).alias("bad")).first()
-    told = _told(F.col("n").cast("double"), F.col("n_bad").cast("double"), total["n"], total["bad"])
-    chosen = _counts(labelled, view, size).select("feature", told.alias("told")).filter(F.col("told") > LEAST_G)
-    chosen = sorted(r["feature"] for r in chosen.orderBy(F.desc("told"), "feature").limit(top).collect())
+def _chosen(labelled: DataFrame, n: int, bad: int, view: str, size: int, top: int) -> list[int]:
+    """The features that tell most about the labelled rows, by counts over all of them."""
+    told = _told(F.col("n").cast("double"), F.col("n_bad").cast("double"), n, bad)
+    found = _counts(labelled, view, size).select("feature", told.alias("told")).filter(F.col("told") > LEAST_G)
+    return sorted(r["feature"] for r in found.orderBy(F.desc("told"), "feature").limit(top).collect())
+
+
+def _fit(labelled: DataFrame, pseudo: DataFrame | None, n: int, prior: float, view: str, size: int, chosen: list[int], train_rows: int) -> View:
+    """A view fitted on a bounded sample of the labelled rows (``n`` in all) and of the pseudo-labelled."""
     if not chosen:
-        return View(np.zeros(size, np.float32), float(np.log(total["bad"] / (total["n"] - total["bad"]))))
+        return View(np.zeros(size, np.float32), prior)
     column = np.full(size, -1, dtype=np.int32)
     column[chosen] = np.arange(len(chosen))
-    rows = [_sampled(labelled, total["n"], train_rows)]
+    rows = [_sampled(labelled, n, train_rows)]
     if pseudo is not None:
         rows.append(_sampled(pseudo, pseudo.count(), train_rows))
 
@@ -243,8 +258,8 @@ def _fit(labelled: DataFrame, pseudo: DataFrame | None, view: str, size: int, to
     for i, r in enumerate(taken):
         matrix[i, r["cells"]] = 1
         bad[i] = r["bad"]
-    if bad.min() == bad.max():
-        return View(np.zeros(size, np.float32), float(np.log(total["bad"] / (total["n"] - total["bad"]))))
+    if not len(bad) or bad.min() == bad.max():
+        return View(np.zeros(size, np.float32), prior)
     found = fit_logistic(matrix, bad)
     weights = np.zeros(size, dtype=np.float32)
     weights[chosen] = found[:-1]
@@ -295,9 +310,9 @@ def train(
         F.max((F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")).alias("bad"),
         F.max((F.col("quality").isNotNull() | F.col("toxic").isNotNull()).cast("int")).alias("known")).filter("known = 1")
     judged = judged.select("doc_id", (F.col("bad") == 1).alias("bad"))
-    features = _features(docs, id_col, text_col, list(meta_cols), length_col)
-    marked = features.join(judged, "doc_id")
-    marked = saved(marked.withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0), "quality-labelled")
+    source = (docs, id_col, text_col, list(meta_cols), length_col)
+    marked = _features(*source).join(judged, "doc_id").withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0)
+    marked = saved(marked, "quality-labelled")
     seen = marked.groupBy("held").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("int")).alias("bad")).collect()
     n, bad = sum(r["n"] for r in seen), sum(r["bad"] for r in seen)
     labelled, held = marked.filter("not held"), marked.filter("held")
@@ -307,11 +322,14 @@ def train(
         flat = [View(np.zeros(s, np.float32), odds) for s in (TEXT_SIZE, META_SIZE)]
         return Model(*flat, odds, float("-inf") if n and bad == n else float("inf"))
     prior = float(np.log(bad / (n - bad)))
-    unlabelled = features.join(judged, "doc_id", "left_anti")
+    chosen = {view: _chosen(labelled, *mine, view, size, top) for view, size in (("text", TEXT_SIZE), ("meta", META_SIZE))}
+    wanted = np.zeros(WORDS, dtype=bool)
+    wanted[[f for f in chosen["text"] if f < WORDS]] = True
+    unlabelled = saved(_features(*source, wanted).join(judged, "doc_id", "left_anti"), "quality-unlabelled")
     pseudo: dict[str, DataFrame | None] = {"text": None, "meta": None}
     for turn in range(rounds + 1):
-        text = _fit(labelled, pseudo["text"], "text", TEXT_SIZE, top, train_rows)
-        meta = _fit(labelled, pseudo["meta"], "meta", META_SIZE, top, train_rows)
+        text = _fit(labelled, pseudo["text"], mine[0], prior, "text", TEXT_SIZE, chosen["text"], train_rows)
+        meta = _fit(labelled, pseudo["meta"], mine[0], prior, "meta", META_SIZE, chosen["meta"], train_rows)
         _calibrated(held, text, meta)
         if turn < rounds:
             odds = float(np.log(sure / (1 - sure)))
@@ -326,8 +344,9 @@ def train(
 
 def _judge(model: Model, part: pa.RecordBatch, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(log-odds of being bad by text, by metadata, by both) of the rows of ``_columns``."""
-    row, feature = text_features(texts)
-    meta = meta_features(part.columns[3:], part.column(2))
+    row, feature = text_features(texts, model.text.weights[:WORDS] != 0)
+    length = part.schema.names.index("n_chars")  # the metadata follow
+    meta = meta_features(part.columns[length + 1 :], part.column(length))
     text_score = model.text.score(row, feature, len(part))
     meta_score = model.meta.score(np.repeat(np.arange(len(part)), meta.shape[1]), meta.ravel(), len(part))
     both = model.bad_odds(text_score, meta_score)
@@ -354,18 +373,19 @@ def score_documents(
 
 
 def keep_good(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("lang", "source"),
-    length_col: str = "n_chars",
+    docs: DataFrame, model: Model, text_col: str = "text", meta_cols: tuple[str, ...] = ("lang", "source"), length_col: str = "n_chars"
 ) -> DataFrame:
     """The documents that the model keeps, with all their columns; no shuffle."""
-    own = _columns(docs, id_col, text_col, list(meta_cols), length_col, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _parts(batch):
-                _, _, odds = _judge(shared.value, part.select(list(range(part.num_columns - 1))), texts)
-                yield pa.record_batch([part.column(part.num_columns - 1).filter(pa.array(odds <= shared.value.limit))], ["row"])
-
-    kept = own.mapInArrow(run, f"row {own.schema['row'].dataType.simpleString()}")
-    return kept.select("row.*")
+            cell = dict(zip(batch.schema.names, batch.columns, strict=True))
+            seen = pa.record_batch(
+                [cell[text_col].cast(pa.string()), cell[length_col].cast(pa.int64()), *(cell[c].cast(pa.string()) for c in meta_cols)],
+                ["text", "n_chars", *(f"meta_{i}" for i in range(len(meta_cols)))])
+            kept = [_judge(shared.value, part, texts)[2] <= shared.value.limit for part, texts in _parts(seen)]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return docs.mapInArrow(run, docs.schema)
