@@ -24,6 +24,14 @@ def constant_array(values: list[int], kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``saved`` wrote, once what was made of it is written too."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read back, so that a lost executor never repeats the work before it.
 

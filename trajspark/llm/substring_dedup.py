@@ -14,7 +14,8 @@ whose sources are neighbours too are one span, with the coordinates of its sourc
 with the digest of the words at its source; if one differs (equal 64-bit hashes of different words) all is done again with another
 seed, so the result is exact.
 
-Copies and common passages: occurrences of an edge are merged by grouped minima before the shuffle; joins of occurrences to edges
+Copies and common passages: a document whose text (by SHA-256) a smaller one has loses all its words if they make a window, and takes
+no further part; so a text that a third of the rows repeat counts once. For all others, occurrences of an edge are merged by grouped minima before the shuffle; joins of occurrences to edges
 are splittable; windows over a document hold that document alone. Nothing is collected but two counts.
 
 Defined results: a null text has no words; a row without an id keeps its words and is no source; rows repeated with one id don't
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajspark.llm.common import saved
+from trajspark.llm.common import discard, saved
 from trajspark.llm.words import NOT_SPACE, Words, chunks, grams, inner_windows
 
 WINDOW = 13
@@ -79,12 +80,23 @@ def _kind(own: DataFrame) -> str:
     return own.schema["doc_id"].dataType.simpleString()
 
 
-def candidate_windows(own: DataFrame, window: int, minimizer: int, seed: int) -> DataFrame:
-    """(edge, doc_id, place) of the windows whose minimizer occurs in more than one document, written to the shared folder."""
+def whole_copies(own: DataFrame) -> DataFrame:
+    """(doc_id) of the documents all of whose rows have the text of a document with a smaller id."""
+    texts = saved(own.filter("doc_id IS NOT NULL").select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha")), "text-digests")
+    first = texts.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    judged = texts.join(first, "sha", "left").withColumn("copied", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
+    return saved(judged.groupBy("doc_id").agg(F.min("copied").alias("copied")).filter("copied").select("doc_id"), "whole-copies")
+
+
+def candidate_windows(own: DataFrame, copies: DataFrame, window: int, minimizer: int, seed: int) -> DataFrame:
+    """(edge, doc_id, place) of the windows whose minimizer occurs in more than one document, without whole copies; written to the
+    shared folder."""
     found = saved(anchors(own, window, minimizer, seed), "anchors")
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor")
     shared = saved(shared, "anchors-shared")
-    places = saved(found.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("place").alias("places")), "anchors-places")
+    placed = found.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    places = saved(placed.join(copies, "doc_id", "left_anti"), "anchors-places")
+    discard(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,7 +122,10 @@ def repeated_edges(candidates: DataFrame) -> DataFrame:
     """Occurrences of the edges that more than one document has: (edge, doc_id, place, source), with the smallest document."""
     sources = candidates.groupBy("edge").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).filter("source < last")
     sources = saved(sources.select("edge", "source"), "edges")
-    return saved(candidates.join(sources, "edge"), "occurrences")
+    found = saved(candidates.join(sources, "edge"), "occurrences")
+    discard(candidates)
+    discard(sources)
+    return found
 
 
 def compacted(occurrences: DataFrame) -> DataFrame:
@@ -161,7 +176,9 @@ def _joined_pieces(pieces: DataFrame) -> DataFrame:
 
 def repeated_paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, minimizer: int = MINIMIZER) -> DataFrame:
     """(path, n_windows, source, source_place): compacted paths with the smallest source coordinate on them."""
-    found = compacted(repeated_edges(candidate_windows(_texts(docs, id_col, text_col), window, minimizer, 0)))
+    own = _texts(docs, id_col, text_col)
+    nobody = own.select("doc_id").filter("false")
+    found = compacted(repeated_edges(candidate_windows(own, nobody, window, minimizer, 0)))
     first = F.min(F.struct("source", "source_place"))
     return found.groupBy("path").agg(F.count(F.lit(1)).alias("n_windows"), first.alias("at")).select(
         "path", "n_windows", "at.source", "at.source_place")
@@ -186,17 +203,21 @@ def repeated_spans(occurrences: DataFrame, paths: DataFrame) -> DataFrame:
 _ANSWER = "doc_id {kind}, n_words long, n_removed long, kept_sha256 string, start int, n int, digest binary"
 
 
-def _answers(own: DataFrame, spans: DataFrame, window: int) -> DataFrame:
+def _answers(own: DataFrame, spans: DataFrame, copies: DataFrame, window: int) -> DataFrame:
     """One pass over the texts: a row per document without its spans, and a row with the digest of each span or source asked for."""
     asked = spans.select(F.col("source").alias("doc_id"), F.col("source_start").alias("start"), "n").distinct()
     groups = asked.groupBy("doc_id").agg(F.ceil(F.count(F.lit(1)) / ASKS).cast("long").alias("parts"))
     asks = asked.join(groups, "doc_id").withColumn("part", F.pmod(F.xxhash64("start", "n"), F.col("parts")))
     cell = F.collect_list(F.struct("start", "n"))
-    asks = asks.groupBy("doc_id", "part").agg(cell.alias("spans")).select("doc_id", F.lit(False).alias("whole"), "spans")
+    asks = asks.groupBy("doc_id", "part").agg(cell.alias("spans"))
+    asks = asks.select("doc_id", F.lit(False).alias("whole"), F.lit(False).alias("copied"), "spans")
     mine = spans.groupBy("doc_id").agg(cell.alias("spans"))
-    whole = own.select("doc_id").filter("doc_id is not null").distinct().join(mine, "doc_id", "left").select("doc_id", F.lit(True).alias("whole"), "spans")
-    work = own.join(whole.unionByName(asks), "doc_id").select("doc_id", "text", "whole", "spans")
-    nameless = own.filter("doc_id is null").select("doc_id", "text", F.lit(True).alias("whole"), F.lit(None).cast(work.schema["spans"].dataType).alias("spans"))
+    whole = own.select("doc_id").filter("doc_id is not null").distinct().join(mine, "doc_id", "left")
+    whole = whole.join(copies.withColumn("copied", F.lit(True)), "doc_id", "left")
+    whole = whole.select("doc_id", F.lit(True).alias("whole"), F.coalesce("copied", F.lit(False)).alias("copied"), "spans")
+    work = own.join(whole.unionByName(asks), "doc_id").select("doc_id", "text", "whole", "copied", "spans")
+    none = F.lit(None).cast(work.schema["spans"].dataType)
+    nameless = own.filter("doc_id is null").select("doc_id", "text", F.lit(True).alias("whole"), F.lit(False).alias("copied"), none.alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,8 +234,8 @@ def _answer(batch: pa.RecordBatch, words: Words, window: int) -> pa.RecordBatch:
     source = np.repeat(words.starts - begin, lengths + 1) + np.arange(int(to[-1]) if len(to) else 0)
     joined = words.data[source]
     joined[to - 1] = 32
-    whole = np.asarray(batch.column(2).to_numpy(zero_copy_only=False)).astype(bool)
-    lists = batch.column(3)
+    whole, copied = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False)).astype(bool) for c in (2, 3))
+    lists = batch.column(4)
     counts = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
     flat = lists.flatten()
     starts, n = (np.asarray(flat.field(i)).astype(np.int64) for i in (0, 1))
@@ -226,6 +247,9 @@ def _answer(batch: pa.RecordBatch, words: Words, window: int) -> pa.RecordBatch:
     mine = inside & whole[text]
     np.add.at(covered, first[mine], 1)
     np.add.at(covered, last[mine], -1)
+    gone = copied & (np.diff(words.bounds) >= window)
+    np.add.at(covered, words.bounds[:-1][gone], 1)
+    np.add.at(covered, words.bounds[1:][gone], -1)
     keep = np.cumsum(covered)[:-1] == 0
     kept = joined[np.repeat(keep, lengths + 1)].tobytes()
     ends = np.concatenate([[0], np.cumsum(np.where(keep, lengths + 1, 0))])[words.bounds]
@@ -257,10 +281,12 @@ def remove_repeats(
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     own = _texts(docs, id_col, text_col)
+    copies = whole_copies(own)
     while True:
-        occurrences = repeated_edges(candidate_windows(own, window, minimizer, seed))
+        occurrences = repeated_edges(candidate_windows(own, copies, window, minimizer, seed))
         spans = saved(repeated_spans(occurrences, compacted(occurrences)), "spans")
-        answers = saved(_answers(own, spans, window), "answers")
+        discard(occurrences)
+        answers = saved(_answers(own, spans, copies, window), "answers")
         digests = answers.filter("digest is not null").select("doc_id", "start", "n", "digest").distinct()
         there = digests.select(F.col("doc_id").alias("source"), F.col("start").alias("source_start"), "n", F.col("digest").alias("there"))
         checked = spans.join(digests, ["doc_id", "start", "n"]).join(there, ["source", "source_start", "n"])
