@@ -61,7 +61,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_file_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_file_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 QUERIES = {

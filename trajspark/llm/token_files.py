@@ -39,14 +39,21 @@ LIMIT = 16
 
 
 class Library:
-    """The tokenizers library on pre-tokens; texts whose pre-tokens depend on the edition of Unicode go to it whole."""
+    """The tokenizers library on pre-tokens; texts whose pre-tokens depend on the edition of Unicode go to it whole.
 
-    def __init__(self, path: str):
+    With ``added_tokens`` so do texts that hold an added token of the vocabulary, which the library finds before it makes
+    pre-tokens; without, special tokens are encoded as the text they are.
+    """
+
+    def __init__(self, path: str, added_tokens: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path) if added_tokens else self.tokenizer
+        added = self.whole.get_added_tokens_decoder().values() if added_tokens else ()
+        self.added = [t.content.encode() for t in added if t.content]
         self.encoder = Encoder(self._pieces)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
@@ -56,29 +63,42 @@ class Library:
         sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
         return np.fromiter((i for ids in lists for i in ids), dtype=np.uint32, count=int(sizes.sum())), sizes
 
+    def _holding_added(self, texts) -> set[int]:
+        raw, found = texts.bytes.tobytes() if self.added else b"", set()
+        for content in self.added:
+            at = raw.find(content)
+            while at >= 0:
+                i = int(np.searchsorted(texts.offsets, at, side="right")) - 1
+                if at + len(content) <= texts.offsets[i + 1]:
+                    found.add(i)
+                at = raw.find(content, at + 1)
+        return found
+
     def documents(self, texts) -> list[np.ndarray]:
         pretokens = Pretokens(texts)
         ids, bounds = self.encoder.ids(pretokens)
         out = np.split(ids, bounds[1:-1])
-        for i in pretokens.doubtful.tolist():
+        for i in sorted({*pretokens.doubtful.tolist(), *self._holding_added(texts)}):
             text = texts.bytes[texts.offsets[i] : texts.offsets[i + 1]].tobytes().decode()
-            out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            out[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return out
 
 
 @cache
-def _library(path: str) -> Library:
-    return Library(path)
+def _library(path: str, added_tokens: bool) -> Library:
+    return Library(path, added_tokens)
 
 
-def ordered_blocks(docs: DataFrame, tokenizer_file: str, id_col: str, text_col: str, end_id: int, block_ids: int) -> DataFrame:
+def ordered_blocks(
+    docs: DataFrame, tokenizer_file: str, id_col: str, text_col: str, end_id: int, block_ids: int, added_tokens: bool = False
+) -> DataFrame:
     """Blocks of ids in ascending doc_id order, written to the shared folder."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()
     names = ["part", "block", "offset", "doc_ids", "lengths", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, part = _library(tokenizer_file), TaskContext.get().partitionId()
+        library, part = _library(tokenizer_file, added_tokens), TaskContext.get().partitionId()
         block, offset, size, doc_ids, pieces = 0, 0, 0, [], []
 
         def row() -> pa.RecordBatch:
@@ -131,10 +151,10 @@ def global_counts(blocks: DataFrame) -> DataFrame:
 
 def write_token_files(
     docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", *, end_id: int = END_ID,
-    block_ids: int = BLOCK_IDS, every: int = EVERY, limit: int = LIMIT,
+    block_ids: int = BLOCK_IDS, every: int = EVERY, limit: int = LIMIT, added_tokens: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Write the folder of the module docstring; returns its ``files`` and ``code`` as read back."""
-    blocks = ordered_blocks(docs, tokenizer_file, id_col, text_col, end_id, block_ids)
+    blocks = ordered_blocks(docs, tokenizer_file, id_col, text_col, end_id, block_ids, added_tokens)
     found = global_counts(blocks).collect()  # one row per id of the vocabulary
     counts = np.zeros(max((r["symbol"] for r in found), default=0) + 1, dtype=np.int64)
     for r in found:
