@@ -445,6 +445,30 @@ FROM par JOIN info i ON rid = i.event_id
 WHERE pgtraj_name = 'p2' AND x IS NOT NULL AND x2 IS NOT NULL AND fix_at >= TIMESTAMP '2024-01-04' AND fix_at < TIMESTAMP '2024-01-06'""",
 )
 
+# -- store, every pgtraj
+ORACLES["store_export_import_all"] = with_(
+    params(fill="pgtraj"),
+    f"""SELECT pgtraj_name, seq, x, y, date_trunc('second', fix_at) + INTERVAL 1 HOUR AS date, {r("dist", "dist")}, {r("r2n", "R2n")},
+       animal_name AS id, burst_name AS burst, '{PROJ}' AS proj4string, 'Europe/Paris' AS time_zone FROM par""",
+)
+ORACLES["store_transfer_all"] = with_(
+    params(fill="pgtraj"),
+    f"""SELECT pgtraj_name, x, y, {r("dx", "dx")}, {r("dy", "dy")}, {r("r2n", "r2n")}, {r("rel_angle", "rel_angle")}, animal_name, burst_name AS burst
+FROM par""",
+)
+ORACLES["store_import_type1_all"] = with_(
+    params(reloc(), at="rid"),
+    f"""SELECT seq, x, y, row_number() OVER (ORDER BY burst_name, seq) AS date, CASE WHEN rid2 IS NOT NULL THEN 1e0 END AS dt,
+       {r("dist", "dist")}, animal_name AS id, burst_name AS burst, '+proj=tmerc +lat_0=49 +lon_0=-2 +ellps=airy' AS proj4string
+FROM par""",
+)
+ORACLES["store_page_all"] = with_(
+    params(fill="pgtraj") + STORED_INFO,
+    f"""SELECT pgtraj_name, gid AS step_id, fix_at AS date, {r("dist", "dist")}, {r("dt", "dt")}, animal_name, burst_name, i.k
+FROM par JOIN info i ON rid = i.event_id
+WHERE x IS NOT NULL AND x2 IS NOT NULL AND fix_at >= TIMESTAMP '2024-01-04' AND fix_at < TIMESTAMP '2024-01-06'""",
+)
+
 # -- reference systems, layers, sensors
 LON, LAT = "((event_id % 3601) / 10e0 - 180e0)", "((event_id % 1601) / 10e0 - 80e0)"
 ORACLES["reproject_3395"] = f"""

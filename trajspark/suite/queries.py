@@ -472,6 +472,17 @@ def store_export_import(spark, sf):
     return again.select("seq", "x", "y", "date", rounded("dist"), rounded("R2n"), "id", "burst", "proj4string", "time_zone")
 
 
+@query
+def store_export_import_all(spark, sf):
+    """Every pgtraj exported and imported under another name."""
+    store, parts = _store(spark, sf), []
+    for name in store.pgtrajs():
+        store.import_trajectory(store.export(name).withColumn("r.row.names", F.col("seq").cast("string")), f"copy_{name}")
+        parts.append(store.export(f"copy_{name}").withColumn("pgtraj_name", F.lit(name)))
+    again = functools.reduce(DataFrame.unionByName, parts)
+    return again.select("pgtraj_name", "seq", "x", "y", "date", rounded("dist"), rounded("R2n"), "id", "burst", "proj4string", "time_zone")
+
+
 @query
 def store_transfer(spark, sf):
     """One pgtraj copied to a second store, twice, the second time over the first."""
@@ -482,6 +493,20 @@ def store_transfer(spark, sf):
     return target.parameters("p2").select("x", "y", rounded("dx"), rounded("dy"), rounded("r2n"), rounded("rel_angle"), "animal_name", "burst")
 
 
+@query
+def store_transfer_all(spark, sf):
+    """Every pgtraj copied to a second store, twice, the second time over the first."""
+    source, parts = _store(spark, sf), []
+    target = TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
+    for name in source.pgtrajs():
+        transfer(source, target, name)
+        transfer(source, target, name)
+    for name in target.pgtrajs():
+        parts.append(target.parameters(name).withColumn("pgtraj_name", F.lit(name)))
+    found = functools.reduce(DataFrame.unionByName, parts)
+    return found.select("pgtraj_name", "x", "y", rounded("dx"), rounded("dy"), rounded("r2n"), rounded("rel_angle"), "animal_name", "burst")
+
+
 @query
 def store_import_type1(spark, sf):
     """Rows without times in no order, in a system of unknown formulas: the integer date orders them."""
@@ -493,6 +518,17 @@ def store_import_type1(spark, sf):
     return again.select("seq", "x", "y", "date", "dt", rounded("dist"), "id", "burst", "proj4string")
 
 
+@query
+def store_import_type1_all(spark, sf):
+    """The rows of every pgtraj without times in no order, imported as one."""
+    store = TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
+    named = export.export_long(fx.parameters(spark, sf, kind=TYPE_I), None, kind=TYPE_I, named=False)
+    rows = named.drop("pgtraj_name", "seq", "burst_order").withColumn("date", F.col("date").cast("int"))
+    store.import_trajectory(rows.orderBy(F.xxhash64("date")), "grid", proj4string="+proj=tmerc +lat_0=49 +lon_0=-2 +ellps=airy", type_i=True)
+    again = store.export("grid")
+    return again.select("seq", "x", "y", "date", "dt", rounded("dist"), "id", "burst", "proj4string")
+
+
 @query
 def store_page(spark, sf):
     """The third page of a day after the start, from the written view."""
@@ -503,6 +539,18 @@ def store_page(spark, sf):
     return found.select("step_id", "date", rounded("dist"), rounded("dt"), "animal_name", "burst_name", "k")
 
 
+@query
+def store_page_all(spark, sf):
+    """The third page of a day after the start, from the written view of every pgtraj."""
+    store, parts = _store(spark, sf), []
+    for name in store.pgtrajs():
+        store.create_views(name)
+        found = windows.page(store.view(name), fx.START, timedelta(days=2), timedelta(days=1), 3, ["k"])
+        parts.append(found.withColumn("pgtraj_name", F.lit(name)))
+    pages = functools.reduce(DataFrame.unionByName, parts)
+    return pages.select("pgtraj_name", "step_id", "date", rounded("dist"), rounded("dt"), "animal_name", "burst_name", "k")
+
+
 # -- reference systems, layers, sensors -------------------------------------------------------------------
 
 
