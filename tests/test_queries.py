@@ -3,7 +3,7 @@
 import pytest
 
 from compare import compare
-from conftest import TINY
+from inputs import TINY
 from trajspark.suite.oracles import ORACLES
 from trajspark.suite.queries import QUERIES
 

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TINY
+from inputs import TINY
 from trajspark.operators.infolocs import InfoType
 from trajspark.store import TrajectoryStore, transfer
 from trajspark.suite import fixtures as fx

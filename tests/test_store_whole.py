@@ -1,6 +1,6 @@
 """The registered store queries over every pgtraj of the store."""
 
-from conftest import TINY
+from inputs import TINY
 
 from trajspark.suite import fixtures as fx
 from trajspark.suite.queries import QUERIES
