@@ -8,7 +8,7 @@ TINY = "/root/testdata/sf0.001"
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 
-@pytest.mark.parametrize("name", ["op3_de_bruijn_repeats", "op4_url_cascade", "op5_positional_index", "op8_exact_dedup"])
+@pytest.mark.parametrize("name", ["op3_de_bruijn_repeats", "op4_url_cascade", "op5_positional_index", "op8_exact_dedup", "op12_radix_suffixes"])
 def test_against_sql(spark, name):
     from trajspark.llm.queries import ORACLES, QUERIES
 

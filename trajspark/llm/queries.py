@@ -16,6 +16,7 @@ from trajspark.llm.quality import score_documents, train
 from trajspark.llm.sharding import shard_documents
 from trajspark.llm.simhash import near_duplicates
 from trajspark.llm.substring_dedup import remove_repeats
+from trajspark.llm.suffix_dedup import remove_repeated_windows
 from trajspark.llm.token_files import token_file_digests
 from trajspark.llm.url_filter import judge_urls
 
@@ -64,12 +65,16 @@ def huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
+def radix_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_windows(read_table(spark, sf_dir, "documents"), length=100)
+
+
 QUERIES = {
     "op1_lpt_shards": lpt_shards, "op2_html_blocks": html_blocks,
     "op3_de_bruijn_repeats": de_bruijn_repeats, "op4_url_cascade": url_cascade,
     "op5_positional_index": positional_index, "op6_byte_bpe": byte_bpe, "op7_co_training": co_training,
     "op8_exact_dedup": exact_dedup, "op9_golay_simhash": golay_simhash,
-    "op10_huffman_files": huffman_files,
+    "op10_huffman_files": huffman_files, "op12_radix_suffixes": radix_suffixes,
 }
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -117,4 +122,16 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)""",
 WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op12_radix_suffixes": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+cut AS (SELECT doc_id, len(h) // 2 AS n, j, substr(h, 2 * j + 1, 1198) AS part FROM (SELECT *, unnest(range(0, len(h) // 2, 500)) AS j FROM d)),
+b AS (SELECT doc_id, n, j + k AS i, substr(part, 2 * k + 1, 200) AS win FROM (SELECT *, unnest(range(0, least(500, n - j))) AS k FROM cut)),
+firsts AS (SELECT win, min((doc_id, i)) AS f FROM b WHERE len(win) = 200 GROUP BY win HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 100)) AS i FROM b JOIN firsts USING (win) WHERE (doc_id, i) > f),
+spans AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < i - 1) AS n_spans
+          FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone) GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(left(win, 2), '' ORDER BY i) AS k FROM b ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
