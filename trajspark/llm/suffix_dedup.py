@@ -5,15 +5,16 @@ pass a digit, and whatever is alone under its digits so far is left out of the n
 digits are the repeated windows. The first of a group, by (doc_id, start), stays and all others are repeats.
 
 1. The first digit is a suffix's signature: the piece of ``length // 3`` bytes or less (a power of two) inside its window whose hash is
-   least. Neighbouring suffixes mostly share one, so they travel as a *run*: (signature, rest of the run, source), some 35 suffixes a row.
-2. The second digit is the whole run, the bytes from the first to the last window in it. Runs that are equal are equal suffix by suffix;
-   all but the first are repeats. Runs that are alone under their signature are done.
-3. What is left are different runs under one signature, at the edges of repeats. Their suffixes go on one by one with
-   their whole window as the last digit.
+   least. Neighbouring suffixes mostly share one, so they travel as a *run*, some 35 suffixes a row, and the second digit is the whole run, the
+   bytes from the first to the last window in it. Runs that are equal are equal suffix by suffix; all but the first are repeats. Runs that
+   are alone under their signature are done.
+2. What is left are different runs under one signature, at the edges of repeats. They are cut into pieces of ``PIECE`` suffixes, aligned at
+   the signature, and the pass is repeated with the bytes that all windows of a piece share as the first digit and all bytes of the piece as the second.
+3. The suffixes of the pieces left go on one by one, with their whole window as the last digit.
 
 A pass is a range partitioning by (digits, source) and a sort inside the partitions, so a group of any size is spread over tasks and
-each row needs only the row before it. Groups that cross a partition's edge in pass 2 simply stay open for pass 3; there the last row of each
-partition is handed on (a few numbers a partition). Digits are 64-bit hashes, two of them where suffixes are taken as equal.
+each row needs only the row before it. Groups that cross a partition's edge simply stay open for the next pass; in the last one the ends of the
+partitions are compared (a few numbers a partition). Digits are 64-bit hashes, two of them where suffixes are taken as equal.
 
 Defined results: null texts are empty; rows alike in id and text are one document and each is returned; different texts under one id are
 ordered by a hash of the text, null ids come first; texts shorter than a window lose nothing; an empty table gives no rows.
@@ -34,6 +35,7 @@ from trajspark.llm.common import discard, saved
 from trajspark.llm.words import Texts, mixed
 
 LENGTH = 100
+PIECE = 8
 SLICE_BYTES = 1 << 18
 ROWS_A_TASK = 400_000
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
@@ -41,6 +43,14 @@ _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _BYTES = [mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(b)) for b in _BASES]
 
 
+ROW = ["k1", "k2", "doc_id", "own", "at", "n", "lead"]
+MARK = ["doc_id", "own", "at", "n", "lead", "open"]
+
+
+def _row_schema(rows: DataFrame) -> str:
+    return f"k1 long, k2 long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, own long, at long, n int, lead int"
+
+
 class Spans:
     """Hashes of spans of one buffer: sums of byte values times powers of an odd base, shifted back to the span's start."""
 
@@ -68,10 +78,11 @@ def signature_bytes(length: int) -> int:
 
 
 def runs_of(data: np.ndarray, bounds: np.ndarray, length: int, powers) -> tuple[np.ndarray, ...]:
-    """(first suffix, suffixes, signature, digest) of all runs of the pieces ``data[bounds[i]:bounds[i + 1]]``."""
+    """(first suffix, suffixes, bytes to the signature, signature, digest) of all runs of the parts ``data[bounds[i]:bounds[i + 1]]``."""
     n = len(data) - length + 1
+    none = np.zeros(0, np.int64)
     if n <= 0:
-        return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        return none, none, none, none.view(np.uint64), none.view(np.uint64)
     size, own = 1, _BYTES[0][data]
     while size < signature_bytes(length):
         own = own[:-size] * np.uint64(_BASES[1] + 2 * size) + own[size:]
@@ -91,13 +102,13 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, length: int, powers) -> tuple[
         inside[max(0, cut - length + 1) : cut] = False
     first = np.flatnonzero(inside)
     if not len(first):
-        return first, first, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64)
     new = np.ones(len(first), dtype=bool)
     new[1:] = (at[first[1:]] != at[first[:-1]]) | (first[1:] != first[:-1] + 1)
     begin = np.flatnonzero(new)
     count = np.diff(np.append(begin, len(first)))
     start = first[begin]
-    return start, count, own[at[start]], Spans(data, 1, *powers).hashes(start, start + count + length - 1)
+    return start, count, at[start] - start, own[at[start]], Spans(data, 1, *powers).hashes(start, start + count + length - 1)
 
 
 def _slices(texts: Texts, length: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -120,22 +131,21 @@ def _slices(texts: Texts, length: int, size: int) -> Iterator[tuple[np.ndarray,
 
 
 def suffix_runs(own: DataFrame, length: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(k1, k2, doc_id, own, at, n): signature, digest, source and number of suffixes of every run."""
+    """(k1, k2, doc_id, own, at, n, lead): signature, digest, source, number of suffixes and bytes before the signature of every run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _powers(1, 2 * slice_bytes + 2 * length)
         for batch in batches:
             for rows, offsets, data, bounds in _slices(Texts(batch.column(2)), length, slice_bytes):
-                start, count, k1, k2 = runs_of(data, bounds, length, powers)
+                start, count, lead, k1, k2 = runs_of(data, bounds, length, powers)
                 piece = np.searchsorted(bounds, start, side="right") - 1
                 of = pa.array(rows[piece])
                 at = start - bounds[piece] + offsets[piece]
                 yield pa.record_batch(
                     [pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of),
-                     pa.array(at), pa.array(count.astype(np.int32))], ["k1", "k2", "doc_id", "own", "at", "n"])
+                     pa.array(at), pa.array(count.astype(np.int32)), pa.array(lead.astype(np.int32))], ROW)
 
-    kind = own.schema["doc_id"].dataType.simpleString()
-    return own.mapInArrow(run, f"k1 long, k2 long, doc_id {kind}, own long, at long, n int")
+    return own.mapInArrow(run, _row_schema(own))
 
 
 def _ordered(rows: DataFrame, tasks: int) -> DataFrame:
@@ -168,11 +178,11 @@ class Groups:
 
 
 def _marked_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated runs, and the open ones: first of their kind, but not known to be alone under their signature."""
+    """Repeated runs, and the open ones: first of their kind, but not known to be alone under their first digit."""
 
     def out(batch: pa.RecordBatch, rows: np.ndarray, still_open: bool) -> pa.RecordBatch:
-        part = batch.select(["doc_id", "own", "at", "n"]).take(pa.array(rows))
-        return pa.record_batch([*part.columns, pa.array([still_open] * len(part), pa.bool_())], ["doc_id", "own", "at", "n", "open"])
+        part = batch.select(MARK[:-1]).take(pa.array(rows))
+        return pa.record_batch([*part.columns, pa.array([still_open] * len(part), pa.bool_())], MARK)
 
     groups, waiting, known, earliest = Groups(), None, True, None
     for batch in batches:
@@ -236,8 +246,8 @@ def _carried(edges: list, schema: str, spark) -> DataFrame:
     return spark.createDataFrame(found, schema)
 
 
-def _windows(texts: DataFrame, length: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(k1, k2, doc_id, own, at) of every suffix of the open runs of each text."""
+def _pieces(texts: DataFrame, length: int, step: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The open runs of each text cut into pieces of at most ``step`` suffixes, as rows like those of ``suffix_runs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         room = 2 * slice_bytes + 4 * length
@@ -245,49 +255,65 @@ def _windows(texts: DataFrame, length: int, slice_bytes: int = SLICE_BYTES) -> D
         for batch in batches:
             texts, spans = Texts(batch.column(2)), batch.column(3)
             bounds, flat = np.asarray(spans.offsets), spans.values
-            at, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("at", "n"))
+            own = slice(int(bounds[0]), int(bounds[-1]))
+            at, n, lead = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64)[own] for f in ("at", "n", "lead"))
             row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            at, n = at[bounds[0] : bounds[-1]], n[bounds[0] : bounds[-1]]
+            # piece number q of a run holds its suffixes with (bytes to the signature) // step == q
+            high, low = lead // step, (lead - n + 1) // step
+            each = high - low + 1
+            which = np.repeat(np.arange(len(at)), each)
+            q = high[which] - (np.arange(len(which)) - np.repeat(np.cumsum(each) - each, each))
+            first, last = np.minimum(lead[which], q * step + step - 1), np.maximum((lead - n + 1)[which], q * step)
+            at, n, row, lead, least = at[which] + lead[which] - first, first - last + 1, row[which], first, q * step
             size = n + length - 1
             upto = np.cumsum(size)
             low = 0
             while low < len(at):
                 before = upto[low - 1] if low else 0
                 high = max(low + 1, int(np.searchsorted(upto, before + slice_bytes, side="right")))
-                begin = (upto[low:high] - size[low:high]) - before
-                inner = np.arange(int(size[low:high].sum())) - np.repeat(begin, size[low:high])
-                data = texts.bytes[np.repeat(texts.offsets[row[low:high]] + at[low:high], size[low:high]) + inner]
-                step = np.arange(int(n[low:high].sum())) - np.repeat(np.cumsum(n[low:high]) - n[low:high], n[low:high])
-                start = np.repeat(begin, n[low:high]) + step
-                keys = [pa.array(Spans(data, w, *tables[w]).hashes(start, start + length).view(np.int64)) for w in (0, 1)]
-                of = pa.array(np.repeat(row[low:high], n[low:high]))
+                part = slice(low, high)
+                begin = upto[part] - size[part] - before
+                inner = np.arange(int(size[part].sum())) - np.repeat(begin, size[part])
+                data = texts.bytes[np.repeat(texts.offsets[row[part]] + at[part], size[part]) + inner]
+                core = begin + lead[part] - least[part]  # what all windows of that number share, whether this piece has them all or not
+                core = Spans(data, 0, *tables[0]).hashes(core, core + length - step + 1)
+                whole = Spans(data, 1, *tables[1]).hashes(begin, begin + size[part])
+                of = pa.array(row[part])
                 yield pa.record_batch(
-                    [*keys, batch.column(0).take(of), batch.column(1).take(of), pa.array(np.repeat(at[low:high], n[low:high]) + step)],
-                    ["k1", "k2", "doc_id", "own", "at"])
+                    [pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of),
+                     pa.array(at[part]), pa.array(n[part].astype(np.int32)), pa.array(lead[part].astype(np.int32))], ROW)
                 low = high
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"k1 long, k2 long, doc_id {kind}, own long, at long")
+    return texts.mapInArrow(run, _row_schema(texts))
+
+
+def _pass(rows: DataFrame, marks, schema: str, label: str, rows_a_task: int) -> DataFrame:
+    """One pass of the sort over written rows, whose files are deleted after it."""
+    ordered = _ordered(rows, rows.count() // rows_a_task + 1)
+    marked = saved(ordered.mapInArrow(marks, schema), label)
+    discard(rows)
+    return marked
 
 
 def repeated_windows(own: DataFrame, length: int = LENGTH, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
     """(doc_id, own, at, n): from byte ``at`` on ``n`` suffixes in a row of a document whose windows also start earlier."""
     kind = own.schema["doc_id"].dataType.simpleString()
-    runs = saved(suffix_runs(own, length), "suffix-runs")
-    ordered = _ordered(runs, runs.count() // rows_a_task + 1)
-    marked = saved(ordered.mapInArrow(_marked_runs, f"doc_id {kind}, own long, at long, n int, open boolean"), "suffix-marked-runs")
-    discard(runs)
-    spans = marked.filter("open").groupBy("doc_id", "own").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    texts = _with_spans(own, spans, "inner")
-    suffixes = saved(_windows(texts, length), "suffix-windows")
-    ordered = _ordered(suffixes, suffixes.count() // rows_a_task + 1)
-    again = saved(
-        ordered.mapInArrow(_marked_suffixes, f"k1 long, k2 long, doc_id {kind}, own long, at long, part int"), "suffix-marked")
-    discard(suffixes)
+    schema = f"doc_id {kind}, own long, at long, n int, lead int, open boolean"
+    marked = _pass(saved(suffix_runs(own, length), "suffix-runs"), _marked_runs, schema, "suffix-marked-runs", rows_a_task)
+    pieces = saved(_pieces(_open_texts(own, marked), length, min(PIECE, length)), "suffix-pieces")
+    finer = _pass(pieces, _marked_runs, schema, "suffix-marked-pieces", rows_a_task)
+    single = saved(_pieces(_open_texts(own, finer), length, 1), "suffix-single")
+    again = _pass(single, _marked_suffixes, f"{_row_schema(own)}, part int", "suffix-marked", rows_a_task)
     edges = again.filter("part >= 0").collect()  # two rows a partition
-    carried = _carried(edges, f"doc_id {kind}, own long, at long, n int", own.sparkSession)
-    single = again.filter("part < 0").select("doc_id", "own", "at", F.lit(1).alias("n"))
-    return marked.filter("not open").drop("open").unionByName(single).unionByName(carried)
+    source = f"doc_id {kind}, own long, at long, n int"
+    found = [t.filter("not open") for t in (marked, finer)] + [again.filter("part < 0"), _carried(edges, source, own.sparkSession)]
+    found = [t.select("doc_id", "own", "at", "n") for t in found]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+def _open_texts(own: DataFrame, marked: DataFrame) -> DataFrame:
+    spans = marked.filter("open").groupBy("doc_id", "own").agg(F.collect_list(F.struct("at", "n", "lead")).alias("spans"))
+    return _with_spans(own, spans, "inner")
 
 
 def _with_spans(own: DataFrame, spans: DataFrame, how: str) -> DataFrame:
