@@ -8,7 +8,10 @@ TINY = "/root/testdata/sf0.001"
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 
-@pytest.mark.parametrize("name", ["op3_de_bruijn_repeats", "op4_url_cascade", "op5_positional_index", "op8_exact_dedup", "op12_radix_suffixes"])
+@pytest.mark.parametrize("name", [
+    "op3_de_bruijn_repeats", "op4_url_cascade", "op5_positional_index", "op8_exact_dedup",
+    "op11_threshold_negatives", "op12_radix_suffixes", "op13_dawg_repair",
+])
 def test_against_sql(spark, name):
     from trajspark.llm.queries import ORACLES, QUERIES
 
@@ -20,7 +23,7 @@ def test_one_query_for_each_operator():
 
     from trajspark.llm.queries import QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
