@@ -102,8 +102,12 @@ def test_lines_come_in_bounded_parts(make, spark, small_groups):
     assert [p["x"] for r in out[:3] for p in r["line"]] == [float(k) for k in range(8)]
     assert out[3]["line"] is None
     view = {r["burst_name"]: r for r in lines.burst_view(make(data), lines.burst_lines(make(data))).collect()}
-    assert len(view) == 2 and (view["a"]["n_parts"], view["a"]["n_points"], len(view["a"]["line"])) == (3, 8, 3)
-    assert (view["b"]["num_na"], view["b"]["n_parts"], view["b"]["n_points"], view["b"]["line"]) == (1, 0, 0, None)
+    assert len(view) == 2 and (view["a"]["n_parts"], view["a"]["n_points"]) == (3, 8)
+    assert (view["b"]["num_na"], view["b"]["n_parts"], view["b"]["n_points"]) == (1, 0, 0)
+    assert "line" not in view["a"].asDict(), "no column holds a part of the line as if it were the line"
+    parts = lines.burst_lines(make(data))
+    whole = lines.whole_lines(lines.burst_view(make(data), parts), parts).orderBy("burst_name", "part").collect()
+    assert [(r["burst_name"], r["n_points"], r["part"], len(r["line"] or [])) for r in whole] == [("a", 8, 0, 3), ("a", 8, 1, 3), ("a", 8, 2, 2), ("b", 0, 0, 0)]
     facts = {r["burst_name"]: (r["n_points"], r["length"]) for r in lines.line_facts(lines.burst_lines(make(data)), ["burst_name"]).collect()}
     assert facts == {"a": (8, 7.0), "b": (0, None)}
 
@@ -147,6 +151,46 @@ def test_paging(make):
         windows.sliding_windows(steps, datetime(1970, 1, 1), timedelta(0), timedelta(seconds=1))
 
 
+def test_pages_by_running_sums_are_those_of_every_step(make, spark):
+    import random
+
+    rng = random.Random(2)
+    data = [(f"b{k % 5}", k, rng.randrange(0, 200), float(rng.randrange(9)), 0.0) for k in range(120)]
+    steps = build_steps(make(data)).rows().withColumn("dist", F.when(F.col("rid") % 7 != 0, F.col("rid") / 3.0))
+    for width, slide in ((30, 7), (7, 30), (10, 10), (95, 1)):
+        wide, stride = timedelta(seconds=width), timedelta(seconds=slide)
+        got = windows.pages_summary(steps, datetime(1970, 1, 1, 0, 0, 20), wide, stride).collect()
+        slow = windows.sliding_windows(steps, datetime(1970, 1, 1, 0, 0, 20), wide, stride).groupBy("page", "page_start", "page_end").agg(
+            F.count(F.lit(1)).alias("num_steps"), F.count_distinct("burst_name").alias("num_bursts"), F.sum("dist").alias("dist")).collect()
+        plain = sorted((r["page"], r["page_start"], r["page_end"], r["num_steps"], r["num_bursts"], r["dist"] and round(r["dist"], 6)) for r in slow)
+        assert sorted((r["page"], r["page_start"], r["page_end"], r["num_steps"], r["num_bursts"], r["dist"] and round(r["dist"], 6)) for r in got) == plain
+
+
+def test_windows_over_relocations_are_those_over_steps(make, spark):
+    import random
+
+    from trajspark.operators.ids import with_step_ids
+    from trajspark.operators.parameters import step_parameters
+
+    rng = random.Random(9)
+    data, rid = [], 0
+    for b in range(60):
+        x = 0.0
+        for _ in range(rng.randrange(1, 14)):
+            rid += 1
+            x += rng.choice([0.0, 0.0, 0.0, 1.5, -2.0])
+            known = rng.random() < 0.9
+            at = None if rng.random() < 0.05 else rng.randrange(0, 30)
+            data.append((f"b{b:02d}", rid, at, x if known else None, float(rng.randrange(2)) * (b % 3 == 0) if known else None))
+    fixes = make(data)
+    whole = with_step_ids(step_parameters(build_steps(fixes, numbered=True))).rows()
+    columns = ["burst_name", "animal_name", "rid", "step_id", "seq", "rid2", "dist", "dt", "abs_angle", "rel_angle", "r2n"]
+    for low, high in ((10, 20), (0, 40), (15, 16), (29, 30)):
+        start, width = datetime(1970, 1, 1) + timedelta(seconds=low), timedelta(seconds=high - low)
+        want = rows(whole.filter(f"us >= {low * 10**6} AND us < {high * 10**6}"), *columns)
+        assert rows(windows.relocations_window(fixes, start, width), *columns) == want
+
+
 def test_typed_infolocs(spark):
     df = spark.createDataFrame(
         [(1, "lo", "3", datetime(2024, 7, 1, 12), "2024-01-01 10:00:00"), (2, "??", "x", None, "not a time")],

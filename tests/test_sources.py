@@ -208,3 +208,16 @@ def test_description_tables(spark, tmp_path):
     (tmp_path / "animals.csv").write_text("1;a1;Bella;f;3;1\n2;a2;Max;m;1;1\n")
     df = gps.read_description(spark, str(tmp_path / "animals.csv"), gps.ANIMALS)
     assert [tuple(r) for r in df.orderBy("animals_id").collect()] == [(1, "a1", "Bella", "f", 3, 1), (2, "a2", "Max", "m", 1, 1)]
+
+
+def test_a_folder_of_sensors_is_one_scan(spark, tmp_path):
+    values = {c: "" for c in gps.FIX_COLUMNS} | {"line_no": "1", "utc_date": "01/02/05"}
+    row, header = ";".join(values.values()), ";".join("C" for _ in gps.FIX_COLUMNS)
+    for k in range(40):
+        (tmp_path / f"GSM {k:03d}+ä.csv").write_text(f"{header}\n{row}\n")
+    df = gps.read_sensors(spark, str(tmp_path), check=True)
+    assert {r["sensor"] for r in df.collect()} == {f"GSM {k:03d}+ä" for k in range(40)}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    (tmp_path / "broken.csv").write_text(f"{header}\n1;2;3\n")
+    with pytest.raises(ValueError, match="broken.csv"):
+        gps.read_sensors(spark, str(tmp_path), check=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajspark import settings
@@ -25,11 +27,12 @@ def export_long(
     infolocs: DataFrame | None = None,
     kind: int | None = None,
     named: bool | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Trajectory columns under their exported names, with burst_order and seq to sort by.
 
     Type II dates are shown in ``zone``. For Type I, ``date`` is the integer row name when every row has one and
-    otherwise the row number in the whole pgtraj, and ``dt`` is 1 except for the last relocation of a burst.
+    otherwise the row number in the whole pgtraj, and ``dt`` is 1 except for the last relocation of a burst. ``sizes`` are stored burst sizes.
     """
     if kind is None or named is None:
         found_kind, found_named = trajectory_kind(parameters.rows())
@@ -37,7 +40,7 @@ def export_long(
     laid = parameters
     date, dt = times.in_zone(F.col("us"), F.lit(zone).cast("string")), F.col("dt")
     if kind == TYPE_I:
-        laid = laid.join_groups(burst_sizes(laid.on(laid.df.drop("burst_id")), inside=("pgtraj_name",)).drop("burst_id"))
+        laid = laid.join_groups(burst_sizes(laid.on(laid.df.drop("burst_id")), inside=("pgtraj_name",), sizes=sizes).drop("burst_id"))
         number = F.col("_earlier") + F.col("seq")
         date = (F.col("r_rowname").cast("long") if named else number).alias("date")
         dt = F.when(F.col("seq") < F.col("burst_steps"), 1.0)
@@ -56,6 +59,29 @@ def export_long(
     return df.select("pgtraj_name", *order, "seq", *columns)
 
 
+def write_ordered(long: DataFrame, path: str, rows: int, rows_a_file: int) -> DataFrame:
+    """Write an export as files of ranges of (burst_order, seq), each sorted, of about ``rows_a_file`` rows.
+
+    Their manifest is written beside them (``_manifest``, which readers of the folder pass over) and returned: number, file, n_rows and the first
+    and last place of each. The files one after another are the export in order; nothing is sorted as a whole.
+    """
+    place = F.struct("burst_order", "seq")
+    ranged = long.repartitionByRange(max(1, -(-rows // rows_a_file)), "burst_order", "seq").sortWithinPartitions("burst_order", "seq")
+    ranged.write.parquet(path)
+    spark = long.sparkSession
+    written = spark.read.schema(long.schema).parquet(path).select("burst_order", "seq", F.col("_metadata.file_name").alias("file"))
+    files = written.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.min(place).alias("first"), F.max(place).alias("last"))
+    number = F.row_number().over(Window.orderBy("first")) - 1  # one row a file
+    files.select(number.alias("number"), "file", "n_rows", "first", "last").coalesce(1).write.parquet(f"{path}/_manifest")
+    return spark.read.parquet(f"{path}/_manifest")
+
+
+def read_ordered(spark: SparkSession, path: str) -> Iterator[DataFrame]:
+    """The files of ``write_ordered`` in order, one DataFrame a file with its rows in order."""
+    for row in spark.read.parquet(f"{path}/_manifest").orderBy("number").toLocalIterator():
+        yield spark.read.parquet(f"{path}/{row['file']}").coalesce(1)
+
+
 def nest(long: DataFrame, columns, max_rows: int | None = None) -> DataFrame:
     """Long to nested form: per burst, arrays of at most ``max_rows`` rows in order (part 0, 1, ...), with the marks
     ``type_ii`` and, where there is ``dt``, ``regular`` (all steps of every burst of the pgtraj last equally long).

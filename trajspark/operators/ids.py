@@ -13,12 +13,14 @@ from trajspark.settings import write_through
 from trajspark.sources.tables import pgtraj_rows
 
 
-def burst_sizes(laid: Laid, inside: tuple[str, ...] = ()) -> DataFrame:
+def burst_sizes(laid: Laid, inside: tuple[str, ...] = (), sizes: DataFrame | None = None) -> DataFrame:
     """Per burst: its rank, the steps in it and the steps in earlier bursts (of the pgtraj, when ``inside``).
 
-    Rows are counted per burst with map-side combine; the running sum goes over that small table.
+    Rows are counted per burst with map-side combine, unless ``sizes`` has the names and ``burst_steps`` already; the running sum goes over
+    that small table.
     """
-    sizes = laid.df.groupBy(*BURST).agg(F.count(F.lit(1)).alias("burst_steps"))
+    if sizes is None:
+        sizes = laid.df.groupBy(*BURST).agg(F.count(F.lit(1)).alias("burst_steps"))
     order = tuple(k for k in BURST if k not in inside)
     known = laid.n_groups if laid.keys == BURST else None
     chain = lay_out(sizes, inside, order, count_on=laid.df.select(*BURST).distinct(), known_rows=known)
@@ -26,12 +28,12 @@ def burst_sizes(laid: Laid, inside: tuple[str, ...] = ()) -> DataFrame:
     return chain.rows().withColumn("_earlier", F.col("_upto") - F.col("burst_steps")).drop("_upto")
 
 
-def with_step_ids(laid: Laid) -> Laid:
+def with_step_ids(laid: Laid, sizes: DataFrame | None = None) -> Laid:
     """Global ids in (pgtraj, burst, order) order: steps of earlier bursts plus the position in the burst.
 
     Needs ``seq``; gives relocation_id_2 when ``seq2`` is there. The steps themselves are never sorted globally.
     """
-    laid = laid.join_groups(burst_sizes(laid))
+    laid = laid.join_groups(burst_sizes(laid, sizes=sizes))
     df = laid.df.withColumn("step_id", F.col("_earlier") + F.col("seq"))
     df = df.withColumn("relocation_id_1", F.col("step_id"))
     if "seq2" in df.columns:

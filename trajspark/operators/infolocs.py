@@ -1,4 +1,9 @@
-"""Infolocs: extra columns per relocation, kept per step."""
+"""Infolocs: extra columns per relocation, kept per step.
+
+A stored table holds the infolocs of every trajectory, whatever their columns are: each row has its step, the values as text by column name (``info``)
+and the number of the type registry of its burst. ``packed`` writes that form and ``unpacked`` reads it back, by one expression a column
+that dispatches on the registry entry of the row, however many registries there are.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark import settings
+from trajspark.functions import times
 
 # The reserved column and the class names of the type registry.
 RESERVED = "step_id"
@@ -74,22 +80,20 @@ def attach_from_trajectory(steps: DataFrame, info: DataFrame) -> DataFrame:
     return steps.select("step_id", "r_rowname", "burst_name").join(rows, ["r_rowname", "burst_name"]).drop("r_rowname", "burst_name")
 
 
+def _class_of(kind: T.DataType) -> str:
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return ZONED
+    if isinstance(kind, T.BooleanType):
+        return "logical"
+    if isinstance(kind, T.IntegralType):
+        return "integer"
+    return "numeric" if isinstance(kind, T.NumericType) else "character"
+
+
 def default_types(info: DataFrame, zone: str = "UTC") -> dict[str, InfoType]:
     """Classes read off the Spark schema."""
-    found = {}
-    for field in info.schema:
-        kind = field.dataType
-        if isinstance(kind, T.TimestampType | T.TimestampNTZType):
-            found[field.name] = InfoType(ZONED, zone=zone)
-        elif isinstance(kind, T.BooleanType):
-            found[field.name] = InfoType("logical")
-        elif isinstance(kind, T.IntegralType):
-            found[field.name] = InfoType("integer")
-        elif isinstance(kind, T.NumericType):
-            found[field.name] = InfoType("numeric")
-        else:
-            found[field.name] = InfoType("character")
-    return found
+    found = {f.name: _class_of(f.dataType) for f in info.schema}
+    return {name: InfoType(kind, zone=zone if kind == ZONED else None) for name, kind in found.items()}
 
 
 def registry(types: Mapping[str, InfoType]) -> Column:
@@ -106,6 +110,46 @@ def registry(types: Mapping[str, InfoType]) -> Column:
     return F.array(*entries).cast(REGISTRY)
 
 
+def default_registry(columns: Sequence[tuple[str, str]], zone: Column) -> Column:
+    """The registry that the Spark types of columns (name, type) give, times in ``zone``."""
+    kinds = T.StructType([T.StructField(n, T.StructType.fromDDL(f"a {k}")[0].dataType) for n, k in columns])
+    entries = []
+    for field in kinds:
+        found = _class_of(field.dataType)
+        entries.append(
+            F.struct(
+                F.lit(field.name).alias("name"), F.lit(found).alias("type"),
+                (zone if found == ZONED else F.lit(None).cast("string")).alias("zone"), F.lit(None).cast("array<string>").alias("levels"),
+            )
+        )
+    return F.array(*entries).cast(REGISTRY)
+
+
+#: Spark type that a class is read back as
+READ_AS = {
+    **dict.fromkeys(FACTORS, "string"), ZONED: "timestamp_ntz", WRITTEN: "timestamp_ntz", "integer": "bigint", "numeric": "double",
+    "logical": "boolean", "character": "string",
+}
+
+
+def _read(value: Column, kind: str, zone: Column, levels: Column) -> Column:
+    """A value by its class; ``zone`` and ``levels`` may differ from row to row."""
+    text = value.cast("string")
+    if kind in FACTORS:
+        return F.when(F.array_contains(levels, text), text)
+    if kind == ZONED:
+        return F.convert_timezone(F.lit("UTC"), F.coalesce(zone, F.lit("UTC")), value.try_cast("timestamp_ntz"))
+    if kind == WRITTEN:
+        return text.try_cast("timestamp_ntz")
+    return value.try_cast(READ_AS[kind])
+
+
+def _rank(value: Column, levels: Column) -> Column:
+    """1-based place among the levels of an ordered factor, null outside them."""
+    place = F.array_position(levels, value.cast("string"))
+    return F.when(place > 0, place)
+
+
 def typed(infolocs: DataFrame, types: Mapping[str, InfoType]) -> DataFrame:
     """Read infolocs back with their classes.
 
@@ -115,26 +159,106 @@ def typed(infolocs: DataFrame, types: Mapping[str, InfoType]) -> DataFrame:
     out = {}
     for name in info_columns(infolocs):
         t = types.get(name)
-        if t is None:
+        if t is None or t.type not in READ_AS:
             continue
-        value = F.col(name)
-        if t.type in FACTORS:
-            levels = list(t.levels or ())
-            out[name] = F.when(value.cast("string").isin(levels), value.cast("string"))
-            if t.type == "ordered":
-                rank = F.array_position(F.array(*[F.lit(v) for v in levels]), value.cast("string"))
-                out[f"{name}_level"] = F.when(rank > 0, rank)
-        elif t.type == ZONED:
-            utc = value.cast("timestamp_ntz")
-            out[name] = F.convert_timezone(F.lit("UTC"), F.lit(t.zone or "UTC"), utc)
-        elif t.type == WRITTEN:
-            out[name] = value.cast("string").try_cast("timestamp_ntz")
-        elif t.type in ("integer", "numeric", "logical", "character"):
-            spark_type = {"integer": "long", "numeric": "double", "logical": "boolean", "character": "string"}[t.type]
-            out[name] = value.try_cast(spark_type)
+        levels = (F.array(*[F.lit(v) for v in t.levels]) if t.levels else F.array()).cast("array<string>")
+        out[name] = _read(F.col(f"`{name}`"), t.type, F.lit(t.zone).cast("string"), levels)
+        if t.type == "ordered":
+            out[f"{name}_level"] = _rank(F.col(f"`{name}`"), levels)
     return infolocs.withColumns(out)
 
 
+# -- the stored form ---------------------------------------------------------------------------------------------
+
+
+def stored_columns(infolocs: DataFrame, names: Sequence[str]) -> list[tuple[str, str]]:
+    """(stored name, Spark type) of info columns."""
+    return [(safe_name(n), infolocs.schema[n].dataType.simpleString()) for n in names]
+
+
+def packed(infolocs: DataFrame, names: Sequence[str]) -> Column:
+    """Info columns as one map of texts. Times become microseconds in UTC, binary values base64, nested values JSON."""
+    if not names:
+        return F.create_map().cast("map<string, string>")
+    cells = []
+    for name in names:
+        kind, value = infolocs.schema[name].dataType, F.col(f"`{name}`")
+        if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+            value = times.micros(infolocs, f"`{name}`")
+        elif isinstance(kind, T.BinaryType):
+            value = F.base64(value)
+        elif isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+            value = F.to_json(F.struct(value.alias("v")))
+        cells += [F.lit(safe_name(name)), value.cast("string")]
+    return F.create_map(*cells)
+
+
+def _value(name: str, kind: str) -> Column:
+    """A column of Spark type ``kind`` out of the packed map."""
+    text = F.col("info")[name]
+    if kind == "timestamp_ntz":
+        return times.wall_time(text.cast("long"))
+    if kind == "timestamp":
+        return F.timestamp_micros(text.cast("long"))
+    if kind == "binary":
+        return F.unbase64(text)
+    if kind.startswith(("array", "map", "struct")):
+        return F.from_json(text, f"v {kind}")["v"]
+    return text.cast(kind)
+
+
+def value_sql(name: str, kind: str) -> str:
+    """The same as SQL text, for a view."""
+    text = "info['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    if kind == "timestamp_ntz":
+        return f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + CAST({text} AS BIGINT) * INTERVAL '0.000001' SECOND"
+    if kind == "timestamp":
+        return f"timestamp_micros(CAST({text} AS BIGINT))"
+    if kind == "binary":
+        return f"unbase64({text})"
+    if kind.startswith(("array", "map", "struct")):
+        return f"from_json({text}, 'v {kind}').v"
+    return f"CAST({text} AS {kind})"
+
+
+def _instant(name: str, kind: str) -> Column:
+    """The value that classes are read from: instants as UTC wall time."""
+    return times.wall_time(F.col("info")[name].cast("long")) if kind == "timestamp" else _value(name, kind)
+
+
+def unpacked(
+    rows: DataFrame,
+    columns: Sequence[tuple[str, str]],
+    types: Mapping[str, InfoType] | None = None,
+    registries: DataFrame | None = None,
+    classes: Mapping[str, set] | None = None,
+    keep: Sequence[str] = (RESERVED,),
+) -> DataFrame:
+    """Packed rows as columns again, after the ``keep`` ones.
+
+    ``types`` are the classes when all rows share one registry. Otherwise ``registries`` has (registry, info_cols), rows carry ``registry`` and
+    ``classes`` names the classes that each column has in any of them (None where one lacks it); a column whose classes differ in type is text.
+    """
+    kept = [c for c in rows.columns if c in keep]
+    if registries is None:
+        own = {n: t for n, t in (types or {}).items() if n in {c for c, _ in columns}}
+        return typed(rows.select(*kept, *[(_instant if n in own else _value)(n, k).alias(n) for n, k in columns]), own)
+    rows = settings.join_small(rows, registries.select("registry", "info_cols"), "registry", RESERVED)
+    out, more = [], []
+    for name, kind in columns:
+        entry, known = _entry(name), (classes or {}).get(name, {None})
+        found, value = sorted(c for c in known if c in READ_AS), _instant(name, kind)
+        target = {READ_AS[c] for c in found} | ({kind} if known - set(READ_AS) else set())
+        shared = target.pop() if len(target) == 1 else "string"
+        read = _value(name, kind).cast(shared)
+        for c in found:
+            read = F.when(entry["type"] == c, _read(value, c, entry["zone"], entry["levels"]).cast(shared)).otherwise(read)
+        out.append(read.alias(name))
+        if "ordered" in found:
+            more.append(F.when(entry["type"] == "ordered", _rank(value, entry["levels"])).alias(f"{name}_level"))
+    return rows.select(*kept, *out, *more)
+
+
 def _entry(name: str) -> Column:
     """Registry entry of a column, null when there is none."""
     return F.get(F.filter("info_cols", lambda e: e["name"] == name), F.lit(0))

@@ -16,7 +16,7 @@ from trajspark import settings
 from trajspark.functions import planar
 from trajspark.operators.steps import BURST, ordered
 from trajspark.operators.summary import burst_summary
-from trajspark.plans.segments import Laid, Previous, RowNumber, RunningSum, lay_out, with_prefix
+from trajspark.plans.segments import Known, Laid, Previous, RowNumber, RunningSum, lay_out, with_prefix
 
 
 def _collect(df: DataFrame, keys: Sequence[str], max_points: int) -> DataFrame:
@@ -38,14 +38,14 @@ def point_lines(laid: Laid, names: Sequence[str], max_points: int | None = None)
     return _collect(laid.df.withColumn("_way", way), names, max_points)
 
 
-def burst_lines(relocations: DataFrame, kind: int = 2, order: Sequence[str] | None = None) -> DataFrame:
+def burst_lines(relocations: DataFrame, kind: int = 2, order: Sequence[str] | None = None, known: Known | None = None) -> DataFrame:
     """The line of each burst in parts; one part without a line when no fix is known. ``order`` names an order already stored.
 
-    Bursts are repeated per part before the join, so the join key is as even as the parts are.
+    Bursts are repeated per part before the join, so the join key is as even as the parts are. ``known`` are stored burst sizes.
     """
     max_points = settings.line_points(relocations.sparkSession)
-    known = relocations.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    laid = lay_out(known, BURST, order) if order else ordered(known, kind)
+    fixed = relocations.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    laid = lay_out(fixed, BURST, order, known=known) if order else ordered(fixed, kind, known=known)
     parts = point_lines(laid, BURST, max_points)
     summary = burst_summary(relocations)
     last = F.greatest(F.lit(0), F.ceil((F.col("num_relocations") - F.col("num_na")) / max_points) - 1).cast("long")
@@ -54,23 +54,30 @@ def burst_lines(relocations: DataFrame, kind: int = 2, order: Sequence[str] | No
 
 
 def burst_view(relocations: DataFrame, parts: DataFrame) -> DataFrame:
-    """One row per burst: its summary, the first part of its line and what the whole line (``parts``) adds up to."""
+    """One row per burst: its summary and what its whole line (``parts``) adds up to. The line itself stays in its parts."""
     whole = parts.groupBy(*BURST).agg(
         F.count("n_points").alias("n_parts"), F.coalesce(F.sum("n_points"), F.lit(0)).alias("n_points"), F.sum("length").alias("length"))
-    first = parts.filter("part = 0").select(*BURST, "line")
-    return burst_summary(relocations).join(first, list(BURST), "left").join(whole, list(BURST), "left")
+    return burst_summary(relocations).join(whole, list(BURST), "left")
 
 
-def step_lines(view: DataFrame, keys: Sequence[str], max_points: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+def whole_lines(bursts: DataFrame, parts: DataFrame, on: Sequence[str] = BURST) -> DataFrame:
+    """Rows of a burst view with every part of their lines (``part``, ``line``), one row a part; no vertex is left out."""
+    return bursts.join(parts.select(*on, "part", "line"), list(on), "left")
+
+
+def step_lines(
+    view: DataFrame, keys: Sequence[str], max_points: int | None = None, at_most: DataFrame | None = None, known: Known | None = None
+) -> DataFrame:
     """One line per key from step lines, in step order.
 
     ``view`` has step_id and step_geom (two vertices). A step adds its end, and its start too unless the step
-    before ended there. ``at_most`` is a cheap table with as many rows per key, for a view that is not written yet.
+    before ended there. ``at_most`` is a cheap table with as many rows per key, for a view that is not written yet;
+    ``known`` are stored sizes.
     """
     max_points = max_points or settings.line_points(view.sparkSession)
-    known = view.filter(F.col("step_geom").isNotNull())
-    known = known.select(*keys, "step_id", F.col("step_geom")[0].alias("_a"), F.col("step_geom")[1].alias("_b"))
-    laid = with_prefix(lay_out(known, keys, ("step_id",), at_most=at_most), _last=Previous(F.col("_b")))
+    drawn = view.filter(F.col("step_geom").isNotNull())
+    drawn = drawn.select(*keys, "step_id", F.col("step_geom")[0].alias("_a"), F.col("step_geom")[1].alias("_b"))
+    laid = with_prefix(lay_out(drawn, keys, ("step_id",), at_most=at_most, known=known), _last=Previous(F.col("_b")))
     joined = F.coalesce(F.col("_last") == F.col("_a"), F.lit(False))
     laid = laid.on(laid.df.withColumn("_adds", F.when(joined, 1).otherwise(2)))
     laid = with_prefix(laid, _upto=RunningSum(F.col("_adds")))

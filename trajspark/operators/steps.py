@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.functions import planar
-from trajspark.plans.segments import Laid, RowNumber, lay_out, with_prefix, with_strict_next
+from trajspark.plans.segments import Known, Laid, RowNumber, lay_out, with_prefix, with_strict_next
 
 BURST = ("pgtraj_name", "burst_name")
 TYPE_II, TYPE_I = 2, 1
@@ -14,22 +14,24 @@ TYPE_II, TYPE_I = 2, 1
 LAST = 2**63 - 1
 
 
-def ordered(relocations: DataFrame, kind: int = TYPE_II, keys=BURST, within: Laid | None = None) -> Laid:
+def ordered(relocations: DataFrame, kind: int = TYPE_II, keys=BURST, within: Laid | None = None, known: Known | None = None) -> Laid:
     """Relocations laid out by burst, in time order (Type II, ties by rid) or in rid order (Type I)."""
     if kind == TYPE_I:
-        return lay_out(relocations, keys, ("rid",), within)
+        return lay_out(relocations, keys, ("rid",), within, known=known)
     df = relocations.withColumn("_when", F.coalesce("us", F.lit(LAST)))
-    return lay_out(df, keys, ("_when", "rid"), within)
+    return lay_out(df, keys, ("_when", "rid"), within, known=known)
 
 
-def build_steps(relocations: DataFrame, kind: int = TYPE_II, within: Laid | None = None, numbered: bool = False) -> Laid:
+def build_steps(
+    relocations: DataFrame, kind: int = TYPE_II, within: Laid | None = None, numbered: bool = False, known: Known | None = None
+) -> Laid:
     """One step per relocation.
 
     Type II: the successor is the first relocation with a strictly later time, so tied fixes share it, and a
     fix without a time has none. Type I: the successor is the next rid. Added columns: rid2, us2, x2, y2, dt_us,
     and with ``numbered`` seq and seq2, the positions of both ends in the burst.
     """
-    laid = ordered(relocations, kind, within=within)
+    laid = ordered(relocations, kind, within=within, known=known)
     if numbered:
         laid = with_prefix(laid, seq=RowNumber())
     at = "us" if kind == TYPE_II else "rid"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.functions import times
-from trajspark.plans.segments import RunningSum, lay_out, with_prefix
+from trajspark.plans.segments import Known, RunningSum, lay_out, with_prefix
 
 
 def burst_summary(steps: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def pgtraj_summary(steps: DataFrame, pgtrajs: DataFrame | None = None, info_tabl
     """Burst names, relocations and time span of each pgtraj; a name that several animals share is one burst.
 
     Built on the burst summary, so a pgtraj that holds most rows is already reduced to one row per burst before
-    its own shuffle. ``pgtrajs`` adds descriptions (pgtraj_id, last_update); ``info_tables`` (column table_name) adds the
-    name of the infolocs table.
+    its own shuffle. ``pgtrajs`` adds descriptions (pgtraj_id, last_update); ``info_tables`` (columns pgtraj_name and
+    infolocs_table, or table_name alone) adds the name of the infolocs table.
     """
     facts = (
         F.sum("num_relocations").alias("num_relocations"), F.min("date_begin").alias("date_begin"), F.max("date_end").alias("date_end"),
@@ -50,9 +50,11 @@ def pgtraj_summary(steps: DataFrame, pgtrajs: DataFrame | None = None, info_tabl
     if pgtrajs is not None:
         out = pgtrajs.join(out, "pgtraj_name")
     if info_tables is not None:
-        named = info_tables.filter(F.col("table_name").startswith("infolocs_")).select(
-            F.substring("table_name", 10, 1_000_000).alias("pgtraj_name"), F.col("table_name").alias("infolocs_table")
-        )
+        named = info_tables
+        if "table_name" in info_tables.columns:
+            named = info_tables.filter(F.col("table_name").startswith("infolocs_")).select(
+                F.substring("table_name", 10, 1_000_000).alias("pgtraj_name"), F.col("table_name").alias("infolocs_table")
+            )
         out = out.join(named, "pgtraj_name", "left")
     return out
 
@@ -72,16 +74,15 @@ def bursts_by_name(bursts: DataFrame, names, pgtraj: str | None = None) -> DataF
     return found if pgtraj is None else found.filter(F.col("pgtraj_name") == pgtraj)
 
 
-def median_duration(steps: DataFrame, keys=("pgtraj_name",), at_most: DataFrame | None = None) -> DataFrame:
-    """Exact continuous median of dt in seconds per key.
+def _durations(steps: DataFrame, keys) -> DataFrame:
+    """Steps counted by duration, with the first and last time among them."""
+    return steps.groupBy(*keys, "dt_us").agg(F.count(F.lit(1)).alias("_n"), F.min("us").alias("_start"), F.max("us").alias("_last"))
 
-    Durations are first reduced to (value, count); the two middle ranks are then read off running counts, so
-    memory does not grow with the number of steps or of different durations. ``at_most`` is a cheap table with as
-    many rows per key (see ``lay_out``), by default the key columns of ``steps``.
-    """
-    counts = steps.filter(F.col("dt_us").isNotNull()).groupBy(*keys, "dt_us").agg(F.count(F.lit(1)).alias("_n"))
+
+def _median(durations: DataFrame, keys, at_most: DataFrame, known: Known | None) -> DataFrame:
+    counts = durations.filter(F.col("dt_us").isNotNull()).select(*keys, "dt_us", "_n")
     total = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    laid = with_prefix(lay_out(counts, keys, ("dt_us",), at_most=steps.select(*keys) if at_most is None else at_most), _upto=RunningSum(F.col("_n")))
+    laid = with_prefix(lay_out(counts, keys, ("dt_us",), at_most=at_most, known=known), _upto=RunningSum(F.col("_n")))
     laid = laid.join_groups(total)
     low, high = F.floor((F.col("_total") - 1) / 2), F.ceil((F.col("_total") - 1) / 2)
 
@@ -92,10 +93,22 @@ def median_duration(steps: DataFrame, keys=("pgtraj_name",), at_most: DataFrame
     return middle.select(*keys, (F.col("_twice") / F.lit(2.0 * times.SECOND)).alias("increment"))
 
 
-def time_defaults(steps: DataFrame) -> DataFrame:
-    """First and last time and median step duration (seconds) of each pgtraj."""
-    span = steps.groupBy("pgtraj_name").agg(F.min("us").alias("_start"), F.max("us").alias("_last"))
-    return span.join(median_duration(steps), "pgtraj_name", "left").select(
+def median_duration(steps: DataFrame, keys=("pgtraj_name",), at_most: DataFrame | None = None, known: Known | None = None) -> DataFrame:
+    """Exact continuous median of dt in seconds per key.
+
+    Durations are first reduced to (value, count); the two middle ranks are then read off running counts, so
+    memory does not grow with the number of steps or of different durations. ``at_most`` is a cheap table with as
+    many rows per key (see ``lay_out``), by default the key columns of ``steps``; ``known`` are stored numbers of steps.
+    """
+    return _median(_durations(steps, keys), keys, steps.select(*keys) if at_most is None else at_most, known)
+
+
+def time_defaults(steps: DataFrame, known: Known | None = None) -> DataFrame:
+    """First and last time and median step duration (seconds) of each pgtraj, all from steps counted by duration."""
+    keys = ("pgtraj_name",)
+    durations = _durations(steps, keys)
+    span = durations.groupBy(*keys).agg(F.min("_start").alias("_start"), F.max("_last").alias("_last"))
+    return span.join(_median(durations, keys, steps.select(*keys), known), "pgtraj_name", "left").select(
         "pgtraj_name",
         times.wall_time(F.col("_start")).alias("tstamp_start"),
         times.wall_time(F.col("_last")).alias("tstamp_last"),

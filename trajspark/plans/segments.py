@@ -63,6 +63,14 @@ class Laid:
         return self.on(self.df.join(settings.broadcast_if(table, rows), self.groups, "left"))
 
 
+@dataclass(frozen=True)
+class Known:
+    """What is known about the groups without counting them: rows of the largest one, and how many there are."""
+
+    largest: int
+    groups: int
+
+
 def lay_out(
     df: DataFrame,
     keys: Sequence[str],
@@ -71,6 +79,7 @@ def lay_out(
     count_on: DataFrame | None = None,
     at_most: DataFrame | None = None,
     known_rows: int | None = None,
+    known: Known | None = None,
 ) -> Laid:
     """Choose a layout for ordered work on ``df``.
 
@@ -79,6 +88,7 @@ def lay_out(
 
     * ``within``: an earlier layout whose groups contain these groups; when it needed no split, nor do they;
     * ``known_rows``: the number of rows of ``df`` (or more); nothing is large when that is within the limit;
+    * ``known``: stored sizes of the groups; nothing is counted while the largest is within the limit;
     * ``count_on``: a cheaper table with the same number of rows per group, counted instead of ``df``;
     * ``at_most``: a cheaper table with at least as many rows per group; while it has no large group, ``df`` is not
       counted, and otherwise ``df`` is written before, so that it is computed once.
@@ -89,6 +99,8 @@ def lay_out(
     plain = Laid(df.drop(SEGMENT), keys, order)
     if (within is not None and not within.split) or (known_rows is not None and known_rows <= limit):
         return plain
+    if known is not None and known.largest <= limit:
+        return replace(plain, n_groups=known.groups)
     if at_most is not None:
         if _group_sizes(at_most, keys)[0] <= limit:
             return plain

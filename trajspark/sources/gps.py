@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,13 +52,40 @@ def read_fixes(spark: SparkSession, path: str, sensor: str | None = None) -> Dat
     return _tidy(spark.read.csv(path, schema=FIX_SCHEMA, sep=";", header=True, enforceSchema=True), sensor)
 
 
-def read_sensors(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Fixes of several sensors in one table with a sensor column."""
-    out = None
-    for sensor, path in paths.items():
-        fixes = read_fixes(spark, path, sensor)
-        out = fixes if out is None else out.unionByName(fixes)
-    return out
+def read_sensors(spark: SparkSession, paths: Mapping[str, str] | str, sensor: Column | None = None, check: bool = False) -> DataFrame:
+    """Fixes of any number of sensors in one table with a sensor column, by one scan.
+
+    ``paths`` maps a sensor to its file or folder, or is a folder (or pattern) whose files are of a sensor each; then ``sensor`` is read off the file's
+    path, by default its name without the suffix. Columns are taken by position, whatever the header calls them. With ``check`` a
+    file whose lines don't have all columns is refused by name.
+    """
+    file = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), "\\+", "%2B"))
+    if isinstance(paths, str):
+        places, name = [paths], F.regexp_extract(file, "([^/]*?)(\\.[^./]*)?$", 1) if sensor is None else sensor
+    else:
+        places = list(paths.values())
+        told = F.from_json(F.lit(json.dumps({_absolute(spark, p): k for k, p in paths.items()})), "map<string, string>")
+        file = F.regexp_replace(file, "^[A-Za-z0-9+.-]+:(//[^/]*)?", "")
+        name = F.coalesce(told[file], told[F.regexp_replace(file, "/[^/]*$", "")])  # the file itself, or the folder it is in
+    if check:
+        _check_width(spark, places)
+    fixes = spark.read.csv(places, schema=FIX_SCHEMA, sep=";", header=True, enforceSchema=True)
+    return _tidy(fixes.select("*", name.alias("sensor")), None)
+
+
+def _absolute(spark: SparkSession, path: str) -> str:
+    """A path without scheme and host, as file metadata shows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri().getPath()
+
+
+def _check_width(spark: SparkSession, places: list[str]) -> None:
+    """Raise ``ValueError`` naming files with a line that doesn't have as many columns as sensor files have."""
+    lines = spark.read.text(places).select("value", F.col("_metadata.file_path").alias("file")).filter("trim(value) <> ''")
+    wrong = lines.filter(F.size(F.split("value", ";", -1)) != len(FIX_COLUMNS)).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    found = sorted((r["file"], r["n"]) for r in wrong.limit(5).collect())
+    if found:
+        raise ValueError(f"files without {len(FIX_COLUMNS)} columns: " + ", ".join(f"{f} ({n} lines)" for f, n in found))
 
 
 def parse_fixes(lines: DataFrame, line: str = "line", sensor: Column | None = None) -> DataFrame:

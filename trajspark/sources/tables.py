@@ -195,6 +195,14 @@ def check_names(relocations: DataFrame) -> None:
         raise ValueError(f"names break the model rules: {shown}")
 
 
+def burst_facts(relocations: DataFrame) -> DataFrame:
+    """One row per burst and description: names, relocations, known positions. What the naming rules, the descriptions and the layout of
+    the steps need, in one pass over the source."""
+    names = ("pgtraj_name", "animal_name", "burst_name", "proj4string", "time_zone", "note")
+    return relocations.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("num_steps"), F.count("x").alias("num_known"), F.max("srid").alias("srid"), F.lit(0).cast("long").alias("num_named"))
+
+
 def pgtraj_rows(relocations: DataFrame) -> DataFrame:
     """One row per pgtraj with its projection, zone and note."""
     return relocations.select("pgtraj_name", "proj4string", "time_zone", "note").distinct()

@@ -1,47 +1,56 @@
-"""A trajectory store: one catalog database of Parquet tables, partitioned by pgtraj.
+"""A trajectory store: one catalog database of Parquet tables, partitioned by pgtraj and version.
 
-Facts are stored once, in step order and with both ends of each step (``step``), so parameters, geometry,
-summaries and exports are scans of one pruned partition. The normalised tables of the model are projections
-(``model()``). A pgtraj exists when its row is in ``pgtraj``; that row names the version of its steps, bursts and infolocs.
-Writing always makes a new version beside what is there; the row is written last and removed first. So readers see the
-old trajectory or the new one, whole, wherever a write fails, and only then are older versions removed.
+Facts are stored once, in step order and with both ends of each step (``step``), so parameters, geometry, summaries and exports are scans of one pruned
+partition. The normalised tables of the model are projections (``model()``). Infolocs of all trajectories are one table too, whatever their columns, as
+are the step views, burst views and burst lines; names of trajectories are values of a partition column and may be any text.
+
+A pgtraj exists when its row is in ``pgtraj``; that row names the version of its steps, bursts and infolocs and holds what was counted while they were
+written (steps, bursts, the largest burst), so nothing is counted again before ordered work. Writing always makes a new version beside what is there; the
+row is written last and removed first. So readers see the old trajectory or the new one, whole, wherever a write fails, and only then are older
+versions removed. Ids come from ranges that a write takes for itself before it begins (``allocated``) and are never given twice.
+
+The number of Spark jobs of a call doesn't depend on the number of trajectories it is about.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 import warnings
-from collections.abc import Mapping, Sequence
+import zlib
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark import settings
 from trajspark.functions import times
-from trajspark.functions.reproject import SUPPORTED, reproject_line, srid_of
+from trajspark.functions.reproject import reproject_line, srid_of, supported
 from trajspark.operators import export as exporting
 from trajspark.operators import infolocs as info
 from trajspark.operators import lines, summary, windows
 from trajspark.operators.ids import Model, with_step_ids
 from trajspark.operators.parameters import FILL_PGTRAJ, step_parameters, stored_parameters
 from trajspark.operators.steps import BURST, LAST, TYPE_I, TYPE_II, build_steps, computed_steps, step_geometry
-from trajspark.operators.views import step_view
-from trajspark.plans.segments import Laid, RowNumber, lay_out, with_prefix
+from trajspark.operators.views import VIEW_COLUMNS, step_view
+from trajspark.plans.segments import Known, Laid, RowNumber, lay_out, with_prefix
 from trajspark.sources import tables
 
 DATABASE_SOURCE, TRAJECTORY_SOURCE = "table", "trajectory"
+ROWS_A_FILE = 2_000_000
+_POINT = "STRUCT<x: DOUBLE, y: DOUBLE>"
+_REGISTRY = "ARRAY<STRUCT<name: STRING, type: STRING, zone: STRING, levels: ARRAY<STRING>>>"
 
 SCHEMAS = {
     "pgtraj": (
-        "proj4string STRING, time_zone STRING, note STRING, insert_timestamp TIMESTAMP, source STRING, type_i BOOLEAN, "
-        "srid INT, version STRING, infolocs STRING, pgtraj_name STRING"
+        "proj4string STRING, time_zone STRING, note STRING, insert_timestamp TIMESTAMP, source STRING, type_i BOOLEAN, srid INT, version STRING, "
+        "infolocs STRING, n_steps BIGINT, n_bursts BIGINT, largest BIGINT, named BOOLEAN, pgtraj_name STRING"
     ),
     "animal_burst": (
-        "burst_id BIGINT, burst_name STRING, animal_name STRING, "
-        "info_cols ARRAY<STRUCT<name: STRING, type: STRING, zone: STRING, levels: ARRAY<STRING>>>, pgtraj_name STRING, version STRING"
+        f"burst_id BIGINT, burst_name STRING, animal_name STRING, num_steps BIGINT, info_cols {_REGISTRY}, pgtraj_name STRING, version STRING"
     ),
     "step": (
         "step_id BIGINT, burst_id BIGINT, burst_name STRING, animal_name STRING, seq BIGINT, rid BIGINT, us BIGINT, x DOUBLE, "
@@ -49,8 +58,25 @@ SCHEMAS = {
         "dt_us BIGINT, r_rowname STRING, r2n DOUBLE, rel_angle DOUBLE, abs_angle DOUBLE, dx DOUBLE, dy DOUBLE, dist DOUBLE, "
         "dt DOUBLE, pgtraj_name STRING, version STRING"
     ),
+    "infolocs": "step_id BIGINT, registry BIGINT, info MAP<STRING, STRING>, pgtraj_name STRING, version STRING",
+    "info_registry": (
+        f"registry BIGINT, info_cols {_REGISTRY}, columns ARRAY<STRUCT<name: STRING, kind: STRING>>, pgtraj_name STRING, version STRING"
+    ),
+    "step_view": (
+        f"step_id BIGINT, step_geom ARRAY<{_POINT}>, date TIMESTAMP_NTZ, us BIGINT, dx DOUBLE, dy DOUBLE, dist DOUBLE, dt DOUBLE, dt_us BIGINT, "
+        "abs_angle DOUBLE, rel_angle DOUBLE, animal_name STRING, burst_name STRING, registry BIGINT, info MAP<STRING, STRING>, "
+        "pgtraj_name STRING, version STRING"
+    ),
+    "burst_view": (
+        "animal_name STRING, burst_name STRING, num_relocations BIGINT, num_na BIGINT, date_begin TIMESTAMP_NTZ, date_end TIMESTAMP_NTZ, "
+        "n_parts BIGINT, n_points BIGINT, length DOUBLE, pgtraj_name STRING, version STRING"
+    ),
+    "burst_lines": f"burst_name STRING, part BIGINT, line ARRAY<{_POINT}>, n_points BIGINT, length DOUBLE, pgtraj_name STRING, version STRING",
+    "allocated": "last_step BIGINT, last_burst BIGINT, version STRING",
 }
-PARTITIONS = {"pgtraj": "pgtraj_name", "animal_burst": "pgtraj_name, version", "step": "pgtraj_name, version"}
+PARTITIONS = {name: "pgtraj_name, version" for name in SCHEMAS} | {"pgtraj": "pgtraj_name", "allocated": None}
+VIEWS = ("step_view", "burst_view", "burst_lines")
+FACTS = ("step", "animal_burst", "infolocs", "info_registry")
 
 
 class TrajectoryStore:
@@ -62,9 +88,6 @@ class TrajectoryStore:
     def _name(self, table: str) -> str:
         return f"`{self.schema}`.`{table}`"
 
-    def _has(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self._name(table))
-
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._name(name))
 
@@ -72,10 +95,11 @@ class TrajectoryStore:
         """Create the tables in an empty schema, accept a complete one, refuse anything else."""
         where = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.schema}`{where}")
-        present = {t.name for t in self.spark.catalog.listTables(self.schema) if not t.isTemporary}
+        present = {r["tableName"] for r in self.spark.sql(f"SHOW TABLES IN `{self.schema}`").collect() if not r["isTemporary"]}
         if not present:
             for name, columns in SCHEMAS.items():
-                self.spark.sql(f"CREATE TABLE {self._name(name)} ({columns}) USING parquet PARTITIONED BY ({PARTITIONS[name]})")
+                parts = f" PARTITIONED BY ({PARTITIONS[name]})" if PARTITIONS[name] else ""
+                self.spark.sql(f"CREATE TABLE {self._name(name)} ({columns}) USING parquet{parts}")
             return self
         if not set(SCHEMAS) <= present:
             raise ValueError(f"schema {self.schema} exists and is not a trajectory schema")
@@ -85,26 +109,32 @@ class TrajectoryStore:
                 raise ValueError(f"table {name} of schema {self.schema} has other columns than expected")
         return self
 
-    def _append(self, df: DataFrame, name: str) -> None:
-        """Add rows of a new version, clustered by pgtraj and in step order."""
+    def _append(self, df: DataFrame, name: str, order: Sequence[str] = ()) -> None:
+        """Add rows, files sorted by ``order``. Where the first of it is an id, rows are clustered into ranges of it, which needs no sampling."""
         columns = self.table(name).columns
-        df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns})
-        order = [c for c in ("pgtraj_name", "step_id", "burst_id") if c in columns]
-        df.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order).write.insertInto(self._name(name))
-
-    def _publish(self, described: DataFrame, replace: bool) -> None:
-        """Write the pgtraj rows, which makes their versions the ones that are read. ``replace`` swaps the partition of one row."""
-        columns = self.table("pgtraj").columns
-        described = described.select(*columns)
-        if not replace:
+        df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns}).select(*columns)
+        if order:
+            df = df.repartition(F.floor(F.col(order[0]) / ROWS_A_FILE)).sortWithinPartitions("pgtraj_name", *order)
+        df.write.insertInto(self._name(name))
+
+    def _replace(self, df: DataFrame, name: str, held: Iterable[tuple[str, str]] = (), by: str | None = None) -> None:
+        """Write rows of some versions, in the place of the partitions ``held``; ``by`` clusters and sorts them."""
+        self._drop_partitions(name, held)
+        columns = self.table(name).columns
+        df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns}).select(*columns)
+        if by:
+            df = df.repartitionByRange("pgtraj_name", by).sortWithinPartitions("pgtraj_name", by)
+        df.write.insertInto(self._name(name))
+
+    def _publish(self, described: DataFrame, replaced: Sequence[str] = ()) -> None:
+        """Write the pgtraj rows, which makes their versions the ones that are read; those in ``replaced`` take the place of older ones."""
+        described = described.select(*self.table("pgtraj").columns)
+        if not replaced:
             described.write.insertInto(self._name("pgtraj"))
             return
-        (row,) = described.collect()
-        values = described.drop("pgtraj_name")
-        values.createOrReplaceTempView(view := f"publish_{uuid.uuid4().hex}")
+        described.createOrReplaceTempView(view := f"publish_{uuid.uuid4().hex}")
         try:
-            name = f"pgtraj_name = {_literal(row['pgtraj_name'])}"
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self._name('pgtraj')} PARTITION ({name}) SELECT * FROM {view}")
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self._name('pgtraj')} WITH (partitionOverwriteMode = 'dynamic') SELECT * FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
 
@@ -117,35 +147,36 @@ class TrajectoryStore:
             raise ValueError(f"the pgtraj {pgtraj!r} does not exist in schema {self.schema}")
         return row
 
-    def _next_ids(self) -> tuple[int, int]:
-        top = self.table("step").agg(F.max("relocation_id_1"), F.max("relocation_id_2"), F.max("step_id"), F.max("burst_id")).first()
-        return max(v or 0 for v in (top[0], top[1], top[2])), top[3] or 0
+    def _allocate(self, steps: int, bursts: int, version: str) -> tuple[int, int]:
+        """Take ranges of step and burst ids for a version; returns what lies before them. A range is never given again."""
+        top = self.table("allocated").agg(F.max("last_step"), F.max("last_burst")).first()
+        last_step, last_burst = top[0] or 0, top[1] or 0
+        taken = [(last_step + steps, last_burst + bursts, version)]
+        self.spark.createDataFrame(taken, SCHEMAS["allocated"]).coalesce(1).write.insertInto(self._name("allocated"))
+        return last_step, last_burst
 
     # -- writing --------------------------------------------------------------------------------------
 
-    def _save(self, steps: DataFrame, version: str, info_cols=None) -> DataFrame:
-        """Write steps and bursts as a new version; returns the steps as written. Nothing shows them yet."""
-        last_step, last_burst = self._next_ids()
-        shifted = {c: F.col(c) + last_step for c in ("step_id", "relocation_id_1", "relocation_id_2")}
-        steps = steps.withColumns({**shifted, "burst_id": F.col("burst_id") + last_burst, "version": F.lit(version)})
-        self._append(steps, "step")
-        stored = self.table("step").filter(F.col("version") == version)
-        bursts = stored.groupBy("pgtraj_name", "version", "burst_id", "burst_name", "animal_name").agg(F.lit(None).alias("info_cols"))
-        if info_cols is not None:
-            bursts = bursts.withColumn("info_cols", info_cols)
-        self._append(bursts, "animal_burst")
-        return stored
-
-    def _described(self, described: DataFrame, version: str, source: str, kind: int, infolocs: Mapping[str, str]) -> DataFrame:
-        tables_of = F.lit(None).cast("string")
-        if infolocs:
-            tables_of = F.create_map(*[F.lit(v) for pair in infolocs.items() for v in pair])[F.col("pgtraj_name")]
-        return described.withColumns(
-            {
-                "insert_timestamp": F.current_timestamp(), "source": F.lit(source), "type_i": F.lit(kind == TYPE_I),
-                "version": F.lit(version), "infolocs": tables_of,
-            }
-        )
+    def _save(self, steps: DataFrame, bursts: DataFrame, version: str, base: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+        """Write steps and bursts as a new version; returns both as written. Nothing shows them yet."""
+        shifted = {c: F.col(c) + base[0] for c in ("step_id", "relocation_id_1", "relocation_id_2")}
+        self._append(steps.withColumns({**shifted, "burst_id": F.col("burst_id") + base[1], "version": F.lit(version)}), "step", ["step_id"])
+        self._append(bursts.withColumns({"burst_id": F.col("burst_id") + base[1], "version": F.lit(version)}), "animal_burst", ["burst_id"])
+        return tuple(self.table(t).filter(F.col("version") == version) for t in ("step", "animal_burst"))
+
+    @staticmethod
+    def _counted(bursts: DataFrame) -> DataFrame:
+        """What the pgtraj rows keep of their bursts."""
+        named = F.min("num_named").isNotNull() & (F.sum("num_named") == F.sum("num_steps"))
+        return bursts.groupBy("pgtraj_name").agg(
+            F.sum("num_steps").alias("n_steps"), F.count(F.lit(1)).alias("n_bursts"), F.max("num_steps").alias("largest"), named.alias("named"))
+
+    def _described(self, described: DataFrame, bursts: DataFrame, version: str, source: str, kind: int, infolocs: Mapping[str, str]) -> DataFrame:
+        names = self.spark.createDataFrame(list(infolocs.items()), "pgtraj_name string, infolocs string")
+        columns = {
+            "insert_timestamp": F.current_timestamp(), "source": F.lit(source), "type_i": F.lit(kind == TYPE_I), "version": F.lit(version),
+        }
+        return described.join(self._counted(bursts), "pgtraj_name").join(names, "pgtraj_name", "left").withColumns(columns).coalesce(1)
 
     def build(
         self,
@@ -159,36 +190,59 @@ class TrajectoryStore:
     ) -> list[str]:
         """Build trajectories from a table of relocations (arguments of ``bind_relocations``).
 
-        Parameters are computed once, here, and stored with the steps. An existing pgtraj is an error. Returns the
-        names written.
+        Parameters are computed once, here, and stored with the steps. The source is read once for its names, values and sizes and once for the
+        steps. An existing pgtraj is an error. Returns the names written.
         """
         source = self._source(relocations_table)
         extra = None if info_cols is None else self._source(info_table) if info_table is not None else source
         self.ensure()
         bound = tables.bind_relocations(source, **binding)
+        bursts = settings.write_through(tables.burst_facts(bound), "bursts")
         if check:
-            tables.has_values(bound, "x")
-            tables.check_names(bound)
+            if bursts.filter("num_known > 0").isEmpty():
+                warnings.warn("column x does not contain values", stacklevel=2)
+            tables.check_names(bursts)
         kind = TYPE_II if binding.get("timestamps") else TYPE_I
-        described = tables.pgtraj_rows(bound)
+        described = tables.pgtraj_rows(bursts)
         names = [r[0] for r in described.select("pgtraj_name").collect()]
         for name in names:
             tables.check_name(name)
         taken = sorted(set(names) & set(self.pgtrajs()))
         if taken:
             raise ValueError(f"pgtrajs already exist: {', '.join(taken)}")
-        steps = with_step_ids(step_parameters(build_steps(bound, kind, numbered=True), FILL_PGTRAJ))
-        srid = bound.select("srid").first()
+        known, total = self._known(bursts)
+        sizes = bursts.select(*BURST, "animal_name", F.col("num_steps").alias("burst_steps"))
+        laid = step_parameters(build_steps(bound, kind, numbered=True, known=known), FILL_PGTRAJ)
+        steps = with_step_ids(laid, sizes.drop("animal_name")).rows()
         version = uuid.uuid4().hex
-        stored = self._save(steps.rows(), version)
+        base = self._allocate(total, known.groups, version)
+        stored, held = self._save(steps, self._numbered_bursts(sizes, known.groups), version, base)
         infolocs: dict[str, str] = {}
         if extra is not None:
             rid = info_rid or binding.get("rid", "rid")
-            infolocs = self._write_infos(info.attach_from_table(stored, extra, rid, info_cols, ["pgtraj_name"]), names, version)
-        described = described.withColumn("srid", F.lit(srid[0] if srid else 0))
-        self._publish(self._described(described, version, DATABASE_SOURCE, kind, infolocs), replace=False)
+            present = [c for c in info_cols if c in extra.columns]
+            rows = extra.select(F.col(rid).cast("long").alias("rid"), info.packed(extra, present).alias("info"))
+            rows = stored.select("step_id", "rid", "pgtraj_name").join(rows, "rid").drop("rid").withColumn("registry", F.lit(0))
+            kinds = info.stored_columns(extra, present)
+            registry = described.select("pgtraj_name", F.lit(0).alias("registry"))
+            infolocs = self._write_infos(rows, registry, kinds, names, version)
+        srid = bursts.groupBy("pgtraj_name").agg(F.max("srid").alias("srid"))
+        described = described.join(srid, "pgtraj_name")
+        self._publish(self._described(described, bursts, version, DATABASE_SOURCE, kind, infolocs))
+        self._name_infolocs(infolocs, version, kinds if infolocs else [])
         return names
 
+    @staticmethod
+    def _known(bursts: DataFrame) -> tuple[Known, int]:
+        row = bursts.agg(F.max("num_steps").alias("largest"), F.count(F.lit(1)).alias("groups"), F.sum("num_steps").alias("rows")).first()
+        return Known(row["largest"] or 0, row["groups"]), row["rows"] or 0
+
+    @staticmethod
+    def _numbered_bursts(sizes: DataFrame, groups: int) -> DataFrame:
+        """Bursts with their ids in name order."""
+        chain = with_prefix(lay_out(sizes, (), BURST, known_rows=groups), burst_id=RowNumber())
+        return chain.rows().withColumn("num_steps", F.col("burst_steps"))
+
     def _source(self, source: str | DataFrame) -> DataFrame:
         return tables.source_table(self.spark, source) if isinstance(source, str) else source
 
@@ -204,13 +258,15 @@ class TrajectoryStore:
         type_i: bool = False,
         infolocs: DataFrame | None = None,
         info_types: Mapping[str, info.InfoType] | None = None,
+        info_registry: DataFrame | None = None,
     ) -> None:
         """Store a computed trajectory: one row per relocation with x, y, date, dx, dy, dt, R2n, rel.angle, id, burst and
         r.row.names (or the plain names of those columns), in burst_order if given.
 
         R2n and rel.angle are kept as they are. An existing pgtraj is replaced with ``overwrite`` and an error without. Without times
         (``type_i``) the order is ``seq``, an integer ``date`` or the row names; none of them is an error. Columns ``proj4string``
-        and ``time_zone`` (as in an export) stand in for the arguments.
+        and ``time_zone`` (as in an export) stand in for the arguments. ``infolocs`` are met by r_rowname and burst_name; ``info_types`` are the classes
+        of their columns for all bursts and ``info_registry`` (burst_name, info_cols) those of bursts that have classes of their own.
         """
         tables.check_name(pgtraj)
         told = [c for c in ("proj4string", "time_zone") if c in trajectory.columns]
@@ -219,57 +275,100 @@ class TrajectoryStore:
             given = dict(zip(told, row, strict=True)) if row else {}
             proj4string, time_zone = proj4string or given.get("proj4string"), time_zone or given.get("time_zone")
             trajectory = trajectory.drop(*told)
+        described = self.spark.createDataFrame(
+            [(pgtraj, proj4string, time_zone, note, srid_of(proj4string))],
+            "pgtraj_name string, proj4string string, time_zone string, note string, srid int",
+        )
+        own = F.lit(pgtraj).alias("pgtraj_name")
+        self._import(
+            self._plain(trajectory, time_zone, type_i).withColumn("pgtraj_name", own), described, overwrite, type_i,
+            None if infolocs is None else infolocs.withColumn("pgtraj_name", own), info_types,
+            None if info_registry is None else info_registry.select("burst_name", "info_cols", own),
+        )
+
+    def _import(
+        self, df: DataFrame, described: DataFrame, overwrite: bool, type_i: bool, infolocs: DataFrame | None,
+        info_types: Mapping[str, info.InfoType] | None, info_registry: DataFrame | None, kinds: list[tuple[str, str]] | None = None,
+    ) -> None:
+        """Store computed trajectories, as many as ``described`` has rows, by one set of jobs. With ``kinds`` the infolocs are packed already."""
         self.ensure()
-        exists = pgtraj in self.pgtrajs()
-        if exists and not overwrite:
-            raise ValueError(f"the pgtraj {pgtraj!r} already exists in schema {self.schema}")
-        df = self._plain(trajectory, time_zone, type_i).withColumn("pgtraj_name", F.lit(pgtraj))
-        if type_i and not df.filter("seq IS NULL AND order_date IS NULL AND try_cast(r_rowname AS BIGINT) IS NULL").isEmpty():
+        names = [r[0] for r in described.select("pgtraj_name").collect()]
+        present = {r["pgtraj_name"]: r["version"] for r in self.table("pgtraj").select("pgtraj_name", "version").collect()}
+        old = {n: present[n] for n in names if n in present}
+        if old and not overwrite:
+            raise ValueError(f"the pgtraj {sorted(old)[0]!r} already exists in schema {self.schema}")
+        ordered = "burst_order" in df.columns
+        keys = ["pgtraj_name", "animal_name", "burst_name", *(["burst_order"] if ordered else [])]
+        unplaced = F.expr("seq IS NULL AND order_date IS NULL AND try_cast(r_rowname AS BIGINT) IS NULL")
+        facts = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("num_steps"), F.count("r_rowname").alias("num_named"), F.count_if(unplaced).alias("unplaced"))
+        bursts = settings.write_through(facts, "bursts")
+        if type_i and not bursts.filter("unplaced > 0").isEmpty():
             raise ValueError("a trajectory without times needs seq, an integer date or numbered row names for its order")
-        if "burst_order" in df.columns:
-            shared = df.groupBy("burst_order").agg(F.min("burst_name").alias("a"), F.max("burst_name").alias("b"))
-            if not shared.filter("burst_order IS NULL OR a <> b").isEmpty():
+        if ordered:
+            shared = bursts.groupBy("pgtraj_name", "burst_order").agg(F.min("burst_name").alias("a"), F.max("burst_name").alias("b"))
+            several = bursts.groupBy(*BURST).count().filter("count > 1")
+            if not shared.filter("burst_order IS NULL OR a <> b").isEmpty() or not several.isEmpty():
                 raise ValueError("burst_order must give every burst a number of its own")
-        described = {c: F.lit(None).cast("string") for c in ("proj4string", "time_zone", "note")}
-        tables.check_names(df.select("pgtraj_name", "animal_name", "burst_name").withColumns(described))
-        steps = computed_steps(df).withColumns(
+        tables.check_names(bursts.join(described, "pgtraj_name").drop("srid"))
+        known, total = self._known(bursts)
+        place = F.format_string("%020d", F.col("burst_order")) if ordered else F.col("burst_name")
+        sizes = bursts.select("pgtraj_name", "animal_name", F.col("burst_name").alias("_name"), place.alias("burst_name"), F.col("num_steps").alias("burst_steps"))
+
+        srids = settings.broadcast_if(described.select("pgtraj_name", "srid"), len(names))
+        steps = computed_steps(df.drop("srid").join(srids, "pgtraj_name")).withColumns(
             {
-                "srid": F.lit(srid_of(proj4string)),
                 "_when": F.coalesce("us", F.lit(LAST)),
                 "_place": F.coalesce("seq", "order_date", F.col("r_rowname").try_cast("long"), F.lit(0).cast("long")),
+                "_name": F.col("burst_name"), "burst_name": place,
             }
         ).drop("order_date")
-        laid = with_prefix(lay_out(steps.drop("seq"), BURST, ("_when", "_place", "r_rowname")), seq=RowNumber())
-        laid = self._ids_in_given_order(laid) if "burst_order" in df.columns else with_step_ids(laid)
-        rows = stored_parameters(laid.rows()).withColumns(
+        laid = with_prefix(lay_out(steps.drop("seq"), BURST, ("_when", "_place", "r_rowname"), known=known), seq=RowNumber())
+        laid = with_step_ids(laid, sizes.drop("animal_name", "_name"))
+        rows = laid.rows().withColumn("burst_name", F.col("_name")).drop("_name")
+        rows = stored_parameters(rows).withColumns(
             {"relocation_id_1": F.col("step_id") * 2 - 1, "relocation_id_2": F.col("step_id") * 2, "rid": F.lit(None).cast("long")}
         ).withColumn("rid2", F.col("relocation_id_2"))
-        described = self.spark.createDataFrame(
-            [(pgtraj, proj4string, time_zone, note, srid_of(proj4string))],
-            "pgtraj_name string, proj4string string, time_zone string, note string, srid int",
-        )
-        types = None
-        if infolocs is not None:
-            columns = infolocs.drop("r_rowname", "burst_name")
-            types = {**info.default_types(columns, time_zone or "UTC"), **(info_types or {})}
-        old = self._row(pgtraj) if exists else None
-        version = uuid.uuid4().hex
-        stored = self._save(rows, version, info.registry(types) if types else None)
-        written: dict[str, str] = {}
-        if infolocs is not None:
-            found = info.attach_from_trajectory(stored, infolocs).withColumn("pgtraj_name", F.lit(pgtraj))
-            written = self._write_infos(found, [pgtraj], version)
+        held = self._numbered_bursts(sizes, known.groups).withColumn("burst_name", F.col("_name")).drop("_name")
+        version, written = uuid.uuid4().hex, {}
+        base = self._allocate(2 * total, known.groups, version)
+        if infolocs is None:
+            self._save(rows, held, version, base)
+        else:
+            columns = [c for c in infolocs.columns if c not in ("r_rowname", "burst_name", "pgtraj_name")]
+            own = kinds if kinds is not None else info.stored_columns(infolocs, columns)
+            held = self._with_registry(held, described, own, info_types, info_registry)
+            stored, saved = self._save(rows, held, version, base)
+            packed = F.col("info") if kinds is not None else info.packed(infolocs, columns)
+            met = infolocs.select("pgtraj_name", "burst_name", "r_rowname", packed.alias("info"))
+            found = stored.select("step_id", "burst_id", "pgtraj_name", "burst_name", "r_rowname").join(met, ["pgtraj_name", "burst_name", "r_rowname"])
+            number = F.xxhash64("info_cols").alias("registry")
+            if info_registry is None:
+                registry = saved.select("pgtraj_name", number, "info_cols").distinct()
+                found = found.join(settings.broadcast_if(registry.drop("info_cols"), len(names)), "pgtraj_name")
+            else:
+                registry = saved.select("pgtraj_name", number, "info_cols").distinct()
+                found = settings.join_small(found, saved.select("burst_id", number), "burst_id", "step_id")
+            written = self._write_infos(found.select("step_id", "registry", "info", "pgtraj_name"), registry, own, names, version)
         kind = TYPE_I if type_i else TYPE_II
-        self._publish(self._described(described, version, TRAJECTORY_SOURCE, kind, written), replace=exists)
-        if old is not None:
-            self._drop_views(pgtraj)
-            self._drop_version(pgtraj, old["version"], old["infolocs"])
+        self._publish(self._described(described, bursts, version, TRAJECTORY_SOURCE, kind, written), sorted(old))
+        self._name_infolocs(written, version, own if written else [])
+        if old:
+            self._forget(old.items())
 
-    def _ids_in_given_order(self, laid: Laid) -> Laid:
-        """Step ids with bursts in their given order: the zero-padded order stands in for the name while numbering."""
-        named = laid.df.withColumns({"_name": F.col("burst_name"), "burst_name": F.format_string("%020d", F.col("burst_order"))})
-        numbered = with_step_ids(laid.on(named))
-        return numbered.on(numbered.df.withColumn("burst_name", F.col("_name")).drop("_name"))
+    @staticmethod
+    def _with_registry(bursts, described, columns, info_types, info_registry) -> DataFrame:
+        """Each burst's registry: its own, else the classes given for all, else those of the Spark types."""
+        default = info.default_registry(columns, F.coalesce("time_zone", F.lit("UTC")))
+        if info_types:
+            given = [(n, info_types[n]) for n, _ in columns if n in info_types]
+            rest = info.default_registry([c for c in columns if c[0] not in info_types], F.coalesce("time_zone", F.lit("UTC")))
+            default = F.concat(info.registry(dict(given)), rest)
+        bursts = bursts.join(described.select("pgtraj_name", "time_zone"), "pgtraj_name").withColumn("info_cols", default).drop("time_zone")
+        if info_registry is None:
+            return bursts
+        own = info_registry.select("pgtraj_name", "burst_name", F.col("info_cols").cast(info.REGISTRY).alias("_own"))
+        return bursts.join(own, list(BURST), "left").withColumn("info_cols", F.coalesce("_own", "info_cols")).drop("_own")
 
     @staticmethod
     def _plain(df: DataFrame, zone: str | None, type_i: bool) -> DataFrame:
@@ -291,44 +390,68 @@ class TrajectoryStore:
             df = df.withColumn(name, F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind))
         return df
 
-    def _write_infos(self, rows: DataFrame, names: Sequence[str], version: str) -> dict[str, str]:
-        """One table per pgtraj, from one join; returns their names. Infolocs that can't be stored only warn."""
-        folder = settings.new_folder(self.spark, "infolocs")
-        rows.write.partitionBy("pgtraj_name").parquet(folder)
-        rows = self.spark.read.schema(rows.schema).parquet(folder)
-        repeated = rows.groupBy("pgtraj_name", "step_id").count().filter("count > 1").select("pgtraj_name").distinct()
-        wrong = {r[0] for r in repeated.collect()}
-        written = {}
-        for pgtraj in names:
-            if pgtraj in wrong:
-                warnings.warn(f"infolocs of {pgtraj!r} not written: several rows for one step", stacklevel=3)
-                continue
-            written[pgtraj] = f"infolocs_{pgtraj}" if not self._has(f"infolocs_{pgtraj}") else f"infolocs_{pgtraj}__{version}"
-            self._replace(rows.filter(F.col("pgtraj_name") == pgtraj).drop("pgtraj_name"), written[pgtraj])
-        return written
+    def _write_infos(
+        self, rows: DataFrame, registry: DataFrame, columns: Sequence[tuple[str, str]], names: Sequence[str], version: str
+    ) -> dict[str, str]:
+        """Write packed infolocs and their registries as partitions of the version; returns pgtraj and name of what is there. Infolocs
+        with several rows for one step are taken back with a warning."""
+        self._replace(rows.withColumn("version", F.lit(version)), "infolocs")
+        written = self.table("infolocs").filter(F.col("version") == version)
+        repeated = written.groupBy("pgtraj_name", "step_id").count().filter("count > 1").select("pgtraj_name").distinct()
+        wrong = sorted(r[0] for r in repeated.collect())
+        for pgtraj in wrong:
+            warnings.warn(f"infolocs of {pgtraj!r} not written: several rows for one step", stacklevel=3)
+        self._drop_partitions("infolocs", [(n, version) for n in wrong])
+        kinds = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for n, k in columns])
+        kept = registry.filter(~F.col("pgtraj_name").isin(wrong)) if wrong else registry
+        self._replace(kept.withColumns({"columns": kinds.cast(T.StructType.fromDDL(SCHEMAS["info_registry"])["columns"].dataType), "version": F.lit(version)}), "info_registry")
+        return {n: _relation(n) for n in names if n not in wrong}
+
+    def _name_infolocs(self, infolocs: Mapping[str, str], version: str, columns: Sequence[tuple[str, str]]) -> None:
+        """A view for each pgtraj that shows its infolocs as a table under its own name (a change of the catalog, no job)."""
+        for pgtraj, name in infolocs.items():
+            cells = "".join(f", {info.value_sql(n, k)} AS {_quoted(n)}" for n, k in columns)
+            where = f"pgtraj_name = {_literal(pgtraj)} AND version = {_literal(version)}"
+            select = f"SELECT step_id{cells} FROM {self._name('infolocs')} WHERE {where}"
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self._name(name)} AS {select}")
 
     # -- reading --------------------------------------------------------------------------------------
 
+    def _held(self, table: str, pgtraj: str, version: str) -> DataFrame:
+        return self.table(table).filter((F.col("pgtraj_name") == pgtraj) & (F.col("version") == version))
+
     def _steps(self, pgtraj: str) -> DataFrame:
-        version = self._row(pgtraj)["version"]
-        return self.table("step").filter((F.col("pgtraj_name") == pgtraj) & (F.col("version") == version))
+        return self._held("step", pgtraj, self._row(pgtraj)["version"])
+
+    def _unpacked(self, rows: DataFrame, pgtraj: str, version: str, keep: Sequence[str]) -> DataFrame:
+        """Packed infolocs of a version as columns, each row by the registry of its burst."""
+        registries = self._held("info_registry", pgtraj, version)
+        entry = F.explode_outer("info_cols").alias("e")
+        facts = registries.select("registry", "columns", entry).groupBy("e.name", "e.type").agg(
+            F.count(F.lit(1)).alias("n"), F.first("columns").alias("columns"), F.count_distinct("registry").alias("registries")).collect()
+        if not facts:
+            return rows.select(*[c for c in rows.columns if c in keep])
+        columns = [(c["name"], c["kind"]) for c in facts[0]["columns"]]
+        total = registries.count()
+        if total == 1:
+            types = info.types_from_registry(registries.first()["info_cols"])
+            return info.unpacked(rows, columns, types, keep=keep)
+        classes: dict[str, set] = {n: set() for n, _ in columns}
+        for n, _ in columns:
+            own = [f for f in facts if f["name"] == n]
+            classes[n] = {f["type"] for f in own} | (set() if sum(f["n"] for f in own) == total else {None})
+        return info.unpacked(rows, columns, registries=registries, classes=classes, keep=keep)
 
     def infolocs(self, pgtraj: str) -> DataFrame | None:
-        """Infolocs of a pgtraj, typed by its registry; None when there are none."""
+        """Infolocs of a pgtraj, each burst's typed by its registry; None when there are none."""
         found = self.table("pgtraj").filter(F.col("pgtraj_name") == pgtraj).first()
-        if found is None or found["infolocs"] is None or not self._has(found["infolocs"]):
-            return None
-        rows = self.table(found["infolocs"])
-        if "step_id" not in rows.columns or not info.info_columns(rows):
+        if found is None or found["infolocs"] is None:
             return None
-        same = (F.col("pgtraj_name") == pgtraj) & (F.col("version") == found["version"])
-        registered = self.table("animal_burst").filter(same & F.col("info_cols").isNotNull())
-        row = registered.select("info_cols").first()
-        return info.typed(rows, info.types_from_registry(row[0])) if row else rows
+        rows = self._unpacked(self._held("infolocs", pgtraj, found["version"]), pgtraj, found["version"], [info.RESERVED])
+        return rows if info.info_columns(rows) else None
 
     def parameters(self, pgtraj: str) -> DataFrame:
         """The parameter columns of a pgtraj, one pruned scan."""
-        self._row(pgtraj)
         df = self._steps(pgtraj).withColumn("date", times.wall_time(F.col("us")))
         return df.select(
             "step_id", "r_rowname", "x", "y", "date", "dx", "dy", "dist", "dt", "r2n", "abs_angle", "rel_angle",
@@ -336,7 +459,6 @@ class TrajectoryStore:
         )
 
     def geometry(self, pgtraj: str) -> DataFrame:
-        self._row(pgtraj)
         df = step_geometry(self._steps(pgtraj).withColumn("rid2", F.col("relocation_id_2")))
         return df.select(
             "step_id", "step_geom", times.wall_time(F.col("us")).alias("relocation_time"), times.seconds(F.col("dt_us")).alias("dt"),
@@ -349,15 +471,19 @@ class TrajectoryStore:
         ``proj4string`` and ``time_zone`` are columns, so the export alone is enough to import it again.
         """
         row = self._row(pgtraj)
-        steps = lay_out(self._steps(pgtraj), BURST, ("seq",)) if row["type_i"] else Laid(self._steps(pgtraj), BURST, ("seq",))
-        named = exporting.trajectory_kind(self._steps(pgtraj))[1]
+        held = self._held("step", pgtraj, row["version"])
+        steps = lay_out(held, BURST, ("seq",), known=_known(row)) if row["type_i"] else Laid(held, BURST, ("seq",))
+        sizes = self._held("animal_burst", pgtraj, row["version"]).select(*BURST, F.col("num_steps").alias("burst_steps"))
         kind = TYPE_I if row["type_i"] else TYPE_II
-        long = exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, named)
+        long = exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, row["named"], sizes)
         return long.withColumns({c: F.lit(row[c]).cast("string") for c in ("proj4string", "time_zone")})
 
+    def export_files(self, pgtraj: str, path: str, rows_a_file: int = ROWS_A_FILE) -> DataFrame:
+        """Write the export as files that read in order one after another; returns their manifest (file number, rows, first and last place)."""
+        return exporting.write_ordered(self.export(pgtraj), path, self._row(pgtraj)["n_steps"], rows_a_file)
+
     def pgtraj_summary(self) -> DataFrame:
-        stored = self.table("pgtraj").filter("infolocs IS NOT NULL")
-        names = stored.select(F.concat(F.lit("infolocs_"), F.col("pgtraj_name")).alias("table_name"))
+        names = self.table("pgtraj").filter("infolocs IS NOT NULL").select("pgtraj_name", F.col("infolocs").alias("infolocs_table"))
         described = self._numbered().select("pgtraj_id", "pgtraj_name", F.col("insert_timestamp").alias("last_update"))
         return summary.pgtraj_summary(self._living("step"), described, names).orderBy("pgtraj_id")
 
@@ -404,89 +530,137 @@ class TrajectoryStore:
 
     # -- views ----------------------------------------------------------------------------------------
 
-    def create_views(self, pgtraj: str, force: bool = False) -> None:
-        """Write the step view of a pgtraj and the burst view of the schema; existing ones are kept unless ``force``."""
-        row = self._row(pgtraj)
-        if not row["srid"]:
-            raise ValueError("cannot show unprojected relocations (SRID 0)")
-        name = f"step_view_{pgtraj}"
-        if force or not self._has(name):
-            steps = self._steps(pgtraj).filter(F.col("relocation_id_2").isNotNull())
-            view = step_view(steps, row["srid"], self.infolocs(pgtraj))
-            self._replace(view.repartitionByRange("date").sortWithinPartitions("date"), name)
-        if force or not self._has("burst_view"):
-            self._replace(self._burst_lines(), "burst_lines")
-            self._replace(lines.burst_view(self._living("step"), self.table("burst_lines")), "burst_view")
-
-    def _burst_lines(self) -> DataFrame:
-        """Burst lines in longitude/latitude; every pgtraj of the schema must be projected."""
-        if not self.table("pgtraj").filter("srid IS NULL OR srid = 0").isEmpty():
-            raise ValueError("cannot show unprojected relocations (SRID 0)")
-        used = [r[0] for r in self.table("pgtraj").select("srid").distinct().limit(len(SUPPORTED) + 1).collect()]
-        line = F.lit(None)
-        for srid in used:
-            line = F.when(F.col("srid") == srid, reproject_line(F.col("line"), srid)).otherwise(line)
-        found = lines.burst_lines(self._living("step"), order=("seq",)).join(self.table("pgtraj").select("pgtraj_name", "srid"), "pgtraj_name")
-        return found.withColumn("line", line).drop("srid")
-
-    def _replace(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").format("parquet").saveAsTable(self._name(name))
+    def _partitions(self, table: str) -> set[tuple[str, str]]:
+        """(pgtraj, version) of the partitions in the catalog."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {self._name(table)}").collect()
+        return {tuple(unquote(part.split("=", 1)[1]) for part in r[0].split("/")) for r in rows}
+
+    def create_views(self, pgtraj: str | Sequence[str], force: bool = False) -> None:
+        """Write the step views of one or more pgtrajs and bring the burst view of the schema up to date.
+
+        What is there already is kept unless ``force``. The burst view knows the versions it holds: only pgtrajs that were written since are
+        added and only those that are gone are removed, as partitions. Pgtrajs that can't be shown in longitude/latitude are left out with a
+        warning, or an error when they are asked for.
+        """
+        wanted = [pgtraj] if isinstance(pgtraj, str) else list(pgtraj)
+        living = {r["pgtraj_name"]: r for r in self.table("pgtraj").collect()}
+        for name in wanted:
+            if name not in living:
+                raise ValueError(f"the pgtraj {name!r} does not exist in schema {self.schema}")
+            if not living[name]["srid"]:
+                raise ValueError("cannot show unprojected relocations (SRID 0)")
+            if not supported(living[name]["srid"]):
+                raise ValueError(f"cannot reproject SRID {living[name]['srid']}")
+        held = self._partitions("step_view")
+        fresh = [living[n] for n in wanted if force or (n, living[n]["version"]) not in held]
+        if fresh:
+            again = [(r["pgtraj_name"], r["version"]) for r in fresh if (r["pgtraj_name"], r["version"]) in held]
+            self._replace(self._step_views(fresh), "step_view", again, by="date")
+        held = self._partitions("burst_view")
+        shown = {n: r for n, r in living.items() if r["srid"] and supported(r["srid"])}
+        for name in sorted(set(living) - set(shown)):
+            warnings.warn(f"the pgtraj {name!r} can't be shown in longitude/latitude and is left out of the burst view", stacklevel=2)
+        current = {(n, r["version"]) for n, r in shown.items()}
+        stale = held - current | ({(n, shown[n]["version"]) for n in wanted} & held if force else set())
+        missing = [shown[n] for n, v in sorted(current - (held - stale))]
+        if missing:
+            versions = F.col("version").isin([r["version"] for r in missing]) & F.col("pgtraj_name").isin([r["pgtraj_name"] for r in missing])
+            steps = self._living("step").filter(versions)
+            self._replace(self._burst_lines(steps, missing), "burst_lines", stale)
+            parts = self._living("burst_lines").filter(versions)
+            self._replace(self._with_version(lines.burst_view(steps, parts), missing), "burst_view", stale)
+        elif stale:
+            for name in ("burst_lines", "burst_view"):
+                self._drop_partitions(name, stale)
+
+    def _with_version(self, df: DataFrame, rows: Sequence) -> DataFrame:
+        versions = self.spark.createDataFrame([(r["pgtraj_name"], r["version"], r["srid"]) for r in rows], "pgtraj_name string, version string, _srid int")
+        return df.join(settings.broadcast_if(versions, len(rows)), "pgtraj_name")
+
+    def _step_views(self, rows: Sequence) -> DataFrame:
+        """Step views of pgtrajs, one branch for each reference system and for those with and without infolocs."""
+        out, packed = None, self.table("infolocs").select("step_id", "registry", "info", "pgtraj_name", "version")
+        for srid, attached in sorted({(r["srid"], r["infolocs"] is not None) for r in rows}):
+            own = [r for r in rows if (r["srid"], r["infolocs"] is not None) == (srid, attached)]
+            which = F.col("pgtraj_name").isin([r["pgtraj_name"] for r in own]) & F.col("version").isin([r["version"] for r in own])
+            steps = self.table("step").filter(which & F.col("relocation_id_2").isNotNull())
+            infos = packed.filter(which).drop("pgtraj_name", "version") if attached else None
+            view = self._with_version(step_view(steps, srid, infos), own)
+            out = view if out is None else out.unionByName(view, allowMissingColumns=True)
+        return out
+
+    def _burst_lines(self, steps: DataFrame, rows: Sequence) -> DataFrame:
+        """Burst lines in longitude/latitude."""
+        line: Column = F.lit(None)
+        for srid in sorted({r["srid"] for r in rows}):
+            line = F.when(F.col("_srid") == srid, reproject_line(F.col("line"), srid)).otherwise(line)
+        known = Known(max(r["largest"] for r in rows), sum(r["n_bursts"] for r in rows))
+        return self._with_version(lines.burst_lines(steps, order=("seq",), known=known), rows).withColumn("line", line)
 
     def view(self, pgtraj: str) -> DataFrame:
-        return self.table(f"step_view_{pgtraj}")
+        """The written step view of a pgtraj."""
+        row = self._row(pgtraj)
+        held = self._held("step_view", pgtraj, row["version"])
+        base = [*VIEW_COLUMNS, "animal_name", "burst_name", "pgtraj_name"]
+        if (pgtraj, row["version"]) not in self._partitions("step_view"):
+            raise ValueError(f"the step view of {pgtraj!r} is not written")
+        if row["infolocs"] is None:
+            return held.select(*base)
+        found = self._unpacked(held, pgtraj, row["version"], base)
+        extra = [c for c in found.columns if c not in base]
+        return found.select(*VIEW_COLUMNS, *extra, *base[len(VIEW_COLUMNS) :])
 
     def step_window(self, pgtraj: str, time: datetime, interval: timedelta, step_mode: bool = True) -> DataFrame:
         view = self.view(pgtraj)
         if not step_mode:
-            return windows.window_lines(view, time, interval)
+            return windows.window_lines(view, time, interval, known=_known(self._row(pgtraj)))
         base = (*windows.STEP_COLUMNS, *windows.NAME_COLUMNS, "us", "dt_us")
         return windows.window_steps(view, time, interval, [c for c in view.columns if c not in base])
 
-    def bursts(self, names, pgtraj: str | None = None) -> DataFrame:
-        return summary.bursts_by_name(self.table("burst_view"), names, pgtraj)
+    def bursts(self, names=None, pgtraj: str | None = None) -> DataFrame:
+        """The named bursts (all with ``names`` None) with their whole lines, one row a part of a line."""
+        view = self.table("burst_view")
+        if names is not None:
+            view = summary.bursts_by_name(view, names, pgtraj)
+        elif pgtraj is not None:
+            view = view.filter(F.col("pgtraj_name") == pgtraj)
+        return lines.whole_lines(view, self.table("burst_lines"), [*BURST, "version"]).drop("version")
 
     def time_defaults(self, pgtraj: str) -> DataFrame:
-        zone = self._row(pgtraj)["time_zone"]
-        return summary.time_defaults(self.view(pgtraj)).withColumn("time_zone", F.lit(zone))
+        row = self._row(pgtraj)
+        return summary.time_defaults(self.view(pgtraj), Known(row["n_steps"], 1)).withColumn("time_zone", F.lit(row["time_zone"]))
 
     # -- life cycle -----------------------------------------------------------------------------------
 
     def drop(self, pgtraj: str | None = None, full_clean: bool = True) -> None:
         """Drop a pgtraj with its bursts, views and infolocs; with ``full_clean`` also remove what no pgtraj uses.
 
-        Both are changes of whole partitions, no rows are rewritten.
+        Both are changes of whole partitions, one statement a table; no rows are rewritten.
         """
         if pgtraj is None and not full_clean:
             raise ValueError("nothing to do: name a pgtraj or ask for a full clean")
         if pgtraj is not None:
-            self._row(pgtraj)
-            infolocs = self._row(pgtraj)["infolocs"]
-            for name in ("pgtraj", "animal_burst"):
-                self._drop_partition(name, pgtraj)
-            self._drop_views(pgtraj)
-            if infolocs is not None:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(infolocs)}")
+            row = self._row(pgtraj)
+            self.spark.sql(f"ALTER TABLE {self._name('pgtraj')} DROP IF EXISTS PARTITION (pgtraj_name = {_literal(pgtraj)})")
+            for name in (*FACTS[1:], *VIEWS):
+                self._drop_partitions(name, [(pgtraj, row["version"])])
+            if row["infolocs"] is not None:
+                self.spark.sql(f"DROP VIEW IF EXISTS {self._name(row['infolocs'])}")
         if full_clean:
             living = {(r["pgtraj_name"], r["version"]) for r in self.table("pgtraj").select("pgtraj_name", "version").collect()}
-            for name in ("step", "animal_burst"):
-                for row in self.spark.sql(f"SHOW PARTITIONS {self._name(name)}").collect():
-                    held = tuple(unquote(part.split("=", 1)[1]) for part in row[0].split("/"))
-                    if held not in living:
-                        self._drop_partition(name, *held)
-
-    def _drop_views(self, pgtraj: str) -> None:
-        for name in (f"step_view_{pgtraj}", "burst_view", "burst_lines"):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
-
-    def _drop_version(self, pgtraj: str, version: str, infolocs: str | None) -> None:
-        for name in ("animal_burst", "step"):
-            self._drop_partition(name, pgtraj, version)
-        if infolocs is not None:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(infolocs)}")
-
-    def _drop_partition(self, table: str, pgtraj: str, version: str | None = None) -> None:
-        which = f"pgtraj_name = {_literal(pgtraj)}" + (f", version = {_literal(version)}" if version else "")
-        self.spark.sql(f"ALTER TABLE {self._name(table)} DROP IF EXISTS PARTITION ({which})")
+            for name in (*FACTS, *VIEWS):
+                self._drop_partitions(name, self._partitions(name) - living)
+
+    def _forget(self, versions: Iterable[tuple[str, str]]) -> None:
+        """Remove versions that newer ones replaced."""
+        versions = list(versions)
+        for name in (*FACTS, *VIEWS):
+            self._drop_partitions(name, versions)
+
+    def _drop_partitions(self, table: str, held: Iterable[tuple[str, str]]) -> None:
+        which = [f"PARTITION (pgtraj_name = {_literal(n)}, version = {_literal(v)})" for n, v in held]
+        if which:
+            self.spark.sql(f"ALTER TABLE {self._name(table)} DROP IF EXISTS {', '.join(which)}")
 
     def analyze(self) -> None:
         """Refresh table statistics."""
@@ -494,20 +668,59 @@ class TrajectoryStore:
             self.spark.sql(f"ANALYZE TABLE {self._name(name)} COMPUTE STATISTICS")
 
 
+def _known(row) -> Known:
+    """Sizes that a pgtraj row holds."""
+    return Known(row["largest"], row["n_bursts"])
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def transfer(source: TrajectoryStore, target: TrajectoryStore, pgtraj: str, overwrite: bool = True) -> None:
-    """Copy a pgtraj from one store to another through its exported form."""
-    row = source._row(pgtraj)
-    steps = source._steps(pgtraj).withColumn("date", times.wall_time(F.col("us")))
-    steps = steps.withColumn("r_rowname", F.coalesce("r_rowname", F.col("step_id").cast("string")))
-    infolocs = source.infolocs(pgtraj)
-    if infolocs is not None:
-        infolocs = steps.select("step_id", "r_rowname", "burst_name").join(infolocs, "step_id").drop("step_id")
-    target.import_trajectory(
-        steps.withColumnRenamed("burst_id", "burst_order").drop("step_id", "pgtraj_name", "version", "relocation_id_1", "relocation_id_2"),
-        pgtraj, proj4string=row["proj4string"], time_zone=row["time_zone"], note=row["note"], overwrite=overwrite,
-        type_i=row["type_i"], infolocs=infolocs,
-    )
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _relation(pgtraj: str) -> str:
+    """The catalog name of a pgtraj's infolocs; names that a catalog can't hold as they are get a checksum."""
+    plain = re.sub(r"[^0-9a-z_]", "_", pgtraj.lower())
+    return f"infolocs_{plain}" if plain == pgtraj else f"infolocs_{plain}_{zlib.crc32(pgtraj.encode()):08x}"
+
+
+def transfer(source: TrajectoryStore, target: TrajectoryStore, pgtraj: str | Sequence[str] | None = None, overwrite: bool = True) -> None:
+    """Copy pgtrajs (one, several or, with None, all) from one store to another through their exported form.
+
+    Pgtrajs of one type whose infolocs have the same columns are one set of jobs, however many there are. Infolocs keep the registries of
+    their bursts.
+    """
+    rows = {r["pgtraj_name"]: r for r in source.table("pgtraj").collect()}
+    wanted = sorted(rows) if pgtraj is None else [pgtraj] if isinstance(pgtraj, str) else list(pgtraj)
+    for name in wanted:
+        if name not in rows:
+            raise ValueError(f"the pgtraj {name!r} does not exist in schema {source.schema}")
+    held = source.table("info_registry").select("pgtraj_name", "version", "columns").distinct().collect()
+    columns = {(r["pgtraj_name"], r["version"]): tuple((c["name"], c["kind"]) for c in r["columns"]) for r in held}
+    groups: dict[tuple, list] = {}
+    for name in wanted:
+        row = rows[name]
+        groups.setdefault((row["type_i"], columns.get((name, row["version"])) if row["infolocs"] is not None else None), []).append(row)
+    for (type_i, kinds), own in sorted(groups.items(), key=repr):
+        which = F.col("pgtraj_name").isin([r["pgtraj_name"] for r in own]) & F.col("version").isin([r["version"] for r in own])
+        steps = source.table("step").filter(which)
+        plain = steps.withColumns({
+            "r_rowname": F.coalesce("r_rowname", F.col("step_id").cast("string")), "burst_order": F.col("burst_id"),
+            "date": times.wall_time(F.col("us")), "order_date": F.lit(None).cast("long"),
+        })
+        if type_i:
+            plain = plain.withColumns({"us": F.lit(None).cast("long"), "dt": F.lit(None).cast("double")})
+        infolocs = registry = None
+        if kinds is not None:
+            infolocs = plain.select("step_id", "pgtraj_name", "burst_name", "r_rowname").join(source.table("infolocs").filter(which).select("step_id", "info"), "step_id")
+            bursts = source.table("animal_burst").filter(which & F.col("info_cols").isNotNull())
+            registry = bursts.select("pgtraj_name", "burst_name", "info_cols")
+        described = source.spark.createDataFrame(
+            [(r["pgtraj_name"], r["proj4string"], r["time_zone"], r["note"], srid_of(r["proj4string"])) for r in own],
+            "pgtraj_name string, proj4string string, time_zone string, note string, srid int")
+        target._import(
+            plain.drop("step_id", "version", "relocation_id_1", "relocation_id_2", "burst_id"), described, overwrite, type_i, infolocs, None, registry,
+            list(kinds) if kinds is not None else None)

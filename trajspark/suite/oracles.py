@@ -498,6 +498,12 @@ SELECT concat('s', user_id % 5) AS sensor, CAST(event_id AS INTEGER) AS line_no,
 FROM events"""
 ORACLES["gps_files"] = ORACLES["gps_fixes"]
 
+ORACLES["gps_folder"] = ORACLES["gps_fixes"].replace("concat('s', user_id % 5)", "concat('u', user_id)")
+ORACLES["gps_descriptions"] = """
+SELECT DISTINCT CAST(user_id AS INTEGER) AS animals_id, concat('A', user_id) AS animals_code, concat('name ', user_id) AS animal_name,
+       CASE WHEN user_id % 2 = 0 THEN 'f' ELSE 'm' END AS sex, concat('GSM', user_id) AS gps_sensors_code, 150.25e0 AS frequency,
+       '2005-01-01 00:00:00' AS start_time, 'note' AS notes FROM events"""
+
 # -- reshaping
 STEP4, STEP6 = 4 * HOUR_US, 6 * HOUR_US
 GRID = f"CAST(floor((us - {START_US}) / {STEP4}e0 + 0.5e0) AS BIGINT)"
@@ -607,3 +613,81 @@ walk AS (
         JOIN vertex p ON w.pgtraj_name = p.pgtraj_name AND w.burst_name = p.burst_name AND p.k = w.far - 1))))
 SELECT {BURST}, n AS rid, CAST(round(ct / 1e6) AS BIGINT) AS second, {r("cx", "x")}, {r("cy", "y")} FROM walk"""
 )
+
+# -- store, by version and burst
+ORACLES["store_import_all"] = with_(
+    params(fill="pgtraj") + STORED_INFO,
+    f"""SELECT pgtraj_name, seq, x, y, date_trunc('second', fix_at) + INTERVAL 1 HOUR AS date, {r("dist", "dist")}, animal_name AS id,
+       burst_name AS burst, i.k, i.status, 'Europe/Paris' AS time_zone FROM par LEFT JOIN info i ON rid = i.event_id""",
+)
+ORACLES["store_infolocs_by_burst"] = with_(
+    params(fill="pgtraj")
+    + """,
+told AS (SELECT burst_name, seq, fix_at, split_part(burst_name, '-', 2) AS kind, CASE seq % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'high' ELSE 'odd' END AS word FROM par)""",
+    """SELECT burst_name AS burst, seq,
+       CASE kind WHEN 'view' THEN CAST(CAST(seq AS DOUBLE) AS VARCHAR)
+            WHEN 'click' THEN strftime(date_trunc('second', fix_at) + INTERVAL 10 HOUR, '%Y-%m-%d %H:%M:%S')
+            WHEN 'purchase' THEN CASE WHEN word <> 'odd' THEN word END WHEN 'error' THEN CASE WHEN word <> 'low' THEN word END ELSE word END AS what,
+       CAST(CASE WHEN kind = 'purchase' THEN CASE word WHEN 'low' THEN 1 WHEN 'high' THEN 2 END END AS BIGINT) AS what_level
+FROM told""",
+)
+ORACLES["store_any_names"] = with_(
+    params(fill="pgtraj") + STORED_INFO,
+    """SELECT concat('Roe-deer no. ', substr(pgtraj_name, 2, 1), ' ''a/b'' ü') AS pgtraj_name,
+       count(*) FILTER (x IS NOT NULL AND x2 IS NOT NULL AND i.event_id IS NOT NULL) AS n,
+       count(i.k) FILTER (x IS NOT NULL AND x2 IS NOT NULL) AS with_k, count(DISTINCT burst_name) AS num_bursts, count(i.event_id) AS in_table
+FROM par LEFT JOIN info i ON rid = i.event_id WHERE pgtraj_name <> 'p1' GROUP BY pgtraj_name""",
+)
+ORACLES["store_whole_lines"] = with_(
+    reloc()
+    + f""",
+placed AS (SELECT *, {longlat("x", "y")[0]} AS lon, {longlat("x", "y")[1]} AS lat FROM reloc WHERE x IS NOT NULL)""",
+    f"""SELECT {BURST}, count(*) OVER (PARTITION BY {BURST}) AS n_points, row_number() OVER (PARTITION BY {BURST} ORDER BY us, rid) AS place,
+       {r("lon", "lon", 9)}, {r("lat", "lat", 9)} FROM placed""",
+)
+ORACLES["store_refresh"] = with_(
+    reloc()
+    + f""",
+kept AS (FROM reloc WHERE pgtraj_name <> 'p3' UNION ALL SELECT * REPLACE ('more' AS pgtraj_name) FROM reloc WHERE pgtraj_name = 'p2'),
+way AS (
+  SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS d FROM kept WHERE x IS NOT NULL
+  WINDOW w AS (PARTITION BY {BURST} ORDER BY us, rid)),
+lines AS (SELECT {BURST}, count(*) AS n, coalesce(sum(d), 0e0) AS len FROM way GROUP BY ALL),
+bursts AS (SELECT {BURST}, count(*) AS num_relocations, count(*) - count(x) AS num_na FROM kept GROUP BY ALL)""",
+    f"""SELECT {BURST}, num_relocations, num_na, coalesce(n, 0) AS n_points, {r("len", "length", 6)} FROM bursts LEFT JOIN lines USING ({BURST})""",
+)
+ORACLES["store_ordered_files"] = with_(
+    params(fill="pgtraj"),
+    "SELECT pgtraj_name, burst_name AS burst, seq, row_number() OVER (PARTITION BY pgtraj_name ORDER BY burst_name, seq) AS place FROM par",
+)
+ORACLES["store_ids"] = with_(
+    reloc()
+    + """,
+held AS (SELECT pgtraj_name, burst_name FROM reloc UNION ALL SELECT 'again', burst_name FROM reloc WHERE pgtraj_name = 'p0'),
+named AS (FROM held UNION ALL SELECT 'everything', concat(pgtraj_name, burst_name) FROM held)""",
+    """SELECT 'steps' AS what, pgtraj_name, count(*) AS n, count(*) AS ids FROM named GROUP BY 2
+UNION ALL SELECT 'bursts', pgtraj_name, count(DISTINCT burst_name), count(DISTINCT burst_name) FROM named GROUP BY 2
+UNION ALL SELECT 'relocations', 'everything', n, n FROM (SELECT count(*) + count(*) FILTER (pgtraj_name = 'again') AS n FROM held)""",
+)
+
+# -- windows by aggregates
+ORACLES["window_steps_raw"] = ORACLES["window_steps"]
+ORACLES["window_lines_raw"] = ORACLES["window_lines"]
+ORACLES["sliding_windows_hourly"] = with_(
+    VIEW
+    + """,
+pages AS (
+  SELECT CAST(k AS BIGINT) AS page, TIMESTAMP '2024-01-01' + to_hours(CAST(k AS INTEGER)) AS page_start,
+         TIMESTAMP '2024-01-01' + to_hours(CAST(k AS INTEGER) + 720) AS page_end
+  FROM range(0, 1500) t(k))""",
+    """SELECT pgtraj_name, page, page_start, page_end, count(*) AS num_steps, count(DISTINCT burst_name) AS num_bursts,
+       round(sum(dist), 6) AS dist
+FROM line JOIN pages ON fix_at >= page_start AND fix_at < page_end GROUP BY 1, 2, 3, 4""",
+)
+ORACLES["combine_checked"] = with_(
+    reloc()
+    + """,
+doubled AS (FROM reloc UNION ALL SELECT * REPLACE (concat(burst_name, '-2') AS burst_name, concat('q', substr(pgtraj_name, 2)) AS pgtraj_name) FROM reloc)""",
+    """SELECT pgtraj_name, animal_name, burst_name, count(*) AS num_relocations, count(*) - count(x) AS num_na, min(fix_at) AS date_begin,
+       max(fix_at) AS date_end FROM doubled GROUP BY 1, 2, 3""",
+)

@@ -8,7 +8,7 @@ import warnings
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajspark import settings
@@ -19,6 +19,7 @@ from trajspark.operators.ids import model_tables, with_step_ids
 from trajspark.operators.infolocs import InfoType
 from trajspark.operators.parameters import FILL_PGTRAJ, step_parameters, stored_parameters
 from trajspark.operators.steps import TYPE_I, build_steps, computed_steps, step_geometry
+from trajspark.operators.views import step_view
 from trajspark.sources import gps, layers, tables
 from trajspark.store import TrajectoryStore, transfer
 from trajspark.suite import fixtures as fx
@@ -498,9 +499,8 @@ def store_transfer_all(spark, sf):
     """Every pgtraj copied to a second store, twice, the second time over the first."""
     source, parts = _store(spark, sf), []
     target = TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
-    for name in source.pgtrajs():
-        transfer(source, target, name)
-        transfer(source, target, name)
+    transfer(source, target)
+    transfer(source, target)
     for name in target.pgtrajs():
         parts.append(target.parameters(name).withColumn("pgtraj_name", F.lit(name)))
     found = functools.reduce(DataFrame.unionByName, parts)
@@ -543,14 +543,153 @@ def store_page(spark, sf):
 def store_page_all(spark, sf):
     """The third page of a day after the start, from the written view of every pgtraj."""
     store, parts = _store(spark, sf), []
+    store.create_views(store.pgtrajs())
     for name in store.pgtrajs():
-        store.create_views(name)
         found = windows.page(store.view(name), fx.START, timedelta(days=2), timedelta(days=1), 3, ["k"])
         parts.append(found.withColumn("pgtraj_name", F.lit(name)))
     pages = functools.reduce(DataFrame.unionByName, parts)
     return pages.select("pgtraj_name", "step_id", "date", rounded("dist"), rounded("dt"), "animal_name", "burst_name", "k")
 
 
+def _fresh(spark) -> TrajectoryStore:
+    return TrajectoryStore(spark, f"trajspark_{uuid.uuid4().hex}", settings.new_folder(spark, "store"))
+
+
+@query
+def store_import_all(spark, sf):
+    """Every pgtraj with its infolocs in one import, over a first import of the same names."""
+    source, target, parts = _store(spark, sf), _fresh(spark), []
+    transfer(source, target)
+    transfer(source, target)
+    for name in target.pgtrajs():
+        parts.append(target.export(name).withColumn("pgtraj_name", F.lit(name)))
+    again = functools.reduce(DataFrame.unionByName, parts)
+    return again.select("pgtraj_name", "seq", "x", "y", "date", rounded("dist"), "id", "burst", "k", "status", "time_zone")
+
+
+@query
+def store_infolocs_by_burst(spark, sf):
+    """One info column whose class, levels and zone are other ones in each kind of burst, of all events, imported and exported."""
+    source, store = _store(spark, sf), _fresh(spark)
+    long = functools.reduce(DataFrame.unionByName, [source.export(n) for n in source.pgtrajs()]).withColumn("r.row.names", F.col("seq").cast("string"))
+    long = long.drop("burst_order", "k", "status", "time_zone", "proj4string")
+    kind = F.substring_index("burst", "-", -1)
+    value = F.when(kind == "view", F.col("seq").cast("string")).when(kind == "click", F.date_format("date", "yyyy-MM-dd HH:mm:ss")).otherwise(
+        F.when(F.col("seq") % 3 == 0, "low").when(F.col("seq") % 3 == 1, "high").otherwise("odd"))
+    info = long.select(F.col("`r.row.names`").alias("r_rowname"), F.col("burst").alias("burst_name"), value.alias("what"))
+    bursts = long.select(F.col("burst").alias("burst_name"), kind.alias("kind")).distinct()
+    types = {
+        "view": InfoType("numeric"), "click": InfoType("POSIXct", zone="Asia/Tokyo"), "purchase": InfoType("ordered", levels=("low", "high")),
+        "error": InfoType("factor", levels=("odd", "high")),
+    }
+    own = F.lit(None).cast(infolocs.REGISTRY)
+    for name, t in types.items():
+        own = F.when(F.col("kind") == name, infolocs.registry({"what": t})).otherwise(own)
+    registry = bursts.select("burst_name", own.alias("info_cols")).filter("info_cols is not null")
+    store.import_trajectory(long, "all of them", proj4string=source.table("pgtraj").first()["proj4string"], time_zone=fx.ZONE, infolocs=info, info_registry=registry)
+    return store.export("all of them").select("burst", "seq", "what", "what_level")
+
+
+@query
+def store_any_names(spark, sf):
+    """Names with blanks, marks and capitals through build, overwrite, views, summaries and a drop."""
+    store = _fresh(spark)
+    name = F.concat(F.lit("Roe-deer no. "), F.substring("grp", 2, 1), F.lit(" 'a/b' ü"))
+    store.build(
+        fx.fixes(spark, sf).withColumn("name", name), relocations=["x", "y"], pgtraj="name", animal="animal", burst="burst", rid="event_id",
+        timestamps="ts", srid=fx.SRID, time_zone=fx.ZONE, info_cols=["k"], info_table=fx.infolocs_source(spark, sf), info_rid="event_id",
+    )
+    names = store.pgtrajs()
+    transfer(store, store, names[0])
+    store.drop(names[1])
+    store.create_views(store.pgtrajs())
+    parts = [store.view(n).select("pgtraj_name", "burst_name", "date", "k") for n in store.pgtrajs()]
+    facts = functools.reduce(DataFrame.unionByName, parts).groupBy("pgtraj_name").agg(F.count(F.lit(1)).alias("n"), F.count("k").alias("with_k"))
+    named = store.pgtraj_summary().select("pgtraj_name", "num_bursts", "infolocs_table")
+    shown = [spark.table(f"`{store.schema}`.`{r['infolocs_table']}`").select(F.lit(r["pgtraj_name"]).alias("pgtraj_name"), "k") for r in named.collect()]
+    rows = functools.reduce(DataFrame.unionByName, shown).groupBy("pgtraj_name").agg(F.count(F.lit(1)).alias("in_table"))
+    return facts.join(named.drop("infolocs_table"), "pgtraj_name").join(rows, "pgtraj_name")
+
+
+@query
+def store_whole_lines(spark, sf):
+    """Every vertex of every burst's line, as the burst reader gives them."""
+    store = _store(spark, sf)
+    store.create_views("p0")
+    parts = store.bursts().filter("line is not null").select("pgtraj_name", "burst_name", "n_points", "part", F.posexplode("line").alias("at", "p"))
+    place = (F.col("part") * settings.line_points(spark) + F.col("at") + 1).alias("place")
+    return parts.select("pgtraj_name", "burst_name", "n_points", place, rounded("lon", 9, F.col("p.x")), rounded("lat", 9, F.col("p.y")))
+
+
+@query
+def store_refresh(spark, sf):
+    """The burst view after one pgtraj was replaced, one added and one dropped."""
+    store = _store(spark, sf)
+    store.create_views("p0")
+    transfer(store, store, "p1")
+    store.import_trajectory(store.export("p2").withColumn("r.row.names", F.col("seq").cast("string")), "more")
+    store.drop("p3")
+    store.create_views("p0")
+    return store.table("burst_view").select("pgtraj_name", "burst_name", "num_relocations", "num_na", "n_points", rounded("length", 6))
+
+
+@query
+def store_ordered_files(spark, sf):
+    """Exports written as ordered files: each row's place by manifest and place in its file."""
+    store, parts = _store(spark, sf), []
+    for name in store.pgtrajs():
+        path = settings.new_folder(spark, "ordered")
+        files = store.export_files(name, path, rows_a_file=500)
+        held = spark.read.parquet(path).select("pgtraj_name", "burst", "seq", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+        starts = files.withColumn("before", F.sum("n_rows").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)))
+        parts.append(held.join(F.broadcast(starts.select("file", F.coalesce("before", F.lit(0)).alias("before"))), "file"))
+    found = functools.reduce(DataFrame.unionByName, parts)
+    return found.select("pgtraj_name", "burst", "seq", (F.col("before") + F.col("at") + 1).alias("place"))
+
+
+@query
+def store_ids(spark, sf):
+    """Ids are never given twice: of steps, relocations and bursts over build, import, drop and import."""
+    store = _store(spark, sf)
+    long = store.export("p0").withColumn("r.row.names", F.col("seq").cast("string"))
+    store.import_trajectory(long, "copy")
+    store.drop("copy")
+    store.import_trajectory(long, "again")
+    model = store.model()
+    every = F.lit("everything").alias("pgtraj_name")
+
+    def counted(df, key, name):
+        numbers = F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("ids")
+        return df.groupBy("pgtraj_name").agg(*numbers).unionByName(df.groupBy(every).agg(*numbers)).withColumn("what", F.lit(name))
+
+    relocations = model.relocation.withColumn("pgtraj_name", every)
+    parts = [counted(store.table("step"), "step_id", "steps"), counted(store.table("animal_burst"), "burst_id", "bursts")]
+    return parts[0].unionByName(parts[1]).unionByName(counted(relocations, "id", "relocations").distinct())
+
+
+@query
+def window_steps_raw(spark, sf):
+    """The window straight from relocations, ordered work on the window alone."""
+    steps = windows.relocations_window(fx.relocations(spark, sf), WINDOW_START, WINDOW)
+    df = windows.window_steps(step_view(steps, fx.SRID), WINDOW_START, WINDOW)
+    ends = [rounded(f"{c}{i + 1}", 9, F.col("step_geom")[i][c]) for i in (0, 1) for c in ("x", "y")]
+    numbers = [rounded(c) for c in ("dx", "dy", "dist", "dt", "abs_angle", "rel_angle")]
+    return df.select("step_id", "date", *ends, *numbers, "animal_name", "burst_name", "pgtraj_name")
+
+
+@query
+def window_lines_raw(spark, sf):
+    steps = windows.relocations_window(fx.relocations(spark, sf), WINDOW_START, WINDOW)
+    return _line_facts(windows.window_lines(step_view(steps, fx.SRID), WINDOW_START, WINDOW), "pgtraj_name", "burst_name", "animal_name")
+
+
+@query
+def sliding_windows_hourly(spark, sf):
+    """Thirty days, moved on by an hour."""
+    df = windows.pages_summary(fx.view(spark, sf), fx.START, timedelta(days=30), timedelta(hours=1))
+    return df.withColumn("dist", F.round("dist", 6))
+
+
 # -- reference systems, layers, sensors -------------------------------------------------------------------
 
 
@@ -668,6 +807,39 @@ def gps_files(spark, sf):
     return _shown_fixes(gps.read_sensors(spark, {f"s{i}": f"{folder}/sensor=s{i}" for i in range(5)}))
 
 
+@query
+def gps_folder(spark, sf):
+    """Events as the files of every user's sensor in one folder, read by one scan; the sensor is the file's place."""
+    folder = settings.new_folder(spark, "sensors")
+    user = fx.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("line_no"), F.concat(F.lit("u"), "user_id").alias("user"))
+    rows = _sensor_lines(spark, sf).withColumn("line_no", F.split("line", ";")[1]).join(user, "line_no").select("line", "user")
+    rows.repartition("user").write.partitionBy("user").option("lineSep", "\n").format("csv").options(
+        header=True, quote="", escapeQuotes=False, sep="\u0001").save(folder)
+    sensor = F.regexp_extract(F.col("_metadata.file_path"), "user=([^/]*)/", 1)
+    fixes = gps.read_sensors(spark, f"{folder}/*", sensor=sensor, check=False)
+    return _shown_fixes(fixes)
+
+
+@query
+def gps_descriptions(spark, sf):
+    """Users as the headerless description tables of animals, sensors and their pairs, read back and joined."""
+    folder = settings.new_folder(spark, "descriptions")
+    users = fx.table(spark, sf, "events").select("user_id").distinct()
+    key = F.col("user_id").cast("string")
+    tables_ = {
+        "animals": (key, F.concat(F.lit("A"), key), F.concat(F.lit("name "), key), F.when(F.col("user_id") % 2 == 0, "f").otherwise("m"), F.lit("3"), F.lit("1")),
+        "sensors": (key, F.concat(F.lit("GSM"), key), F.lit("2005-01-01"), F.lit("150.25"), F.lit("maker"), F.lit("m1"), F.lit("")),
+        "pairs": (key, key, F.lit("2005-01-01 00:00:00"), F.lit(""), F.lit("note")),
+    }
+    for name, cells in tables_.items():
+        users.select(F.concat_ws(";", *cells)).write.text(f"{folder}/{name}")
+    animals = gps.read_description(spark, f"{folder}/animals", gps.ANIMALS)
+    sensors = gps.read_description(spark, f"{folder}/sensors", gps.SENSORS)
+    pairs = gps.read_description(spark, f"{folder}/pairs", gps.SENSORS_ANIMALS)
+    found = pairs.join(animals, "animals_id").join(sensors, "gps_sensors_id")
+    return found.select("animals_id", "animals_code", "animal_name", "sex", "gps_sensors_code", "frequency", "start_time", "notes")
+
+
 # -- reshaping --------------------------------------------------------------------------------------------
 
 
@@ -730,6 +902,14 @@ def combine(spark, sf):
     return summary.burst_summary(both)
 
 
+@query
+def combine_checked(spark, sf):
+    """Two trajectories whose names keep the rules; the check is part of the query."""
+    first = fx.relocations(spark, sf)
+    second = reshape.rename_bursts(first, "2").withColumn("pgtraj_name", F.concat(F.lit("q"), F.substring("pgtraj_name", 2, 9)))
+    return summary.burst_summary(reshape.combine(first, second))
+
+
 @query
 def omit_missing(spark, sf):
     laid = reshape.recompute(reshape.omit_missing(fx.relocations(spark, sf)))
