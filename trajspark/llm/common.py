@@ -24,6 +24,34 @@ def constant_array(values: list[int], kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name like ``name`` that none of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text's bytes; null counts as empty."""
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+
+
+def kept_rows(docs: DataFrame, id_col: str, digest: Column, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id and digest are among ``kept`` (id, digest, copies), one of those that share both, with all their columns.
+
+    Rows are told apart by id and digest, so null and repeated ids are judged like others. Only the rows that have copies are grouped.
+    """
+    own, id_, copies = unused("digest", docs), unused("kept_id", docs), unused("copies", docs)
+    other = unused("kept_digest", docs)
+    names = kept.select(F.col("id").alias(id_), F.col("digest").alias(other), F.col("copies").alias(copies))
+    rows = docs.withColumn(own, digest)
+    same = rows[id_col].eqNullSafe(F.col(id_)) & (F.col(own) == F.col(other))
+    once = rows.join(names.filter(F.col(copies) == 1), same, "left_semi")
+    several = rows.join(names.filter(F.col(copies) > 1), same, "left_semi").dropDuplicates([id_col, own])
+    return once.unionByName(several).drop(own)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``saved`` wrote, once what was made of it is written too."""
     spark = df.sparkSession

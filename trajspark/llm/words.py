@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
+
 CHUNK_BYTES = 2 << 20
 LONG_WORD = 1024
 
@@ -22,6 +28,13 @@ ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[0x30:0x3A] = ALPHANUMERIC[0x61:0x7B] = ALPHANUMERIC[0x80:] = True
 
 
+def release_memory() -> None:
+    """Hand back what the Arrow pool and the C heap hold unused, so that a worker that is used again doesn't keep the peak of its last task."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 class Texts:
     """Texts one after another in one byte buffer; ``offsets[i]:offsets[i + 1]`` is text i. Null texts are empty."""
 
