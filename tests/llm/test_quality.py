@@ -45,3 +45,42 @@ def test_logistic_and_calibration_find_the_odds():
     share = 1 / (1 + np.exp(-(0.5 * scores + 1)))
     scale, shift = calibrate(scores, share * 1000, np.full(41, 1000.0))
     assert abs(scale - 0.5) < 0.02 and abs(shift - 1) < 0.02
+
+
+def test_views_teach_each_other(spark):
+    """Half of the bad documents show it in their words, half in their source, and labels tell of few: each view learns the other's half."""
+    rng = np.random.default_rng(4)
+    common = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(6000):
+        bad = rng.random() < 0.4
+        words = list(rng.choice(common, 30))
+        # every bad document has a mark in both views; labelled ones show a view's mark only with those the other can't see
+        style, place = rng.integers(0, 6), rng.integers(0, 6)
+        if bad:
+            words += [f"spam{style}"] * 2
+        rows.append((i, " ".join(words), "en", f"farm{place}" if bad else f"press{place}", 200, bad, int(style)))
+    docs = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    # only words spam0 and spam1 occur among the labelled
+    labels = spark.createDataFrame([(r[0], 0 if r[5] else 1, 0) for r in rows if r[0] % 3 == 0 and (not r[5] or r[6] < 2)], "doc_id long, quality int, toxic int")
+    model = train(docs, labels, pool_rows=1500, given=600)
+    assert {(view, bad) for _, view, bad, n, trust in model.handed if n and trust > 0.5} >= {("meta", True), ("meta", False), ("text", True)}
+    scored = {r.doc_id: r for r in score_documents(docs, model).collect()}
+    alone = train(docs, labels, rounds=0)
+    before = {r.doc_id: r for r in score_documents(docs, alone).collect()}
+    hidden = [r for r in rows if r[5] and r[6] >= 2]
+
+    def told(found):
+        return np.mean([found[r[0]].text_score < 0.5 for r in hidden])
+
+    assert all(len(h) == 5 for h in model.handed) and len({h[0] for h in model.handed}) == 2
+    assert np.mean([not scored[r[0]].kept for r in rows if r[5]]) > 0.95
+    assert told(scored) >= told(before)
+
+
+def test_bounds_hold_for_repeated_ids(spark):
+    docs = spark.createDataFrame([(i % 40, f"good words {i}" if i % 2 else f"bad spam {i}", "en", "s", 10) for i in range(4000)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    model = train(docs, labels, label_rows=20, pool_rows=10, given=4)
+    assert score_documents(docs, model).count() == 4000

@@ -1,22 +1,25 @@
 """Quality classifier by co-training of two views (Blum and Mitchell 1998).
 
 A document is bad when a label says that its quality is 0 or that it is toxic. Two logistic models judge it from separate views: its text (hashed words
-and beginnings of words, and the shape of the text) and its metadata (language, source, length). Each round both are fitted, all documents without a label are
-scored, and what one view is sure of becomes a pseudo-label for the other. At the end each view is calibrated on labelled documents that no
-model saw, and the calibrated views are added up as log-odds. All documents are scored by the result; those whose probability of
+and beginnings of words, and the shape of the text) and its metadata (language, source, length). In each round both are fitted and score a new pool
+of documents without labels, and each hands the documents that it is surest of, bad and good in the proportion of the labels, to the other as
+pseudo-labelled rows. How far such rows can be trusted is measured for each view and class: among labelled documents that no model saw, of
+those at least as sure, how many are right beyond chance; the square of that is the weight of the rows, what a label so reliable tells. At the end each view is calibrated on those
+documents, and the calibrated views are added up as log-odds. All documents are scored by the result; those whose probability of
 being good is below 0.6 are rejected.
 
-Feature counts cover all labelled documents; the features that tell most (by the log-likelihood ratio of their counts) enter a view.
-The weights are fitted on the driver on a sample of at most about ``train_rows`` labelled and as many pseudo-labelled rows; that is
-the only bound, chosen by a hash of the id, and scoring covers every document whatever its size.
+What is fitted is bounded, and nothing else is: at most about ``label_rows`` labelled documents (four fifths fit, one calibrates) and a pool of about
+``pool_rows`` documents a round, chosen by hashes of their ids before any feature is made. Both are small enough to be broadcast as ids, so the
+corpus is never shuffled. Every document is scored whatever its size.
 
 Defined results: null and empty texts are judged by length and metadata, null metadata is a value of its own; labels of one
-document that disagree make it bad; null labels don't count; without labels of both kinds every score is the share of the good
+document that disagree make it bad; of texts with one id the least is used for fitting; null labels don't count; without labels of both kinds every score is the share of the good
 (1 without any labels) and everything is kept, unless all labels are bad; repeated rows are alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.llm.common import saved
-from trajspark.llm.words import ALPHANUMERIC, Texts, Words, chunks, mixed, span_hashes
+from trajspark.llm.words import ALPHANUMERIC, Texts, Words, chunks, mixed, release_memory, span_hashes
 
 WORDS = 1 << 18  # hashed words; the shape features follow
 BEGINNINGS = (4, 5)
@@ -34,9 +37,10 @@ SHAPES = 6
 TEXT_SIZE = WORDS + SHAPES * 16
 META_SIZE = 1 << 12
 TOP_FEATURES = 1024
-TRAIN_ROWS = 10_000
+LABEL_ROWS = 12_500
+POOL_ROWS = 20_000
+GIVEN = 2_000  # pseudo-labelled rows that a view hands over in a round
 ROUNDS = 2
-SURE = 0.98
 CHUNK = 1 << 19  # bytes of text whose features are made at once
 LEAST_GOOD = 0.6  # documents whose probability of being good is below are rejected
 FOLDS = 5  # one of so many parts of the labels calibrates
@@ -123,15 +127,17 @@ class Model:
     text: View
     meta: View
     prior: float  # log-odds of being bad
+    handed: tuple = ()  # (round, view that gave, bad, rows, weight) of each exchange
     limit: float = float(np.log(1 / LEAST_GOOD - 1))  # documents with larger log-odds are rejected
 
     def bad_odds(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
         return text * self.text.scale + self.text.shift + meta * self.meta.scale + self.meta.shift - self.prior
 
 
-def fit_logistic(rows: np.ndarray, bad: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights and, last, the bias; Newton steps over blocks of rows with a ridge on the weights."""
+def fit_logistic(rows: np.ndarray, bad: np.ndarray, ridge: float = 1.0, trust: np.ndarray | None = None) -> np.ndarray:
+    """Weights and, last, the bias; Newton steps over blocks of rows, each counted by its trust, with a ridge on the weights."""
     n, d = rows.shape
+    trust = np.ones(n, dtype=np.float32) if trust is None else trust.astype(np.float32)
     weights = np.zeros(d + 1)
     keep = np.append(np.full(d, ridge), 1e-9 * n)
     for _ in range(12):
@@ -139,8 +145,9 @@ def fit_logistic(rows: np.ndarray, bad: np.ndarray, ridge: float = 1.0) -> np.nd
         for at in range(0, n, 2000):
             x = np.hstack([rows[at : at + 2000], np.ones((len(rows[at : at + 2000]), 1), np.float32)])
             p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            slope += x.T @ (p - bad[at : at + 2000])
-            bend += x.T @ (x * (p * (1 - p)).astype(np.float32)[:, None])
+            t = trust[at : at + 2000]
+            slope += x.T @ (t * (p - bad[at : at + 2000]))
+            bend += x.T @ (x * (t * p * (1 - p)).astype(np.float32)[:, None])
         step = np.linalg.solve(bend.astype(np.float64), slope)
         weights -= step
         if np.abs(step).max() < 1e-3:
@@ -164,11 +171,10 @@ def calibrate(scores: np.ndarray, bad: np.ndarray, count: np.ndarray) -> tuple[f
     return max(scale, 0.0), float(shift)
 
 
-def _features(
-    docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str], length_col: str, wanted: np.ndarray | None = None
-) -> DataFrame:
-    """(doc_id, text features, metadata features) of every document; of the hashed words only those ``wanted``."""
-    own = _columns(docs, id_col, text_col, meta_cols, length_col)
+def _features(own: DataFrame, n_meta: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """Rows of ``_columns`` with the text replaced by its features and the metadata by theirs; of the hashed words only those ``wanted``.
+    Columns that follow are kept."""
+    kept = own.columns[3 + n_meta :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,14 +183,16 @@ def _features(
                 order = np.argsort(row, kind="stable")
                 row, feature = row[order], feature[order]
                 bounds = pa.array(np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32))
-                meta = meta_features(part.columns[3:], part.column(2))
+                meta = meta_features(part.columns[3 : 3 + n_meta], part.column(2))
                 lists = pa.array(np.arange(len(part) + 1, dtype=np.int32) * meta.shape[1])
                 yield pa.record_batch(
                     [part.column(0), pa.ListArray.from_arrays(bounds, pa.array(feature.astype(np.int32))),
-                     pa.ListArray.from_arrays(lists, pa.array(meta.ravel().astype(np.int32)))], ["doc_id", "text", "meta"])
+                     pa.ListArray.from_arrays(lists, pa.array(meta.ravel().astype(np.int32))), *part.columns[3 + n_meta :]],
+                    ["doc_id", "text", "meta", *kept])
+        release_memory()
 
-    kind = own.schema["doc_id"].dataType.simpleString()
-    return own.mapInArrow(run, f"doc_id {kind}, text array<int>, meta array<int>")
+    more = "".join(f", {c} {own.schema[c].dataType.simpleString()}" for c in kept)
+    return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, text array<int>, meta array<int>{more}")
 
 
 def _columns(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str], length_col: str) -> DataFrame:
@@ -193,6 +201,13 @@ def _columns(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str],
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), length, *extra)
 
 
+def _one_a_document(own: DataFrame, *more: str) -> DataFrame:
+    """The least row of each id; copies are merged before the shuffle."""
+    cells = [c for c in own.columns if c not in ("doc_id", *more)]
+    least = own.groupBy("doc_id", *more).agg(F.min(F.struct(*cells)).alias("row"))
+    return least.select("doc_id", *[F.col("row")[c].alias(c) for c in cells], *more)
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     for start, stop, texts in chunks(batch, "text", CHUNK):
         yield batch.slice(start, stop - start), texts
@@ -235,44 +250,36 @@ def _chosen(labelled: DataFrame, n: int, bad: int, view: str, size: int, top: in
     return sorted(r["feature"] for r in found.orderBy(F.desc("told"), "feature").limit(top).collect())
 
 
-def _fit(labelled: DataFrame, pseudo: DataFrame | None, n: int, prior: float, view: str, size: int, chosen: list[int], train_rows: int) -> View:
-    """A view fitted on a bounded sample of the labelled rows (``n`` in all) and of the pseudo-labelled."""
+def _fit(labelled: DataFrame, pseudo: list[DataFrame], prior: float, view: str, size: int, chosen: list[int]) -> View:
+    """A view fitted on the labelled rows and on those that the other view handed over (bounded, see ``train``)."""
     if not chosen:
         return View(np.zeros(size, np.float32), prior)
     column = np.full(size, -1, dtype=np.int32)
     column[chosen] = np.arange(len(chosen))
-    rows = [_sampled(labelled, n, train_rows)]
-    if pseudo is not None:
-        rows.append(_sampled(pseudo, pseudo.count(), train_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch.column(2)
             cells = column[np.asarray(lists.flatten())]
             row = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))[cells >= 0]
             bounds = np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32)
-            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(cells[cells >= 0]))], ["bad", "cells"])
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(bounds), pa.array(cells[cells >= 0]))], ["bad", "trust", "cells"])
 
-    taken = [r for part in rows for r in part.select("bad", view).mapInArrow(run, "bad boolean, cells array<int>").collect()]
-    matrix, bad = np.zeros((len(taken), len(chosen)), dtype=np.float32), np.zeros(len(taken))
+    rows = [labelled.withColumn("trust", F.lit(1.0)), *pseudo]
+    taken = [r for part in rows for r in part.select("bad", "trust", view).mapInArrow(run, "bad boolean, trust double, cells array<int>").collect()]
+    matrix, bad, trust = np.zeros((len(taken), len(chosen)), dtype=np.float32), np.zeros(len(taken)), np.zeros(len(taken))
     for i, r in enumerate(taken):
         matrix[i, r["cells"]] = 1
-        bad[i] = r["bad"]
+        bad[i], trust[i] = r["bad"], r["trust"]
     if not len(bad) or bad.min() == bad.max():
         return View(np.zeros(size, np.float32), prior)
-    found = fit_logistic(matrix, bad)
+    found = fit_logistic(matrix, bad, trust=trust)
     weights = np.zeros(size, dtype=np.float32)
     weights[chosen] = found[:-1]
     return View(weights, float(found[-1]))
 
 
-def _sampled(rows: DataFrame, n: int, train_rows: int) -> DataFrame:
-    """About ``train_rows`` of the rows by a hash of the id; all when there are no more."""
-    if n <= train_rows:
-        return rows
-    return rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * train_rows / n))
-
-
 def _scored(features: DataFrame, text: View, meta: View) -> DataFrame:
     """All columns of ``features`` with the raw score of each view."""
     views = features.sparkSession.sparkContext.broadcast((text, meta))
@@ -301,45 +308,95 @@ def _calibrated(held: DataFrame, text: View, meta: View) -> None:
             view.scale, view.shift = calibrate(*(np.array([r[c] for r in rows], dtype=float) for c in ("score", "bad", "n")))
 
 
+def _sampled(rows: DataFrame, n: int, wanted: int, turn: int, salt: str) -> DataFrame:
+    """The part ``turn`` of rows dealt by a hash of the id into parts of about ``wanted``, or all of them when there are no more."""
+    if n <= wanted:
+        return rows if turn == 0 else rows.limit(0)
+    width = int((1 << 30) * wanted / n)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30))
+    return rows.filter((place >= turn * width) & (place < (turn + 1) * width))
+
+
+def _pool(own: DataFrame, judged: DataFrame, n_docs: int, pool_rows: int, turn: int, rounds: int, n_meta: int, wanted: np.ndarray) -> DataFrame:
+    """Features of one round's documents without labels. Their ids are bounded, so the labels among them are found without shuffling the labels."""
+    part = _sampled(own.filter("doc_id is not null"), n_docs, min(pool_rows, max(1, n_docs // rounds)), turn, "pool")
+    rows = saved(_features(_one_a_document(part), n_meta, wanted), "quality-pool")
+    known = judged.join(F.broadcast(rows.select("doc_id")), "doc_id", "left_semi").select("doc_id")
+    return rows.join(F.broadcast(known), "doc_id", "left_anti")
+
+
+def _reliable(held: np.ndarray, bad: np.ndarray, limit: float, wanted: bool) -> float:
+    """What a label of documents at least as sure as ``limit`` is worth, from 0 (chance) to 1 (always right).
+
+    Of the held documents as sure as that, the share that is right, less two standard errors, is set against chance; its square is how much such
+    a label tells compared with a true one.
+    """
+    sure = held >= limit if wanted else held <= limit
+    right, n = (bad if wanted else ~bad), int(sure.sum())
+    if not n:
+        return 0.0
+    chance, share = float(right.mean()), float(right[sure].mean())
+    least = (share + 2 / n - 2 * math.sqrt(share * (1 - share) / n + 1 / n**2)) / (1 + 4 / n)
+    return max(0.0, (least - chance) / max(1 - chance, 1e-9)) ** 2
+
+
+def _surest(scored: DataFrame, score: str, n_bad: int, n_good: int) -> list[tuple[bool, DataFrame, float]]:
+    """(bad, rows, score of the least sure of them) of the rows at both ends of a view's scores."""
+    found = []
+    for bad, n in ((True, n_bad), (False, n_good)):
+        order = [F.desc(score) if bad else F.asc(score), F.asc("doc_id")]
+        rows = saved(scored.orderBy(*order).limit(n).withColumn("bad", F.lit(bad)), "quality-given")
+        edge = rows.agg((F.min(score) if bad else F.max(score)).alias("s")).first()["s"]
+        found.append((bad, rows, float("nan") if edge is None else edge))
+    return found
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("lang", "source"),
-    length_col: str = "n_chars", *, rounds: int = ROUNDS, sure: float = SURE, top: int = TOP_FEATURES, train_rows: int = TRAIN_ROWS,
+    length_col: str = "n_chars", *, rounds: int = ROUNDS, given: int = GIVEN, top: int = TOP_FEATURES, label_rows: int = LABEL_ROWS,
+    pool_rows: int = POOL_ROWS,
 ) -> Model:
-    """Co-train on all documents and the labels (doc_id, quality, toxic)."""
+    """Co-train on the labels (doc_id, quality, toxic) and on documents without labels; see the bounds above."""
     judged = labels.filter("doc_id is not null").groupBy("doc_id").agg(
         F.max((F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")).alias("bad"),
         F.max((F.col("quality").isNotNull() | F.col("toxic").isNotNull()).cast("int")).alias("known")).filter("known = 1")
-    judged = judged.select("doc_id", (F.col("bad") == 1).alias("bad"))
-    source = (docs, id_col, text_col, list(meta_cols), length_col)
-    marked = _features(*source).join(judged, "doc_id").withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0)
+    judged = saved(judged.select("doc_id", (F.col("bad") == 1).alias("bad")), "quality-labels")
+    own, n_meta = _columns(docs, id_col, text_col, list(meta_cols), length_col), len(meta_cols)
+    fitted = _sampled(judged, judged.count(), label_rows, 0, "label")
+    marked = _one_a_document(own.join(F.broadcast(fitted), "doc_id"), "bad")
+    marked = _features(marked.withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0), n_meta)
     marked = saved(marked, "quality-labelled")
     seen = marked.groupBy("held").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("int")).alias("bad")).collect()
     n, bad = sum(r["n"] for r in seen), sum(r["bad"] for r in seen)
-    labelled, held = marked.filter("not held"), marked.filter("held")
+    labelled, held = marked.filter("not held").select("doc_id", "text", "meta", "bad"), marked.filter("held")
     mine = next(((r["n"], r["bad"]) for r in seen if not r["held"]), (0, 0))
     if not 0 < mine[1] < mine[0]:
         odds = float(np.log(bad / (n - bad))) if 0 < bad < n else (30.0 if n and bad == n else -30.0)
         flat = [View(np.zeros(s, np.float32), odds) for s in (TEXT_SIZE, META_SIZE)]
-        return Model(*flat, odds, float("-inf") if n and bad == n else float("inf"))
+        return Model(*flat, odds, limit=float("-inf") if n and bad == n else float("inf"))
     prior = float(np.log(bad / (n - bad)))
     chosen = {view: _chosen(labelled, *mine, view, size, top) for view, size in (("text", TEXT_SIZE), ("meta", META_SIZE))}
     wanted = np.zeros(WORDS, dtype=bool)
     wanted[[f for f in chosen["text"] if f < WORDS]] = True
-    unlabelled = saved(_features(*source, wanted).join(judged, "doc_id", "left_anti"), "quality-unlabelled")
-    pseudo: dict[str, DataFrame | None] = {"text": None, "meta": None}
+    n_docs, handed = docs.count(), []
+    pseudo: dict[str, list[DataFrame]] = {"text": [], "meta": []}
     for turn in range(rounds + 1):
-        text = _fit(labelled, pseudo["text"], mine[0], prior, "text", TEXT_SIZE, chosen["text"], train_rows)
-        meta = _fit(labelled, pseudo["meta"], mine[0], prior, "meta", META_SIZE, chosen["meta"], train_rows)
+        text = _fit(labelled, pseudo["text"], prior, "text", TEXT_SIZE, chosen["text"])
+        meta = _fit(labelled, pseudo["meta"], prior, "meta", META_SIZE, chosen["meta"])
         _calibrated(held, text, meta)
-        if turn < rounds:
-            odds = float(np.log(sure / (1 - sure)))
-            scored = _scored(unlabelled, text, meta)
-            by_text, by_meta = F.col("text_score") * text.scale + text.shift, F.col("meta_score") * meta.scale + meta.shift
-            scored = scored.select("doc_id", "text", "meta", by_text.alias("by_text"), by_meta.alias("by_meta"))
-            sure_rows = saved(scored.filter((F.abs("by_text") > odds) | (F.abs("by_meta") > odds)), "quality-sure")
-            pseudo["meta"] = sure_rows.filter(F.abs("by_text") > odds).withColumn("bad", F.col("by_text") > 0)
-            pseudo["text"] = sure_rows.filter(F.abs("by_meta") > odds).withColumn("bad", F.col("by_meta") > 0)
-    return Model(text, meta, prior)
+        if turn == rounds:
+            break
+        kept = _scored(held.select("bad", "text", "meta"), text, meta).select("bad", "text_score", "meta_score").collect()  # a fifth of label_rows
+        wrong = np.array([r["bad"] for r in kept], dtype=bool)
+        scored = saved(_scored(_pool(own, judged, n_docs, pool_rows, turn, rounds, n_meta, wanted), text, meta), "quality-scored")
+        room = min(given, scored.count() // 2)
+        n_bad = min(max(1, round(room * bad / n)), room)
+        for view, other in (("text", "meta"), ("meta", "text")):
+            for is_bad, rows, edge in _surest(scored, f"{view}_score", n_bad, room - n_bad):
+                trust = _reliable(np.array([r[f"{view}_score"] for r in kept]), wrong, edge, is_bad)
+                pseudo[other].append(rows.withColumn("trust", F.lit(trust)))
+                handed.append((turn, view, is_bad, n_bad if is_bad else room - n_bad, trust))
+    return Model(text, meta, prior, tuple(handed))
 
 
 def _judge(model: Model, part: pa.RecordBatch, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -367,6 +424,7 @@ def score_documents(
                 odds = [np.clip(o, -500, 500) for o in _judge(shared.value, part, texts)]
                 good = [pa.array(1 / (1 + np.exp(o))) for o in odds]
                 yield pa.record_batch([part.column(0), *good, pa.array(odds[2] <= shared.value.limit)], ["doc_id", "text_score", "meta_score", "score", "kept"])
+        release_memory()
 
     kind = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, kept boolean")
@@ -387,5 +445,6 @@ def keep_good(
             kept = [_judge(shared.value, part, texts)[2] <= shared.value.limit for part, texts in _parts(seen)]
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
