@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.llm.pretokens import Encoder, Pretokens
-from trajspark.llm.words import chunks
+from trajspark.llm.words import chunks, release_memory
 
 WORD = 8  # 2**8 marks in a word of the bitmap
 
@@ -280,6 +280,8 @@ def _run(docs: DataFrame, rank_file: str, id_col: str, text_col: str, columns: s
                 text, at = bpe.decode(ids)
                 rows = [make(ids[a:b], text[at[a] : at[b]]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.record_batch([batch.column(0).slice(start, stop - start), *map(pa.array, zip(*rows, strict=True))], names)
+        encoder.forget()
+        release_memory()
 
     kind = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(run, f"doc_id {kind}, {columns}")

@@ -16,7 +16,7 @@ import numpy as np
 from trajspark.llm.words import Texts, span_hashes
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 300_000
 
 
 @cache
@@ -109,9 +109,9 @@ class Encoder:
 
     def __init__(self, encode_new: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], entries: int = CACHE_ENTRIES):
         self.encode_new, self.entries = encode_new, entries
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.hashes, self.begin, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -120,7 +120,7 @@ class Encoder:
         new = np.ones(len(hashes), dtype=bool)
         new[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] != hashes[at < len(self.hashes)]
         if len(self.hashes) and len(self.hashes) + new.sum() > self.entries:
-            self._forget()
+            self.forget()
             return self._learn(pretokens, hashes, sample)
         if new.any():
             raw, who = pretokens.data.tobytes(), sample[new]
