@@ -3,9 +3,10 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from trajspark.llm.components import components
-from trajspark.llm.simhash import Golay, bucket_keys, drop_near_duplicates, fingerprint_components, near_duplicates
+from trajspark.llm.simhash import Golay, block_masks, bucket_keys, drop_near_duplicates, fingerprint_components, near_duplicates
 
 
 def fingerprint(text):
@@ -89,3 +90,36 @@ def test_components_of_random_links(spark):
     want = groups({n for link in links for n in link}, links)
     assert got == {n: c for n, c in want.items() if n in got}
     assert {n for a, b in links if a != b for n in (a, b)} == set(got)
+
+
+def test_crowded_buckets_are_split_without_losing_a_pair(spark):
+    """Many fingerprints with one segment and close second segments, most of them far apart: whatever the split, the links stay."""
+    rng = random.Random(6)
+    prints = set()
+    for _ in range(400):
+        prints.add((rng.getrandbits(21) << 43) | (sum(1 << (22 + p) for p in rng.sample(range(21), rng.randint(0, 1)))) | 12345)
+    for p in list(prints)[:80]:
+        prints.add(p ^ sum(1 << b for b in rng.sample(range(43, 64), rng.randint(1, 4))))
+    signed = [int(np.uint64(p).astype(np.int64)) for p in prints]
+    close = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
+    got = {r.node: r.component for r in fingerprint_components(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()}
+    assert {p: got.get(p, p) for p in signed} == groups(signed, close)
+
+
+def test_blocks_meet_for_every_pair_within_reach():
+    rng = random.Random(7)
+    for width in (42, 43, 64):
+        for equal in (1, 2, 3):
+            masks = [m & (1 << 64) - 1 for m in block_masks(width, equal)]
+            for _ in range(200):
+                bits = sum(1 << p for p in rng.sample(range(width), 4))
+                assert any(not m & bits for m in masks)
+
+
+def test_rows_without_ids_and_names_of_other_columns(spark):
+    rows = [(None, "one two three four five"), (3, "ONE two three four five"), (3, "something else that is far away"), (4, None), (None, ""), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"name": F.lit("n"), "fp": F.lit(1), "digest": F.lit("d"), "copies": F.lit(9)})
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "").lower(), r.name, r.digest) for r in left.collect()) == [
+        (3, "one two three four five", "n", "d"), (3, "something else that is far away", "n", "d"), (4, "", "n", "d")]

@@ -15,6 +15,10 @@ its leader; every member is compared with it, and components are formed. After t
 leader's are compared with the members of other components in their bucket. A dense group of near copies has one
 component by then; every pair that could still join two components is verified, so no link is lost.
 
+A bucket that many different fingerprints share is split again before that: what its fingerprints aren't known to have in common is cut into
+``MAX_BITS`` + t blocks, of which t are equal for any two within the distance, and each choice of t blocks is a key of its own. t grows with the
+bucket, so keys get some 8, 14 or 18 bits more and pairs are compared in small groups; again no pair is lost.
+
 Defined results: a null or empty text has no words and fingerprint zero, which links like any other; null ids get their own
 fingerprint and the component of it (null when all its ids are null); repeated rows are alike; an empty table gives no rows.
 """
@@ -27,18 +31,20 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajspark.llm.common import saved
+from trajspark.llm.common import constant_array, discard, kept_rows, saved, text_digest
 from trajspark.llm.components import components
-from trajspark.llm.words import NOT_SPACE, Words, chunks
+from trajspark.llm.words import NOT_SPACE, Words, chunks, release_memory
 
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BLOCK = 50_000
 PIECES = 3
+CROWD = 64
+SPLITS = ((1 << 14, 1), (1 << 20, 2), (None, 3))  # buckets of up to so many fingerprints: blocks that have to be equal
 PRINTS_AT_ONCE = 4_000
 PRINTS_A_TASK = 20_000  # a fingerprint makes some 120 rows
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -82,6 +88,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for start, stop, texts in chunks(batch, "text"):
                 prints = shingle_fingerprints(Words(texts, NOT_SPACE, lower=True), shingle)
                 yield pa.record_batch([batch.column(0).slice(start, stop - start), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+        release_memory()
 
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()
@@ -178,22 +185,61 @@ def near(a, b, bits: int = MAX_BITS):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
 
 
-def fingerprint_components(prints: DataFrame) -> DataFrame:
+def block_masks(width: int, equal: int) -> list[int]:
+    """Bits of every choice of ``equal`` blocks when ``width`` bits are cut into that many more than the bits that may differ."""
+    n = MAX_BITS + equal
+    cuts = [width * i // n for i in range(n + 1)]
+    blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
+    masks = [sum(c) for c in combinations(blocks, equal)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def _masked(bits: Column):
+    return lambda mask, number: F.xxhash64(number, bits.bitwiseAND(mask))
+
+
+def split_keys(key: str, fp: str, n: str) -> Column:
+    """Keys inside a bucket of ``n`` fingerprints: one for all of a small bucket, else one for each choice of equal blocks outside the
+    segment that the bucket's fingerprints have in common."""
+    table = F.shiftrightunsigned(key, 34)
+    out = F.lit(None)
+    for i, (low, width) in enumerate([*SEGMENTS, (64, 0)]):
+        rest = F.col(fp)
+        if width:
+            upper = F.shiftrightunsigned(fp, low + width) if low + width < 64 else F.lit(0).cast("long")
+            rest = F.col(fp).bitwiseAND(F.lit((1 << low) - 1).cast("long")).bitwiseOR(F.shiftleft(upper, low))
+        split = F.lit(None)
+        for most, equal in reversed(SPLITS):
+            masks = constant_array(block_masks(64 - width, equal), "bigint")
+            keys = F.transform(masks, _masked(rest))
+            split = keys if most is None else F.when(F.col(n) <= most, keys).otherwise(split)
+        out = F.when(F.floor(table / 2) == i, split).otherwise(out) if width else F.when(table >= 6, split).otherwise(out)
+    return F.when(F.col(n) <= CROWD, F.array(F.lit(0).cast("long"))).otherwise(out)
+
+
+def fingerprint_components(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """(node, component) for the distinct fingerprints that link to another one."""
+    if bits > MAX_BITS:
+        raise ValueError(f"the keys find fingerprints of at most {MAX_BITS} differing bits")
     tasks = prints.count() // PRINTS_A_TASK + 1
     rows = saved(fuzzy_buckets(prints.repartition(tasks, "fp")), "simhash-buckets")
     leaders = rows.groupBy("key").agg(F.min("fp").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(rows.join(leaders, "key"), "simhash-members")
-    led = members.filter("fp <> leader").filter(near("fp", "leader")).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+    discard(rows)
+    led = members.filter("fp <> leader").filter(near("fp", "leader", bits)).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
     first = saved(components(led, "simhash-led"), "simhash-first")
 
     own = first.select(F.col("node").alias("fp"), F.col("component").alias("own"))
     lead = first.select(F.col("node").alias("leader"), F.col("component").alias("main"))
     more = members.filter("n > 2").join(own, "fp", "left").join(lead, "leader", "left")
-    more = saved(
-        more.select("key", "fp", F.coalesce("own", "fp").alias("own"), F.coalesce("main", "leader").alias("main")), "simhash-open")
-    apart = more.filter("own <> main").select("key", F.col("fp").alias("fp_2"), F.col("own").alias("own_2"))
-    met = more.join(apart, "key").filter("own <> own_2").filter(near("fp", "fp_2"))
+    more = more.select("key", "n", "fp", F.coalesce("own", "fp").alias("own"), F.coalesce("main", "leader").alias("main"))
+    # only buckets that still hold several components, each with the members that could join two of them
+    open_keys = more.groupBy("key").agg(F.max((F.col("own") != F.col("main")).cast("int")).alias("several")).filter("several = 1").select("key")
+    more = saved(more.join(open_keys, "key", "left_semi"), "simhash-open")
+    discard(members)
+    more = more.withColumn("sub", F.explode(split_keys("key", "fp", "n")))
+    apart = more.filter("own <> main").select("key", "sub", F.col("fp").alias("fp_2"), F.col("own").alias("own_2"))
+    met = more.join(apart, ["key", "sub"]).filter("own <> own_2").filter(near("fp", "fp_2", bits))
     joined = components(met.select(F.col("own").alias("a"), F.col("own_2").alias("b")), "simhash-met")
     joined = joined.withColumnRenamed("node", "old").withColumnRenamed("component", "new")
 
@@ -202,20 +248,33 @@ def fingerprint_components(prints: DataFrame) -> DataFrame:
     return everyone.join(joined, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id that links lead to)."""
     own = saved(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
-    first = saved(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    linked = fingerprint_components(first)
-    grouped = first.join(linked, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
-    least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = grouped.join(least, "component").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return own.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return own.join(_named(own, F.col("doc_id"), bits), "fp").select("doc_id", digits.alias("fingerprint"), F.col("least").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns. Rows without an id stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").select(*docs.columns)
+def _named(own: DataFrame, order: Column, bits: int) -> DataFrame:
+    """(fp, least): for each fingerprint the least ``order`` of its component."""
+    first = saved(own.groupBy("fp").agg(F.min(order).alias("first")), "simhash-distinct")
+    linked = fingerprint_components(first, bits)
+    grouped = first.join(linked, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
+    least = grouped.groupBy("component").agg(F.min("first").alias("least"))
+    return grouped.join(least, "component").select("fp", "least")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
+    """One document of each component, the one with the smallest id, with all its columns.
+
+    Rows are told apart by id and text: a row without an id goes when its component has another, and of rows that share an id the one
+    whose text has the least digest stays.
+    """
+    named = docs.select(
+        F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest")).alias("name"),
+        F.col(text_col).alias("text"))
+    own = saved(fingerprints(named, "name", "text", shingle).withColumnRenamed("doc_id", "name"), "simhash-prints")
+    least = _named(own, F.col("name"), bits).select(F.col("least").alias("name")).distinct()
+    rows = least.join(own, "name").groupBy("name").agg(F.count(F.lit(1)).alias("copies"))
+    kept = saved(rows.select(F.col("name.id").alias("id"), F.col("name.digest").alias("digest"), "copies"), "simhash-kept")
+    return kept_rows(docs, id_col, text_digest(F.col(text_col)), kept)
