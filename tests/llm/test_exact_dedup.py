@@ -61,3 +61,25 @@ def test_directory_doubles_only_overfull_buckets():
     assert directory.slots == [0, 1, 2, 2, 4, 4, 4, 4]
     assert double_directory(loads_at, 3, 12, 10) == directory
     assert double_directory(loads_at, 0, 12, 2).depth == 2
+
+
+def test_names_of_other_columns_are_left_alone(spark):
+    rows = [(1, "A", "x", 5), (1, "a", "y", 6), (2, "b", "z", 7), (None, "b", "w", 8), (None, "c", "v", 9), (None, "c", "v", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string, copies int").withColumns(
+        {"kept_id": F.lit(1), "kept_digest": F.lit("k"), "_sha": F.lit("s"), "_copy": F.lit(3), "chain": F.lit(0), "bucket": F.lit(0)})
+    left = drop_exact_duplicates(docs)
+    assert left.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text.lower(), r.digest in "xyzwv", r.kept_id, r._sha, r._copy) for r in left.collect())
+    assert got == [(0, "c", True, 1, "s", 3), (1, "a", True, 1, "s", 3), (2, "b", True, 1, "s", 3)]
+
+
+def test_large_groups_are_broadcast(spark, monkeypatch):
+    from trajspark.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 3)
+    rows = [(i, "same" if i % 3 else f"t{i % 12}", ) for i in range(60)]
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    by = defaultdict(list)
+    for i, t in rows:
+        by[t].append(i)
+    assert got == {i: (max(by[t]), len(by[t])) for i, t in rows}
