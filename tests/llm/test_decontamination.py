@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from trajspark.llm.decontamination import build_index, contamination, drop_contaminated, search_index
 
@@ -52,7 +53,8 @@ def test_odd_rows(spark, odd_docs, no_docs):
     want = expected([(r.doc_id, r.text) for r in odd_docs.collect()], items, 10)
     assert sorted([tuple(r) for r in contamination(odd_docs, b).collect()], key=str) == want
     left = drop_contaminated(odd_docs, b)
-    assert left.columns == odd_docs.columns and left.count() == odd_docs.count() - 2
+    # every row by its own text: the one without an id that holds "nobody" goes too
+    assert left.columns == odd_docs.columns and left.count() == odd_docs.count() - 3
     assert contamination(no_docs, b).count() == 0
     assert contamination(odd_docs, b.filter("false")).filter("contaminated").count() == 0
 
@@ -63,3 +65,21 @@ def test_proximity(spark):
     hits = {r.doc_id: r.hit for r in search_index(index, [("7", "one two three")], 10, slop=1).collect()}
     assert hits == {1: [0, 2, 3], 2: [], 3: []}
     assert {r.doc_id: r.items for r in search_index(index, [("7", "one two three")], 10, slop=4).collect()} == {1: ["7"], 2: ["7"], 3: ["7"]}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    docs = spark.createDataFrame([(1, "a clean one", "x"), (1, "has the phrase here", "y"), (None, "the phrase", "z"), (None, "clean", "z")],
+                                 "doc_id long, text string, gone string").withColumn("digest", F.lit("own"))
+    b = spark.createDataFrame([(1, "the phrase")], "item_id long, text string")
+    left = drop_contaminated(docs, b)
+    assert left.columns == docs.columns
+    assert sorted(r.text for r in left.collect()) == ["a clean one", "clean"] and {r.digest for r in left.collect()} == {"own"}
+
+
+def test_long_items_are_cut_without_losing_phrases(spark):
+    rng = random.Random(8)
+    item = " ".join(f"w{rng.randrange(300)}" for _ in range(900))
+    docs = [(i, " ".join(item.split()[i * 7 : i * 7 + 15])) for i in range(120)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = contamination(d, b, block_words=400).collect()
+    assert sorted([tuple(r) for r in got], key=str) == expected(docs, [(1, item)], 10)

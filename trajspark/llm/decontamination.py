@@ -4,7 +4,7 @@ The index is partitioned by document. Each segment holds some whole documents (a
 each occurs, and the positions of all occurrences, term by term. Positions run on from document to document with a gap
 that no phrase spans. The index is written to the shared folder and serves any number of benchmarks.
 
-A search takes the benchmark's phrases in blocks of bounded size and reads the index; nothing is shuffled, and a common term costs no more than
+A search takes the benchmark's phrases in blocks of bounded size (a pass over the index each) and reads the index; nothing is shuffled, and a common term costs no more than
 its postings in each segment. Inside a segment a phrase starts from the postings of its rarest term, moved back by the term's
 offset, and is intersected with the postings of its other terms by rising frequency. With ``slop`` above 0 a term may
 stand up to that many words from its place (proximity matches).
@@ -18,16 +18,18 @@ digest; items repeated with one id count once; an empty table gives no rows, an
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajspark.llm.common import saved
-from trajspark.llm.words import ALPHANUMERIC, Texts, Words, chunks
+from trajspark.llm.common import saved, text_digest, unused
+from trajspark.llm.words import ALPHANUMERIC, Texts, Words, chunks, release_memory
 
 PHRASE = 10
 SEGMENT_BYTES = 4 << 20
@@ -47,6 +49,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             for start, stop, texts in chunks(batch, "text", segment_bytes):
                 yield _segment(batch.column(0).slice(start, stop - start), texts)
+        release_memory()
 
     rows = own.mapInArrow(run, _SEGMENT.format(kind=kind)).withColumn("segment", F.expr("uuid()"))
     return saved(rows, "positional-index")
@@ -140,6 +143,11 @@ def _nearest(postings: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 def search_index(index: DataFrame, items: list[tuple[str, str | None]], size: int = PHRASE, slop: int = 0) -> DataFrame:
     """Per document of the index: segment, place in it, doc_id, n_words, ``hit`` (offsets of its hit words) and ``items``."""
+    return _search(index, items, size, slop)[0]
+
+
+def _search(index: DataFrame, items: list[tuple[str, str | None]], size: int, slop: int) -> tuple[DataFrame, Broadcast]:
+    """The same with the broadcast phrases, for the caller to release."""
     if size + 2 * slop > GAP:
         raise ValueError(f"phrases may span at most {GAP} words")
     phrases = index.sparkSession.sparkContext.broadcast(phrases_of(items, size))
@@ -151,7 +159,7 @@ def search_index(index: DataFrame, items: list[tuple[str, str | None]], size: in
                 yield _searched(batch.slice(i, 1), phrases.value, slop)
 
     schema = f"segment string, place int, doc_id {kind}, n_words int, hit array<int>, items array<string>"
-    return index.mapInArrow(run, schema)
+    return index.mapInArrow(run, schema), phrases
 
 
 def _searched(row: pa.RecordBatch, phrases: Phrases, slop: int) -> pa.RecordBatch:
@@ -181,30 +189,51 @@ def _searched(row: pa.RecordBatch, phrases: Phrases, slop: int) -> pa.RecordBatc
     )
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, str | None]]]:
-    block, size = [], 0
-    for name, text in benchmark.toLocalIterator():
-        block.append((name, text))
-        size += len(text or "") // 2 + 1
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    yield block
+def _pieces(items: DataFrame, size: int, piece_words: int) -> DataFrame:
+    """(item, text, n_words): items cut into pieces of at most ``piece_words`` words that overlap by a phrase less a word, so each phrase is
+    in a piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop, texts in chunks(batch, "text"):
+                words = Words(texts, ALPHANUMERIC, lower=True)
+                names, parts, counts = [], [], []
+                for i, item in enumerate(batch.column(0).slice(start, stop - start).to_pylist()):
+                    at, end = int(words.bounds[i]), int(words.bounds[i + 1])
+                    while at < end:
+                        far = min(end, at + piece_words)
+                        names.append(item)
+                        parts.append(bytes(words.data[words.starts[at] : words.ends[far - 1]]).decode())
+                        counts.append(far - at)
+                        at = end if far == end else far - size + 1
+                yield pa.record_batch([pa.array(names, pa.string()), pa.array(parts, pa.string()), pa.array(counts, pa.int64())], ["item", "text", "n_words"])
+
+    return items.mapInArrow(run, "item string, text string, n_words long")
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text: str = "text", *, size: int = PHRASE, slop: int = 0, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    The benchmark is cut into pieces by tasks and dealt into blocks of about ``block_words``. Each block is one pass over the index; its phrases
+    are broadcast, its hits written and the broadcast released before the next, so the driver never holds more than a block.
+    """
     index = build_index(docs, id_col, text_col)
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
-    found = [search_index(index, block, size, slop) for block in _blocks(items, block_words)]
-    rows = found[0]
-    if len(found) > 1:
-        for more in found[1:]:
-            rows = rows.unionByName(more)
-        rows = rows.groupBy("segment", "place", "doc_id", "n_words").agg(
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).cast("string").alias("text"))
+    pieces = saved(_pieces(items, size, max(size, block_words // 16)), "benchmark-pieces")
+    blocks = 1 + (pieces.agg(F.sum("n_words")).first()[0] or 0) // block_words
+    if blocks == 1:
+        rows, _ = _search(index, _phrases(pieces), size, slop)
+    else:
+        parts = []
+        for number in range(blocks):
+            dealt = pieces.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
+            found, held = _search(index, _phrases(dealt), size, slop)
+            parts.append(saved(found if number == 0 else found.filter("size(hit) > 0 or size(items) > 0"), f"hits-{number}"))
+            held.unpersist(blocking=False)
+        rows = functools.reduce(DataFrame.unionByName, parts).groupBy("segment", "place", "doc_id", "n_words").agg(
             F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.flatten(F.collect_list("items")).alias("items"))
     names = F.array_sort(F.array_distinct("items"))
     return rows.select(
@@ -214,7 +243,16 @@ def contamination(
     )
 
 
+def _phrases(block: DataFrame) -> list[tuple[str, str | None]]:
+    """The items of one block, which is bounded."""
+    return [(r["item"], r["text"]) for r in block.select("item", "text").collect()]
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that hold no phrase of the benchmark, with all their columns. Rows without an id are judged by no id and stay."""
-    gone = contamination(docs, benchmark, id_col, text_col, **options).filter("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").select(*docs.columns)
+    """The documents that hold no phrase of the benchmark, with all their columns. Each row is judged by its own text, whatever its id."""
+    digest, gone = unused("digest", docs), unused("gone", docs)
+    named = docs.select(text_digest(F.col(text_col)).alias("name"), F.col(text_col).alias("text"))
+    judged = contamination(named, benchmark, "name", "text", **options).filter("contaminated").select(F.col("doc_id").alias(gone)).distinct()
+    judged = saved(judged, "contaminated")
+    rows = docs.withColumn(digest, text_digest(F.col(text_col)))
+    return rows.join(judged, F.col(digest) == F.col(gone), "left_anti").drop(digest)
