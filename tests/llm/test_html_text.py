@@ -50,3 +50,22 @@ def test_table(spark):
     told = CASES["inline"][1]
     assert got == sorted([(1, "u", told, len(told))] * 2 + [(2, None, "", 0), (None, "v", "", 0)], key=str)
     assert extract_text(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["<p ", "<span class=ad>x", "<div>x y", "</b><div><i>", '<a "', '<div class="', "<li>x<ul>", "<!-", "&amp;<"])
+def test_time_grows_with_the_length_alone(unit):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        blocks_of(unit * n)
+        return time.perf_counter() - start
+
+    seconds(2000)
+    assert min(seconds(40_000) for _ in range(2)) < 4 * max(0.05, min(seconds(20_000) for _ in range(2)))
+
+
+def test_deep_nesting_is_kept_as_a_running_state():
+    html = "<article>" + "<div>" * 3000 + "inside words here" + "</div>" * 3000 + "</article><nav>menu</nav>after"
+    found = blocks_of(html)
+    assert [(b.text, b.article, b.chrome_inside) for b in found] == [("inside words here", True, False), ("menu", False, True), ("after", False, False)]

@@ -8,7 +8,8 @@ and whether it is a heading. The tree is grown on ``LABELLED``, a small table of
 Scripts, styles, comments, titles, buttons and the like never make blocks. The whole page is read; nothing is cut off.
 
 Defined results: null html is empty; a page without accepted blocks has an empty text and 0 characters; broken markup (unclosed
-tags, quotes, comments, scripts) is read to the end of the page; repeated rows are alike; an empty table gives no rows.
+tags, quotes, comments, scripts) is read to the end of the page; a page of any length is read whole, in time that grows with its
+length alone (nesting is kept as a running state, not looked through for each block); repeated rows are alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -178,25 +179,68 @@ def _place(name: str, attributes: str) -> str:
     return "article" if hints & ARTICLE_HINTS else ""
 
 
+@dataclass(frozen=True)
+class Nesting:
+    """What the elements open at some point say about a block there: places so far, of which the last article is number ``article``
+    (0: none), whether one of them stands aside and whether one before that article does."""
+
+    places: int = 0
+    article: int = 0
+    aside: bool = False
+    article_aside: bool = False
+
+    def inside(self, place: str) -> Nesting:
+        if not place:
+            return self
+        if place == "article":
+            return Nesting(self.places + 1, self.places + 1, self.aside, self.aside)
+        return Nesting(self.places + 1, self.article, self.aside or place == "aside", self.article_aside)
+
+
+class OpenElements:
+    """The elements open at some point, with the nesting after each; whether a name is open is known without looking through them."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.nestings = [Nesting()]
+        self.counts: dict[str, int] = {}
+
+    def push(self, name: str, place: str) -> None:
+        self.names.append(name)
+        self.nestings.append(self.nestings[-1].inside(place))
+        self.counts[name] = self.counts.get(name, 0) + 1
+
+    def pop(self) -> str:
+        self.nestings.pop()
+        name = self.names.pop()
+        self.counts[name] -= 1
+        return name
+
+    def close(self, name: str) -> None:
+        """Close the innermost element of that name with all inside it."""
+        if self.counts.get(name):
+            while self.pop() != name:
+                pass
+
+
 def blocks_of(html: str) -> list[Block]:
     """The flat text blocks of a page."""
     blocks: list[Block] = []
-    open_elements: list[tuple[str, str]] = []
+    open_elements = OpenElements()
     pieces: list[str] = []
     linked: list[str] = []
     links = skipping = 0
     heading = False
     pattern = _TAG
-    at, n = 0, len(html)
+    at, n, last = 0, len(html), html.rfind(">")
 
     def close() -> None:
         words = "".join(pieces).split()
         if words:
-            places = [p for _, p in open_elements if p]
-            article = len(places) - places[::-1].index("article") if "article" in places else 0
+            now = open_elements.nestings[-1]
             blocks.append(Block(
-                " ".join(words), len(words), min(len(words), len(" ".join(linked).split())), article > 0, len(places) > article,
-                article > 0 and "aside" in places[:article], heading))
+                " ".join(words), len(words), min(len(words), len(" ".join(linked).split())), now.article > 0, now.places > now.article,
+                now.article_aside, heading))
         pieces.clear()
         linked.clear()
 
@@ -217,8 +261,8 @@ def blocks_of(html: str) -> list[Block]:
             end = html.find("-->", less + 4)
             at = n if end < 0 else end + 3
             continue
-        match = pattern.match(html, less)
-        if match is None and pattern is _TAG and (match := _LOOSE.match(html, less)):
+        match = pattern.match(html, less) if less < last else None
+        if match is None and less < last and pattern is _TAG and (match := _LOOSE.match(html, less)):
             pattern = _LOOSE  # a quote is open up to the end of the page
         if match is None:
             other = _OTHER.match(html, less)
@@ -247,21 +291,18 @@ def blocks_of(html: str) -> list[Block]:
                 add(" ")
             elif not closing and attributes and not skipping and _place(name, attributes) in ("aside", "chrome"):
                 close()
-                open_elements.append((name, "chrome"))
-            if closing and open_elements and open_elements[-1][0] == name:
+                open_elements.push(name, "chrome")
+            if closing and open_elements.names and open_elements.names[-1] == name:
                 close()
                 open_elements.pop()
             continue
         close()
         if closing:
-            for depth in range(len(open_elements) - 1, -1, -1):
-                if open_elements[depth][0] == name:
-                    del open_elements[depth:]
-                    break
+            open_elements.close(name)
             heading = False
         else:
             if name not in VOID and name not in ("p", "li", "tr", "td", "th", "dt", "dd") or _place(name, attributes):
-                open_elements.append((name, _place(name, attributes)))
+                open_elements.push(name, _place(name, attributes))
             heading = len(name) == 2 and name[0] == "h" and name[1] in "123456"
             links = 0
         if name == "body":
