@@ -93,6 +93,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         docs.select(
             F.col(id_col).alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("key"),
+            F.monotonically_increasing_id().alias("salt"),  # tells rows apart that are alike, so they don't gather in one slice
         ),
         "shard-rows",
     )
@@ -114,7 +115,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = ranked.select("key", F.size(F.filter("ends", lambda e: e <= F.col("number"))).alias("shard"))
     first = rows.join(F.broadcast(alone), "key", "left")
     sharded = first.filter("shard is not null").unionByName(first.filter("shard is null").drop("shard").join(placed, "key"))
-    slotted = numbered(sharded.drop("key"), "shard", ["doc_id", "text_crc32", "size"], "shard-slots", slice_rows)
+    slotted = numbered(sharded.drop("key"), "shard", ["doc_id", "text_crc32", "size", "salt"], "shard-slots", slice_rows)
     return slotted.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("number").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),

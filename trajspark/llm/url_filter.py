@@ -7,8 +7,9 @@ long as some rule's path. All candidate keys of the corpus are the key universe.
 The first level of a cascade encodes the listed keys of the universe, the second the universe's false positives of the
 first, the third the listed keys that the second holds wrongly, and so on until a level has none. A key is listed when the first level that
 lacks it is an even one, so membership is exact for every key of the universe, without a join. The first level is sized so that
-its false positives are about as many as the listed keys; the whole cascade then takes a few bytes a listed key. When it
-would take more than ``max_filter_bytes``, membership is found by a join on the keys, with the same results.
+its false positives are about as many as the listed keys; the whole cascade then takes a few bytes a listed key. Lists whose
+cascades would take more than ``max_filter_bytes`` are dealt by a hash of the key into shards that don't, with a cascade each: every key of a
+site is asked in its own shard, one pass a shard over the keys dealt to it, and the longest hit of the site wins.
 
 Defined results: a url that is null or has no ``://`` has an empty host and path and no rule; without a rule the verdict is
 ``default``. A key listed to be blocked and allowed is blocked. Repeated rows are judged alike, an empty table gives no rows,
@@ -17,6 +18,7 @@ an empty rule list gives ``default`` throughout, other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -109,8 +111,8 @@ class Cascade:
         return found
 
 
-def build_cascade(listed: DataFrame, others: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> Cascade | None:
-    """A cascade that holds the ``key`` rows of ``listed`` and none of ``others``; None when it would exceed the bound.
+def build_cascade(listed: DataFrame, others: DataFrame) -> Cascade:
+    """A cascade that holds the ``key`` rows of ``listed`` and none of ``others``.
 
     Both are distinct and disjoint. Each level halves the keys that are still told apart wrongly, so the number of levels is
     logarithmic in the listed keys.
@@ -118,12 +120,10 @@ def build_cascade(listed: DataFrame, others: DataFrame, max_filter_bytes: int =
     n_in, n_out = listed.count(), others.count()
     if n_in == 0:
         return Cascade([Level([], 0, 0, 1)])
-    rate = min(0.5, max(2.0**-40, n_in * math.sqrt(0.5) / max(1, n_out)))
+    rate = first_rate(n_in, n_out)
     levels: list[Level] = []
     inside, outside, count = listed, others, n_in
     while count:
-        if filter_bits(count, rate) // 8 * 4 > max_filter_bytes:
-            return None
         seed = len(levels) + 1
         level = build_level(inside, count, rate, seed)
         levels.append(level)
@@ -133,6 +133,18 @@ def build_cascade(listed: DataFrame, others: DataFrame, max_filter_bytes: int =
     return Cascade(levels)
 
 
+def first_rate(listed: int, others: int) -> float:
+    """False positives of the first level: about as many as the listed keys."""
+    return min(0.5, max(2.0**-40, listed * math.sqrt(0.5) / max(1, others)))
+
+
+def shards_for(listed: int, others: int, max_filter_bytes: int) -> int:
+    """Shards whose cascades stay within the bound; the levels after the first take less than three times as much as it."""
+    if not listed:
+        return 1
+    return min(listed, 1 + filter_bits(listed, first_rate(listed, others)) // 8 * 4 // max_filter_bytes)
+
+
 def judge_urls(
     pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", *, default: str = "allow",
     max_filter_bytes: int = MAX_FILTER_BYTES,
@@ -151,12 +163,15 @@ def judge_urls(
         return split.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     keys = candidate_keys(F.col("host"), F.col("path"), shape["labels"], sorted(shape["lengths"]))
     universe = saved(split.select(F.explode(keys).alias("key")).distinct(), "url-universe")
-    cascades = {}
+    sets, shards, total = {}, 1, universe.count()
     for verdict in ("block", "allow"):
         own = listed.filter(F.col("verdict") == verdict).select("key").distinct()
-        cascades[verdict] = build_cascade(universe.join(own, "key", "left_semi"), universe.join(own, "key", "left_anti"), max_filter_bytes)
-    if None in cascades.values():
-        return _judge_by_join(split, keys, listed, default)
+        sets[verdict] = saved(universe.join(own, "key", "left_semi"), f"url-{verdict}"), own
+        n = sets[verdict][0].count()
+        shards = max(shards, shards_for(n, total - n, max_filter_bytes))
+    if shards > 1:
+        return _judge_by_shards(split, keys, universe, sets, shards, default)
+    cascades = {v: build_cascade(inside, universe.join(own, "key", "left_anti")) for v, (inside, own) in sets.items()}
     matched = F.filter(keys, lambda k: cascades["block"].has(k) | cascades["allow"].has(k))
     longest = F.array_max(F.transform(matched, lambda k: F.struct(F.length(k).alias("n"), k.alias("key"))))["key"]
     ruled = split.withColumn("rule", longest)
@@ -164,12 +179,21 @@ def judge_urls(
     return ruled.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
 
-def _judge_by_join(split: DataFrame, keys, listed: DataFrame, default: str) -> DataFrame:
-    """The exact way for lists whose cascade exceeds the bound: distinct (host, path) pairs meet the list by key."""
-    sites = split.select("host", "path").distinct()
-    blocked = listed.groupBy("key").agg(F.max((F.col("verdict") == "block").cast("int")).alias("blocked"))
-    hits = sites.select("host", "path", F.explode(keys).alias("key")).join(blocked, "key")
-    best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), "key", "blocked")).alias("best"))
+def _judge_by_shards(split: DataFrame, keys: Column, universe: DataFrame, sets: dict, shards: int, default: str) -> DataFrame:
+    """The same with a cascade for each shard of the keys."""
+
+    def of(df: DataFrame, number: int) -> DataFrame:
+        return df.filter(F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)) == number)
+
+    sites = saved(split.select("host", "path").distinct(), "url-sites")
+    asked = saved(sites.select("host", "path", F.explode(keys).alias("key")), "url-asked")
+    hits = []
+    for number in range(shards):
+        cascades = {v: build_cascade(of(inside, number), of(universe, number).join(own, "key", "left_anti")) for v, (inside, own) in sets.items()}
+        told = of(asked, number).withColumns({v: c.has(F.col("key")) for v, c in cascades.items()})
+        hits.append(saved(told.filter("block or allow").select("host", "path", "key", F.col("block").alias("blocked")), f"url-hits-{number}"))
+    best = functools.reduce(DataFrame.unionByName, hits).groupBy("host", "path").agg(
+        F.max(F.struct(F.length("key").alias("n"), "key", "blocked")).alias("best"))
     found = split.join(best, ["host", "path"], "left")
-    verdict = F.when(F.col("best").isNull(), default).when(F.col("best.blocked") == 1, "block").otherwise("allow")
+    verdict = F.when(F.col("best").isNull(), default).when(F.col("best.blocked"), "block").otherwise("allow")
     return found.select("page_id", "host", "path", F.col("best.key").alias("rule"), verdict.alias("verdict"))
