@@ -3,6 +3,7 @@ import sys
 
 import pytest
 from compare import compare
+from pyspark.sql import functions as F
 
 TINY = "/root/testdata/sf0.001"
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -47,8 +48,24 @@ def test_pipeline_stages(spark):
             assert exact_duplicates(after).filter("group_size > 1").count() == 0
         if name == "SimHash near-dedup":
             assert near_duplicates(before).select("component_id").distinct().count() == after.count()
+            assert near_duplicates(after).groupBy("component_id").count().filter("count > 1").count() == 0
         if name == "benchmark decontamination":
             judged = contamination(before, spark.read.parquet(f"{TINY}/benchmark.parquet"))
             assert {r.doc_id for r in judged.filter("not contaminated").collect()} == {r.doc_id for r in after.collect()}
         before = after
     assert corpus_pipeline.STAGES[-1][1](spark, before, TINY).count() == before.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd_docs, no_docs):
+    import corpus_pipeline
+
+    docs = odd_docs.withColumns({"digest": F.lit("d"), "gone": F.lit("g"), "copies": F.lit(1), "name": F.lit("n"), "meta_0": F.lit(0), "held": F.lit(1)})
+    for source in (docs, docs.filter("false")):
+        before = source
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            path = f"{spark.conf.get('spark.checkpoint.dir')}/odd-{name.replace(' ', '-')}-{source is docs}"
+            stage(spark, before, TINY).write.mode("overwrite").parquet(path)
+            before = spark.read.parquet(path)
+            assert before.columns == docs.columns
+        assert corpus_pipeline.STAGES[-1][1](spark, before, TINY).count() == before.count()
+    assert before.count() == 0
