@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents that it keeps, with the columns of ``documents``; the last returns
 their tokens. Stages read only what the one before wrote, so a lost executor repeats one stage at most.
 
-Defined results: rows repeated with one id and text are exact copies; rows without an id pass the
-decontamination, which judges by id; an empty table passes all stages. Labels that are missing keep everything (see ``trajspark.llm.quality``).
+Defined results: rows repeated with one id and text are exact copies; rows are judged by their own text, so null and repeated ids go through like
+others; extra columns pass, whatever their names, and the last stage leaves them out; an empty table passes all stages. Labels that are missing keep
+everything (see ``trajspark.llm.quality``).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from trajspark.llm.common import read_table, saved
 from trajspark.llm.decontamination import drop_contaminated
 from trajspark.llm.exact_dedup import drop_exact_duplicates
 from trajspark.llm.quality import keep_good, train
-from trajspark.llm.similar import drop_similar
+from trajspark.llm.simhash import drop_near_duplicates
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +32,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more), the document with the smallest id."""
-    return drop_similar(docs)
+    """Of each group of fingerprints linked by at most 4 differing bits (4-word shingles), the document with the smallest id."""
+    return drop_near_duplicates(docs, shingle=4, bits=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
