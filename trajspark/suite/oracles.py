@@ -691,3 +691,28 @@ doubled AS (FROM reloc UNION ALL SELECT * REPLACE (concat(burst_name, '-2') AS b
     """SELECT pgtraj_name, animal_name, burst_name, count(*) AS num_relocations, count(*) - count(x) AS num_na, min(fix_at) AS date_begin,
        max(fix_at) AS date_end FROM doubled GROUP BY 1, 2, 3""",
 )
+
+# -- refusals, flags and orders
+ORACLES["store_refusals"] = """
+SELECT what, true AS refused, (SELECT count(*) FROM events) AS steps FROM (VALUES
+  ('missing table'), ('missing column'), ('foreign schema'), ('unknown zone'),
+  ('no projection'), ('unprojected view'), ('three coordinate columns'), ('text for a system'),
+  ('blank name'), ('name of one trajectory twice'), ('import without overwrite'), ('name that begins with a mark'),
+  ('burst of several animals'), ('nothing to drop'), ('unknown trajectory'), ('order of a trajectory without times')
+) AS t(what)"""
+ORACLES["store_failed_overwrite"] = with_(
+    params(fill="pgtraj"), f"SELECT fix_at AS date, animal_name, burst_name AS burst, pgtraj_name AS pgtraj, {FULL} FROM par"
+)
+ORACLES["store_summaries_in_order"] = with_(
+    reloc(),
+    """SELECT pgtraj_name, burst_name, row_number() OVER (ORDER BY pgtraj_name, burst_name) AS place, CAST(NULL AS BOOLEAN) AS fresh
+FROM (SELECT DISTINCT pgtraj_name, burst_name FROM reloc)
+UNION ALL SELECT pgtraj_name, NULL, row_number() OVER (ORDER BY pgtraj_name), true FROM (SELECT DISTINCT pgtraj_name FROM reloc)""",
+)
+ORACLES["export_type_flags"] = with_(
+    params()
+    + """,
+spread AS (SELECT pgtraj_name, burst_name, coalesce(max(dt) - min(dt) < 1e-7, true) AS same, count(*) AS n FROM par GROUP BY ALL)""",
+    """SELECT pgtraj_name, true AS type_ii, bool_and(same) AS regular, CAST(sum(n) AS BIGINT) AS n_rows, 'times' AS kind FROM spread GROUP BY 1
+UNION ALL SELECT pgtraj_name, false, true, CAST(sum(n) AS BIGINT), 'none' FROM spread GROUP BY 1""",
+)

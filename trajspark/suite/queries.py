@@ -667,6 +667,93 @@ def store_ids(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(counted(relocations, "id", "relocations").distinct())
 
 
+def _refused(action, expected: str) -> bool:
+    """Whether an action raises a ``ValueError`` that says so."""
+    try:
+        action()
+    except ValueError as err:
+        return expected in str(err)
+    return False
+
+
+@query
+def store_refusals(spark, sf):
+    """What must be refused, asked for with the events: each case, whether it was, and the steps that the store holds afterwards."""
+    store, fixes = _store(spark, sf), fx.fixes(spark, sf)
+    bind = dict(relocations=["x", "y"], pgtraj="grp", animal="animal", burst="burst", rid="event_id", timestamps="ts", srid=fx.SRID, time_zone=fx.ZONE)
+    other = f"trajspark_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{other}` LOCATION '{settings.new_folder(spark, 'other')}'")
+    fixes.select("event_id").write.saveAsTable(f"`{other}`.`something`")
+    long = store.export("p0").withColumn("r.row.names", F.col("seq").cast("string"))
+    flat = _fresh(spark)
+    flat.build(fixes, **{**bind, "srid": None}, allow_unprojected=True)
+    cases = {
+        "missing table": _refused(lambda: store.build("no_such_table", **bind), "does not exist"),
+        "missing column": _refused(lambda: store.build(fixes, **{**bind, "relocations": ["x", "nope"]}), "not present"),
+        "foreign schema": _refused(lambda: TrajectoryStore(spark, other).ensure(), "not a trajectory schema"),
+        "unknown zone": _refused(lambda: store.build(fixes, **{**bind, "time_zone": "Mars/Olympus"}), "zone"),
+        "no projection": _refused(lambda: store.build(fixes, **{**bind, "srid": None}), "projection"),
+        "unprojected view": _refused(lambda: flat.create_views("p0"), "unprojected"),
+        "three coordinate columns": _refused(lambda: store.build(fixes, **{**bind, "relocations": ["x", "y", "ts"]}), "relocations"),
+        "text for a system": _refused(lambda: store.build(fixes, **{**bind, "srid": "3395"}), "srid"),
+        "blank name": _refused(lambda: store.build(fixes, **{**bind, "animal": ""}), "animal"),
+        "name of one trajectory twice": _refused(lambda: store.build(fixes, **bind), "already exist"),
+        "import without overwrite": _refused(lambda: store.import_trajectory(long, "p1"), "already exists"),
+        "name that begins with a mark": _refused(lambda: store.import_trajectory(long, "_p"), "begin with"),
+        "burst of several animals": _refused(lambda: store.build(fixes, **{**bind, "pgtraj": "all", "burst": "event_type"}), "several animals"),
+        "nothing to drop": _refused(lambda: store.drop(None, full_clean=False), "nothing to do"),
+        "unknown trajectory": _refused(lambda: store.drop("nobody"), "does not exist"),
+        "order of a trajectory without times": _refused(
+            lambda: store.import_trajectory(long.drop("date", "seq", "r.row.names"), "lost", type_i=True), "order"),
+    }
+    held = store.table("step").agg(F.count(F.lit(1)).alias("steps"))
+    told = spark.createDataFrame(sorted(cases.items()), "what string, refused boolean")
+    return told.withColumn("one", F.lit(1)).join(held.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+@query
+def store_failed_overwrite(spark, sf):
+    """An overwrite that fails after its steps were written leaves every row of the old trajectory as it was."""
+    store = _store(spark, sf)
+    long = store.export("p0").withColumn("r.row.names", F.col("seq").cast("string"))
+    broken = TrajectoryStore(spark, store.schema)
+
+    def fail(*_, **__):
+        raise RuntimeError("no space")
+
+    broken._publish = fail
+    try:
+        broken.import_trajectory(long.filter("seq <= 2").drop("k", "status"), "p0", overwrite=True)
+    except RuntimeError:
+        pass
+    parts = [store.parameters(name) for name in store.pgtrajs()]
+    return shown(functools.reduce(DataFrame.unionByName, parts), "date", "animal_name", "burst", "pgtraj")
+
+
+@query
+def store_summaries_in_order(spark, sf):
+    """Both summaries with the places of their rows as they come, and whether each pgtraj carries the time it was written."""
+    store = _store(spark, sf)
+    place = F.row_number().over(Window.orderBy("at")).alias("place")
+    bursts = store.burst_summary().withColumn("at", F.monotonically_increasing_id())
+    groups = store.pgtraj_summary().withColumn("at", F.monotonically_increasing_id())
+    fresh = F.timestamp_diff("MINUTE", F.col("last_update"), F.current_timestamp()) < 60
+    shown_groups = groups.select("pgtraj_name", F.lit(None).cast("string").alias("burst_name"), place, fresh.alias("fresh"))
+    return bursts.select("pgtraj_name", "burst_name", place, F.lit(None).cast("boolean").alias("fresh")).unionByName(shown_groups)
+
+
+@query
+def export_type_flags(spark, sf):
+    """The type and the regularity that a nested export tells of each pgtraj, with times, on one grid of days, and without times."""
+    kinds = {"times": fx.parameters(spark, sf), "none": fx.parameters(spark, sf, kind=TYPE_I)}
+    parts = []
+    for name, laid in kinds.items():
+        nested = export.nest(export.export_long(laid, fx.ZONE), ["x", "y", "date"])
+        parts.append(nested.groupBy("pgtraj_name").agg(
+            F.bool_and("type_ii").alias("type_ii"), F.bool_and("regular").alias("regular"), F.sum("n_rows").alias("n_rows")).withColumn("kind", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def window_steps_raw(spark, sf):
     """The window straight from relocations, ordered work on the window alone."""
