@@ -41,6 +41,7 @@ LABEL_ROWS = 12_500
 POOL_ROWS = 20_000
 GIVEN = 2_000  # pseudo-labelled rows that a view hands over in a round
 ROUNDS = 2
+SAMPLE_TASKS = 16  # tasks for tables of bounded size, however many partitions the corpus has
 CHUNK = 1 << 19  # bytes of text whose features are made at once
 LEAST_GOOD = 0.6  # documents whose probability of being good is below are rejected
 FOLDS = 5  # one of so many parts of the labels calibrates
@@ -204,7 +205,7 @@ def _columns(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str],
 def _one_a_document(own: DataFrame, *more: str) -> DataFrame:
     """The least row of each id; copies are merged before the shuffle."""
     cells = [c for c in own.columns if c not in ("doc_id", *more)]
-    least = own.groupBy("doc_id", *more).agg(F.min(F.struct(*cells)).alias("row"))
+    least = own.groupBy("doc_id", *more).agg(F.min(F.struct(*cells)).alias("row")).coalesce(SAMPLE_TASKS)
     return least.select("doc_id", *[F.col("row")[c].alias(c) for c in cells], *more)
 
 
