@@ -36,6 +36,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 EVERY = 128
 LIMIT = 16
+KEPT_PIECES = 1_000_000  # distinct pre-tokens whose ids a worker keeps
 
 
 class Library:
@@ -54,7 +55,7 @@ class Library:
         self.whole = Tokenizer.from_file(path) if added_tokens else self.tokenizer
         added = self.whole.get_added_tokens_decoder().values() if added_tokens else ()
         self.added = [t.content.encode() for t in added if t.content]
-        self.encoder = Encoder(self._pieces)
+        self.encoder = Encoder(self._pieces, KEPT_PIECES)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def _pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
