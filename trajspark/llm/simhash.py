@@ -232,12 +232,11 @@ def fingerprint_components(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame
     own = first.select(F.col("node").alias("fp"), F.col("component").alias("own"))
     lead = first.select(F.col("node").alias("leader"), F.col("component").alias("main"))
     more = members.filter("n > 2").join(own, "fp", "left").join(lead, "leader", "left")
-    more = more.select("key", "n", "fp", F.coalesce("own", "fp").alias("own"), F.coalesce("main", "leader").alias("main"))
+    more = saved(more.select("key", "n", "fp", F.coalesce("own", "fp").alias("own"), F.coalesce("main", "leader").alias("main")), "simhash-open")
+    discard(members)
     # only buckets that still hold several components, each with the members that could join two of them
     open_keys = more.groupBy("key").agg(F.max((F.col("own") != F.col("main")).cast("int")).alias("several")).filter("several = 1").select("key")
-    more = saved(more.join(open_keys, "key", "left_semi"), "simhash-open")
-    discard(members)
-    more = more.withColumn("sub", F.explode(split_keys("key", "fp", "n")))
+    more = more.join(open_keys, "key", "left_semi").withColumn("sub", F.explode(split_keys("key", "fp", "n")))
     apart = more.filter("own <> main").select("key", "sub", F.col("fp").alias("fp_2"), F.col("own").alias("own_2"))
     met = more.join(apart, ["key", "sub"]).filter("own <> own_2").filter(near("fp", "fp_2", bits))
     joined = components(met.select(F.col("own").alias("a"), F.col("own_2").alias("b")), "simhash-met")
