@@ -243,7 +243,7 @@ def unpacked(
     if registries is None:
         own = {n: t for n, t in (types or {}).items() if n in {c for c, _ in columns}}
         return typed(rows.select(*kept, *[(_instant if n in own else _value)(n, k).alias(n) for n, k in columns]), own)
-    rows = settings.join_small(rows, registries.select("registry", "info_cols"), "registry", RESERVED)
+    rows = settings.join_small(rows, registries.select("registry", "info_cols"), "registry")
     out, more = [], []
     for name, kind in columns:
         entry, known = _entry(name), (classes or {}).get(name, {None})
@@ -271,7 +271,7 @@ def typed_by_burst(infolocs: DataFrame, steps: DataFrame, bursts: DataFrame) ->
     step_id to burst_id. Bursts without a registry, and columns without an entry, pass through.
     """
     df = infolocs.join(steps.select("step_id", "burst_id"), "step_id")
-    df = settings.join_small(df, bursts.select("burst_id", "info_cols"), "burst_id", "step_id")
+    df = settings.join_small(df, bursts.select("burst_id", "info_cols"), "burst_id", count_on=steps)
     out = {}
     for name in info_columns(infolocs):
         entry = _entry(name)

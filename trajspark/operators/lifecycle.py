@@ -16,7 +16,7 @@ def drop_pgtraj(model: Model, name: str) -> Model:
     pgtraj = model.pgtraj.filter(F.col("pgtraj_name") != name)
     bursts = model.animal_burst.join(pgtraj.select(F.col("id").alias("pgtraj_id")), "pgtraj_id", "left_semi")
     kept = bursts.select(F.col("id").alias("animal_burst_id"))
-    relations = settings.join_small(model.s_b_rel, kept, "animal_burst_id", "step_id", "left_semi")
+    relations = settings.join_small(model.s_b_rel, kept, "animal_burst_id", "left_semi")
     return replace(model, pgtraj=pgtraj, animal_burst=bursts, s_b_rel=relations)
 
 

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 LINE_POINTS = 50_000
-SALTS = 64
 
 
 def _limit(spark: SparkSession, key: str, default: int) -> int:
@@ -38,23 +37,36 @@ def line_points(spark: SparkSession) -> int:
 
 
 def broadcast_if(df: DataFrame, rows: int | None) -> DataFrame:
-    """Hint a broadcast only when the row count is known and within the limit."""
-    if rows is not None and rows <= broadcast_rows(df.sparkSession):
-        return F.broadcast(df)
-    return df
+    """Hint a broadcast only when the row count is known and within the limit.
+
+    A table known to be larger is kept from being broadcast at all: Spark goes by the size of its compressed files, which says little about
+    what the rows take in the driver.
+    """
+    if rows is None:
+        return df
+    return F.broadcast(df) if rows <= broadcast_rows(df.sparkSession) else df.hint("merge")
 
 
-def join_small(facts: DataFrame, table: DataFrame, on: str, spread: str, how: str = "left") -> DataFrame:
+def join_small(facts: DataFrame, table: DataFrame, on: str, how: str = "left", largest: int | None = None, count_on: DataFrame | None = None) -> DataFrame:
     """Join facts to a table with one row per ``on``, when one value of ``on`` may hold most facts.
 
-    The table is broadcast when its counted rows allow it. Otherwise it is repeated ``SALTS`` times and the facts
-    are spread over the copies by the column ``spread``, so no value gathers in one task.
+    The table is broadcast when its counted rows allow it. Otherwise both sides are shuffled, no row more than once, except for values with more facts
+    than a task should hold (``hotRows``): these are few, and their rows of the table are broadcast. They are found by counting facts (or ``count_on``,
+    which is cheaper), unless the rows of the ``largest`` value are known to be within the limit.
     """
-    if table.limit(broadcast_rows(facts.sparkSession) + 1).count() <= broadcast_rows(facts.sparkSession):
+    spark, limit = facts.sparkSession, hot_rows(facts.sparkSession)
+    if table.limit(broadcast_rows(spark) + 1).count() <= broadcast_rows(spark):
         return facts.join(F.broadcast(table), on, how)
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    if largest is not None and largest <= limit:
+        return facts.join(table.hint("merge"), on, how)
+    sizes = (facts if count_on is None else count_on).groupBy(on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    hot = write_through(sizes.select(F.col(on).alias("_hot")), "large-values")
+    n = hot.count()
+    if not n:
+        return facts.join(table.hint("merge"), on, how)
+    values, same = broadcast_if(hot, n), F.col(on).eqNullSafe(F.col("_hot"))
+    large = facts.join(values, same, "left_semi").join(broadcast_if(table.join(values, same, "left_semi"), n), on, how)
+    return facts.join(values, same, "left_anti").join(table.hint("merge"), on, how).unionByName(large)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -348,7 +348,7 @@ class TrajectoryStore:
                 found = found.join(settings.broadcast_if(registry.drop("info_cols"), len(names)), "pgtraj_name")
             else:
                 registry = saved.select("pgtraj_name", number, "info_cols").distinct()
-                found = settings.join_small(found, saved.select("burst_id", number), "burst_id", "step_id")
+                found = settings.join_small(found, saved.select("burst_id", number), "burst_id", largest=known.largest)
             written = self._write_infos(found.select("step_id", "registry", "info", "pgtraj_name"), registry, own, names, version)
         kind = TYPE_I if type_i else TYPE_II
         self._publish(self._described(described, bursts, version, TRAJECTORY_SOURCE, kind, written), sorted(old))
