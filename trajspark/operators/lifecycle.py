@@ -30,6 +30,7 @@ def unused_relocations(model: Model) -> DataFrame:
 def full_clean(model: Model) -> Model:
     """Remove unused relocations. Steps that began at one go too; ends that pointed at one become null."""
     gone = settings.write_through(unused_relocations(model).select("id"), "unused")
+    gone = settings.broadcast_if(gone, gone.count())
     begins = gone.withColumnRenamed("id", "relocation_id_1")
     ends = gone.select(F.col("id").alias("relocation_id_2"), F.lit(True).alias("_gone"))
     steps = model.step.join(begins, "relocation_id_1", "left_anti").join(ends, "relocation_id_2", "left")
