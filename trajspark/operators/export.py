@@ -14,6 +14,10 @@ from trajspark.operators.infolocs import info_columns
 from trajspark.operators.steps import TYPE_I, TYPE_II
 from trajspark.plans.segments import Laid
 
+#: rows of small files that one task writes
+ROWS_A_TASK = 100_000
+
+
 def trajectory_kind(df: DataFrame) -> tuple[int, bool]:
     """Type (I when no row has a time) and whether every row has a row name; one counting pass."""
     named = F.count("r_rowname") if "r_rowname" in df.columns else F.lit(0)
@@ -60,14 +64,15 @@ def export_long(
 
 
 def write_ordered(long: DataFrame, path: str, rows: int, rows_a_file: int) -> DataFrame:
-    """Write an export as files of ranges of (burst_order, seq), each sorted, of about ``rows_a_file`` rows.
+    """Write an export as files of ranges of (burst_order, seq), each sorted, of about ``rows_a_file`` rows. A task writes as many files as its
+    range has, so small files don't make many tasks.
 
     Their manifest is written beside them (``_manifest``, which readers of the folder pass over) and returned: number, file, n_rows and the first
     and last place of each. The files one after another are the export in order; nothing is sorted as a whole.
     """
     place = F.struct("burst_order", "seq")
-    ranged = long.repartitionByRange(max(1, -(-rows // rows_a_file)), "burst_order", "seq").sortWithinPartitions("burst_order", "seq")
-    ranged.write.parquet(path)
+    ranged = long.repartitionByRange(max(1, -(-rows // max(rows_a_file, ROWS_A_TASK))), "burst_order", "seq").sortWithinPartitions("burst_order", "seq")
+    ranged.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
     spark = long.sparkSession
     written = spark.read.schema(long.schema).parquet(path).select("burst_order", "seq", F.col("_metadata.file_name").alias("file"))
     files = written.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.min(place).alias("first"), F.max(place).alias("last"))
