@@ -19,11 +19,13 @@ def burst_sizes(laid: Laid, inside: tuple[str, ...] = (), sizes: DataFrame | Non
     Rows are counted per burst with map-side combine, unless ``sizes`` has the names and ``burst_steps`` already; the running sum goes over
     that small table.
     """
+    names = sizes
     if sizes is None:
         sizes = laid.df.groupBy(*BURST).agg(F.count(F.lit(1)).alias("burst_steps"))
+        names = laid.df.select(*BURST).distinct()
     order = tuple(k for k in BURST if k not in inside)
     known = laid.n_groups if laid.keys == BURST else None
-    chain = lay_out(sizes, inside, order, count_on=laid.df.select(*BURST).distinct(), known_rows=known)
+    chain = lay_out(sizes, inside, order, count_on=names, known_rows=known)
     chain = with_prefix(chain, burst_id=RowNumber(), _upto=RunningSum(F.col("burst_steps")))
     return chain.rows().withColumn("_earlier", F.col("_upto") - F.col("burst_steps")).drop("_upto")
 
@@ -33,7 +35,7 @@ def with_step_ids(laid: Laid, sizes: DataFrame | None = None) -> Laid:
 
     Needs ``seq``; gives relocation_id_2 when ``seq2`` is there. The steps themselves are never sorted globally.
     """
-    laid = laid.join_groups(burst_sizes(laid, sizes=sizes))
+    laid = laid.join_groups(burst_sizes(laid, sizes=sizes), laid.n_groups)
     df = laid.df.withColumn("step_id", F.col("_earlier") + F.col("seq"))
     df = df.withColumn("relocation_id_1", F.col("step_id"))
     if "seq2" in df.columns:

@@ -41,6 +41,8 @@ from trajspark.sources import tables
 
 DATABASE_SOURCE, TRAJECTORY_SOURCE = "table", "trajectory"
 ROWS_A_FILE = 2_000_000
+#: ids of one range, which one task sorts and writes
+ROWS_A_RANGE = 250_000
 _POINT = "STRUCT<x: DOUBLE, y: DOUBLE>"
 _REGISTRY = "ARRAY<STRUCT<name: STRING, type: STRING, zone: STRING, levels: ARRAY<STRING>>>"
 
@@ -114,7 +116,7 @@ class TrajectoryStore:
         columns = self.table(name).columns
         df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns}).select(*columns)
         if order:
-            df = df.repartition(F.floor(F.col(order[0]) / ROWS_A_FILE)).sortWithinPartitions("pgtraj_name", *order)
+            df = df.repartition(F.floor(F.col(order[0]) / ROWS_A_RANGE)).sortWithinPartitions("pgtraj_name", *order)
         df.write.insertInto(self._name(name))
 
     def _replace(self, df: DataFrame, name: str, held: Iterable[tuple[str, str]] = (), by: str | None = None) -> None:
@@ -222,7 +224,7 @@ class TrajectoryStore:
             rid = info_rid or binding.get("rid", "rid")
             present = [c for c in info_cols if c in extra.columns]
             rows = extra.select(F.col(rid).cast("long").alias("rid"), info.packed(extra, present).alias("info"))
-            rows = stored.select("step_id", "rid", "pgtraj_name").join(rows, "rid").drop("rid").withColumn("registry", F.lit(0))
+            rows = settings.broadcast_if(stored.select("step_id", "rid", "pgtraj_name"), total).join(rows, "rid").drop("rid").withColumn("registry", F.lit(0))
             kinds = info.stored_columns(extra, present)
             registry = described.select("pgtraj_name", F.lit(0).alias("registry"))
             infolocs = self._write_infos(rows, registry, kinds, names, version)
@@ -341,7 +343,8 @@ class TrajectoryStore:
             stored, saved = self._save(rows, held, version, base)
             packed = F.col("info") if kinds is not None else info.packed(infolocs, columns)
             met = infolocs.select("pgtraj_name", "burst_name", "r_rowname", packed.alias("info"))
-            found = stored.select("step_id", "burst_id", "pgtraj_name", "burst_name", "r_rowname").join(met, ["pgtraj_name", "burst_name", "r_rowname"])
+            placed = settings.broadcast_if(stored.select("step_id", "burst_id", "pgtraj_name", "burst_name", "r_rowname"), total)
+            found = placed.join(met, ["pgtraj_name", "burst_name", "r_rowname"])
             number = F.xxhash64("info_cols").alias("registry")
             if info_registry is None:
                 registry = saved.select("pgtraj_name", number, "info_cols").distinct()
@@ -475,7 +478,9 @@ class TrajectoryStore:
         steps = lay_out(held, BURST, ("seq",), known=_known(row)) if row["type_i"] else Laid(held, BURST, ("seq",))
         sizes = self._held("animal_burst", pgtraj, row["version"]).select(*BURST, F.col("num_steps").alias("burst_steps"))
         kind = TYPE_I if row["type_i"] else TYPE_II
-        long = exporting.export_long(steps, row["time_zone"], self.infolocs(pgtraj), kind, row["named"], sizes)
+        infos = self.infolocs(pgtraj)
+        infos = None if infos is None else settings.broadcast_if(infos, row["n_steps"])
+        long = exporting.export_long(steps, row["time_zone"], infos, kind, row["named"], sizes)
         return long.withColumns({c: F.lit(row[c]).cast("string") for c in ("proj4string", "time_zone")})
 
     def export_files(self, pgtraj: str, path: str, rows_a_file: int = ROWS_A_FILE) -> DataFrame:
@@ -584,7 +589,8 @@ class TrajectoryStore:
             own = [r for r in rows if (r["srid"], r["infolocs"] is not None) == (srid, attached)]
             which = F.col("pgtraj_name").isin([r["pgtraj_name"] for r in own]) & F.col("version").isin([r["version"] for r in own])
             steps = self.table("step").filter(which & F.col("relocation_id_2").isNotNull())
-            infos = packed.filter(which).drop("pgtraj_name", "version") if attached else None
+            n_steps = sum(r["n_steps"] for r in own)
+            infos = settings.broadcast_if(packed.filter(which).drop("pgtraj_name", "version"), n_steps) if attached else None
             view = self._with_version(step_view(steps, srid, infos), own)
             out = view if out is None else out.unionByName(view, allowMissingColumns=True)
         return out
@@ -715,7 +721,8 @@ def transfer(source: TrajectoryStore, target: TrajectoryStore, pgtraj: str | Seq
             plain = plain.withColumns({"us": F.lit(None).cast("long"), "dt": F.lit(None).cast("double")})
         infolocs = registry = None
         if kinds is not None:
-            infolocs = plain.select("step_id", "pgtraj_name", "burst_name", "r_rowname").join(source.table("infolocs").filter(which).select("step_id", "info"), "step_id")
+            infos = settings.broadcast_if(source.table("infolocs").filter(which).select("step_id", "info"), sum(r["n_steps"] for r in own))
+            infolocs = plain.select("step_id", "pgtraj_name", "burst_name", "r_rowname").join(infos, "step_id")
             bursts = source.table("animal_burst").filter(which & F.col("info_cols").isNotNull())
             registry = bursts.select("pgtraj_name", "burst_name", "info_cols")
         described = source.spark.createDataFrame(
