@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trajspark import settings
 from trajspark.operators.steps import BURST, TYPE_II, build_steps
-from trajspark.plans.segments import Laid, RowNumber, RunningSum, lay_out, with_prefix
+from trajspark.plans.segments import Known, Laid, RowNumber, RunningSum, lay_out, with_prefix
 from trajspark.settings import write_through
 from trajspark.sources.tables import pgtraj_rows
 
@@ -35,7 +36,11 @@ def with_step_ids(laid: Laid, sizes: DataFrame | None = None) -> Laid:
 
     Needs ``seq``; gives relocation_id_2 when ``seq2`` is there. The steps themselves are never sorted globally.
     """
-    laid = laid.join_groups(burst_sizes(laid, sizes=sizes), laid.n_groups)
+    return _numbered(laid.join_groups(burst_sizes(laid, sizes=sizes), laid.n_groups))
+
+
+def _numbered(laid: Laid) -> Laid:
+    """Step and relocation ids from ``_earlier`` and the positions in the burst."""
     df = laid.df.withColumn("step_id", F.col("_earlier") + F.col("seq"))
     df = df.withColumn("relocation_id_1", F.col("step_id"))
     if "seq2" in df.columns:
@@ -43,6 +48,32 @@ def with_step_ids(laid: Laid, sizes: DataFrame | None = None) -> Laid:
     return laid.on(df.drop("_earlier", "burst_steps"))
 
 
+#: Columns that tell the bursts of ``placed`` rows apart. The rows of a range are together already, and in the order of their ids.
+PLACED = ("pgtraj_name", "_range", "burst_id")
+
+
+def placed(rows: DataFrame, bursts: DataFrame, known: Known, total: int, rows_a_range: int) -> tuple[DataFrame, tuple[str, ...]]:
+    """Rows with their burst's id, clustered by ranges of the ids that their steps will have, a burst in one range; and the keys of ordered work.
+
+    ``bursts`` has pgtraj_name, burst_name, burst_id and _earlier for each burst, ``total`` is the number of rows. Ordered work by ``PLACED`` and a write in id order need no other
+    shuffle. Where a burst is larger than a task should hold, rows are left as they are, to be split by burst.
+    """
+    if known.largest > settings.hot_rows(rows.sparkSession):
+        return rows, BURST
+    table = bursts.select(*BURST, "burst_id", "_earlier")
+    found = rows.join(settings.broadcast_if(table, known.groups), ["burst_name", "pgtraj_name"], "left")
+    n = -(-total // rows_a_range)
+    return found.withColumn("_range", F.floor(F.col("_earlier") / rows_a_range)).repartition(max(1, n), "_range"), PLACED
+
+
+def with_burst_ids(laid: Laid, bursts: DataFrame) -> Laid:
+    """``with_step_ids`` where the bursts are numbered; rows that are ``placed`` carry their numbers already."""
+    if laid.keys != PLACED:
+        laid = laid.join_groups(bursts.select(*BURST, "burst_id", "_earlier"), laid.n_groups)
+    numbered = _numbered(laid)
+    return numbered.on(numbered.df.drop("_range"))
+
+
 @dataclass(frozen=True)
 class Model:
     """The five normalised tables."""

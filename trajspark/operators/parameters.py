@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trajspark import settings
 from trajspark.functions import planar, times
 from trajspark.plans.segments import SEGMENT, FirstRow, Laid, LastKnown, Previous, RowNumber, lay_out, with_prefix
 
-FILL_BURST, FILL_PGTRAJ = "burst", "pgtraj"
+FILL_BURST, FILL_PGTRAJ, FILL_LATER = "burst", "pgtraj", "later"
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -23,18 +24,20 @@ def step_parameters(steps: Laid, fill: str = FILL_BURST) -> Laid:
 
     ``rel_angle`` is the turn since the step before. After a stationary step the direction of the last moving
     step is used; ``fill`` says how far back it is looked for: inside the burst, or through all earlier bursts
-    of the pgtraj in name order. A step of unknown length before gives a null turn.
+    of the pgtraj in name order. A step of unknown length before gives a null turn. With ``FILL_LATER`` it is looked for
+    inside the burst, and steps whose turn depends on earlier bursts are marked ``open`` (one in a burst at most, its first
+    moving step) for ``turns_of_open``, so that the steps are computed once.
     """
     laid = steps.on(shape(steps.df))
     before = F.struct("dist", "abs_angle")
     running = {"seq": RowNumber()} if "seq" not in laid.df.columns else {}
     running |= {"_before": Previous(before), "_start": FirstRow(F.struct("x", "y"))}
-    if fill == FILL_BURST:
+    if fill in (FILL_BURST, FILL_LATER):
         laid = with_prefix(laid, **running, _moving=LastKnown(F.col("abs_angle")))
     elif fill == FILL_PGTRAJ:
         laid = _fill_through_bursts(laid, running)
     else:
-        raise ValueError(f"fill must be {FILL_BURST!r} or {FILL_PGTRAJ!r}")
+        raise ValueError(f"fill must be {FILL_BURST!r}, {FILL_PGTRAJ!r} or {FILL_LATER!r}")
 
     from_x, from_y = F.col("x") - F.col("_start.x"), F.col("y") - F.col("_start.y")
     still = F.col("_before.dist") < planar.STATIONARY
@@ -46,9 +49,26 @@ def step_parameters(steps: Laid, fill: str = FILL_BURST) -> Laid:
             "rel_angle": planar.wrap(turn),
         }
     )
+    if fill == FILL_LATER:
+        df = df.withColumn("open", F.coalesce(still, F.lit(False)) & F.col("_moving").isNull() & F.col("abs_angle").isNotNull())
     return laid.on(df.drop("_before", "_start", "_moving"))
 
 
+def turns_of_open(opened: DataFrame, steps: DataFrame, bursts: int) -> DataFrame:
+    """Turns of steps that were left open, by the last moving direction in earlier bursts of the pgtraj.
+
+    ``steps`` are all steps, written, with pgtraj_name, burst_id (in name order), seq and abs_angle; they are reduced to a row for each of the
+    ``bursts`` and the directions carried forward in that small table.
+    """
+    end = F.max_by("abs_angle", F.when(F.col("abs_angle").isNotNull(), F.col("seq")))
+    ends = steps.groupBy("pgtraj_name", "burst_id").agg(end.alias("_end"))
+    names = steps.select("pgtraj_name", "burst_id").distinct()
+    chain = lay_out(ends, ("pgtraj_name",), ("burst_id",), count_on=names, known_rows=bursts)
+    carried = with_prefix(chain, _moving=LastKnown(F.col("_end"))).rows().select("burst_id", "_moving").filter("_moving IS NOT NULL")
+    found = opened.join(settings.broadcast_if(carried, bursts), "burst_id", "left")
+    return found.withColumn("rel_angle", planar.wrap(F.col("abs_angle") - F.col("_moving"))).drop("_moving")
+
+
 def _fill_through_bursts(laid: Laid, running: dict) -> Laid:
     """Last moving direction before each step, across segments and earlier bursts of the pgtraj.
 

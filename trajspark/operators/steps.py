@@ -23,7 +23,7 @@ def ordered(relocations: DataFrame, kind: int = TYPE_II, keys=BURST, within: Lai
 
 
 def build_steps(
-    relocations: DataFrame, kind: int = TYPE_II, within: Laid | None = None, numbered: bool = False, known: Known | None = None
+    relocations: DataFrame, kind: int = TYPE_II, within: Laid | None = None, numbered: bool = False, known: Known | None = None, keys=BURST
 ) -> Laid:
     """One step per relocation.
 
@@ -31,7 +31,7 @@ def build_steps(
     fix without a time has none. Type I: the successor is the next rid. Added columns: rid2, us2, x2, y2, dt_us,
     and with ``numbered`` seq and seq2, the positions of both ends in the burst.
     """
-    laid = ordered(relocations, kind, within=within, known=known)
+    laid = ordered(relocations, kind, keys, within=within, known=known)
     if numbered:
         laid = with_prefix(laid, seq=RowNumber())
     at = "us" if kind == TYPE_II else "rid"

@@ -284,17 +284,16 @@ def with_prefix(laid: Laid, **columns: Prefix) -> Laid:
 def with_strict_next(laid: Laid, at: str, payload: Sequence[str], name: str = "_next") -> Laid:
     """Add the first row of the group whose ``at`` is strictly larger, as a struct of (at, *payload).
 
-    ``payload`` starts with the tie-breaking id. Rows with a null ``at`` neither have nor are successors. The
-    window runs in descending order, so its frame only grows and each row is aggregated once.
+    ``payload`` starts with the tie-breaking id. Rows with a null ``at`` neither have nor are successors. The first
+    order column of the layout is ``at`` or, for rows without it, a value after all others: rows tied on it share the first row of the
+    next tie, which the last of them sees. All windows use the order that the rows are in already.
     """
     row = F.when(F.col(at).isNotNull(), F.struct(at, *payload))
-    w = (
-        Window.partitionBy(*laid.groups)
-        .orderBy(F.col(at).desc())
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    here = F.when(F.col(at).isNotNull(), F.min(row).over(w))
-    df = laid.df.withColumn(name, here)
+    tie = Window.partitionBy(*laid.groups, laid.order[0])
+    df = laid.df.withColumn("_ends", F.lead(at).over(laid.window()) > F.col(at))  # first, so that rows are shuffled by group alone
+    df = df.withColumn("_tie", F.min(row).over(tie))
+    df = df.withColumn("_after", F.when(F.col("_ends"), F.lead("_tie").over(laid.window())))
+    df = df.withColumn(name, F.when(F.col(at).isNotNull(), F.max("_after").over(tie))).drop("_ends", "_tie", "_after")
     if not laid.split:
         return laid.on(df)
 

@@ -32,17 +32,17 @@ from trajspark.functions.reproject import reproject_line, srid_of, supported
 from trajspark.operators import export as exporting
 from trajspark.operators import infolocs as info
 from trajspark.operators import lines, summary, windows
-from trajspark.operators.ids import Model, with_step_ids
-from trajspark.operators.parameters import FILL_PGTRAJ, step_parameters, stored_parameters
+from trajspark.operators.ids import PLACED, Model, placed, with_burst_ids
+from trajspark.operators.parameters import FILL_LATER, step_parameters, stored_parameters, turns_of_open
 from trajspark.operators.steps import BURST, LAST, TYPE_I, TYPE_II, build_steps, computed_steps, step_geometry
 from trajspark.operators.views import VIEW_COLUMNS, step_view
-from trajspark.plans.segments import Known, Laid, RowNumber, lay_out, with_prefix
+from trajspark.plans.segments import Known, Laid, RowNumber, RunningSum, lay_out, with_prefix
 from trajspark.sources import tables
 
 DATABASE_SOURCE, TRAJECTORY_SOURCE = "table", "trajectory"
 ROWS_A_FILE = 2_000_000
 #: ids of one range, which one task sorts and writes
-ROWS_A_RANGE = 250_000
+ROWS_A_RANGE = 100_000
 _POINT = "STRUCT<x: DOUBLE, y: DOUBLE>"
 _REGISTRY = "ARRAY<STRUCT<name: STRING, type: STRING, zone: STRING, levels: ARRAY<STRING>>>"
 
@@ -111,12 +111,14 @@ class TrajectoryStore:
                 raise ValueError(f"table {name} of schema {self.schema} has other columns than expected")
         return self
 
-    def _append(self, df: DataFrame, name: str, order: Sequence[str] = ()) -> None:
-        """Add rows, files sorted by ``order``. Where the first of it is an id, rows are clustered into ranges of it, which needs no sampling."""
+    def _append(self, df: DataFrame, name: str, order: Sequence[str] = (), together: bool = False) -> None:
+        """Add rows, files sorted by ``order``. The first of it is an id, and rows are clustered into ranges of it, which needs no sampling, unless they
+        are ``together`` already."""
         columns = self.table(name).columns
         df = df.withColumns({c: F.lit(None) for c in columns if c not in df.columns}).select(*columns)
         if order:
-            df = df.repartition(F.floor(F.col(order[0]) / ROWS_A_RANGE)).sortWithinPartitions("pgtraj_name", *order)
+            df = df if together else df.repartition(F.floor(F.col(order[0]) / ROWS_A_RANGE))
+            df = df.sortWithinPartitions("pgtraj_name", "version", *order)
         df.write.insertInto(self._name(name))
 
     def _replace(self, df: DataFrame, name: str, held: Iterable[tuple[str, str]] = (), by: str | None = None) -> None:
@@ -159,10 +161,22 @@ class TrajectoryStore:
 
     # -- writing --------------------------------------------------------------------------------------
 
-    def _save(self, steps: DataFrame, bursts: DataFrame, version: str, base: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-        """Write steps and bursts as a new version; returns both as written. Nothing shows them yet."""
+    def _save(self, laid: Laid, bursts: DataFrame, version: str, base: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+        """Write placed steps and bursts as a new version; returns both as written. Nothing shows them yet.
+
+        Steps marked ``open`` wait under a version of their own until the others, from which their turns come, are written.
+        """
+        steps, waiting = laid.rows(), f"{version}-open"
+        own = F.when(F.col("open"), F.lit(waiting)).otherwise(F.lit(version)) if "open" in steps.columns else F.lit(version)
         shifted = {c: F.col(c) + base[0] for c in ("step_id", "relocation_id_1", "relocation_id_2")}
-        self._append(steps.withColumns({**shifted, "burst_id": F.col("burst_id") + base[1], "version": F.lit(version)}), "step", ["step_id"])
+        steps = steps.withColumns({**shifted, "burst_id": F.col("burst_id") + base[1], "version": own})
+        self._append(steps, "step", ["step_id"], together=laid.keys == PLACED)
+        held = [p for p in self._partitions("step") if p[1] == waiting]
+        if held:
+            every = self.table("step").filter(F.col("version").isin(version, waiting))
+            rows = turns_of_open(every.filter(F.col("version") == waiting), every, laid.n_groups)
+            self._append(rows.withColumn("version", F.lit(version)), "step", ["step_id"])
+            self._drop_partitions("step", held)
         self._append(bursts.withColumns({"burst_id": F.col("burst_id") + base[1], "version": F.lit(version)}), "animal_burst", ["burst_id"])
         return tuple(self.table(t).filter(F.col("version") == version) for t in ("step", "animal_burst"))
 
@@ -214,11 +228,12 @@ class TrajectoryStore:
             raise ValueError(f"pgtrajs already exist: {', '.join(taken)}")
         known, total = self._known(bursts)
         sizes = bursts.select(*BURST, "animal_name", F.col("num_steps").alias("burst_steps"))
-        laid = step_parameters(build_steps(bound, kind, numbered=True, known=known), FILL_PGTRAJ)
-        steps = with_step_ids(laid, sizes.drop("animal_name")).rows()
+        numbered = self._numbered_bursts(sizes, known.groups)
+        rows, keys = placed(bound, numbered, known, total, ROWS_A_RANGE)
+        laid = step_parameters(build_steps(rows, kind, numbered=True, known=known, keys=keys), FILL_LATER)
         version = uuid.uuid4().hex
         base = self._allocate(total, known.groups, version)
-        stored, held = self._save(steps, self._numbered_bursts(sizes, known.groups), version, base)
+        stored, held = self._save(with_burst_ids(laid, numbered), numbered, version, base)
         infolocs: dict[str, str] = {}
         if extra is not None:
             rid = info_rid or binding.get("rid", "rid")
@@ -241,9 +256,10 @@ class TrajectoryStore:
 
     @staticmethod
     def _numbered_bursts(sizes: DataFrame, groups: int) -> DataFrame:
-        """Bursts with their ids in name order."""
-        chain = with_prefix(lay_out(sizes, (), BURST, known_rows=groups), burst_id=RowNumber())
-        return chain.rows().withColumn("num_steps", F.col("burst_steps"))
+        """Bursts with their ids in name order and the steps of earlier bursts, written."""
+        chain = with_prefix(lay_out(sizes, (), BURST, known_rows=groups), burst_id=RowNumber(), _upto=RunningSum(F.col("burst_steps")))
+        rows = chain.rows().withColumns({"num_steps": F.col("burst_steps"), "_earlier": F.col("_upto") - F.col("burst_steps")})
+        return settings.write_through(rows.drop("_upto", "burst_steps"), "numbered-bursts")
 
     def _source(self, source: str | DataFrame) -> DataFrame:
         return tables.source_table(self.spark, source) if isinstance(source, str) else source
@@ -325,13 +341,14 @@ class TrajectoryStore:
                 "_name": F.col("burst_name"), "burst_name": place,
             }
         ).drop("order_date")
-        laid = with_prefix(lay_out(steps.drop("seq"), BURST, ("_when", "_place", "r_rowname"), known=known), seq=RowNumber())
-        laid = with_step_ids(laid, sizes.drop("animal_name", "_name"))
-        rows = laid.rows().withColumn("burst_name", F.col("_name")).drop("_name")
-        rows = stored_parameters(rows).withColumns(
+        numbered = self._numbered_bursts(sizes, known.groups)
+        near, by = placed(steps.drop("seq"), numbered, known, total, ROWS_A_RANGE)
+        laid = with_burst_ids(with_prefix(lay_out(near, by, ("_when", "_place", "r_rowname"), known=known), seq=RowNumber()), numbered)
+        rows = laid.df.withColumn("burst_name", F.col("_name")).drop("_name")
+        rows = laid.on(stored_parameters(rows).withColumns(
             {"relocation_id_1": F.col("step_id") * 2 - 1, "relocation_id_2": F.col("step_id") * 2, "rid": F.lit(None).cast("long")}
-        ).withColumn("rid2", F.col("relocation_id_2"))
-        held = self._numbered_bursts(sizes, known.groups).withColumn("burst_name", F.col("_name")).drop("_name")
+        ).withColumn("rid2", F.col("relocation_id_2")))
+        held = numbered.withColumn("burst_name", F.col("_name")).drop("_name")
         version, written = uuid.uuid4().hex, {}
         base = self._allocate(2 * total, known.groups, version)
         if infolocs is None:
@@ -343,8 +360,8 @@ class TrajectoryStore:
             stored, saved = self._save(rows, held, version, base)
             packed = F.col("info") if kinds is not None else info.packed(infolocs, columns)
             met = infolocs.select("pgtraj_name", "burst_name", "r_rowname", packed.alias("info"))
-            placed = settings.broadcast_if(stored.select("step_id", "burst_id", "pgtraj_name", "burst_name", "r_rowname"), total)
-            found = placed.join(met, ["pgtraj_name", "burst_name", "r_rowname"])
+            ids = settings.broadcast_if(stored.select("step_id", "burst_id", "pgtraj_name", "burst_name", "r_rowname"), total)
+            found = ids.join(met, ["pgtraj_name", "burst_name", "r_rowname"])
             number = F.xxhash64("info_cols").alias("registry")
             if info_registry is None:
                 registry = saved.select("pgtraj_name", number, "info_cols").distinct()
